@@ -387,12 +387,16 @@ def _(spark, sf_dir):
 # --- raw records -----------------------------------------------------------
 
 
-def _payloads(spark, sf_dir, payload):
-    return obs_sales(spark, sf_dir).select(
+def _payloads(facts, payload):
+    return facts.select(
         F.lit("deezer").alias("source"), "snapshot_date", F.expr(payload).alias("payload")
     )
 
 
+def _raw_by_source(facts, payloads):
+    return {s: parse_raw(_payloads(facts, payload), s) for s, payload in payloads.items()}
+
+
 def _typed(raw):
     return raw.select(
         "source_artist_name",
@@ -407,7 +411,7 @@ def _typed(raw):
 @query("raw_json_scan")
 def _(spark, sf_dir):
     root = f"{work_dir(spark)}/raw"
-    land_raw(_payloads(spark, sf_dir, BROKEN_DEEZER), root)
+    land_raw(_payloads(obs_sales(spark, sf_dir), BROKEN_DEEZER), root)
     return _typed(scan_raw(spark, root, "deezer"))
 
 
@@ -451,10 +455,7 @@ def _(spark, sf_dir):
 
 @query("quarantine_split")
 def _(spark, sf_dir):
-    raw = {
-        source: parse_raw(_payloads(spark, sf_dir, payload), source)
-        for source, payload in {**PAYLOADS, "deezer": BROKEN_DEEZER}.items()
-    }
+    raw = _raw_by_source(obs_sales(spark, sf_dir), {**PAYLOADS, "deezer": BROKEN_DEEZER})
     broken = rejected(normalize_all(raw, RUN_DATE))
     malformed = F.when(F.col("reject_reason") == "malformed JSON", F.col("record"))
     return broken.groupBy("source", "reject_reason").agg(
@@ -464,7 +465,7 @@ def _(spark, sf_dir):
 
 def _normalized(source):
     def run(spark, sf_dir):
-        raw = parse_raw(_payloads(spark, sf_dir, PAYLOADS[source]), source)
+        raw = parse_raw(_payloads(obs_sales(spark, sf_dir), PAYLOADS[source]), source)
         dim = entity_dim(customer_entities(spark, sf_dir))
         return _flat(accepted(normalize_source(raw, source, RUN_DATE, dim)))
 
@@ -488,10 +489,7 @@ for _key, _source in NORMALIZERS.items():
 
 @query("normalize_union")
 def _(spark, sf_dir):
-    raw = {
-        source: parse_raw(_payloads(spark, sf_dir, payload), source)
-        for source, payload in PAYLOADS.items()
-    }
+    raw = _raw_by_source(obs_sales(spark, sf_dir), PAYLOADS)
     raw["unheard_of"] = raw["deezer"]
     dim = entity_dim(customer_entities(spark, sf_dir))
     return _flat(accepted(normalize_all(raw, RUN_DATE, dim)))

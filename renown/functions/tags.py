@@ -16,18 +16,22 @@ def join_or_null(tags: Column) -> Column:
     return F.when(F.array_size(tags) > 0, F.array_join(tags, SEPARATOR))
 
 
-def first_tags(value: Column) -> Column:
-    """The first tags of a list, blanks dropped after the cut; other values as text.
+def first_names(listed: Column) -> Column:
+    """Non-blank names among the first tags of a list, blanks dropped after the cut.
 
     Elements are plain text or objects with a ``name``.
     """
     names = F.transform(
-        F.slice(items(value), 1, MAX_TAGS),
+        F.slice(listed, 1, MAX_TAGS),
         lambda item: F.when(is_object(item), text(item, "$.name")).otherwise(text(item)),
     )
-    kept = F.filter(names, lambda name: F.coalesce(name, F.lit("")) != "")
-    as_list = F.when(F.array_size(kept) > 0, F.array_join(kept, SEPARATOR))
-    return F.when(items(value).isNotNull(), as_list).otherwise(F.nullif(text(value), F.lit("")))
+    return F.filter(names, lambda name: F.coalesce(name, F.lit("")) != "")
+
+
+def tags_or_text(value: Column, listed: Column, names: Column) -> Column:
+    """Joined names of a list; a value that is no list stands as text, blank as null."""
+    as_text = F.nullif(text(value), F.lit(""))
+    return F.when(listed.isNull(), as_text).otherwise(join_or_null(names))
 
 
 def distinct_tags(*values: Column) -> Column:

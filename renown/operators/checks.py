@@ -132,10 +132,11 @@ def validation_report(
 ) -> DataFrame:
     """All checks on the newest snapshot as (position, check, source, passed, observed, threshold).
 
-    One pass: the snapshot is counted per (entity, source), which makes the
-    duplicates visible, and everything else is summed up from these groups. The
-    tables that follow have one row per source, and sources are limited to the
-    enabled ones. The last row, ``overall``, is true when all others are.
+    One job and two scans: the snapshot is counted per (entity, source), which
+    makes the duplicates visible, and per source from these groups; a second scan
+    reads the names alone. What follows has one row per source, and sources are
+    limited to the enabled ones. The last row, ``overall``, is true when all
+    others are.
     """
     absent = missing_columns(facts)
     if absent:

@@ -7,7 +7,7 @@ until ``accepted`` and ``rejected`` split them, so nothing fails and nothing is
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 from functools import reduce
 
@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from renown.functions import variants as v
 from renown.functions.names import non_blank
-from renown.functions.tags import MAX_TAGS, distinct_tags, first_tags, join_or_null
+from renown.functions.tags import MAX_TAGS, distinct_tags, first_names, join_or_null, tags_or_text
 from renown.model import FACT_COLUMNS, FACT_SCHEMA
 from renown.operators.identity import canonicalize_names
 from renown.sources.raw import CORRUPT
@@ -28,7 +28,12 @@ SAME_NAME = "same"
 
 @dataclass
 class SourceMap:
-    """Fact columns of one source; what is not named is null."""
+    """Fact columns of one source; what is not named is null.
+
+    ``parts`` are intermediate columns, stage by stage, each stage reading the
+    ones before. Values used more than once belong there, so that they are
+    worked out once per record.
+    """
 
     entity_id: Column
     score: Column | None = None
@@ -37,17 +42,22 @@ class SourceMap:
     tags: Column | None = None
     id_rule: Column = field(default_factory=lambda: F.lit(None).cast("string"))
     broken: Mapping[str, Column] = field(default_factory=dict)
+    parts: Sequence[Mapping[str, Column]] = ()
 
 
 def _spotify() -> SourceMap:
     followers = F.col("followers")
     score, bad_score = v.optional_count(F.col("popularity"))
-    reach, bad_reach = v.optional_count(v.member(followers, "$.total"))
+    reach, bad_reach = v.optional_count(F.col("_total"))
     return SourceMap(
+        parts=[
+            {"_total": v.member(followers, "$.total"), "_listed": v.items(F.col("genres"))},
+            {"_names": first_names(F.col("_listed"))},
+        ],
         entity_id=v.identifier(F.col("id")),
         score=score,
         reach=reach,
-        tags=first_tags(F.col("genres")),
+        tags=tags_or_text(F.col("genres"), F.col("_listed"), F.col("_names")),
         broken={
             "followers: no object": v.not_an_object(followers),
             "followers.total: no count": bad_reach,
@@ -58,14 +68,21 @@ def _spotify() -> SourceMap:
 
 def _lastfm() -> SourceMap:
     stats, tags = F.col("stats"), F.col("tags")
-    reach, bad_reach = v.counted(v.member(stats, "$.listeners"))
-    volume, bad_volume = v.counted(v.member(stats, "$.playcount"))
-    listed = v.items(tags, "$.tag")
-    names = F.transform(F.slice(listed, 1, MAX_TAGS), lambda tag: v.text(tag, "$.name"))
-    mbid = v.text(F.col("mbid"))
-    no_id = F.coalesce(mbid, F.lit("")) == ""
+    reach, bad_reach = v.counted(F.col("_listeners"))
+    volume, bad_volume = v.counted(F.col("_playcount"))
+    listed, names = F.col("_listed"), F.col("_names")
+    no_id = F.coalesce(F.col("_mbid"), F.lit("")) == ""
     return SourceMap(
-        entity_id=mbid,
+        parts=[
+            {
+                "_mbid": v.text(F.col("mbid")),
+                "_listeners": v.member(stats, "$.listeners"),
+                "_playcount": v.member(stats, "$.playcount"),
+                "_listed": v.items(tags, "$.tag"),
+            },
+            {"_names": F.transform(F.slice(listed, 1, MAX_TAGS), lambda t: v.text(t, "$.name"))},
+        ],
+        entity_id=F.col("_mbid"),
         id_rule=F.when(no_id, F.lit(COMPACT_NAME)),
         score=reach,
         reach=reach,
@@ -76,7 +93,7 @@ def _lastfm() -> SourceMap:
             "stats.listeners: no count": bad_reach,
             "stats.playcount: no count": bad_volume,
             "tags: no object": v.not_an_object(tags),
-            "tags.tag: no list": ~v.is_blank(v.member(tags, "$.tag")) & listed.isNull(),
+            "tags.tag: no list": listed.isNull() & ~v.is_blank(v.member(tags, "$.tag")),
             "tags.tag: tag without name": F.exists(names, lambda name: name.isNull()),
         },
     )
@@ -94,35 +111,41 @@ def _deezer() -> SourceMap:
 
 def _musicbrainz() -> SourceMap:
     rating, tags = F.col("rating"), F.col("tags")
-    stars = v.member(rating, "$.value")
-    no_stars = v.is_blank(stars)
-    scaled = (F.try_variant_get(stars, "$", "double") * 20).try_cast("bigint")
-    votes, bad_votes = v.count_or_zero(v.member(rating, "$['votes-count']"))
-    listed = v.items(tags)
-    weighed = F.transform(
-        listed,
-        lambda tag, position: F.struct(
-            (-F.coalesce(v.whole(tag, "$.count"), F.lit(0))).alias("weight"),
-            position.alias("position"),
-            v.text(tag, "$.name").alias("name"),
-        ),
-    )
-    # Position breaks ties, so equal counts keep the order of the source.
-    names = F.transform(
-        F.slice(F.array_sort(weighed), 1, MAX_TAGS), lambda tag: tag["name"]
-    )
+    listed, scaled = F.col("_listed"), F.col("_scaled")
+    no_stars = v.is_blank(F.col("_stars"))
+    votes, bad_votes = v.count_or_zero(F.col("_votes"))
+
+    # Largest count first; the position breaks ties, so equal counts keep the
+    # order of the source.
+    def weighed(tag: Column, position: Column) -> Column:
+        weight = -F.coalesce(v.whole(tag, "$.count"), F.lit(0))
+        return F.struct(weight, position, v.text(tag, "$.name").alias("name"))
+
+    best = F.slice(F.array_sort(F.transform(listed, weighed)), 1, MAX_TAGS)
+    names = F.col("_best.name")
     null_count = F.exists(listed, lambda tag: F.is_variant_null(v.member(tag, "$.count")))
     return SourceMap(
+        parts=[
+            {
+                "_stars": v.member(rating, "$.value"),
+                "_votes": v.member(rating, "$['votes-count']"),
+                "_listed": v.items(tags),
+            },
+            {
+                "_scaled": (F.try_variant_get("_stars", "$", "double") * 20).try_cast("bigint"),
+                "_best": best,
+            },
+        ],
         entity_id=v.identifier(F.col("id")),
         score=F.when(no_stars, F.lit(0)).otherwise(scaled),
         reach=votes,
         tags=join_or_null(names),
         broken={
             "rating: no object": v.not_an_object(rating),
-            "rating.value: no number": ~no_stars & scaled.isNull(),
+            "rating.value: no number": scaled.isNull() & ~no_stars,
             "rating.votes-count: no count": bad_votes,
-            "tags: no list": ~v.is_blank(tags) & listed.isNull(),
-            "tags: null count": null_count & (F.array_size(listed) > 1),
+            "tags: no list": listed.isNull() & ~v.is_blank(tags),
+            "tags: null count": (F.array_size(listed) > 1) & null_count,
             "tags: tag without name": F.exists(names, lambda name: name.isNull()),
         },
     )
@@ -164,14 +187,18 @@ def _theaudiodb() -> SourceMap:
 
 
 def _itunes() -> SourceMap:
-    return SourceMap(
-        entity_id=v.identifier(F.col("artistId")), tags=F.col("primaryGenreName")
-    )
+    return SourceMap(entity_id=v.identifier(F.col("artistId")), tags=F.col("primaryGenreName"))
 
 
 def _wikidata() -> SourceMap:
+    labels = F.col("genre_labels")
     return SourceMap(
-        entity_id=v.identifier(F.col("id")), tags=first_tags(F.col("genre_labels"))
+        parts=[
+            {"_listed": v.items(labels)},
+            {"_names": first_names(F.col("_listed"))},
+        ],
+        entity_id=v.identifier(F.col("id")),
+        tags=tags_or_text(labels, F.col("_listed"), F.col("_names")),
     )
 
 
@@ -213,9 +240,14 @@ def _map(raw: DataFrame, source: str, snapshot_date) -> DataFrame:
         F.col("reject_reason").isNotNull(),
         F.coalesce(F.col(CORRUPT), F.to_json(F.struct(*fields))),
     )
-    return raw.withColumn("reject_reason", reason).select(
-        *columns, mapping.id_rule.alias("id_rule"), "reject_reason", record.alias("record")
-    )
+    staged = raw
+    for part in mapping.parts:
+        staged = staged.withColumns(dict(part))
+    judged = staged.withColumn("reject_reason", reason)
+    # inline keeps the row as worked out here. A later filter on the reason
+    # would otherwise be pushed below and work out everything a second time.
+    row = F.struct(*columns, mapping.id_rule.alias("id_rule"), "reject_reason", record.alias("record"))
+    return judged.select(F.inline(F.array(row)))
 
 
 def normalize_all(

@@ -32,15 +32,23 @@ def _running(df: DataFrame, group: list[str], order: str, suffix: str) -> DataFr
     )
 
 
+def _ranked_rows(metrics: DataFrame) -> DataFrame:
+    """The rows that take part: metric present and positive."""
+    return metrics.where(F.col("signal").isNotNull() & F.col("value").isNotNull() & (F.col("value") > 0))
+
+
 def value_ranks(metrics: DataFrame) -> DataFrame:
-    """(signal, value, percentile, signal_rank) for every distinct value.
+    """(signal, value, percentile, signal_rank) for every distinct positive value.
 
     ``percentile`` is the share of the other rows that lie strictly below,
     0.0 for a lone row. ``signal_rank`` is the dense rank, largest value first.
     """
-    value = F.col("value")
+    # Never null, so that all three levels share one plan below the first
+    # shuffle and Spark runs it once.
+    value = F.coalesce(F.col("value"), F.lit(0))
     values = (
-        metrics.groupBy("signal", "value")
+        _ranked_rows(metrics)
+        .groupBy("signal", "value")
         .agg(F.count("*").alias("n_rows"))
         .select(
             "signal",
@@ -90,8 +98,7 @@ def rank_signals(metrics: DataFrame) -> DataFrame:
     Input is (entity_name, signal, value). The join back is one row per value
     on the right; a crowded value is split by the adaptive skew join.
     """
-    positive = metrics.where(F.col("value") > 0)
-    return positive.join(value_ranks(positive), ["signal", "value"])
+    return _ranked_rows(metrics).join(value_ranks(metrics), ["signal", "value"])
 
 
 def signal_percentile(metrics: DataFrame) -> DataFrame:

@@ -94,7 +94,7 @@ def source_gap(
     their ranks gathered into a list, so no list is built for an entity that
     is not shown.
     """
-    metrics = metric_rows(facts, signals).where(F.col("value") > 0)
+    metrics = metric_rows(facts, signals)
     detail = F.concat("signal", F.lit("="), F.col("signal_rank").cast("string"))
     details = F.sort_array(F.collect_list(detail)).alias("rank_details")
     summary = [

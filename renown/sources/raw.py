@@ -76,10 +76,14 @@ def scan_raw(spark: SparkSession, root: str, source: str, snapshot_date=None) ->
 
 
 def parse_raw(payloads: DataFrame, source: str, column: str = "payload") -> DataFrame:
-    """The same typed columns from JSON text already in a table."""
+    """The same typed columns from JSON text already in a table.
+
+    ``inline`` keeps the parse in an operator of its own. As a plain projection
+    it would be merged into the mappers and repeated for every field they read.
+    """
     parsed = F.from_json(
         column,
         raw_schema(source),
         {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT},
     )
-    return payloads.select(parsed.alias("record")).select("record.*")
+    return payloads.select(F.inline(F.array(parsed)))
