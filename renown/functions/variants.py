@@ -31,6 +31,11 @@ def items(value: Column, path: str = "$") -> Column:
     return F.try_variant_get(value, path, "array<variant>")
 
 
+def records(value: Column, fields: str, path: str = "$") -> Column:
+    """The elements of an array as structs; an element without fields is null."""
+    return F.try_variant_get(value, path, f"array<struct<{fields}>>")
+
+
 def is_blank(value: Column) -> Column:
     """Absent, null or the empty string."""
     return F.coalesce(text(value), F.lit("")) == ""

@@ -31,16 +31,16 @@ def ordered_labels(
     is never longer than the id list of one record. ``labels`` has one row per
     ``id``; an id many records share is split by the adaptive skew join.
     """
-    looked_up = F.slice(F.col(ids), 1, max_ids)
-    wanted = F.transform(
-        F.col(ids), lambda one: F.when(F.array_contains(looked_up, one), one)
-    )
+    listed = F.col(ids)
+    looked_up = F.slice(listed, 1, max_ids)
+    repeated = F.transform(listed, lambda one: F.when(F.array_contains(looked_up, one), one))
+    wanted = F.when(F.array_size(listed) <= max_ids, listed).otherwise(repeated)
     positions = records.select(key, F.posexplode(wanted).alias("position", "id")).where(
         F.col("id").isNotNull()
     )
     found = positions.join(labels.where(F.col("label") != ""), "id")
     return (
         found.groupBy(key)
-        .agg(F.array_sort(F.collect_list(F.struct("position", "label"))).alias("pairs"))
+        .agg(F.sort_array(F.collect_list(F.struct("position", "label"))).alias("pairs"))
         .select(key, F.col("pairs.label").alias("labels"))
     )

@@ -78,9 +78,9 @@ def _lastfm() -> SourceMap:
                 "_mbid": v.text(F.col("mbid")),
                 "_listeners": v.member(stats, "$.listeners"),
                 "_playcount": v.member(stats, "$.playcount"),
-                "_listed": v.items(tags, "$.tag"),
+                "_listed": v.records(tags, "name:string", "$.tag"),
             },
-            {"_names": F.transform(F.slice(listed, 1, MAX_TAGS), lambda t: v.text(t, "$.name"))},
+            {"_names": F.slice(listed, 1, MAX_TAGS)["name"]},
         ],
         entity_id=F.col("_mbid"),
         id_rule=F.when(no_id, F.lit(COMPACT_NAME)),
@@ -118,18 +118,18 @@ def _musicbrainz() -> SourceMap:
     # Largest count first; the position breaks ties, so equal counts keep the
     # order of the source.
     def weighed(tag: Column, position: Column) -> Column:
-        weight = -F.coalesce(v.whole(tag, "$.count"), F.lit(0))
-        return F.struct(weight, position, v.text(tag, "$.name").alias("name"))
+        weight = -F.coalesce(v.whole(tag["count"]), F.lit(0))
+        return F.struct(weight, position, tag["name"].alias("name"))
 
-    best = F.slice(F.array_sort(F.transform(listed, weighed)), 1, MAX_TAGS)
+    best = F.slice(F.sort_array(F.transform(listed, weighed)), 1, MAX_TAGS)
     names = F.col("_best.name")
-    null_count = F.exists(listed, lambda tag: F.is_variant_null(v.member(tag, "$.count")))
+    null_count = F.exists(listed, lambda tag: F.is_variant_null(tag["count"]))
     return SourceMap(
         parts=[
             {
                 "_stars": v.member(rating, "$.value"),
                 "_votes": v.member(rating, "$['votes-count']"),
-                "_listed": v.items(tags),
+                "_listed": v.records(tags, "name:string,count:variant"),
             },
             {
                 "_scaled": (F.try_variant_get("_stars", "$", "double") * 20).try_cast("bigint"),
