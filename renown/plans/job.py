@@ -16,7 +16,7 @@ from renown.operators.snapshot import enabled_only
 from renown.plans.queries import all_queries
 from renown.session import work_dir
 from renown.sources.dims import entity_dim
-from renown.sources.raw import scan_raw
+from renown.sources.raw import of_source, raw_lines
 from renown.sources.snapshots import latest_date, replace_snapshots, scan_snapshots
 
 MODES = ("full", "query", "validate")
@@ -48,7 +48,8 @@ def ingest_snapshot(
     The raw JSON is parsed once: the mapped rows are written to a work table in
     the shared folder, split by outcome, and both sinks read their part from there.
     """
-    raw = {s: scan_raw(spark, raw_root, s, snapshot_date) for s in enabled_sources(specs)}
+    lines = raw_lines(spark, raw_root)
+    raw = {s: of_source(lines, s, snapshot_date) for s in enabled_sources(specs)}
     normalized = normalize_all(raw, snapshot_date, dim)
     staged_at = f"{work_dir(spark)}/normalized"
     outcome = F.col("reject_reason").isNotNull().alias("is_rejected")

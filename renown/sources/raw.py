@@ -1,4 +1,8 @@
-"""Raw source records: landing as JSON Lines and typed scans."""
+"""Raw source records: landing as JSON Lines and typed scans.
+
+Broken text never fails a job: a field that does not fit is null or VARIANT,
+and a line that is no record keeps its text in a column of its own.
+"""
 
 from __future__ import annotations
 
@@ -57,33 +61,46 @@ def land_raw(payloads: DataFrame, root: str) -> None:
     )
 
 
-def scan_raw(spark: SparkSession, root: str, source: str, snapshot_date=None) -> DataFrame:
-    """Typed scan of one landed source; a broken line keeps its text in CORRUPT.
+def raw_lines(spark: SparkSession, root: str) -> DataFrame:
+    """All landed lines as (payload, source, snapshot_date); filters prune folders.
 
-    Source and date prune folders. A source that was not landed gives no rows.
+    Share it between sources, so that the folders are listed once.
     """
-    folders = [T.StructField("source", T.StringType()), T.StructField("snapshot_date", T.DateType())]
-    records = (
-        spark.read.schema(T.StructType(raw_schema(source).fields + folders))
-        .option("mode", "PERMISSIVE")
-        .option("columnNameOfCorruptRecord", CORRUPT)
-        .json(root)
-        .where(F.col("source") == source)
-    )
+    lines = spark.read.schema("value STRING, source STRING, snapshot_date DATE").text(root)
+    return lines.withColumnRenamed("value", "payload")
+
+
+def of_source(lines: DataFrame, source: str, snapshot_date=None) -> DataFrame:
+    """Typed records of one source; a source that was not landed gives no rows."""
+    wanted = lines.where(F.col("source") == source)
     if snapshot_date is not None:
-        records = records.where(F.col("snapshot_date") == F.lit(snapshot_date).cast("date"))
-    return records.drop("source", "snapshot_date")
+        wanted = wanted.where(F.col("snapshot_date") == F.lit(snapshot_date).cast("date"))
+    return parse_raw(wanted.where(F.trim("payload") != ""), source)
+
+
+def scan_raw(spark: SparkSession, root: str, source: str, snapshot_date=None) -> DataFrame:
+    """Typed scan of one landed source."""
+    return of_source(raw_lines(spark, root), source, snapshot_date)
 
 
 def parse_raw(payloads: DataFrame, source: str, column: str = "payload") -> DataFrame:
-    """The same typed columns from JSON text already in a table.
+    """Typed columns from JSON text; text that is no record is kept in CORRUPT.
 
     ``inline`` keeps the parse in an operator of its own. As a plain projection
     it would be merged into the mappers and repeated for every field they read.
     """
+    schema = raw_schema(source)
     parsed = F.from_json(
-        column,
-        raw_schema(source),
-        {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT},
+        column, schema, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
+    )
+    unreadable = F.struct(
+        *[
+            (
+                F.coalesce(F.col(column), F.lit("")) if f.name == CORRUPT
+                else F.lit(None).cast(f.dataType)
+            ).alias(f.name)
+            for f in schema.fields
+        ]
     )
-    return payloads.select(F.inline(F.array(parsed)))
+    record = F.coalesce(F.when(F.trim(column) != "null", parsed), unreadable)
+    return payloads.select(F.inline(F.array(record)))

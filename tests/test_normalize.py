@@ -209,6 +209,14 @@ def test_nothing_is_lost(spark):
     }
 
 
+def test_text_that_is_no_record_is_rejected(spark):
+    lines = ["null", "", "[1]", '"text"', '{"name": "a"} trailing', '{"name": "fine"}']
+    done = normalize_source(raw(spark, "itunes", *lines), "itunes", DAY)
+    assert [r.entity_name for r in accepted(done).collect()][-1] == "fine"
+    bad = {r.record for r in rejected(done).collect()}
+    assert {"null", "", "[1]", '"text"'} <= bad
+
+
 def test_schemas_are_declared_for_all_sources():
     assert len(RAW_SOURCES) == 9
     assert all("source_artist_name" in raw_schema(s).fieldNames() for s in RAW_SOURCES)
