@@ -27,13 +27,13 @@ def canonicalize_names(
 ) -> DataFrame:
     """Replace ``entity_name`` by the configured spelling with the same key.
 
-    Without a match the name stays; a null or empty name becomes ``unknown``
-    (or null when ``unknown`` is None). Spark broadcasts ``dim`` only when its
+    Without a match the name stays; a null or empty name becomes ``unknown``,
+    or stays as well when ``unknown`` is None. Spark broadcasts ``dim`` only when its
     size is below the session's threshold; a larger one is joined by shuffle,
     and the adaptive skew join splits a name that holds most of the rows.
     """
-    own = non_blank(F.col("entity_name"))
-    fallback = own if unknown is None else F.coalesce(own, F.lit(unknown))
+    own = F.col("entity_name")
+    fallback = own if unknown is None else F.coalesce(non_blank(own), F.lit(unknown))
     if dim is None:
         return df.withColumn("entity_name", fallback)
     names = dim.select(

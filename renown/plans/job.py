@@ -56,12 +56,14 @@ def ingest_snapshot(
     normalized.select("*", outcome).write.partitionBy("is_rejected").parquet(staged_at)
     staged = spark.read.schema(normalized.schema.add("is_rejected", "boolean")).parquet(staged_at)
     replace_snapshots(accepted(staged.where(~F.col("is_rejected"))), store_root)
+    # The date's folder is replaced as a whole, so a clean rerun empties it.
     (
         rejected(staged.where("is_rejected"))
+        .drop("snapshot_date")
         .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("snapshot_date", "source")
-        .json(quarantine_root)
+        .option("partitionOverwriteMode", "static")
+        .partitionBy("source")
+        .json(f"{quarantine_root.rstrip('/')}/snapshot_date={snapshot_date}")
     )
 
 

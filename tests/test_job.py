@@ -96,9 +96,11 @@ def test_full_run_then_queries_and_gate(spark, tmp_path):
 
     again = run(spark, "validate", entities=entities, profile_of="x", store_root=where["store_root"])
     assert again.queries == {}
-    # A rerun of the same day changes nothing.
+    # A clean rerun of the same day keeps the facts and empties the quarantine.
+    landed(spark, where["raw_root"])
     run(spark, "full", entities=entities, profile_of="x", snapshot_date=DAY, **where)
     assert scan_snapshots(spark, where["store_root"]).count() == 24
+    assert spark.read.schema("record string").json(where["quarantine_root"]).count() == 0
 
 
 def test_gate_raises_unless_skipped(spark, tmp_path):

@@ -54,7 +54,7 @@ def test_unknown_and_missing_names(spark):
         None: "Unknown",
         "東京": "東京",
     }
-    assert canonical(spark, ["", None, "x"], unknown=None) == {"": None, None: None, "x": "x"}
+    assert canonical(spark, ["", None, "x"], unknown=None) == {"": "", None: None, "x": "x"}
     assert canonical(spark, ["TOOL", None], configured=None) == {"TOOL": "TOOL", None: "Unknown"}
 
 

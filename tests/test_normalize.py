@@ -3,8 +3,6 @@
 import datetime
 import json
 
-import pytest
-
 from renown.operators.normalize import accepted, normalize_all, normalize_source, rejected
 from renown.sources.dims import entity_dim, entity_list
 from renown.sources.raw import parse_raw, raw_schema, RAW_SOURCES
@@ -17,20 +15,25 @@ def raw(spark, source, *records):
     return parse_raw(spark.createDataFrame([(line,) for line in lines], "payload string"), source)
 
 
-def one(spark, source, record):
-    """The fact row of one record as a dict, or its reject reason as text."""
-    done = normalize_source(raw(spark, source, {"name": "A B", **record}), source, DAY).first()
-    return done.reject_reason or done.asDict()
+def outcomes(spark, source, records, *columns):
+    """Per record, in order, the named fact columns or the reject reason."""
+    named = [{"name": "A B", **record} for record in records]
+    rows = normalize_source(raw(spark, source, *named).coalesce(1), source, DAY).collect()
+    return [r.reject_reason or tuple(r[c] for c in columns) for r in rows]
+
+
+def check(spark, source, cases, *columns):
+    records = [record for record, _ in cases]
+    found = outcomes(spark, source, records, *columns)
+    assert list(zip(records, found)) == cases
 
 
 def values(spark, source, record, *columns):
-    row = one(spark, source, record)
-    return row if isinstance(row, str) else tuple(row[c] for c in columns)
+    return outcomes(spark, source, [record], *columns)[0]
 
 
-@pytest.mark.parametrize(
-    "record, expected",
-    [
+def test_counted(spark):
+    cases = [
         ({"nb_fan": 5}, 5),
         ({"nb_fan": "5"}, 5),
         ({"nb_fan": 5.9}, 5),
@@ -40,16 +43,13 @@ def values(spark, source, record, *columns):
         ({"nb_fan": ""}, "nb_fan: no count"),
         ({"nb_fan": "12.5"}, "nb_fan: no count"),
         ({"nb_fan": {"n": 1}}, "nb_fan: no count"),
-    ],
-)
-def test_counted(spark, record, expected):
-    got = values(spark, "deezer", record, "reach", "score")
-    assert got == (expected if isinstance(expected, str) else (expected, expected))
+    ]
+    doubled = [(r, want if isinstance(want, str) else (want, want)) for r, want in cases]
+    check(spark, "deezer", doubled, "reach", "score")
 
 
-@pytest.mark.parametrize(
-    "record, expected",
-    [
+def test_spotify(spark):
+    cases = [
         ({"id": "x", "followers": {"total": 3}, "popularity": "7"}, ("x", 7, 3)),
         ({"id": 399}, ("399", None, None)),
         ({"followers": {}, "popularity": ""}, ("", None, None)),
@@ -57,15 +57,12 @@ def test_counted(spark, record, expected):
         ({"followers": None}, "followers: no object"),
         ({"followers": "many"}, "followers: no object"),
         ({"popularity": "12.5"}, "popularity: no count"),
-    ],
-)
-def test_spotify(spark, record, expected):
-    assert values(spark, "spotify", record, "entity_id", "score", "reach") == expected
+    ]
+    check(spark, "spotify", cases, "entity_id", "score", "reach")
 
 
-@pytest.mark.parametrize(
-    "genres, expected",
-    [
+def test_tag_lists(spark):
+    cases = [
         (["a", "", "b", "c", "d", "e"], "a, b, c, d"),
         ([{"name": "a"}, "b", {"x": 1}], "a, b"),
         (["", ""], None),
@@ -73,20 +70,17 @@ def test_spotify(spark, record, expected):
         (None, None),
         ("plain", "plain"),
         ("", None),
-    ],
-)
-def test_tag_lists(spark, genres, expected):
-    assert values(spark, "spotify", {"genres": genres}, "tags") == (expected,)
-    assert values(spark, "wikidata", {"genre_labels": genres}, "tags") == (expected,)
+    ]
+    check(spark, "spotify", [({"genres": g}, (want,)) for g, want in cases], "tags")
+    check(spark, "wikidata", [({"genre_labels": g}, (want,)) for g, want in cases], "tags")
 
 
 def tag(*names):
     return {"tags": {"tag": [{"name": n} for n in names]}}
 
 
-@pytest.mark.parametrize(
-    "record, expected",
-    [
+def test_lastfm(spark):
+    cases = [
         ({"mbid": "m", "stats": {"listeners": "4", "playcount": 9}}, ("m", 4, 9, None)),
         ({"mbid": ""}, ("ab", 0, 0, None)),
         ({"mbid": None, "stats": {"playcount": 9}}, ("ab", 0, 9, None)),
@@ -102,15 +96,12 @@ def tag(*names):
         ({"tags": {"tag": {"name": "a"}}}, "tags.tag: no list"),
         (tag("a", None), "tags.tag: tag without name"),
         ({"tags": {"tag": [{"url": "a"}]}}, "tags.tag: tag without name"),
-    ],
-)
-def test_lastfm(spark, record, expected):
-    assert values(spark, "lastfm", record, "entity_id", "reach", "volume", "tags") == expected
+    ]
+    check(spark, "lastfm", cases, "entity_id", "reach", "volume", "tags")
 
 
-@pytest.mark.parametrize(
-    "record, expected",
-    [
+def test_musicbrainz(spark):
+    cases = [
         ({"rating": {"value": 4.55, "votes-count": 7}}, (91, 7, None)),
         ({"rating": {"value": "4.99", "votes-count": "7"}}, (99, 7, None)),
         ({"rating": {"value": None, "votes-count": None}}, (0, 0, None)),
@@ -129,28 +120,22 @@ def test_lastfm(spark, record, expected):
         ({"rating": None}, "rating: no object"),
         ({"rating": {"value": "high"}}, "rating.value: no number"),
         ({"rating": {"votes-count": "1.5"}}, "rating.votes-count: no count"),
-    ],
-)
-def test_musicbrainz(spark, record, expected):
-    assert values(spark, "musicbrainz", record, "score", "reach", "tags") == expected
+    ]
+    check(spark, "musicbrainz", cases, "score", "reach", "tags")
 
 
-@pytest.mark.parametrize(
-    "record, expected",
-    [
+def test_listenbrainz(spark):
+    cases = [
         ({"total_listen_count": 5, "listeners": ["a", {"b": 1}]}, (5, 2, 5)),
         ({"total_listen_count": None, "listeners": []}, (None, None, None)),
         ({"total_listen_count": "", "listeners": None}, (None, None, None)),
         ({"total_listen_count": "5x"}, "total_listen_count: no count"),
-    ],
-)
-def test_listenbrainz(spark, record, expected):
-    assert values(spark, "listenbrainz", record, "score", "reach", "volume") == expected
+    ]
+    check(spark, "listenbrainz", cases, "score", "reach", "volume")
 
 
-@pytest.mark.parametrize(
-    "record, expected",
-    [
+def test_wikimedia(spark):
+    cases = [
         (
             {"page_title": "T", "latest_month_views": 2, "total_window_views": "9"},
             ("T", 2, 2, 9),
@@ -158,11 +143,8 @@ def test_listenbrainz(spark, record, expected):
         ({}, ("A B", None, None, None)),
         ({"page_title": None, "latest_month_views": ""}, (None, None, None, None)),
         ({"total_window_views": "x"}, "total_window_views: no count"),
-    ],
-)
-def test_wikimedia(spark, record, expected):
-    columns = ("entity_id", "score", "reach", "volume")
-    assert values(spark, "wikimedia", record, *columns) == expected
+    ]
+    check(spark, "wikimedia", cases, "entity_id", "score", "reach", "volume")
 
 
 def test_metadata_sources(spark):
