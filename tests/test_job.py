@@ -3,7 +3,8 @@ import json
 
 import pytest
 
-from renown.operators.signals import metric_rows
+from renown.operators.checks import validation_report
+from renown.operators.signals import metric_rows, metric_signals
 from renown.plans import queries as q
 from renown.plans.job import QualityGateError, run
 from renown.model import FACT_SCHEMA, SIGNALS, SOURCES
@@ -154,6 +155,12 @@ def test_plans_prune_and_combine_early(spark, tmp_path):
     health = plan(q.health_summary(latest))
     assert "PartitionFilters: [isnotnull(snapshot_date" in health
     assert "ReadSchema: struct<source:string>" in health
+
+    def scans(df):
+        return df._jdf.queryExecution().optimizedPlan().toString().count("] parquet")
+
+    assert scans(metric_signals(latest)) == 1
+    assert scans(validation_report(facts, entity_list(spark, ["a"]), as_of=DAY)) == 2
     reach = plan(q.composite_reach(latest))
     assert "Window.partitionBy" not in reach and "WindowGroupLimit" not in reach
     assert "ReadSchema: struct<entity_name:string,source:string,score:bigint,reach:bigint,volume:bigint>" in reach
