@@ -1,10 +1,57 @@
-"""A training corpus from raw documents: four filters, then token ids."""
+"""A training corpus from raw documents: four filters, then token ids.
+
+Toxic documents, later copies, near copies and documents that hold benchmark
+items go; what is left is tokenised. The plan is one table per stage, each
+written where all executors read it.
+"""
 
 from __future__ import annotations
 
-STAGES = []
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from renown.llm import bpe, decontaminate, exact_dedup, near_dedup, toxicity
+from renown.llm.frames import Stage, table
+from renown.llm.queries import vocabulary_path
+
+
+def without_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return toxicity.without_toxic(docs, table(spark, sf_dir, "labels"))
+
+
+def first_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return exact_dedup.keep_first_copies(docs)
+
+
+def one_of_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return near_dedup.keep_one_of_each(docs)
+
+
+def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return decontaminate.without_benchmark(docs, table(spark, sf_dir, "benchmark"))
+
+
+def token_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """``doc_id, n_tokens, ids`` of every document that is left."""
+    coded = bpe.encode(docs, vocabulary_path())
+    return coded.select("doc_id", F.floor(F.octet_length("ids") / 4).cast("long").alias("n_tokens"), "ids")
+
+
+STAGES = [
+    ("toxicity", without_toxic),
+    ("exact_dedup", first_copies),
+    ("near_dedup", one_of_near_copies),
+    ("decontamination", without_benchmark),
+    ("bpe", token_ids),
+]
+
+#: Learned scores and sketches have no SQL; tests hold the stages against plain Python.
 ORACLE_SQL = None
 
 
-def run(spark, sf_dir):
-    raise NotImplementedError
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages over ``documents``."""
+    docs, store = table(spark, sf_dir, "documents"), Stage(spark)
+    for _, stage in STAGES[:-1]:
+        docs = store.keep(stage(spark, docs, sf_dir))
+    return STAGES[-1][1](spark, docs, sf_dir)

@@ -5,10 +5,37 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from renown.llm import decontaminate, exact_dedup, secrets
+from renown.llm import bpe, decontaminate, exact_dedup, near_dedup, secrets, toxicity
 from renown.llm.frames import table
 
 
+def vocabulary_path(name: str = "byte_bpe_50k.json") -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def op1_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token ids of every document and the text they stand for, as digests."""
+    coded = bpe.encode(table(spark, sf_dir, "documents"), vocabulary_path())
+    return bpe.decode(coded, vocabulary_path()).select(
+        "doc_id",
+        F.floor(F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
+        F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2("text", 256).alias("decoded_sha256"),
+    )
+
+
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of every document, learned from two thirds of the labels."""
+    return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op4_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The class of near copies of every document."""
+    return near_dedup.near_classes(table(spark, sf_dir, "documents"))
+
+
 def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Which row of equal texts stays, for every document."""
     return exact_dedup.exact_groups(table(spark, sf_dir, "documents"))
@@ -33,7 +60,7 @@ def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 LLM_QUERIES = {
     f.__name__: f
-    for f in (op6_exact_dedup, op7_secret_scan, op9_decontamination)
+    for f in (op1_bpe, op2_toxicity, op4_near_dedup, op6_exact_dedup, op7_secret_scan, op9_decontamination)
 }
 
 LLM_ORACLES = {
