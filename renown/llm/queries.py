@@ -5,7 +5,18 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from renown.llm import bpe, decontaminate, exact_dedup, near_dedup, secrets, toxicity
+from renown.llm import (
+    bpe,
+    decontaminate,
+    exact_dedup,
+    html_text,
+    language_id,
+    lm,
+    near_dedup,
+    packing,
+    secrets,
+    toxicity,
+)
 from renown.llm.frames import table
 
 
@@ -31,11 +42,24 @@ def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The language of every document, learned from four fifths of those with one."""
+    docs = table(spark, sf_dir, "documents")
+    model = language_id.fit(docs, vocabulary_path("byte_bpe_multi_50k.tiktoken"))
+    return language_id.identify(docs, model)
+
+
 def op4_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The class of near copies of every document."""
     return near_dedup.near_classes(table(spark, sf_dir, "documents"))
 
 
+def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents as packed sequences of token ids."""
+    coded = bpe.encode(table(spark, sf_dir, "documents"), vocabulary_path())
+    return packing.pack(coded)
+
+
 def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Which row of equal texts stays, for every document."""
     return exact_dedup.exact_groups(table(spark, sf_dir, "documents"))
@@ -51,6 +75,11 @@ def op7_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Unigram and log-bilinear log probabilities of every document."""
+    return lm.score(table(spark, sf_dir, "documents"))
+
+
 def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every benchmark item inside a document, with its exact containment."""
     return decontaminate.contained_items(
@@ -58,9 +87,27 @@ def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op10_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The main text of every page."""
+    found = html_text.extract(table(spark, sf_dir, "pages").select("page_id", "url", "html"))
+    text = F.col("main_text")
+    return found.select("page_id", "url", text.alias("text"), F.length(text).cast("long").alias("n_chars"))
+
+
 LLM_QUERIES = {
     f.__name__: f
-    for f in (op1_bpe, op2_toxicity, op4_near_dedup, op6_exact_dedup, op7_secret_scan, op9_decontamination)
+    for f in (
+        op1_bpe,
+        op2_toxicity,
+        op3_language_id,
+        op4_near_dedup,
+        op5_packing,
+        op6_exact_dedup,
+        op7_secret_scan,
+        op8_lm_scores,
+        op9_decontamination,
+        op10_html_text,
+    )
 }
 
 LLM_ORACLES = {
