@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from renown.llm import bpe, decontaminate, exact_dedup, near_dedup, toxicity
-from renown.llm.frames import Stage, table
+from renown.llm.frames import Stage, ship, table
 from renown.llm.queries import vocabulary_path
 
 
@@ -51,6 +51,7 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over ``documents``."""
+    ship(spark)
     docs, store = table(spark, sf_dir, "documents"), Stage(spark)
     for _, stage in STAGES[:-1]:
         docs = store.keep(stage(spark, docs, sf_dir))

@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import shutil
+import tempfile
+from pathlib import Path
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -59,3 +63,12 @@ BROADCAST_ROWS = 2_000_000
 def small(df: DataFrame, limit: int = BROADCAST_ROWS) -> DataFrame:
     """A stored table of a few numbers per row, marked for broadcast if its row count is within ``limit``."""
     return F.broadcast(df) if df.count() <= limit else df
+
+
+def ship(spark: SparkSession) -> None:
+    """Hand this package to the workers, wherever the driver found it; once per context."""
+    context = spark.sparkContext
+    package = Path(__file__).resolve().parent.parent
+    if not any(f.endswith("/renown.zip") for f in context.listFiles):
+        packed = shutil.make_archive(f"{tempfile.mkdtemp()}/renown", "zip", package.parent, package.name)
+        context.addPyFile(packed)

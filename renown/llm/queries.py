@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import wraps
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -17,7 +19,7 @@ from renown.llm import (
     secrets,
     toxicity,
 )
-from renown.llm.frames import table
+from renown.llm.frames import ship, table
 
 
 def vocabulary_path(name: str = "byte_bpe_50k.json") -> str:
@@ -94,8 +96,19 @@ def op10_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("page_id", "url", text.alias("text"), F.length(text).cast("long").alias("n_chars"))
 
 
+def shipped(query):
+    """The query, with this package sent to the workers first."""
+
+    @wraps(query)
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        ship(spark)
+        return query(spark, sf_dir)
+
+    return run
+
+
 LLM_QUERIES = {
-    f.__name__: f
+    f.__name__: shipped(f)
     for f in (
         op1_bpe,
         op2_toxicity,

@@ -1,7 +1,7 @@
 """Toxicity scores by a factorization machine over hashed terms.
 
-Terms are words and the beginnings of words, hashed to ``2 ** bits`` buckets.
-Besides a weight each bucket has a short vector; the product of two vectors is
+Terms are words and the beginnings of words, hashed to ``2 ** BITS`` buckets, and
+whether a text has them once, twice or three times. Besides a weight each bucket has a short vector; the product of two vectors is
 the weight of their meeting in one text, which a sum of single weights cannot learn.
 """
 
@@ -19,41 +19,56 @@ from renown.llm.hashing import Sums, U, blocks, parts
 
 BITS = 20
 #: Bytes of a word that count as its beginning.
-BEGINNINGS = (4, 5)
+BEGINNINGS = (4, 5, 6, 7)
+#: A term gives a feature for each number of times up to this.
+TIMES = 3
 REJECTED = 0.7
 
 
-def term_buckets(texts: list[str | None], bits: int = BITS):
+def term_buckets(texts: list[str | None]):
     """Text numbers and buckets of all terms, block by block; a text may run on in the next block."""
     for raw, owner, start, end in blocks(texts):
         sums = Sums(raw)
         found = [(owner, sums.hash(start, end))]
         for n in BEGINNINGS:
-            long = end - start > n
+            long = end - start >= n
             found.append((owner[long], sums.hash(start[long], start[long] + n) ^ U(n)))
         yield (
             np.concatenate([o for o, _ in found]),
-            (np.concatenate([h for _, h in found]) >> U(64 - bits)).astype(np.int64),
+            (np.concatenate([h for _, h in found]) >> U(64 - BITS)).astype(np.int64),
         )
 
 
+def features(texts: list[str | None], wanted: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """Text numbers and features (bucket times ``TIMES``, plus times less one), of ``wanted`` buckets only if given."""
+    pairs = [np.zeros(0, np.int64)]
+    for owner, bucket in term_buckets(texts):
+        if wanted is not None:
+            hit = wanted[bucket]
+            owner, bucket = owner[hit], bucket[hit]
+        pairs.append(owner << BITS | bucket)
+    pair, count = np.unique(np.concatenate(pairs), return_counts=True)
+    count = np.minimum(count, TIMES)
+    each = np.repeat(pair, count)
+    times = np.arange(len(each)) - np.repeat(np.cumsum(count) - count, count)
+    return each >> BITS, (each & ((1 << BITS) - 1)) * TIMES + times
+
+
 @dataclass(frozen=True)
 class FactorizationMachine:
-    buckets: np.ndarray  # of the terms that have weights
+    terms: np.ndarray  # the features that have weights, in order
     bias: float
     weights: np.ndarray
     vectors: np.ndarray
 
     def scores(self, texts: list[str | None]) -> np.ndarray:
         """Probability of the label for each text; a text without known terms has that of the bias."""
-        slot = np.full(1 << BITS, -1, np.int32)
-        slot[self.buckets] = np.arange(len(self.buckets))
-        pairs = [np.zeros(0, np.int64)]
-        for owner, bucket in term_buckets(texts):
-            known = slot[bucket]
-            hit = known >= 0
-            pairs.append(np.unique(owner[hit] * len(self.buckets) + known[hit]))
-        owner, term = np.divmod(np.unique(np.concatenate(pairs)), max(1, len(self.buckets)))
+        wanted = np.zeros(1 << BITS, bool)
+        wanted[self.terms // TIMES] = True
+        owner, feature = features(texts, wanted)
+        term = np.searchsorted(self.terms, feature)
+        known = np.append(self.terms, -1)[term] == feature
+        owner, term = owner[known], term[known]
         n = len(texts)
         linear = np.bincount(owner, self.weights[term], n)
         pairwise = np.zeros(n)
@@ -62,7 +77,7 @@ class FactorizationMachine:
         return 1 / (1 + np.exp(-np.clip(self.bias + linear + pairwise / 2, -40, 40)))
 
 
-def train(x: np.ndarray, y: np.ndarray, buckets: np.ndarray, factors: int = 8, epochs: int = 30) -> FactorizationMachine:
+def train(x: np.ndarray, y: np.ndarray, terms: np.ndarray, factors: int = 8, epochs: int = 40) -> FactorizationMachine:
     """Logistic loss, AdaGrad steps on mini-batches; ``x`` is 0/1 (rows by terms), seeds are fixed."""
     rng = np.random.default_rng(7)
     n, k = x.shape
@@ -85,7 +100,7 @@ def train(x: np.ndarray, y: np.ndarray, buckets: np.ndarray, factors: int = 8, e
             bias -= 0.1 * db / np.sqrt(gb)
             w -= 0.1 * dw / np.sqrt(gw)
             v -= 0.02 * dv / np.sqrt(gv)
-    return FactorizationMachine(buckets, float(bias), w, v)
+    return FactorizationMachine(terms, float(bias), w, v)
 
 
 def fit(
@@ -114,18 +129,16 @@ def fit(
     told = F.broadcast(store.keep(told))  # at most max_rows rows
     rows = docs.select(F.col(id_col).alias("_id"), text_of(text_col).alias("text")).join(told, "_id")
 
-    def terms(batches):
-        for ids, texts, ys in parts(batches, ("_id", "text", "y")):
-            found = [set() for _ in texts]
-            for owner, bucket in term_buckets(texts):
-                for o, b in zip(owner.tolist(), bucket.tolist()):
-                    found[o].add(b)
+    def found_terms(batches):
+        for ids, texts, ys in parts(batches, ("_id", "text", "y"), 128):
+            owner, feature = features(texts)
+            found = np.split(feature, np.searchsorted(owner, np.arange(1, len(texts))))
             yield pa.RecordBatch.from_arrays(
-                [pa.array(ys, pa.int32()), pa.array([sorted(f) for f in found], pa.list_(pa.int32()))],
+                [pa.array(ys, pa.int32()), pa.array(found, pa.list_(pa.int32()))],
                 ["y", "terms"],
             )
 
-    seen = store.keep(rows.mapInArrow(terms, "y int, terms array<int>"))
+    seen = store.keep(rows.mapInArrow(found_terms, "y int, terms array<int>"))
     n, positive = seen.agg(F.count("*"), F.coalesce(F.sum("y"), F.lit(0))).first()
     if not n:
         return FactorizationMachine(np.zeros(0, np.int64), 0.0, np.zeros(0), np.zeros((0, 1)))
@@ -135,14 +148,14 @@ def fit(
     # a z-score of the two shares, smoothed so that rare terms need a clear lead
     spread = F.sqrt((F.col("a") + F.col("b") + 2) / F.lit(float(n)))
     chosen = counts.where("a + b >= 2").select("term", (F.abs(share[0] - share[1]) / spread).alias("z"))
-    buckets = sorted(r.term for r in chosen.orderBy(F.desc("z"), "term").limit(max_terms).collect())
-    wanted = F.array(*map(F.lit, buckets)).cast("array<int>")
+    terms = sorted(r.term for r in chosen.orderBy(F.desc("z"), "term").limit(max_terms).collect())
+    wanted = F.array(*map(F.lit, terms)).cast("array<int>")
     sample = seen.select("y", F.array_intersect("terms", wanted).alias("terms")).toPandas()
-    x = np.zeros((len(sample), len(buckets)), np.uint8)
+    x = np.zeros((len(sample), len(terms)), np.uint8)
     for i, terms_of in enumerate(sample["terms"]):
-        x[i, np.searchsorted(buckets, terms_of)] = 1
+        x[i, np.searchsorted(terms, terms_of)] = 1
     order = np.lexsort((*x.T[:16], x.sum(1), sample["y"]))  # the same order whatever the partitions
-    return train(x[order], sample["y"].to_numpy(float)[order], np.array(buckets, np.int64))
+    return train(x[order], sample["y"].to_numpy(float)[order], np.array(terms, np.int64))
 
 
 def score_column(model: FactorizationMachine, text_col: str = "text"):
