@@ -23,7 +23,7 @@ SIMILARITY = 0.8
 BANDS, ROWS = 32, 4
 MASK = (1 << 64) - 1
 #: Members up to which a bucket compares the classes it holds pair by pair.
-SMALL_BUCKET = 24
+SMALL_BUCKET = 32
 
 
 def weighted_shingles(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -167,29 +167,35 @@ def _promising(pairs: DataFrame, sketch: DataFrame, least: float) -> DataFrame:
     return with_a.select("a", "b", "ra", "rb").mapInArrow(run, "a long, b long, share double")
 
 
-def components(store: Stage, nodes: DataFrame, edges: DataFrame) -> DataFrame:
-    """``doc_id, class``: the smallest id that a document is linked with, however far.
+def components(store: Stage, edges: DataFrame) -> DataFrame:
+    """``doc_id, class`` of all ends of edges: the smallest id that a document is linked with, however far.
 
     Each round takes the least class of a document and of its neighbours, and
     then the class of that class; rounds end when nothing changes.
     """
     both = store.keep(edges.select("a", "b").union(edges.select("b", "a")).distinct())
-    label = store.keep(nodes.select("doc_id", F.col("doc_id").alias("class")))
-    if both.isEmpty():
-        return label
-    while True:
+    label = both.groupBy("a").agg(F.min("b").alias("least"))
+    label = store.keep(label.select(F.col("a").alias("doc_id"), F.least("a", "least").alias("class")))
+    changed = not label.isEmpty()
+    while changed:
         near = both.join(label, both["b"] == label["doc_id"]).groupBy("a").agg(F.min("class").alias("best"))
-        hooked = label.join(near, label["doc_id"] == near["a"], "left").select(
+        hooked = label.join(near, label["doc_id"] == near["a"]).select(
             "doc_id", F.col("class").alias("old"), F.least("class", "best").alias("class")
         )
         hooked = store.keep(hooked)
         above = hooked.select(F.col("doc_id").alias("class"), F.col("class").alias("over"))
         jumped = hooked.join(above, "class").select("doc_id", "old", F.least("class", "over").alias("class"))
         jumped = store.keep(jumped)
-        changed = jumped.where("old <> class").limit(1).count()
+        changed = not jumped.where("old <> class").isEmpty()
         label = jumped.select("doc_id", "class")
-        if not changed:
-            return label
+    return label
+
+
+def _classed(rows: DataFrame, label: DataFrame, key: str = "doc_id", name: str = "class") -> DataFrame:
+    """``rows`` with the class of ``key``, a document without links being its own."""
+    of = label.toDF("_of", "_class")
+    found = rows.join(of, rows[key] == of["_of"], "left")
+    return found.withColumn(name, F.coalesce("_class", key)).drop("_of", "_class")
 
 
 def near_classes(
@@ -211,7 +217,7 @@ def near_classes(
     counts once per row. Rows without an id are left out. Empty in, empty out.
 
     A pair at 0.8 misses all bands with a probability of 5e-8. In a
-    bucket all members meet its smallest one, which is linear; buckets that then still
+    bucket all members meet its head, which is linear; buckets that then still
     hold several classes compare these pair by pair if they are small, and are
     otherwise parted further by each other band.
     """
@@ -222,49 +228,36 @@ def near_classes(
     ids = reps.select(F.col("rep").alias("doc_id"))
     # one row per representative, whichever of several rows with its id
     nodes = store.keep(worded.join(ids, "doc_id", "left_semi").dropDuplicates(["doc_id"]))
-    label = nodes.select("doc_id", F.col("doc_id").alias("class"))
-    edges = None
-    tried = None
-    texts = None
-    buckets = nodes.select("doc_id", F.explode("bands").alias("bucket"))
-    buckets = store.keep(_shared(buckets))
-    least = threshold - 0.25
-    depth = 1
-    while not buckets.isEmpty():
-        # every member with the smallest of its bucket
-        heads = store.keep(buckets.groupBy("bucket").agg(F.min("doc_id").alias("b")))
-        pairs = buckets.join(heads, "bucket").select(F.col("doc_id").alias("a"), "b")
-        pairs = pairs.where("a <> b").distinct()
-        edges, tried, texts, label = _link(
-            store, docs, id_col, text_col, nodes, pairs, edges, tried, texts, label, least, threshold
-        )
-        # buckets that hold several classes still
-        classed = buckets.join(label, "doc_id")
-        mixed = classed.groupBy("bucket").agg(
-            F.min("class").alias("low"), F.max("class").alias("high"), F.count("*").alias("size")
-        ).where("low < high")
-        mixed = store.keep(mixed.select("bucket", "size"))
-        if mixed.isEmpty():
+    links = _Links(store, docs, id_col, text_col, nodes, threshold)
+    rows_of = nodes.select("doc_id", F.explode("bands").alias("band"))
+    buckets = rows_of.select("doc_id", F.xxhash64("band").alias("bucket"), F.array("band").alias("used"))
+    for _ in range(bands):
+        buckets, heads = _shared(store, buckets)
+        if heads.isEmpty():
             break
+        # every member with the head of its bucket
+        pairs = buckets.join(heads, "bucket").select(F.col("doc_id").alias("a"), F.col("head").alias("b"))
+        links.add(pairs.where("a <> b").distinct())
+        # what buckets that hold several classes still hide
+        classed = store.keep(_classed(buckets, links.label))
+        mixed = classed.groupBy("bucket").agg(F.min("class").alias("low"), F.max("class").alias("high"))
+        mixed = mixed.where("low < high").join(heads.select("bucket", "size"), "bucket")
+        mixed = store.keep(mixed.select("bucket", "size"))
         open_rows = store.keep(classed.join(mixed, "bucket"))
         few = open_rows.where(F.col("size") <= SMALL_BUCKET).select("bucket", "doc_id", "class")
         other = few.select("bucket", F.col("doc_id").alias("b"), F.col("class").alias("class_b"))
         pairs = few.join(other, "bucket").where("class < class_b").select(
             F.greatest("doc_id", "b").alias("a"), F.least("doc_id", "b").alias("b")
         )
-        edges, tried, texts, label = _link(
-            store, docs, id_col, text_col, nodes, pairs.distinct(), edges, tried, texts, label, least, threshold
-        )
-        many = open_rows.where(F.col("size") > SMALL_BUCKET).select("bucket", "doc_id")
-        if depth == bands or many.isEmpty():
-            break
-        finer = many.join(nodes.select("doc_id", "bands"), "doc_id").select(
-            "doc_id", "bucket", F.explode("bands").alias("band")
-        )
-        finer = finer.where("bucket <> band").select("doc_id", F.xxhash64("bucket", "band").alias("bucket"))
-        buckets = store.keep(_shared(finer.distinct()))
-        depth += 1
-    by_key = store.keep(reps.join(label, reps["rep"] == label["doc_id"]).select("k1", "k2", "class"))
+        links.add(pairs.distinct())
+        many = open_rows.where(F.col("size") > SMALL_BUCKET).select("bucket", "doc_id", "used")
+        finer = many.join(rows_of, "doc_id").where(~F.array_contains("used", F.col("band")))
+        buckets = finer.select(
+            "doc_id",
+            F.col("bucket").bitwiseXOR(F.xxhash64("band")).alias("bucket"),
+            F.concat("used", F.array("band")).alias("used"),
+        ).dropDuplicates(["bucket", "doc_id"])
+    by_key = store.keep(_classed(reps, links.label, "rep").select("k1", "k2", "class"))
     lone = sketch.where(F.size("bands") == 0).select("doc_id", F.col("doc_id").alias("class_id"))
     found = worded.select("doc_id", "k1", "k2").join(by_key, ["k1", "k2"])
     every = store.keep(found.select("doc_id", F.col("class").alias("class_id")).union(lone))
@@ -272,43 +265,62 @@ def near_classes(
     return every.join(sizes, "class_id").select("doc_id", "class_id", "class_size")
 
 
-def _shared(buckets: DataFrame) -> DataFrame:
-    """Rows of buckets that have two members or more."""
-    several = buckets.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1").select("bucket")
-    return buckets.join(several, "bucket", "left_semi")
-
+def _shared(store: Stage, rows: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """``bucket, doc_id, used`` of the buckets with two members or more, and ``bucket, head, size`` of these.
 
-def _link(store, docs, id_col, text_col, nodes, pairs, edges, tried, texts, label, least, threshold):
-    """Verify what ``pairs`` (``a`` above ``b``) can still tell, and the classes that follow.
-
-    First each document is held against the likeliest of its partners, then
-    against those of the others with which it has no common class by then.
+    The head is the member that shares its buckets with the most others, of
+    several the smallest. Among the variants of one text that is the text they
+    vary, which is linked with all of them even where they are not with each other.
     """
-    if tried is not None:
-        pairs = pairs.join(tried.select("a", "b"), ["a", "b"], "left_anti")
-    open_pairs = store.keep(_promising(pairs, nodes, least))
-    if open_pairs.isEmpty():
-        return edges, tried, texts, label
-    asked = open_pairs.select("a").union(open_pairs.select("b")).distinct()
-    if texts is not None:
-        asked = asked.join(texts.select("doc_id"), asked["a"] == texts["doc_id"], "left_anti")
-    asked = small(store.keep(asked))
-    found = only_ids(docs, asked, id_col)
-    found = found.select(F.col(id_col).cast("long").alias("doc_id"), text_of(text_col).alias("text"))
-    found = store.keep(found.groupBy("doc_id").agg(F.min("text").alias("text")))
-    texts = found if texts is None else texts.union(found)
-    likeliest = open_pairs.groupBy("a").agg(
-        F.max_by("b", F.col("share") - F.col("b") / F.lit(1e18)).alias("b")
-    )
-    tried = open_pairs.select("a", "b") if tried is None else tried.union(open_pairs.select("a", "b"))
-    for chosen in (likeliest, None):
-        if chosen is None:
-            la, lb = label.toDF("a", "class_a"), label.toDF("b", "class_b")
-            chosen = open_pairs.join(la, "a").join(lb, "b").where("class_a <> class_b").select("a", "b")
-        good = store.keep(_verified(chosen, texts, threshold))
-        edges = good if edges is None else edges.union(good)
-        label = components(store, nodes, edges)
-    return edges, tried, texts, label
+    sizes = rows.groupBy("bucket").agg(F.count("*").alias("size")).where("size > 1")
+    shared = store.keep(rows.join(store.keep(sizes), "bucket").select("bucket", "doc_id", "used", "size"))
+    partners = store.keep(shared.groupBy("doc_id").agg(F.sum("size").alias("partners")))
+    ranked = shared.join(partners, "doc_id").groupBy("bucket", "size", "partners")
+    ranked = ranked.agg(F.min("doc_id").alias("head")).groupBy("bucket", "size")
+    heads = ranked.agg(F.max_by("head", "partners").alias("head"))
+    return shared.select("bucket", "doc_id", "used"), store.keep(heads.select("bucket", "head", "size"))
+
+
+class _Links:
+    """Verified links so far, and the classes that follow from them."""
+
+    def __init__(self, store: Stage, docs: DataFrame, id_col: str, text_col: str, nodes: DataFrame, threshold: float):
+        self.store, self.docs, self.nodes, self.threshold = store, docs, nodes, threshold
+        self.id_col, self.text_col = id_col, text_col
+        spark = docs.sparkSession
+        self.edges = self.tried = spark.createDataFrame([], "a long, b long")
+        self.texts = spark.createDataFrame([], "doc_id long, text string")
+        self.label = spark.createDataFrame([], "doc_id long, class long")
+
+    def _apart(self, pairs: DataFrame) -> DataFrame:
+        """The pairs that have no common class."""
+        both = _classed(_classed(pairs, self.label, "a", "class_a"), self.label, "b", "class_b")
+        return both.where("class_a <> class_b").drop("class_a", "class_b")
+
+    def add(self, pairs: DataFrame) -> None:
+        """Verify what ``pairs`` can still tell.
+
+        First each document is held against the likeliest of its partners, then
+        against those of the others with which it has no common class by then. A pair
+        at the threshold has a share of equal registers below ``threshold - 0.25`` with a
+        probability below 1e-10.
+        """
+        store = self.store
+        fresh = self._apart(pairs.join(self.tried, ["a", "b"], "left_anti"))
+        likely = store.keep(_promising(fresh, self.nodes, self.threshold - 0.25))
+        if likely.isEmpty():
+            return
+        self.tried = self.tried.union(likely.select("a", "b"))
+        asked = likely.select(F.col("a").alias("doc_id")).union(likely.select("b")).distinct()
+        asked = small(store.keep(asked.join(self.texts.select("doc_id"), "doc_id", "left_anti")))
+        found = only_ids(self.docs, asked, self.id_col)
+        found = found.select(F.col(self.id_col).cast("long").alias("doc_id"), text_of(self.text_col).alias("text"))
+        self.texts = self.texts.union(store.keep(found.dropDuplicates(["doc_id"])))
+        best = F.max_by("b", F.col("share") - F.col("b") / F.lit(1e18))
+        for first in (True, False):
+            chosen = likely.groupBy("a").agg(best.alias("b")) if first else self._apart(likely).select("a", "b")
+            self.edges = self.edges.union(store.keep(_verified(chosen, self.texts, self.threshold)))
+            self.label = components(store, self.edges)
 
 
 def keep_one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
