@@ -106,23 +106,10 @@ def _sketch(docs: DataFrame, id_col: str, text_col: str, bands: int, rows: int)
     )
 
 
-def similarity(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray]) -> float:
-    """The larger of the Jaccard similarity and the probability Jaccard similarity of two shingle sets."""
-    (sa, wa), (sb, wb) = a, b
-    both, ia, ib = np.intersect1d(sa, sb, assume_unique=True, return_indices=True)
-    if not len(both):
-        return 0.0
-    plain = len(both) / (len(sa) + len(sb) - len(both))
-    if plain >= SIMILARITY or plain < SIMILARITY / 4:
-        return plain
-    # sum over y of max(a_y / a_x, b_y / b_x), by the order of the ratios a_y / b_y
-    x, y = wa[ia], wb[ib]
-    only_a, only_b = wa.sum() - x.sum(), wb.sum() - y.sum()
-    order = np.argsort(x / y)
-    x, y = x[order], y[order]
-    above = x.sum() - np.cumsum(x) + x  # elements whose a over b is at least that of x
-    below = np.cumsum(y) - y
-    return max(plain, float((1 / ((above + only_a) / x + (below + only_b) / y)).sum()))
+def similarity(a: np.ndarray, b: np.ndarray) -> float:
+    """Jaccard similarity of two sets of shingles."""
+    both = len(np.intersect1d(a, b, assume_unique=True))
+    return both / (len(a) + len(b) - both) if both else 0.0
 
 
 def _verified(pairs: DataFrame, texts: DataFrame, threshold: float) -> DataFrame:
@@ -133,14 +120,13 @@ def _verified(pairs: DataFrame, texts: DataFrame, threshold: float) -> DataFrame
     def run(batches):
         last, last_b = None, None
         for a, b, text_a, text_b in parts(batches, ("a", "b", "text_a", "text_b"), 64):
-            owner, shingle, weight = weighted_shingles(text_a)
+            owner, shingle, _ = weighted_shingles(text_a)
             cut = np.searchsorted(owner, np.arange(len(a) + 1))
             good = []
             for i in range(len(a)):
                 if b[i] != last_b:
-                    last_b, last = b[i], weighted_shingles([text_b[i]])[1:]
-                one = slice(cut[i], cut[i + 1])
-                good.append(similarity((shingle[one], weight[one]), last) >= threshold)
+                    last_b, last = b[i], weighted_shingles([text_b[i]])[1]
+                good.append(similarity(shingle[cut[i] : cut[i + 1]], last) >= threshold)
             keep = np.flatnonzero(good)
             yield pa.RecordBatch.from_arrays(
                 [pa.array(np.array(x, np.int64)[keep], pa.int64()) for x in (a, b)], ["a", "b"]
@@ -209,17 +195,17 @@ def near_classes(
     """``doc_id, class_id, class_size`` for every row of ``docs`` with an id.
 
     Two documents are linked when the Jaccard similarity of their sets of five-word
-    shingles, or the probability Jaccard similarity of their weighted sets, is
-    at least ``threshold``; a class is what links connect, its id the smallest
+    shingles is at least ``threshold``; a class is what links connect, its id the smallest
     doc_id. Words are runs of ASCII letters and digits and other characters,
     in lower case. Texts without words (null, empty) have no shingle and are
     classes of their own. Equal sequences of words are one class. A repeated id
     counts once per row. Rows without an id are left out. Empty in, empty out.
 
     A pair at 0.8 misses all bands with a probability of 5e-8. In a
-    bucket all members meet its head, which is linear; buckets that then still
-    hold several classes compare these pair by pair if they are small, and are
-    otherwise parted further by each other band.
+    bucket all members meet its head, which is linear. Buckets that then still
+    hold several classes compare these pair by pair if they are small. In a large
+    one a document goes on only if the shingles that it has in common with documents of other
+    classes leave it a chance of the threshold, which is exact.
     """
     store = Stage(docs.sparkSession)
     sketch = store.keep(_sketch(docs, id_col, text_col, bands, rows))
@@ -229,34 +215,17 @@ def near_classes(
     # one row per representative, whichever of several rows with its id
     nodes = store.keep(worded.join(ids, "doc_id", "left_semi").dropDuplicates(["doc_id"]))
     links = _Links(store, docs, id_col, text_col, nodes, threshold)
-    rows_of = nodes.select("doc_id", F.explode("bands").alias("band"))
-    buckets = rows_of.select("doc_id", F.xxhash64("band").alias("bucket"), F.array("band").alias("used"))
-    for _ in range(bands):
-        buckets, heads = _shared(store, buckets)
-        if heads.isEmpty():
-            break
-        # every member with the head of its bucket
-        pairs = buckets.join(heads, "bucket").select(F.col("doc_id").alias("a"), F.col("head").alias("b"))
-        links.add(pairs.where("a <> b").distinct())
-        # what buckets that hold several classes still hide
-        classed = store.keep(_classed(buckets, links.label))
-        mixed = classed.groupBy("bucket").agg(F.min("class").alias("low"), F.max("class").alias("high"))
-        mixed = mixed.where("low < high").join(heads.select("bucket", "size"), "bucket")
-        mixed = store.keep(mixed.select("bucket", "size"))
-        open_rows = store.keep(classed.join(mixed, "bucket"))
-        few = open_rows.where(F.col("size") <= SMALL_BUCKET).select("bucket", "doc_id", "class")
-        other = few.select("bucket", F.col("doc_id").alias("b"), F.col("class").alias("class_b"))
-        pairs = few.join(other, "bucket").where("class < class_b").select(
-            F.greatest("doc_id", "b").alias("a"), F.least("doc_id", "b").alias("b")
-        )
-        links.add(pairs.distinct())
-        many = open_rows.where(F.col("size") > SMALL_BUCKET).select("bucket", "doc_id", "used")
-        finer = many.join(rows_of, "doc_id").where(~F.array_contains("used", F.col("band")))
-        buckets = finer.select(
-            "doc_id",
-            F.col("bucket").bitwiseXOR(F.xxhash64("band")).alias("bucket"),
-            F.concat("used", F.array("band")).alias("used"),
-        ).dropDuplicates(["bucket", "doc_id"])
+    buckets = nodes.select("doc_id", F.explode("bands").alias("bucket"))
+    buckets, heads = _shared(store, buckets)
+    # every member with the head of its bucket
+    pairs = buckets.join(heads, "bucket").select(F.col("doc_id").alias("a"), F.col("head").alias("b"))
+    links.add(pairs.where("a <> b").distinct())
+    # what small buckets that hold several classes still hide
+    small_ones, _ = _mixed(store, buckets, heads, links.label)
+    links.add(_pairs(small_ones))
+    # and large ones
+    _, large = _mixed(store, buckets, heads, links.label)
+    links.add(_pairs(links.able(large)))
     by_key = store.keep(_classed(reps, links.label, "rep").select("k1", "k2", "class"))
     lone = sketch.where(F.size("bands") == 0).select("doc_id", F.col("doc_id").alias("class_id"))
     found = worded.select("doc_id", "k1", "k2").join(by_key, ["k1", "k2"])
@@ -266,19 +235,36 @@ def near_classes(
 
 
 def _shared(store: Stage, rows: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """``bucket, doc_id, used`` of the buckets with two members or more, and ``bucket, head, size`` of these.
+    """``bucket, doc_id`` of the buckets with two members or more, and ``bucket, head, size`` of these.
 
     The head is the member that shares its buckets with the most others, of
     several the smallest. Among the variants of one text that is the text they
     vary, which is linked with all of them even where they are not with each other.
     """
     sizes = rows.groupBy("bucket").agg(F.count("*").alias("size")).where("size > 1")
-    shared = store.keep(rows.join(store.keep(sizes), "bucket").select("bucket", "doc_id", "used", "size"))
+    shared = store.keep(rows.join(store.keep(sizes), "bucket").select("bucket", "doc_id", "size"))
     partners = store.keep(shared.groupBy("doc_id").agg(F.sum("size").alias("partners")))
     ranked = shared.join(partners, "doc_id").groupBy("bucket", "size", "partners")
     ranked = ranked.agg(F.min("doc_id").alias("head")).groupBy("bucket", "size")
     heads = ranked.agg(F.max_by("head", "partners").alias("head"))
-    return shared.select("bucket", "doc_id", "used"), store.keep(heads.select("bucket", "head", "size"))
+    return shared.select("bucket", "doc_id"), store.keep(heads.select("bucket", "head", "size"))
+
+
+def _mixed(store: Stage, buckets: DataFrame, heads: DataFrame, label: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """``bucket, doc_id, class`` of the small and of the large buckets that hold several classes."""
+    classed = store.keep(_classed(buckets, label))
+    mixed = classed.groupBy("bucket").agg(F.min("class").alias("low"), F.max("class").alias("high"))
+    mixed = mixed.where("low < high").join(heads.select("bucket", "size"), "bucket")
+    rows = store.keep(classed.join(store.keep(mixed.select("bucket", "size")), "bucket"))
+    few = F.col("size") <= SMALL_BUCKET
+    return rows.where(few).drop("size"), rows.where(~few).drop("size")
+
+
+def _pairs(rows: DataFrame) -> DataFrame:
+    """``a, b`` (``a`` above ``b``) of one bucket and of different classes."""
+    other = rows.select("bucket", F.col("doc_id").alias("b"), F.col("class").alias("class_b"))
+    pairs = rows.join(other, "bucket").where("class < class_b")
+    return pairs.select(F.greatest("doc_id", "b").alias("a"), F.least("doc_id", "b").alias("b")).distinct()
 
 
 class _Links:
@@ -297,6 +283,40 @@ class _Links:
         both = _classed(_classed(pairs, self.label, "a", "class_a"), self.label, "b", "class_b")
         return both.where("class_a <> class_b").drop("class_a", "class_b")
 
+    def able(self, rows: DataFrame) -> DataFrame:
+        """The rows of large buckets whose document can have a link to another class in its bucket.
+
+        Of the n shingles of a document, f occur in documents of another class. A
+        partner has m shingles, at least the bucket's least; their intersection has at most f, so their
+        similarity is at most f / (n + m - f).
+        """
+        store, threshold = self.store, self.threshold
+        ids = store.keep(rows.select("doc_id", "class").distinct())
+        found = only_ids(self.docs, small(ids.select("doc_id")), self.id_col)
+        found = found.select(F.col(self.id_col).cast("long").alias("doc_id"), text_of(self.text_col).alias("text"))
+
+        def run(batches):
+            for keys, texts in parts(batches, ("doc_id", "text"), 128):
+                owner, shingle, _ = weighted_shingles(texts)
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array(np.array(keys, np.int64)[owner], pa.int64()),
+                        pa.array(shingle.view(np.int64), pa.int64()),
+                    ],
+                    ["doc_id", "shingle"],
+                )
+
+        each = store.keep(found.mapInArrow(run, "doc_id long, shingle long").join(ids, "doc_id"))
+        common = each.groupBy("shingle").agg(F.min("class").alias("low"), F.max("class").alias("high"))
+        common = store.keep(common.where("low < high").select("shingle"))
+        n = each.groupBy("doc_id").agg(F.count("*").alias("n"))
+        f = each.join(common, "shingle").groupBy("doc_id").agg(F.count("*").alias("f"))
+        told = store.keep(n.join(f, "doc_id"))
+        sized = store.keep(rows.join(told, "doc_id"))
+        least = sized.groupBy("bucket").agg(F.min("n").alias("m"))
+        open_rows = sized.join(least, "bucket").where(F.col("f") >= threshold * (F.col("n") + F.col("m") - F.col("f")))
+        return store.keep(open_rows.select("bucket", "doc_id", "class"))
+
     def add(self, pairs: DataFrame) -> None:
         """Verify what ``pairs`` can still tell.
 
