@@ -23,7 +23,7 @@ SIMILARITY = 0.8
 BANDS, ROWS = 32, 4
 MASK = (1 << 64) - 1
 #: Members up to which a bucket compares the classes it holds pair by pair.
-SMALL_BUCKET = 32
+SMALL_BUCKET = 4
 
 
 def weighted_shingles(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:

@@ -145,15 +145,17 @@ def write_packed(docs: DataFrame, path: str, vocabulary_path: str, rows: int = 6
     """
     packed = pack(bpe.encode(docs, vocabulary_path), **options)
 
+    names = tuple(packed.columns)
+
     def run(batches):
-        for columns in parts(batches, tuple(packed.columns), rows):
+        for columns in parts(batches, names, rows):
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.array([len(columns[0])], pa.int32()),
-                    *(pa.array([list(c)]) .cast(k) for c, k in zip(columns[:4], kinds)),
+                    *(pa.array([list(c)], k) for c, k in zip(columns[:4], kinds)),
                     *(pa.array([b"".join(c)], pa.binary()) for c in columns[4:]),
                 ],
-                ["n_rows", *packed.columns],
+                ["n_rows", *names],
             )
 
     kinds = (
