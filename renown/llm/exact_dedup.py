@@ -52,9 +52,9 @@ def recipes(docs: DataFrame, id_col: str, text_col: str, least: int, most: int,
     )
 
 
-def _ambiguous(made: DataFrame) -> DataFrame:
+def _ambiguous(store: Stage, made: DataFrame) -> DataFrame:
     """Chunks whose identifier another chunk has too, with their rank among these."""
-    chunk = made.select(F.inline("pieces")).distinct()
+    chunk = store.keep(made.select(F.inline("pieces")).distinct())
     shared = chunk.groupBy("id").agg(F.count("*").alias("n")).where("n > 1").select("id")
     alike = chunk.join(shared, "id", "left_semi")
     smaller = alike.select("id", F.col("proof").alias("below"))
@@ -89,7 +89,7 @@ def exact_groups(
     spark = docs.sparkSession
     store = Stage(spark)
     made = recipes(docs, id_col, text_col, least, most, bits)
-    ranks = store.keep(_ambiguous(made))
+    ranks = store.keep(_ambiguous(store, made))
     if ranks.isEmpty():
         listed = made.withColumn("recipe", F.transform("pieces", lambda p: p["id"]))
     else:
