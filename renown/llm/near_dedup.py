@@ -225,7 +225,7 @@ def near_classes(
     links.add(_pairs(small_ones))
     # and large ones
     _, large = _mixed(store, buckets, heads, links.label)
-    links.add(_pairs(links.able(large)))
+    links.add(_pairs(links.able(large), threshold))
     by_key = store.keep(_classed(reps, links.label, "rep").select("k1", "k2", "class"))
     lone = sketch.where(F.size("bands") == 0).select("doc_id", F.col("doc_id").alias("class_id"))
     found = worded.select("doc_id", "k1", "k2").join(by_key, ["k1", "k2"])
@@ -260,10 +260,17 @@ def _mixed(store: Stage, buckets: DataFrame, heads: DataFrame, label: DataFrame)
     return rows.where(few).drop("size"), rows.where(~few).drop("size")
 
 
-def _pairs(rows: DataFrame) -> DataFrame:
-    """``a, b`` (``a`` above ``b``) of one bucket and of different classes."""
-    other = rows.select("bucket", F.col("doc_id").alias("b"), F.col("class").alias("class_b"))
+def _pairs(rows: DataFrame, threshold: float | None = None) -> DataFrame:
+    """``a, b`` (``a`` above ``b``) of one bucket and of different classes.
+
+    With a threshold, ``n`` and ``f`` (as :meth:`_Links.able` has them) bound the similarity of the two.
+    """
+    other = rows.toDF(*[c if c == "bucket" else f"{c}_b" for c in rows.columns])
+    other = other.withColumnRenamed("doc_id_b", "b")
     pairs = rows.join(other, "bucket").where("class < class_b")
+    if threshold is not None:
+        most = F.least("f", "f_b")
+        pairs = pairs.where(most >= F.lit(threshold) * (F.col("n") + F.col("n_b") - most))
     return pairs.select(F.greatest("doc_id", "b").alias("a"), F.least("doc_id", "b").alias("b")).distinct()
 
 
@@ -315,7 +322,7 @@ class _Links:
         sized = store.keep(rows.join(told, "doc_id"))
         least = sized.groupBy("bucket").agg(F.min("n").alias("m"))
         open_rows = sized.join(least, "bucket").where(F.col("f") >= threshold * (F.col("n") + F.col("m") - F.col("f")))
-        return store.keep(open_rows.select("bucket", "doc_id", "class"))
+        return store.keep(open_rows.select("bucket", "doc_id", "class", "n", "f"))
 
     def add(self, pairs: DataFrame) -> None:
         """Verify what ``pairs`` can still tell.
