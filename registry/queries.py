@@ -368,7 +368,7 @@ def _(spark, sf_dir):
         "ELSE o_custkey + i * 17 END) AS ids",
     )
     labels = table(spark, sf_dir, "part").selectExpr("p_partkey AS id", "p_name AS label")
-    return _flat(ordered_labels(records, labels, "o_orderkey"))
+    return _flat(ordered_labels(records, labels, "o_orderkey", max_ids=10))
 
 
 @query("rolling_month_window")

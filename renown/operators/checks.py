@@ -164,7 +164,7 @@ def validation_report(
         *[F.sum(c).alias(c) for c in ("n_rows", "null_keys", "negative", "out_of_bounds", "scored")],
         F.count_if(F.col("n_rows") > 1).alias("duplicates"),
     )
-    wanted = expected.select("entity_name", F.lit(True).alias("is_expected"))
+    wanted = expected.select("entity_name").distinct().withColumn("is_expected", F.lit(True))
     entities = (
         groups.select("entity_name")
         .distinct()

@@ -8,7 +8,6 @@ from pyspark.sql import functions as F
 from renown.functions.variants import items, text
 
 GENRE_PROPERTY = "P136"
-MAX_LABEL_IDS = 10
 
 
 def claim_ids(entity: Column, property_id: str = GENRE_PROPERTY) -> Column:
@@ -22,19 +21,20 @@ def claim_ids(entity: Column, property_id: str = GENRE_PROPERTY) -> Column:
 
 
 def ordered_labels(
-    records: DataFrame, labels: DataFrame, key: str, ids: str = "ids", max_ids: int = MAX_LABEL_IDS
+    records: DataFrame, labels: DataFrame, key: str, ids: str = "ids", max_ids: int | None = None
 ) -> DataFrame:
     """(key, labels): the labels of each record's ids in the order of the ids.
 
-    Only the first ``max_ids`` ids are looked up; ids without a label drop out
+    With ``max_ids`` only the first ids of a record are looked up. Ids without a label drop out
     and a record without any label gives no row. ``key`` is unique, so a group
     is never longer than the id list of one record. ``labels`` has one row per
     ``id``; an id many records share is split by the adaptive skew join.
     """
     listed = F.col(ids)
-    looked_up = F.slice(listed, 1, max_ids)
-    repeated = F.transform(listed, lambda one: F.when(F.array_contains(looked_up, one), one))
-    wanted = F.when(F.array_size(listed) <= max_ids, listed).otherwise(repeated)
+    wanted = listed
+    if max_ids is not None:
+        looked_up = F.slice(listed, 1, max_ids)
+        wanted = F.transform(listed, lambda one: F.when(F.array_contains(looked_up, one), one))
     positions = records.select(key, F.posexplode(wanted).alias("position", "id")).where(
         F.col("id").isNotNull()
     )

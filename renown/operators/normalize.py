@@ -264,7 +264,12 @@ def normalize_all(
         if source in MAPPERS
     ]
     if not mapped:
-        raise ValueError(f"none of the sources is known: {sorted(raw_by_source)}")
+        known = next(iter(raw_by_source.values()), dim)
+        if known is None:
+            raise ValueError("no sources and no entity list to take a session from")
+        none = known.sparkSession.createDataFrame([], FACT_SCHEMA)
+        text = F.lit(None).cast("string")
+        return none.select(*FACT_COLUMNS, text.alias("reject_reason"), text.alias("record"))
     named = canonicalize_names(reduce(DataFrame.unionByName, mapped), dim)
     compact = F.replace(F.lower("entity_name"), F.lit(" "), F.lit(""))
     settled_id = (

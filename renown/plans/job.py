@@ -55,7 +55,7 @@ def ingest_snapshot(
     outcome = F.col("reject_reason").isNotNull().alias("is_rejected")
     normalized.select("*", outcome).write.partitionBy("is_rejected").parquet(staged_at)
     staged = spark.read.schema(normalized.schema.add("is_rejected", "boolean")).parquet(staged_at)
-    replace_snapshots(accepted(staged.where(~F.col("is_rejected"))), store_root)
+    # Quarantine first: a failure in between leaves the old facts, and the reasons at hand.
     # The date's folder is replaced as a whole, so a clean rerun empties it.
     (
         rejected(staged.where("is_rejected"))
@@ -65,6 +65,8 @@ def ingest_snapshot(
         .partitionBy("source")
         .json(f"{quarantine_root.rstrip('/')}/snapshot_date={snapshot_date}")
     )
+    facts = accepted(staged.where(~F.col("is_rejected")))
+    replace_snapshots(facts, store_root, snapshot_date)
 
 
 def load_facts(spark: SparkSession, store_root: str, dim: DataFrame) -> DataFrame:
@@ -86,7 +88,7 @@ def run(
 ) -> Outcome:
     """Run the stages a mode asks for.
 
-    ``full`` stores the landed date first; ``query`` and ``validate`` work on
+    ``full`` stores the landed date first, today if none is named; ``query`` and ``validate`` work on
     what is stored, ``validate`` without the queries. The gate runs unless
     ``skip_validation`` is set and raises QualityGateError when a check fails.
     """
@@ -95,6 +97,8 @@ def run(
     dim = entity_dim(entities)
     sources = enabled_sources(specs)
     if mode == "full":
+        if snapshot_date is None:
+            snapshot_date = spark.sql("SELECT current_date()").first()[0]
         ingest_snapshot(spark, raw_root, store_root, quarantine_root, snapshot_date, dim, specs)
 
     as_of = latest_date(enabled_only(scan_snapshots(spark, store_root), sources))

@@ -227,17 +227,22 @@ def health_summary(facts: DataFrame) -> DataFrame:
 
 
 def all_queries(
-    facts: DataFrame, sources: Iterable[str] | None, profile_of: str, as_of=None
+    facts: DataFrame,
+    sources: Iterable[str] | None,
+    profile_of: str,
+    as_of=None,
+    whole: bool = False,
 ) -> dict[str, DataFrame]:
-    """Publish the view and return the whole suite by name."""
+    """Publish the view and return the whole suite by name; ``whole`` lists are not cut to their top."""
+    top = {"n": None} if whole else {}
     kept = publish_view(facts, sources)
     latest = latest_snapshot(kept, as_of)
     return {
-        "scorecard": scorecard(latest),
-        "composite_reach": composite_reach(latest),
-        "source_gap": source_gap(latest),
-        "tag_reach": tag_reach(latest),
-        "metadata_coverage": metadata_coverage(latest),
+        "scorecard": scorecard(latest, **top),
+        "composite_reach": composite_reach(latest, **top),
+        "source_gap": source_gap(latest, **top),
+        "tag_reach": tag_reach(latest, **top),
+        "metadata_coverage": metadata_coverage(latest, **top),
         "entity_profile": entity_profile(kept, profile_of),
         "health_summary": health_summary(latest),
     }

@@ -45,18 +45,34 @@ def empty_facts(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame([], FACT_SCHEMA)
 
 
-def replace_snapshots(facts: DataFrame, root: str) -> None:
+def replace_snapshots(facts: DataFrame, root: str, only_date=None) -> None:
     """Write facts, replacing every date they contain and no other date.
 
+    With ``only_date`` all facts are of that date, which is replaced even by
+    nothing. A fact without a date fails the write: it has no folder to be found in.
+
     One job for any number of dates. Spark stages the new files and swaps the
     folders only after all tasks have succeeded, so lost executors or a failed
     job leave the old snapshot in place. The rebalance cuts a source that holds
     most of the rows into several files of even size.
     """
+    dated = facts.select(*FACT_COLUMNS).withColumn(
+        "snapshot_date",
+        F.coalesce("snapshot_date", F.raise_error(F.lit("fact without snapshot_date")).cast("date")),
+    )
+    if only_date is not None:
+        (
+            dated.drop("snapshot_date")
+            .hint("rebalance", "source")
+            .sortWithinPartitions("source", "entity_name")
+            .write.mode("overwrite")
+            .option("partitionOverwriteMode", "static")
+            .option("compression", "snappy")
+            .parquet(f"{root.rstrip('/')}/snapshot_date={only_date}")
+        )
+        return
     (
-        facts.select(*FACT_COLUMNS)
-        .where(F.col("snapshot_date").isNotNull())
-        .hint("rebalance", "snapshot_date", "source")
+        dated.hint("rebalance", "snapshot_date", "source")
         .sortWithinPartitions("snapshot_date", "source", "entity_name")
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")

@@ -102,11 +102,13 @@ def test_labels_keep_order_and_look_up_ten_ids(spark):
         (4, []),
     )
     labels = table(spark, "id string, label string", ("blank", ""), *[(q, f"l{q}") for q in ids])
-    found = ordered_labels(records, labels, "key")
+    found = ordered_labels(records, labels, "key", max_ids=10)
     assert rows(found, "key", "labels") == [
         (1, ["lQ3", "lQ1", "lQ3"]),
         (2, [f"lQ{i}" for i in range(10)] + ["lQ2"]),
     ]
+    every = ordered_labels(records, labels, "key").where("key = 2")
+    assert rows(every, "labels") == [([f"lQ{i}" for i in range(10)] + ["lQ11", "lQ2"],)]
 
 
 def test_rolling_window_crosses_the_year(spark):

@@ -121,3 +121,21 @@ def test_raw_landing(spark, tmp_path):
     assert [(r.name, r._corrupt_record) for r in tuesday] == [(None, '{"name": "b"')]
     assert scan_raw(spark, root, "itunes").count() == 1
     assert scan_raw(spark, root, "wikidata").count() == 0
+
+
+def test_a_day_without_facts_ends_empty(spark, tmp_path):
+    root = str(tmp_path / "store")
+    facts = conform(
+        spark.createDataFrame(
+            [("a", "2026-01-01"), ("b", "2026-01-02")], "entity_name string, snapshot_date string"
+        )
+    )
+    replace_snapshots(facts, root)
+    replace_snapshots(facts.limit(0), root, "2026-01-01")
+    assert [r.entity_name for r in scan_snapshots(spark, root).collect()] == ["b"]
+
+
+def test_an_undated_fact_fails(spark, tmp_path):
+    undated = conform(spark.createDataFrame([("a",)], "entity_name string"))
+    with pytest.raises(Exception, match="without snapshot_date"):
+        replace_snapshots(undated, str(tmp_path / "store"))
