@@ -20,10 +20,14 @@ from renown.llm.hashing import BASE, U, mix, parts, shingle_hashes, word_hashes
 
 WORDS = 5
 SIMILARITY = 0.8
-BANDS, ROWS = 32, 4
+BANDS, ROWS = 36, 6
 MASK = (1 << 64) - 1
 #: Members up to which a bucket compares the classes it holds pair by pair.
 SMALL_BUCKET = 4
+#: A pair at the threshold has a share of equal registers that is so much lower with a probability below 1e-7.
+SLACK = 0.15
+#: Members of a large bucket that are compared with as many others in one call.
+BLOCK = 128
 
 
 def weighted_shingles(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -72,7 +76,7 @@ def band_hashes(kept: np.ndarray, bands: int, rows: int) -> np.ndarray:
 
 
 def _sketch(docs: DataFrame, id_col: str, text_col: str, bands: int, rows: int) -> DataFrame:
-    """``doc_id, k1, k2, bands, registers``: the text's identity, band hashes and 16 bits of each register."""
+    """``doc_id, k1, k2, n, bands, registers``: the text's identity, shingles, band hashes and 16 bits of each register."""
     chosen = docs.where(F.col(id_col).isNotNull())
     chosen = chosen.select(F.col(id_col).cast("long").alias("doc_id"), text_of(text_col).alias("text"))
 
@@ -88,21 +92,23 @@ def _sketch(docs: DataFrame, id_col: str, text_col: str, bands: int, rows: int)
                 total = np.zeros(n, U)
                 np.add.at(total, words_of, mix(mix(words + salt) + place * BASE))
                 keys.append(total.view(np.int64))
-            kept = signatures(*weighted_shingles(texts), n, bands * rows)
+            weighted = weighted_shingles(texts)
+            kept = signatures(*weighted, n, bands * rows)
             hashes = band_hashes(kept, bands, rows).view(np.int64)
             empty = starts == np.searchsorted(words_of, np.arange(n), "right")
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.array(ids, pa.int64()),
                     *(pa.array(k, pa.int64()) for k in keys),
+                    pa.array(np.bincount(weighted[0], minlength=n), pa.int64()),
                     pa.array([[] if e else h for h, e in zip(hashes.tolist(), empty)], pa.list_(pa.int64())),
                     pa.array([k.tobytes() for k in (kept & U(0xFFFF)).astype(np.uint16)], pa.binary()),
                 ],
-                ["doc_id", "k1", "k2", "bands", "registers"],
+                ["doc_id", "k1", "k2", "n", "bands", "registers"],
             )
 
     return chosen.mapInArrow(
-        run, "doc_id long, k1 long, k2 long, bands array<long>, registers binary"
+        run, "doc_id long, k1 long, k2 long, n long, bands array<long>, registers binary"
     )
 
 
@@ -201,11 +207,11 @@ def near_classes(
     classes of their own. Equal sequences of words are one class. A repeated id
     counts once per row. Rows without an id are left out. Empty in, empty out.
 
-    A pair at 0.8 misses all bands with a probability of 5e-8. In a
+    A pair at 0.8 misses all bands with a probability of 2e-5. In a
     bucket all members meet its head, which is linear. Buckets that then still
     hold several classes compare these pair by pair if they are small. In a large
-    one a document goes on only if the shingles that it has in common with documents of other
-    classes leave it a chance of the threshold, which is exact.
+    one a document goes on only if the shingles that it does not have for itself alone leave it
+    a chance of the threshold, which is exact; what goes on is compared block by block.
     """
     store = Stage(docs.sparkSession)
     sketch = store.keep(_sketch(docs, id_col, text_col, bands, rows))
@@ -225,7 +231,7 @@ def near_classes(
     links.add(_pairs(small_ones))
     # and large ones
     _, large = _mixed(store, buckets, heads, links.label)
-    links.add(_pairs(links.able(large), threshold))
+    links.try_likely(_near_in_blocks(store, links.able(large), nodes, threshold))
     by_key = store.keep(_classed(reps, links.label, "rep").select("k1", "k2", "class"))
     lone = sketch.where(F.size("bands") == 0).select("doc_id", F.col("doc_id").alias("class_id"))
     found = worded.select("doc_id", "k1", "k2").join(by_key, ["k1", "k2"])
@@ -260,20 +266,57 @@ def _mixed(store: Stage, buckets: DataFrame, heads: DataFrame, label: DataFrame)
     return rows.where(few).drop("size"), rows.where(~few).drop("size")
 
 
-def _pairs(rows: DataFrame, threshold: float | None = None) -> DataFrame:
-    """``a, b`` (``a`` above ``b``) of one bucket and of different classes.
-
-    With a threshold, ``n`` and ``f`` (as :meth:`_Links.able` has them) bound the similarity of the two.
-    """
-    other = rows.toDF(*[c if c == "bucket" else f"{c}_b" for c in rows.columns])
-    other = other.withColumnRenamed("doc_id_b", "b")
+def _pairs(rows: DataFrame) -> DataFrame:
+    """``a, b`` (``a`` above ``b``) of one bucket and of different classes."""
+    other = rows.select("bucket", F.col("doc_id").alias("b"), F.col("class").alias("class_b"))
     pairs = rows.join(other, "bucket").where("class < class_b")
-    if threshold is not None:
-        most = F.least("f", "f_b")
-        pairs = pairs.where(most >= F.lit(threshold) * (F.col("n") + F.col("n_b") - most))
     return pairs.select(F.greatest("doc_id", "b").alias("a"), F.least("doc_id", "b").alias("b")).distinct()
 
 
+def _near_in_blocks(store: Stage, rows: DataFrame, sketch: DataFrame, threshold: float) -> DataFrame:
+    """``a, b, share`` of the likely pairs of one bucket and of different classes.
+
+    ``rows`` are ``bucket, doc_id, class, n, f`` as :meth:`_Links.able` has them. The members of a
+    bucket are dealt into blocks of about ``BLOCK``; two blocks are one row of the join, and their
+    documents meet inside the task, so a pair becomes a row only if its shingles allow the
+    threshold and its registers make it likely.
+    """
+    sizes = rows.groupBy("bucket").agg(
+        F.count("*").alias("size"), F.min("class").alias("low"), F.max("class").alias("high")
+    )
+    sizes = store.keep(sizes.where("low < high").select("bucket", "size"))
+    told = rows.join(sizes, "bucket").join(sketch.select("doc_id", "registers"), "doc_id")
+    block = F.pmod(F.xxhash64("doc_id"), F.ceil(F.col("size") / BLOCK))
+    member = F.struct("doc_id", "class", "n", "f", "registers")
+    blocks = told.groupBy("bucket", block.alias("block")).agg(F.collect_list(member).alias("members"))
+    blocks = store.keep(blocks)
+    other = blocks.toDF("bucket", "block_b", "members_b")
+    both = blocks.join(other, "bucket").where("block <= block_b").select("members", "members_b")
+
+    def columns(members):
+        ids, classes, n, f = (
+            np.array([m[k] for m in members], np.int64) for k in ("doc_id", "class", "n", "f")
+        )
+        registers = np.frombuffer(b"".join(m["registers"] for m in members), np.uint16)
+        return ids, classes, n, f, registers.reshape(len(members), -1)
+
+    def run(batches):
+        for left, right in parts(batches, ("members", "members_b"), 1):
+            (ids, classes, n, f, ra), (ids_b, classes_b, n_b, f_b, rb) = columns(left[0]), columns(right[0])
+            most = np.minimum.outer(f, f_b)
+            open_pairs = (classes[:, None] != classes_b) & (most >= threshold * (np.add.outer(n, n_b) - most))
+            i, j = np.nonzero(open_pairs)
+            share = (ra[i] == rb[j]).mean(1)
+            keep = share >= threshold - SLACK
+            a, b = ids[i[keep]], ids_b[j[keep]]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.maximum(a, b)), pa.array(np.minimum(a, b)), pa.array(share[keep], pa.float64())],
+                ["a", "b", "share"],
+            )
+
+    return both.mapInArrow(run, "a long, b long, share double").dropDuplicates(["a", "b"])
+
+
 class _Links:
     """Verified links so far, and the classes that follow from them."""
 
@@ -291,34 +334,41 @@ class _Links:
         return both.where("class_a <> class_b").drop("class_a", "class_b")
 
     def able(self, rows: DataFrame) -> DataFrame:
-        """The rows of large buckets whose document can have a link to another class in its bucket.
+        """The rows of large buckets whose document can have a link to another class in its bucket, with ``n, f``.
 
-        Of the n shingles of a document, f occur in documents of another class. A
-        partner has m shingles, at least the bucket's least; their intersection has at most f, so their
-        similarity is at most f / (n + m - f).
+        Of the n shingles of a document, f occur in other documents of ``rows``, whatever their
+        class. A partner has m shingles, at least the bucket's least; their intersection
+        has at most f, so their similarity is at most f / (n + m - f).
         """
         store, threshold = self.store, self.threshold
-        ids = store.keep(rows.select("doc_id", "class").distinct())
-        found = only_ids(self.docs, small(ids.select("doc_id")), self.id_col)
+        ids = store.keep(rows.select("doc_id").distinct())
+        found = only_ids(self.docs, small(ids), self.id_col)
         found = found.select(F.col(self.id_col).cast("long").alias("doc_id"), text_of(self.text_col).alias("text"))
 
         def run(batches):
-            for keys, texts in parts(batches, ("doc_id", "text"), 128):
+            for keys, texts in parts(batches, ("doc_id", "text"), 256):
                 owner, shingle, _ = weighted_shingles(texts)
+                key = np.array(keys, np.int64)[owner]
+                order = np.lexsort((key, shingle))
+                shingle, key = shingle[order], key[order]
+                first = np.ones(len(key), bool)
+                first[1:] = shingle[1:] != shingle[:-1]
+                last = np.append(first[1:], True)[: len(key)]
                 yield pa.RecordBatch.from_arrays(
                     [
-                        pa.array(np.array(keys, np.int64)[owner], pa.int64()),
-                        pa.array(shingle.view(np.int64), pa.int64()),
+                        pa.array(shingle[first].view(np.int64), pa.int64()),
+                        pa.array(key[first], pa.int64()),
+                        pa.array(key[last], pa.int64()),
                     ],
-                    ["doc_id", "shingle"],
+                    ["shingle", "low", "high"],
                 )
 
-        each = store.keep(found.mapInArrow(run, "doc_id long, shingle long").join(ids, "doc_id"))
-        common = each.groupBy("shingle").agg(F.min("class").alias("low"), F.max("class").alias("high"))
-        common = store.keep(common.where("low < high").select("shingle"))
-        n = each.groupBy("doc_id").agg(F.count("*").alias("n"))
-        f = each.join(common, "shingle").groupBy("doc_id").agg(F.count("*").alias("f"))
-        told = store.keep(n.join(f, "doc_id"))
+        # a shingle that several documents of a task have is one row by now
+        each = found.dropDuplicates(["doc_id"]).mapInArrow(run, "shingle long, low long, high long")
+        single = each.groupBy("shingle").agg(F.min("low").alias("low"), F.max("high").alias("high"))
+        own = single.where("low = high").groupBy(F.col("low").alias("doc_id")).agg(F.count("*").alias("own"))
+        told = ids.join(self.nodes.select("doc_id", "n"), "doc_id").join(own, "doc_id", "left")
+        told = store.keep(told.select("doc_id", "n", (F.col("n") - F.coalesce("own", F.lit(0))).alias("f")))
         sized = store.keep(rows.join(told, "doc_id"))
         least = sized.groupBy("bucket").agg(F.min("n").alias("m"))
         open_rows = sized.join(least, "bucket").where(F.col("f") >= threshold * (F.col("n") + F.col("m") - F.col("f")))
@@ -328,13 +378,18 @@ class _Links:
         """Verify what ``pairs`` can still tell.
 
         First each document is held against the likeliest of its partners, then
-        against those of the others with which it has no common class by then. A pair
-        at the threshold has a share of equal registers below ``threshold - 0.25`` with a
-        probability below 1e-10.
+        against those of the others with which it has no common class by then.
         """
-        store = self.store
         fresh = self._apart(pairs.join(self.tried, ["a", "b"], "left_anti"))
-        likely = store.keep(_promising(fresh, self.nodes, self.threshold - 0.25))
+        self._try(_promising(fresh, self.nodes, self.threshold - 0.25))
+
+    def try_likely(self, likely: DataFrame) -> None:
+        """The same for ``a, b, share`` of pairs that are likely already."""
+        self._try(likely.join(self.tried, ["a", "b"], "left_anti"))
+
+    def _try(self, likely: DataFrame) -> None:
+        store = self.store
+        likely = store.keep(likely)
         if likely.isEmpty():
             return
         self.tried = self.tried.union(likely.select("a", "b"))
