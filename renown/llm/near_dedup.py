@@ -24,6 +24,7 @@ BANDS, ROWS = 36, 6
 MASK = (1 << 64) - 1
 #: Members up to which a bucket compares the classes it holds pair by pair.
 SMALL_BUCKET = 4
+EDGES_PER_PARTITION = 200_000
 #: A pair at the threshold has a share of equal registers that is so much lower with a probability below 1e-7.
 SLACK = 0.15
 #: Members of a large bucket that are compared with as many others in one call.
@@ -163,26 +164,42 @@ def components(store: Stage, edges: DataFrame) -> DataFrame:
     """``doc_id, class`` of all ends of edges: the smallest id that a document is linked with, however far.
 
     Each round takes the least class of a document and of its neighbours, and
-    then the class of that class; rounds end when nothing changes.
+    then the class of that class; rounds end when nothing changes. The number of
+    partitions follows the number of edges.
     """
     both = store.keep(edges.select("a", "b").union(edges.select("b", "a")).distinct())
+    n = 1 + both.count() // EDGES_PER_PARTITION
+    both = both.coalesce(n)
     label = both.groupBy("a").agg(F.min("b").alias("least"))
-    label = store.keep(label.select(F.col("a").alias("doc_id"), F.least("a", "least").alias("class")))
+    label = store.keep(label.select(F.col("a").alias("doc_id"), F.least("a", "least").alias("class"))).coalesce(n)
     changed = not label.isEmpty()
     while changed:
         near = both.join(label, both["b"] == label["doc_id"]).groupBy("a").agg(F.min("class").alias("best"))
         hooked = label.join(near, label["doc_id"] == near["a"]).select(
             "doc_id", F.col("class").alias("old"), F.least("class", "best").alias("class")
         )
-        hooked = store.keep(hooked)
+        hooked = store.keep(hooked).coalesce(n)
         above = hooked.select(F.col("doc_id").alias("class"), F.col("class").alias("over"))
         jumped = hooked.join(above, "class").select("doc_id", "old", F.least("class", "over").alias("class"))
-        jumped = store.keep(jumped)
+        jumped = store.keep(jumped).coalesce(n)
         changed = not jumped.where("old <> class").isEmpty()
         label = jumped.select("doc_id", "class")
     return label
 
 
+def _merged(store: Stage, label: DataFrame, edges: DataFrame) -> DataFrame:
+    """``label`` after more edges: their ends' classes are linked, and only these are gone through again."""
+    ends = _classed(_classed(edges, label, "a", "class_a"), label, "b", "class_b").where("class_a <> class_b")
+    ends = store.keep(ends.select(F.col("class_a").alias("a"), F.col("class_b").alias("b")))
+    if ends.isEmpty():
+        return label
+    over = components(store, ends).toDF("_old", "_new")
+    moved = label.join(over, label["class"] == over["_old"], "left")
+    moved = moved.select("doc_id", F.coalesce("_new", "class").alias("class"))
+    fresh = over.join(label, over["_old"] == label["doc_id"], "left_anti").toDF("doc_id", "class")
+    return store.keep(moved.union(fresh))
+
+
 def _classed(rows: DataFrame, label: DataFrame, key: str = "doc_id", name: str = "class") -> DataFrame:
     """``rows`` with the class of ``key``, a document without links being its own."""
     of = label.toDF("_of", "_class")
@@ -225,7 +242,7 @@ def near_classes(
     buckets, heads = _shared(store, buckets)
     # every member with the head of its bucket
     pairs = buckets.join(heads, "bucket").select(F.col("doc_id").alias("a"), F.col("head").alias("b"))
-    links.add(pairs.where("a <> b").distinct())
+    links.add(pairs.where("a <> b").distinct(), in_turns=True)
     # what small buckets that hold several classes still hide
     small_ones, _ = _mixed(store, buckets, heads, links.label)
     links.add(_pairs(small_ones))
@@ -324,7 +341,7 @@ class _Links:
         self.store, self.docs, self.nodes, self.threshold = store, docs, nodes, threshold
         self.id_col, self.text_col = id_col, text_col
         spark = docs.sparkSession
-        self.edges = self.tried = spark.createDataFrame([], "a long, b long")
+        self.tried = spark.createDataFrame([], "a long, b long")
         self.texts = spark.createDataFrame([], "doc_id long, text string")
         self.label = spark.createDataFrame([], "doc_id long, class long")
 
@@ -374,20 +391,20 @@ class _Links:
         open_rows = sized.join(least, "bucket").where(F.col("f") >= threshold * (F.col("n") + F.col("m") - F.col("f")))
         return store.keep(open_rows.select("bucket", "doc_id", "class", "n", "f"))
 
-    def add(self, pairs: DataFrame) -> None:
+    def add(self, pairs: DataFrame, in_turns: bool = False) -> None:
         """Verify what ``pairs`` can still tell.
 
-        First each document is held against the likeliest of its partners, then
+        In turns: first each document is held against the likeliest of its partners, then
         against those of the others with which it has no common class by then.
         """
         fresh = self._apart(pairs.join(self.tried, ["a", "b"], "left_anti"))
-        self._try(_promising(fresh, self.nodes, self.threshold - 0.25))
+        self._try(_promising(fresh, self.nodes, self.threshold - 0.25), in_turns)
 
     def try_likely(self, likely: DataFrame) -> None:
         """The same for ``a, b, share`` of pairs that are likely already."""
-        self._try(likely.join(self.tried, ["a", "b"], "left_anti"))
+        self._try(likely.join(self.tried, ["a", "b"], "left_anti"), False)
 
-    def _try(self, likely: DataFrame) -> None:
+    def _try(self, likely: DataFrame, in_turns: bool) -> None:
         store = self.store
         likely = store.keep(likely)
         if likely.isEmpty():
@@ -399,10 +416,10 @@ class _Links:
         found = found.select(F.col(self.id_col).cast("long").alias("doc_id"), text_of(self.text_col).alias("text"))
         self.texts = self.texts.union(store.keep(found.dropDuplicates(["doc_id"])))
         best = F.max_by("b", F.col("share") - F.col("b") / F.lit(1e18))
-        for first in (True, False):
+        for first in (True, False) if in_turns else (False,):
             chosen = likely.groupBy("a").agg(best.alias("b")) if first else self._apart(likely).select("a", "b")
-            self.edges = self.edges.union(store.keep(_verified(chosen, self.texts, self.threshold)))
-            self.label = components(store, self.edges)
+            edges = store.keep(_verified(chosen, self.texts, self.threshold))
+            self.label = _merged(store, self.label, edges)
 
 
 def keep_one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
