@@ -248,7 +248,7 @@ def near_classes(
     links.add(_pairs(small_ones))
     # and large ones
     _, large = _mixed(store, buckets, heads, links.label)
-    links.try_likely(_near_in_blocks(store, links.able(large), nodes, threshold))
+    links.try_likely(_near_in_blocks(store, links.able(large), nodes, threshold, rows))
     by_key = store.keep(_classed(reps, links.label, "rep").select("k1", "k2", "class"))
     lone = sketch.where(F.size("bands") == 0).select("doc_id", F.col("doc_id").alias("class_id"))
     found = worded.select("doc_id", "k1", "k2").join(by_key, ["k1", "k2"])
@@ -290,7 +290,9 @@ def _pairs(rows: DataFrame) -> DataFrame:
     return pairs.select(F.greatest("doc_id", "b").alias("a"), F.least("doc_id", "b").alias("b")).distinct()
 
 
-def _near_in_blocks(store: Stage, rows: DataFrame, sketch: DataFrame, threshold: float) -> DataFrame:
+def _near_in_blocks(
+    store: Stage, rows: DataFrame, sketch: DataFrame, threshold: float, rows_of_band: int
+) -> DataFrame:
     """``a, b, share`` of the likely pairs of one bucket and of different classes.
 
     ``rows`` are ``bucket, doc_id, class, n, f`` as :meth:`_Links.able` has them. The members of a
@@ -323,8 +325,12 @@ def _near_in_blocks(store: Stage, rows: DataFrame, sketch: DataFrame, threshold:
             most = np.minimum.outer(f, f_b)
             open_pairs = (classes[:, None] != classes_b) & (most >= threshold * (np.add.outer(n, n_b) - most))
             i, j = np.nonzero(open_pairs)
-            share = (ra[i] == rb[j]).mean(1)
-            keep = share >= threshold - SLACK
+            equal = ra[i] == rb[j]
+            share = equal.mean(1)
+            # a pair of several buckets is a row of the first alone; all members agree in the bucket's band
+            here = ((ra == ra[0]).all(0) & (rb == ra[0]).all(0)).reshape(-1, rows_of_band).all(1)
+            first = equal.reshape(len(i), -1, rows_of_band).all(2).argmax(1)
+            keep = (share >= threshold - SLACK) & here[first]
             a, b = ids[i[keep]], ids_b[j[keep]]
             yield pa.RecordBatch.from_arrays(
                 [pa.array(np.maximum(a, b)), pa.array(np.minimum(a, b)), pa.array(share[keep], pa.float64())],
