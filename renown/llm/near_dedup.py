@@ -25,10 +25,10 @@ MASK = (1 << 64) - 1
 #: Members up to which a bucket compares the classes it holds pair by pair.
 SMALL_BUCKET = 4
 EDGES_PER_PARTITION = 200_000
-#: A pair at the threshold has a share of equal registers that is so much lower with a probability below 1e-7.
-SLACK = 0.15
-#: Members of a large bucket that are compared with as many others in one call.
-BLOCK = 128
+#: Members of a large bucket, and bytes of their shingles, that are compared with as many others in one call.
+BLOCK, BLOCK_BYTES = 256, 4_000_000
+#: Shingles in the columns of one matrix product.
+TERMS_AT_ONCE = 4096
 
 
 def weighted_shingles(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -248,7 +248,7 @@ def near_classes(
     links.add(_pairs(small_ones))
     # and large ones
     _, large = _mixed(store, buckets, heads, links.label)
-    links.try_likely(_near_in_blocks(store, links.able(large), nodes, threshold, rows))
+    links.add_classes(_linked_classes(store, *links.able(large), threshold))
     by_key = store.keep(_classed(reps, links.label, "rep").select("k1", "k2", "class"))
     lone = sketch.where(F.size("bands") == 0).select("doc_id", F.col("doc_id").alias("class_id"))
     found = worded.select("doc_id", "k1", "k2").join(by_key, ["k1", "k2"])
@@ -290,54 +290,90 @@ def _pairs(rows: DataFrame) -> DataFrame:
     return pairs.select(F.greatest("doc_id", "b").alias("a"), F.least("doc_id", "b").alias("b")).distinct()
 
 
-def _near_in_blocks(
-    store: Stage, rows: DataFrame, sketch: DataFrame, threshold: float, rows_of_band: int
-) -> DataFrame:
-    """``a, b, share`` of the likely pairs of one bucket and of different classes.
+def _linked_classes(store: Stage, rows: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
+    """``a, b`` of the classes that a link inside a bucket connects, enough of them to connect all.
 
-    ``rows`` are ``bucket, doc_id, class, n, f`` as :meth:`_Links.able` has them. The members of a
-    bucket are dealt into blocks of about ``BLOCK``; two blocks are one row of the join, and their
-    documents meet inside the task, so a pair becomes a row only if its shingles allow the
-    threshold and its registers make it likely.
+    ``rows`` are ``bucket, doc_id, class, n`` as :meth:`_Links.able` has them, ``sets`` the shingles
+    per document. Links inside the largest class of a bucket tell nothing, so the members of all other
+    classes are held against all members. Both are dealt into blocks, a pair of blocks
+    is one row of the join and is compared exactly inside its task, which hands on a spanning
+    forest of the classes it has seen.
     """
-    sizes = rows.groupBy("bucket").agg(
-        F.count("*").alias("size"), F.min("class").alias("low"), F.max("class").alias("high")
+    counts = rows.groupBy("bucket", "class").agg(F.count("*").alias("size"))
+    sizes = counts.groupBy("bucket").agg(
+        F.sum("size").alias("size"), F.count("*").alias("classes"), F.max_by("class", "size").alias("largest")
+    )
+    sizes = store.keep(sizes.where("classes > 1"))
+    told = rows.join(sizes.drop("classes"), "bucket").join(sets, "doc_id")
+    weight = store.keep(told.groupBy("bucket").agg(F.sum(F.octet_length("shingles")).alias("bytes")))
+    dealt = told.join(weight, "bucket").withColumn(
+        "blocks", F.greatest(F.ceil(F.col("size") / BLOCK), F.ceil(F.col("bytes") / BLOCK_BYTES))
+    )
+    member = F.struct("class", "n", "shingles")
+    grouped = dealt.groupBy(
+        "bucket", "blocks", F.pmod(F.xxhash64("doc_id"), "blocks").alias("block"), (F.col("class") == F.col("largest")).alias("inner")
+    )
+    grouped = store.keep(grouped.agg(F.collect_list(member).alias("members")))
+    asking = grouped.where(~F.col("inner")).select(
+        "bucket", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("block"), F.col("members").alias("others")
     )
-    sizes = store.keep(sizes.where("low < high").select("bucket", "size"))
-    told = rows.join(sizes, "bucket").join(sketch.select("doc_id", "registers"), "doc_id")
-    block = F.pmod(F.xxhash64("doc_id"), F.ceil(F.col("size") / BLOCK))
-    member = F.struct("doc_id", "class", "n", "f", "registers")
-    blocks = told.groupBy("bucket", block.alias("block")).agg(F.collect_list(member).alias("members"))
-    blocks = store.keep(blocks)
-    other = blocks.toDF("bucket", "block_b", "members_b")
-    both = blocks.join(other, "bucket").where("block <= block_b").select("members", "members_b")
+    both = asking.join(grouped, ["bucket", "block"]).select("others", "members")
 
     def columns(members):
-        ids, classes, n, f = (
-            np.array([m[k] for m in members], np.int64) for k in ("doc_id", "class", "n", "f")
-        )
-        registers = np.frombuffer(b"".join(m["registers"] for m in members), np.uint16)
-        return ids, classes, n, f, registers.reshape(len(members), -1)
+        classes, n = (np.array([m[k] for m in members], np.int64) for k in ("class", "n"))
+        return classes, n, [np.frombuffer(m["shingles"], U) for m in members]
 
     def run(batches):
-        for left, right in parts(batches, ("members", "members_b"), 1):
-            (ids, classes, n, f, ra), (ids_b, classes_b, n_b, f_b, rb) = columns(left[0]), columns(right[0])
-            most = np.minimum.outer(f, f_b)
-            open_pairs = (classes[:, None] != classes_b) & (most >= threshold * (np.add.outer(n, n_b) - most))
-            i, j = np.nonzero(open_pairs)
-            equal = ra[i] == rb[j]
-            share = equal.mean(1)
-            # a pair of several buckets is a row of the first alone; all members agree in the bucket's band
-            here = ((ra == ra[0]).all(0) & (rb == ra[0]).all(0)).reshape(-1, rows_of_band).all(1)
-            first = equal.reshape(len(i), -1, rows_of_band).all(2).argmax(1)
-            keep = (share >= threshold - SLACK) & here[first]
-            a, b = ids[i[keep]], ids_b[j[keep]]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(np.maximum(a, b)), pa.array(np.minimum(a, b)), pa.array(share[keep], pa.float64())],
-                ["a", "b", "share"],
+        for left, right in parts(batches, ("others", "members"), 1):
+            (classes, n, own), (classes_b, n_b, own_b) = columns(left[0]), columns(right[0])
+            both = shared_counts(own, own_b)
+            linked = (classes[:, None] != classes_b) & (both >= threshold * (np.add.outer(n, n_b) - both))
+            i, j = np.nonzero(linked)
+            pairs = np.unique(np.stack([classes[i], classes_b[j]], 1), axis=0)
+            yield pa.RecordBatch.from_pylist(
+                [{"a": int(x), "b": int(y)} for x, y in spanning(pairs.tolist())],
+                pa.schema([("a", pa.int64()), ("b", pa.int64())]),
             )
 
-    return both.mapInArrow(run, "a long, b long, share double").dropDuplicates(["a", "b"])
+    return both.mapInArrow(run, "a long, b long").distinct()
+
+
+def shared_counts(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
+    """How many shingles each set on the left has in common with each on the right."""
+    flat, flat_b = np.concatenate(left), np.concatenate(right)
+    terms = np.intersect1d(flat, flat_b)
+    total = np.zeros((len(left), len(right)))
+    for start in range(0, len(terms), TERMS_AT_ONCE):
+        some = terms[start : start + TERMS_AT_ONCE]
+        holds = []
+        for sets, all_of in ((left, flat), (right, flat_b)):
+            owner = np.repeat(np.arange(len(sets)), [len(x) for x in sets])
+            at = np.minimum(np.searchsorted(some, all_of), len(some) - 1)
+            hit = some[at] == all_of
+            matrix = np.zeros((len(sets), len(some)), np.float32)
+            matrix[owner[hit], at[hit]] = 1
+            holds.append(matrix)
+        total += holds[0] @ holds[1].T
+    return total
+
+
+def spanning(pairs: list[list[int]]) -> list[list[int]]:
+    """Those of ``pairs`` that connect what the ones before leave apart."""
+    above: dict[int, int] = {}
+
+    def top(x: int) -> int:
+        while (up := above.get(x, x)) != x:
+            above[x] = above.get(up, up)
+            x = up
+        return x
+
+    kept = []
+    for pair in pairs:
+        x, y = map(top, pair)
+        if x != y:
+            above[x] = y
+            kept.append(pair)
+    return kept
 
 
 class _Links:
@@ -356,8 +392,10 @@ class _Links:
         both = _classed(_classed(pairs, self.label, "a", "class_a"), self.label, "b", "class_b")
         return both.where("class_a <> class_b").drop("class_a", "class_b")
 
-    def able(self, rows: DataFrame) -> DataFrame:
-        """The rows of large buckets whose document can have a link to another class in its bucket, with ``n, f``.
+    def able(self, rows: DataFrame) -> tuple[DataFrame, DataFrame]:
+        """The rows of large buckets whose document can have a link to another class in its bucket, with ``n``; and sets.
+
+        The second table holds ``doc_id, shingles`` of all documents of ``rows``.
 
         Of the n shingles of a document, f occur in other documents of ``rows``, whatever their
         class. A partner has m shingles, at least the bucket's least; their intersection
@@ -368,10 +406,22 @@ class _Links:
         found = only_ids(self.docs, small(ids), self.id_col)
         found = found.select(F.col(self.id_col).cast("long").alias("doc_id"), text_of(self.text_col).alias("text"))
 
-        def run(batches):
+        def sets_of(batches):
             for keys, texts in parts(batches, ("doc_id", "text"), 256):
                 owner, shingle, _ = weighted_shingles(texts)
-                key = np.array(keys, np.int64)[owner]
+                cut = np.searchsorted(owner, np.arange(len(texts) + 1))
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array(keys, pa.int64()),
+                        pa.array([shingle[x:y].tobytes() for x, y in zip(cut, cut[1:])], pa.binary()),
+                    ],
+                    ["doc_id", "shingles"],
+                )
+
+        def run(batches):
+            for keys, sets in parts(batches, ("doc_id", "shingles"), 256):
+                shingle = np.frombuffer(b"".join(sets), U)
+                key = np.repeat(np.array(keys, np.int64), [len(x) // 8 for x in sets])
                 order = np.lexsort((key, shingle))
                 shingle, key = shingle[order], key[order]
                 first = np.ones(len(key), bool)
@@ -387,7 +437,8 @@ class _Links:
                 )
 
         # a shingle that several documents of a task have is one row by now
-        each = found.dropDuplicates(["doc_id"]).mapInArrow(run, "shingle long, low long, high long")
+        sets = store.keep(found.mapInArrow(sets_of, "doc_id long, shingles binary").dropDuplicates(["doc_id"]))
+        each = sets.mapInArrow(run, "shingle long, low long, high long")
         single = each.groupBy("shingle").agg(F.min("low").alias("low"), F.max("high").alias("high"))
         own = single.where("low = high").groupBy(F.col("low").alias("doc_id")).agg(F.count("*").alias("own"))
         told = ids.join(self.nodes.select("doc_id", "n"), "doc_id").join(own, "doc_id", "left")
@@ -395,7 +446,7 @@ class _Links:
         sized = store.keep(rows.join(told, "doc_id"))
         least = sized.groupBy("bucket").agg(F.min("n").alias("m"))
         open_rows = sized.join(least, "bucket").where(F.col("f") >= threshold * (F.col("n") + F.col("m") - F.col("f")))
-        return store.keep(open_rows.select("bucket", "doc_id", "class", "n", "f"))
+        return store.keep(open_rows.select("bucket", "doc_id", "class", "n")), sets
 
     def add(self, pairs: DataFrame, in_turns: bool = False) -> None:
         """Verify what ``pairs`` can still tell.
@@ -406,9 +457,9 @@ class _Links:
         fresh = self._apart(pairs.join(self.tried, ["a", "b"], "left_anti"))
         self._try(_promising(fresh, self.nodes, self.threshold - 0.25), in_turns)
 
-    def try_likely(self, likely: DataFrame) -> None:
-        """The same for ``a, b, share`` of pairs that are likely already."""
-        self._try(likely.join(self.tried, ["a", "b"], "left_anti"), False)
+    def add_classes(self, pairs: DataFrame) -> None:
+        """Pairs of classes that are known to be linked."""
+        self.label = _merged(self.store, self.label, self.store.keep(pairs))
 
     def _try(self, likely: DataFrame, in_turns: bool) -> None:
         store = self.store
