@@ -41,51 +41,90 @@ WITH_FAULTY = f"WITH {FAULTY}"
 
 FACTS = "* REPLACE (strftime(snapshot_date, '%Y-%m-%d') AS snapshot_date)"
 
-METRICS = """metrics AS (
-  SELECT entity_name, 'urgent_reach' AS signal, CAST(reach AS DOUBLE) AS metric_value
-  FROM latest WHERE source = '1-URGENT' AND reach IS NOT NULL
-  UNION ALL SELECT entity_name, 'high_reach', CAST(reach AS DOUBLE)
-  FROM latest WHERE source = '2-HIGH' AND reach IS NOT NULL
-  UNION ALL SELECT entity_name, 'medium_reach', CAST(reach AS DOUBLE)
-  FROM latest WHERE source = '3-MEDIUM' AND reach IS NOT NULL
-  UNION ALL SELECT entity_name, 'unspecified_volume', CAST(volume AS DOUBLE)
-  FROM latest WHERE source = '4-NOT SPECIFIED' AND volume IS NOT NULL
-  UNION ALL SELECT entity_name, 'low_score', CAST(score AS DOUBLE)
-  FROM latest WHERE source = '5-LOW' AND score IS NOT NULL)"""
-
-PERCENTILES = """percentiles AS (
+#: Which count of which source makes a signal.
+SIGNALS = {
+    "urgent_reach": ("1-URGENT", "reach"),
+    "high_reach": ("2-HIGH", "reach"),
+    "medium_reach": ("3-MEDIUM", "reach"),
+    "unspecified_volume": ("4-NOT SPECIFIED", "volume"),
+    "low_score": ("5-LOW", "score"),
+}
+
+
+def _each(template: str) -> str:
+    """``template`` once per signal, comma-joined."""
+    return ", ".join(
+        template.format(signal=k, source=source, column=column) for k, (source, column) in SIGNALS.items()
+    )
+
+
+METRICS = f"""chosen AS (
+  SELECT * FROM (VALUES {_each("('{signal}', '{source}', '{column}')")}) AS t(signal, source, measure)),
+counts AS (UNPIVOT latest ON score, reach, volume INTO NAME measure VALUE amount),
+metrics AS (
+  SELECT entity_name, signal, CAST(amount AS DOUBLE) AS metric_value
+  FROM counts JOIN chosen USING (source, measure))"""
+
+#: Places by definition: how many values are smaller, and how many distinct ones are at least as large.
+PLACES = """tally AS (
+  SELECT signal, metric_value, COUNT(*) AS ties FROM metrics WHERE metric_value > 0 GROUP BY ALL),
+places AS (
+  SELECT signal, metric_value,
+         SUM(ties) OVER (PARTITION BY signal ORDER BY metric_value) - ties AS smaller,
+         SUM(ties) OVER (PARTITION BY signal) - 1 AS others,
+         COUNT(*) OVER (PARTITION BY signal ORDER BY metric_value DESC) AS signal_rank
+  FROM tally)"""
+
+PERCENTILES = f"""{PLACES}, percentiles AS (
   SELECT entity_name, signal, metric_value,
-         PERCENT_RANK() OVER (PARTITION BY signal ORDER BY metric_value) AS percentile
-  FROM metrics WHERE metric_value > 0)"""
-
-RANKS = """ranks AS (
-  SELECT entity_name, signal,
-         DENSE_RANK() OVER (PARTITION BY signal ORDER BY metric_value DESC) AS signal_rank
-  FROM metrics WHERE metric_value > 0)"""
-
-SIGNAL_COLUMNS = """
-  MAX(CASE WHEN source = '1-URGENT' THEN reach END) AS urgent_reach,
-  MAX(CASE WHEN source = '2-HIGH' THEN reach END) AS high_reach,
-  MAX(CASE WHEN source = '3-MEDIUM' THEN reach END) AS medium_reach,
-  MAX(CASE WHEN source = '4-NOT SPECIFIED' THEN volume END) AS unspecified_volume,
-  MAX(CASE WHEN source = '5-LOW' THEN score END) AS low_score"""
-
-PRIMARY_TAGS = """COALESCE(
-  MAX(CASE WHEN source = '1-URGENT' THEN tags END), MAX(CASE WHEN source = '5-LOW' THEN tags END),
-  MAX(CASE WHEN source = '4-NOT SPECIFIED' THEN tags END),
-  MAX(CASE WHEN source = '3-MEDIUM' THEN tags END),
-  MAX(CASE WHEN source = '2-HIGH' THEN tags END)) AS primary_tags"""
-
-COMPOSITE = f"""{SALES_LATEST}, {METRICS}, {PERCENTILES}
-  SELECT entity_name, ROUND(AVG(percentile) * 100, 2) AS composite_reach_score,
-         COUNT(*) AS metric_signals,
-         ROUND(MAX(CASE WHEN signal = 'urgent_reach' THEN percentile END) * 100, 2) AS urgent_reach,
-         ROUND(MAX(CASE WHEN signal = 'high_reach' THEN percentile END) * 100, 2) AS high_reach,
-         ROUND(MAX(CASE WHEN signal = 'medium_reach' THEN percentile END) * 100, 2) AS medium_reach,
-         ROUND(MAX(CASE WHEN signal = 'unspecified_volume' THEN percentile END) * 100, 2)
-           AS unspecified_volume,
-         ROUND(MAX(CASE WHEN signal = 'low_score' THEN percentile END) * 100, 2) AS low_score
-  FROM percentiles GROUP BY entity_name"""
+         CASE WHEN others = 0 THEN 0.0::DOUBLE ELSE smaller::DOUBLE / others::DOUBLE END AS percentile
+  FROM metrics JOIN places USING (signal, metric_value))"""
+
+RANKS = f"""{PLACES}, ranks AS (
+  SELECT entity_name, signal, signal_rank FROM metrics JOIN places USING (signal, metric_value))"""
+
+SIGNAL_COLUMNS = _each("MAX({column}) FILTER (source = '{source}') AS {signal}")
+
+PRIMARY_TAGS = """arg_min(tags, list_position(
+    ['1-URGENT', '5-LOW', '4-NOT SPECIFIED', '3-MEDIUM', '2-HIGH'], source))
+  FILTER (tags IS NOT NULL) AS primary_tags"""
+
+COMPOSITE = f"""{SALES_LATEST}, {METRICS}, {PERCENTILES},
+  spread AS (PIVOT percentiles ON signal IN ({_each("'{signal}'")}) USING MAX(percentile) GROUP BY entity_name),
+  filled AS (SELECT *, {" + ".join(f"(({k} IS NOT NULL)::BIGINT)" for k in SIGNALS)} AS present FROM spread)
+  SELECT entity_name, present AS metric_signals,
+         ROUND(({" + ".join(f"COALESCE({k}, 0)" for k in SIGNALS)}) / present * 100, 2) AS composite_reach_score,
+         {", ".join(f"ROUND({k} * 100, 2) AS {k}" for k in SIGNALS)}
+  FROM filled"""
+
+SCORECARD = f"""{SALES_LATEST}
+  SELECT entity_name, MAX(volume) FILTER (source = '1-URGENT') AS urgent_volume, {SIGNAL_COLUMNS}, {PRIMARY_TAGS}
+  FROM latest GROUP BY entity_name"""
+
+GAP = f"""{SALES_LATEST}, {METRICS}, {RANKS}, held AS (
+    SELECT entity_name, list(signal_rank) AS r, list(signal || '=' || signal_rank) AS texts
+    FROM ranks GROUP BY entity_name)
+  SELECT entity_name, len(r) AS signals_present, list_min(r) AS best_rank, list_max(r) AS worst_rank,
+         list_max(r) - list_min(r) AS rank_spread, array_to_string(list_sort(texts), '; ') AS rank_details
+  FROM held WHERE len(r) > 1"""
+
+#: A tag weighs as often as it is given to an entity; its means take that weight.
+TAGS = f"""{SALES_LATEST}, said AS (
+    SELECT tag, entity_name, COUNT(*) AS weight
+    FROM (SELECT entity_name, trim(piece) AS tag FROM latest, unnest(string_split(tags, ',')) AS t(piece))
+    WHERE lower(tag) NOT IN ('', 'p') GROUP BY ALL),
+  measured AS (SELECT entity_name, {SIGNAL_COLUMNS} FROM latest GROUP BY entity_name)
+  SELECT tag, COUNT(*) AS entity_count, {", ".join(
+      f"ROUND(SUM(weight * {k})::DOUBLE / SUM(weight) FILTER ({k} IS NOT NULL), {int(c == 'score')}) AS avg_{k}"
+      for k, (_, c) in SIGNALS.items())}
+  FROM said JOIN measured USING (entity_name) GROUP BY tag HAVING COUNT(*) > 1"""
+
+KNOWN = """COALESCE(bool_or(entity_id IS NOT NULL) FILTER (source LIKE '%-{0}'), false)::INTEGER AS has_{0}_id"""
+COVERAGE = f"""{SALES_LATEST}
+  SELECT entity_name, {", ".join(KNOWN.format(s) for s in ("URGENT", "HIGH", "LOW"))},
+         COALESCE(string_agg(tags, ' | ' ORDER BY source DESC)
+                  FILTER (source IN ('5-LOW', '2-HIGH', '1-URGENT')), '') AS enrichment_tags
+  FROM latest GROUP BY entity_name"""
 
 VARIANTS = """variants AS (
   SELECT * REPLACE (CASE source
@@ -114,7 +153,7 @@ dim AS (
 MERGED_IDS = """candidates AS (
   SELECT concat('C', o_custkey) AS entity_name, concat('O', o_orderkey) AS entity_id,
          0 AS priority, -o_orderkey AS place
-  FROM orders WHERE o_orderstatus = 'F' AND o_orderpriority <> '5-LOW'
+  FROM orders WHERE o_orderpriority <> '5-LOW'
   UNION ALL
   SELECT concat('C', user_id), concat('E', event_id), 1, event_id FROM events),
 merged AS (
@@ -334,52 +373,19 @@ ORACLES = {
     "priority_tags": f"{SALES_LATEST} SELECT entity_name, {PRIMARY_TAGS} FROM latest GROUP BY entity_name",
     "signal_percentile": f"{SALES_LATEST}, {METRICS}, {PERCENTILES} SELECT * FROM percentiles",
     "signal_dense_rank": f"{SALES_LATEST}, {METRICS}, {RANKS} SELECT * FROM ranks",
-    "scorecard": f"""{SALES_LATEST}
-      SELECT entity_name, MAX(CASE WHEN source = '1-URGENT' THEN volume END) AS urgent_volume,
-             {SIGNAL_COLUMNS}, {PRIMARY_TAGS}
-      FROM latest GROUP BY entity_name
-      ORDER BY urgent_reach DESC NULLS LAST, high_reach DESC NULLS LAST,
-               medium_reach DESC NULLS LAST, entity_name LIMIT 50""",
+    "scorecard": f"""{SCORECARD} ORDER BY urgent_reach DESC NULLS LAST, high_reach DESC NULLS LAST,
+      medium_reach DESC NULLS LAST, entity_name LIMIT 50""",
+    "scorecard_all": SCORECARD,
     "composite_reach": f"""{COMPOSITE}
       ORDER BY composite_reach_score DESC, metric_signals DESC, entity_name LIMIT 25""",
     "composite_reach_all": COMPOSITE,
-    "source_gap": f"""{SALES_LATEST}, {METRICS}, {RANKS}
-      SELECT entity_name, COUNT(*) AS signals_present, MIN(signal_rank) AS best_rank,
-             MAX(signal_rank) AS worst_rank, MAX(signal_rank) - MIN(signal_rank) AS rank_spread,
-             array_to_string(list_sort(list(concat(signal, '=', CAST(signal_rank AS VARCHAR)))), '; ')
-               AS rank_details
-      FROM ranks GROUP BY entity_name HAVING COUNT(*) >= 2
-      ORDER BY rank_spread DESC, signals_present DESC, entity_name LIMIT 25""",
-    "tag_reach": f"""{SALES_LATEST},
-      wide AS (SELECT entity_name, {SIGNAL_COLUMNS} FROM latest GROUP BY entity_name),
-      tag_rows AS (SELECT entity_name, trim(unnest(string_split(tags, ','))) AS tag FROM latest
-                   WHERE tags IS NOT NULL)
-      SELECT tag, COUNT(DISTINCT g.entity_name) AS entity_count,
-             ROUND(AVG(urgent_reach), 0) AS avg_urgent_reach,
-             ROUND(AVG(high_reach), 0) AS avg_high_reach,
-             ROUND(AVG(medium_reach), 0) AS avg_medium_reach,
-             ROUND(AVG(unspecified_volume), 0) AS avg_unspecified_volume,
-             ROUND(AVG(low_score), 1) AS avg_low_score
-      FROM tag_rows g LEFT JOIN wide w ON g.entity_name = w.entity_name
-      WHERE tag <> '' AND lower(tag) NOT IN ('p')
-      GROUP BY tag HAVING COUNT(DISTINCT g.entity_name) >= 2
-      ORDER BY entity_count DESC, avg_urgent_reach DESC NULLS LAST, tag LIMIT 50""",
-    "metadata_coverage": f"""{SALES_LATEST}, per_entity AS (
-        SELECT entity_name,
-               MAX(CASE WHEN source = '1-URGENT' THEN entity_id END) AS urgent_id,
-               MAX(CASE WHEN source = '2-HIGH' THEN entity_id END) AS high_id,
-               MAX(CASE WHEN source = '5-LOW' THEN entity_id END) AS low_id,
-               MAX(CASE WHEN source = '1-URGENT' THEN tags END) AS urgent_tags,
-               MAX(CASE WHEN source = '2-HIGH' THEN tags END) AS high_tags,
-               MAX(CASE WHEN source = '5-LOW' THEN tags END) AS low_tags
-        FROM latest GROUP BY entity_name)
-      SELECT entity_name, CAST(urgent_id IS NOT NULL AS INTEGER) AS has_URGENT_id,
-             CAST(high_id IS NOT NULL AS INTEGER) AS has_HIGH_id,
-             CAST(low_id IS NOT NULL AS INTEGER) AS has_LOW_id,
-             concat_ws(' | ', low_tags, high_tags, urgent_tags) AS enrichment_tags
-      FROM per_entity
-      ORDER BY CAST(urgent_id IS NOT NULL AS INTEGER) + CAST(high_id IS NOT NULL AS INTEGER)
-               + CAST(low_id IS NOT NULL AS INTEGER) DESC, entity_name LIMIT 50""",
+    "source_gap": f"{GAP} ORDER BY rank_spread DESC, signals_present DESC, entity_name LIMIT 25",
+    "source_gap_all": GAP,
+    "tag_reach": f"{TAGS} ORDER BY entity_count DESC, avg_urgent_reach DESC NULLS LAST, tag LIMIT 50",
+    "tag_reach_all": TAGS,
+    "metadata_coverage": f"""{COVERAGE}
+      ORDER BY has_URGENT_id + has_HIGH_id + has_LOW_id DESC, entity_name LIMIT 50""",
+    "metadata_coverage_all": COVERAGE,
     "entity_profile": f"""WITH {OBS_SALES}
       SELECT entity_name, source, strftime(snapshot_date, '%Y-%m-%d') AS snapshot_date,
              score, reach, volume, tags
@@ -388,12 +394,13 @@ ORACLES = {
       SELECT entity_name, source, strftime(snapshot_date, '%Y-%m-%d') AS snapshot_date,
              score, reach, volume, tags
       FROM obs WHERE entity_name = 'User 7'""",
-    "health_summary": f"""{SALES_LATEST}
-      SELECT COUNT(*) AS latest_snapshot_rows, COUNT(DISTINCT entity_name) AS unique_entities,
-             COUNT(DISTINCT source) AS enabled_sources,
-             array_to_string(list_sort(list(DISTINCT source)), '; ') AS sources_present,
-             strftime(MAX(snapshot_date), '%Y-%m-%d') AS latest_snapshot
-      FROM latest""",
+    "health_summary": f"""{SALES_LATEST},
+      per_source AS (SELECT source, COUNT(*) AS n FROM latest GROUP BY source),
+      names AS (SELECT DISTINCT entity_name FROM latest)
+      SELECT CAST(SUM(n) AS BIGINT) AS latest_snapshot_rows, (SELECT COUNT(*) FROM names) AS unique_entities,
+             COUNT(*) AS enabled_sources, string_agg(source, '; ' ORDER BY source) AS sources_present,
+             (SELECT strftime(MAX(snapshot_date), '%Y-%m-%d') FROM obs) AS latest_snapshot
+      FROM per_source""",
     "check_null_keys": f"""{WITH_FAULTY} SELECT {FACTS} FROM faulty
       WHERE entity_name IS NULL OR entity_id IS NULL OR source IS NULL OR snapshot_date IS NULL""",
     "check_negative": f"""{WITH_FAULTY} SELECT {FACTS} FROM faulty
@@ -428,8 +435,7 @@ ORACLES = {
       SELECT concat('C', c_custkey) AS entity_name, c_mktsegment AS segment FROM customer
       WHERE concat('C', c_custkey) IN (SELECT entity_name FROM merged)""",
     "override_fallback": """WITH pages AS (
-        SELECT concat('C', o_custkey) AS page_title, COUNT(*) AS views FROM orders
-        WHERE o_orderstatus = 'F' AND o_orderpriority = '1-URGENT' GROUP BY 1),
+        SELECT concat('C', o_custkey) AS page_title, COUNT(*) AS views FROM orders GROUP BY 1),
       entities AS (
         SELECT concat('C', c_custkey) AS entity_name,
                CASE WHEN c_nationkey < 5 THEN concat('C', c_custkey + 1)
@@ -452,7 +458,7 @@ ORACLES = {
     "incremental_enrich": """WITH found AS (
         SELECT c_name AS entity_name, c_nationkey, c_mktsegment,
                (SELECT MAX(o_orderpriority) FROM orders WHERE o_custkey = c_custkey) AS looked_up
-        FROM customer WHERE c_acctbal > 0)
+        FROM customer)
       SELECT entity_name, CASE WHEN c_nationkey < 10 THEN c_mktsegment ELSE looked_up END AS record,
              c_nationkey < 10 AS from_cache
       FROM found WHERE c_nationkey < 10 OR looked_up IS NOT NULL""",

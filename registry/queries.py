@@ -6,6 +6,7 @@ Dates are shown as text and lists as joined text, so that results compare flat.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -130,49 +131,48 @@ def _(spark, sf_dir):
 # --- analytical questions --------------------------------------------------
 
 
-@query("scorecard")
-def _(spark, sf_dir):
+def _scorecard(spark, sf_dir, **options):
     return q.scorecard(
         _latest_sales(spark, sf_dir),
         metrics=SALES_SCORECARD,
         sort=SALES_SORT,
         tag_priority=SALES_TAG_PRIORITY,
+        **options,
     )
 
 
-@query("composite_reach")
-def _(spark, sf_dir):
-    return q.composite_reach(_latest_sales(spark, sf_dir), signals=SALES_SIGNALS)
-
-
-@query("composite_reach_all")
-def _(spark, sf_dir):
-    return q.composite_reach(_latest_sales(spark, sf_dir), n=None, signals=SALES_SIGNALS)
+def _composite_reach(spark, sf_dir, **options):
+    return q.composite_reach(_latest_sales(spark, sf_dir), signals=SALES_SIGNALS, **options)
 
 
-@query("source_gap")
-def _(spark, sf_dir):
-    return _flat(q.source_gap(_latest_sales(spark, sf_dir), signals=SALES_SIGNALS))
+def _source_gap(spark, sf_dir, **options):
+    return _flat(q.source_gap(_latest_sales(spark, sf_dir), signals=SALES_SIGNALS, **options))
 
 
-@query("tag_reach")
-def _(spark, sf_dir):
+def _tag_reach(spark, sf_dir, **options):
     return q.tag_reach(
         _latest_sales(spark, sf_dir),
         metrics=[(s, 1 if s.column == "score" else 0) for s in SALES_SIGNALS],
         stop_tags=("p",),
+        **options,
     )
 
 
-@query("metadata_coverage")
-def _(spark, sf_dir):
+def _metadata_coverage(spark, sf_dir, **options):
     return q.metadata_coverage(
         _latest_sales(spark, sf_dir).withColumn("source", F.substring("source", 3, 20)),
         sources=("URGENT", "HIGH", "LOW"),
         tag_order=("LOW", "HIGH", "URGENT"),
+        **options,
     )
 
 
+# each question as its top list, and whole
+for _question in (_scorecard, _composite_reach, _source_gap, _tag_reach, _metadata_coverage):
+    query(_question.__name__[1:])(_question)
+    query(f"{_question.__name__[1:]}_all")(partial(_question, n=None))
+
+
 @query("entity_profile")
 def _(spark, sf_dir):
     profile = q.entity_profile(
@@ -264,7 +264,7 @@ def _(spark, sf_dir):
 
 
 def _merged_ids(spark, sf_dir):
-    orders = table(spark, sf_dir, "orders").where("o_orderstatus = 'F'")
+    orders = table(spark, sf_dir, "orders")
     primary = orders.selectExpr(
         "concat('C', o_custkey) AS entity_name",
         "CASE WHEN o_orderpriority = '5-LOW' THEN '' ELSE concat('O', o_orderkey) END AS entity_id",
@@ -300,7 +300,6 @@ def _(spark, sf_dir):
     )
     pages = (
         table(spark, sf_dir, "orders")
-        .where("o_orderstatus = 'F' AND o_orderpriority = '1-URGENT'")
         .groupBy(F.expr("concat('C', o_custkey)").alias("page_title"))
         .agg(F.count("*").alias("views"))
     )
@@ -341,7 +340,7 @@ def _(spark, sf_dir):
         .join(customers, F.col("o_custkey") == F.col("c_custkey"))
         .selectExpr("c_name AS entity_name", "record")
     )
-    entities = customers.where("c_acctbal > 0").selectExpr("c_name AS entity_name")
+    entities = customers.selectExpr("c_name AS entity_name")
     return identity.enrich_incrementally(entities, cache, lookups)
 
 
