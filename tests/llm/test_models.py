@@ -138,6 +138,21 @@ def test_near_classes(spark, edge_pairs, no_docs):
     assert {r.doc_id for r in kept.collect()} == {i for i in wanted if wanted[i] == i} | {None}
 
 
+def test_blocks_count_common_shingles(monkeypatch):
+    monkeypatch.setattr(near_dedup, "TERMS_AT_ONCE", 7)
+    r = np.random.default_rng(5)
+    left, right = ([np.unique(r.integers(0, 60, k)).astype(np.uint64) for k in sizes] for sizes in ((0, 9, 40), (30, 1)))
+    wanted = [[len(np.intersect1d(a, b)) for b in right] for a in left]
+    assert near_dedup.shared_counts(left, right).tolist() == wanted
+    assert not near_dedup.shared_counts(left[:1], right).any()
+
+
+def test_spanning_pairs_connect_all():
+    pairs = [[1, 2], [2, 3], [1, 3], [7, 8], [3, 8], [2, 7]]
+    assert near_dedup.spanning(pairs) == [[1, 2], [2, 3], [7, 8], [3, 8]]
+    assert near_dedup.spanning([]) == []
+
+
 def test_signatures_estimate_probability_jaccard():
     a, b = prose(31, 3000), prose(31, 2400) + " " + prose(32, 600)
     owner, shingle, weight = near_dedup.weighted_shingles([a, b, None])
