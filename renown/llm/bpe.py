@@ -12,6 +12,7 @@ from __future__ import annotations
 import heapq
 import json
 import re
+import struct
 from functools import lru_cache
 
 import pyarrow as pa
@@ -55,6 +56,8 @@ class Vocabulary(dict):
             left, right = pair.split(" ") if isinstance(pair, str) else pair
             self.rank.setdefault(ids[left] << 32 | ids[right], len(self.made))
             self.made.append(ids[left + right])
+        pairs_of_bytes = (a << 32 | b for a in self.of_byte for b in self.of_byte)
+        self.first_ranks = [self.rank.get(p, NONE) for p in pairs_of_bytes]
         bytes_of = {c: b for b, c in letters.items()}
         self.bytes_of = {i: bytes(map(bytes_of.__getitem__, t)) for t, i in ids.items()}
         self.added = {t["content"]: t["id"] for t in file["added_tokens"]}
@@ -67,7 +70,7 @@ class Vocabulary(dict):
     def __missing__(self, word: str) -> bytes:
         raw = word.encode("utf-8")
         ids = self._short(raw) if len(raw) <= SHORT else self._long(raw)
-        packed = b"".join(i.to_bytes(4, "little") for i in ids)
+        packed = struct.pack(f"<{len(ids)}I", *ids)
         if len(raw) <= SHORT:
             if len(self) >= REMEMBERED:
                 self.clear()
@@ -76,16 +79,17 @@ class Vocabulary(dict):
 
     def _short(self, raw: bytes) -> list[int]:
         rank, made = self.rank.get, self.made
-        ids = [self.of_byte[b] for b in raw]
-        ranks = [rank(a << 32 | b, NONE) for a, b in zip(ids, ids[1:])]
+        ids = list(map(self.of_byte.__getitem__, raw))
+        first = self.first_ranks
+        ranks = [first[a << 8 | b] for a, b in zip(raw, raw[1:])]
         while ranks and (least := min(ranks)) != NONE:
             i = ranks.index(least)
-            ids[i] = made[least]
+            ids[i] = new = made[least]
             del ids[i + 1], ranks[i]
             if i:
-                ranks[i - 1] = rank(ids[i - 1] << 32 | ids[i], NONE)
+                ranks[i - 1] = rank(ids[i - 1] << 32 | new, NONE)
             if i < len(ranks):
-                ranks[i] = rank(ids[i] << 32 | ids[i + 1], NONE)
+                ranks[i] = rank(new << 32 | ids[i + 1], NONE)
         return ids
 
     def _long(self, raw: bytes) -> list[int]:
