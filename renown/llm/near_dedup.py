@@ -1,9 +1,9 @@
 """Near-duplicate classes by ProbMinHash, banding and verification.
 
-A document is the weighted set of its five-word shingles. Each shingle sends
-arrivals of a Poisson process with its weight as the rate, each to a random
-register, and a register keeps whose arrival was first. Two documents agree in
-a register with the probability Jaccard similarity of their sets. A document is done
+A document is the set of its five-word shingles, all of the same weight, as the set
+similarity decides. Each shingle sends arrivals of a Poisson process with its weight as the rate,
+each to a random register, and a register keeps whose arrival was first. Two documents agree in
+a register with the Jaccard similarity of their sets. A document is done
 as soon as no shingle's next arrival can beat its slowest register. Bands of
 registers propose pairs, the texts decide.
 """
@@ -32,15 +32,14 @@ TERMS_AT_ONCE = 4096
 
 
 def weighted_shingles(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Text number, shingle and weight; a shingle that occurs c times weighs 1 + ln c."""
+    """Text number, distinct shingle and weight, which is 1 however often the shingle occurs."""
     owner, shingle = shingle_hashes(*word_hashes(texts), WORDS)
     order = np.lexsort((shingle, owner))
     owner, shingle = owner[order], shingle[order]
     new = np.ones(len(owner), bool)
     new[1:] = (owner[1:] != owner[:-1]) | (shingle[1:] != shingle[:-1])
     at = np.flatnonzero(new)
-    counts = np.diff(np.append(at, len(owner)))
-    return owner[at], shingle[at], 1 + np.log(counts)
+    return owner[at], shingle[at], np.ones(len(at))
 
 
 def _uniform(h: np.ndarray) -> np.ndarray:
@@ -142,22 +141,26 @@ def _verified(pairs: DataFrame, texts: DataFrame, threshold: float) -> DataFrame
     return with_b.mapInArrow(run, "a long, b long")
 
 
-def _promising(pairs: DataFrame, sketch: DataFrame, least: float) -> DataFrame:
-    """``a, b`` and the share of equal registers, where that share is at least ``least``."""
-    r = sketch.select("doc_id", "registers")
-    with_a = pairs.join(r.toDF("a", "ra"), "a").join(r.toDF("b", "rb"), "b")
+def _promising(pairs: DataFrame, sketch: DataFrame, threshold: float) -> DataFrame:
+    """``a, b`` and the share of equal registers, where the numbers of shingles leave a chance of ``threshold``.
+
+    Two sets are no more similar than the smaller is to the larger, which is exact; the
+    share only says which partner is the likeliest.
+    """
+    r = sketch.select("doc_id", "n", "registers")
+    with_a = pairs.join(r.toDF("a", "na", "ra"), "a").join(r.toDF("b", "nb", "rb"), "b")
+    able = with_a.where(F.least("na", "nb") / F.greatest("na", "nb") >= threshold)
 
     def run(batches):
         for batch in batches:
             ra, rb = (np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint16) for c in ("ra", "rb"))
             n = batch.num_rows
             share = (ra == rb).reshape(n, -1).mean(1) if n else np.zeros(0)
-            keep = pa.array(share >= least)
             yield pa.RecordBatch.from_arrays(
                 [batch.column("a"), batch.column("b"), pa.array(share)], ["a", "b", "share"]
-            ).filter(keep)
+            )
 
-    return with_a.select("a", "b", "ra", "rb").mapInArrow(run, "a long, b long, share double")
+    return able.select("a", "b", "ra", "rb").mapInArrow(run, "a long, b long, share double")
 
 
 def components(store: Stage, edges: DataFrame) -> DataFrame:
@@ -455,7 +458,7 @@ class _Links:
         against those of the others with which it has no common class by then.
         """
         fresh = self._apart(pairs.join(self.tried, ["a", "b"], "left_anti"))
-        self._try(_promising(fresh, self.nodes, self.threshold - 0.25), in_turns)
+        self._try(_promising(fresh, self.nodes, self.threshold), in_turns)
 
     def add_classes(self, pairs: DataFrame) -> None:
         """Pairs of classes that are known to be linked."""

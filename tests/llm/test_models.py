@@ -138,6 +138,16 @@ def test_near_classes(spark, edge_pairs, no_docs):
     assert {r.doc_id for r in kept.collect()} == {i for i in wanted if wanted[i] == i} | {None}
 
 
+def test_repeats_inside_a_text_hide_no_link(spark):
+    """A fifth of the shingles a thousand times over leaves the set, and so the link, nearly as it was."""
+    pairs = []
+    for k in range(8):
+        words = prose(70 + k, 104).split()
+        pairs += [(2 * k, " ".join(words)), (2 * k + 1, " ".join(words + words[:24] * 1000))]
+    got = near_dedup.near_classes(spark.createDataFrame(rows_of(pairs), SCHEMA)).collect()
+    assert {r.doc_id: r.class_id for r in got} == {i: i - i % 2 for i, _ in pairs} == brute_classes(pairs)
+
+
 def test_blocks_count_common_shingles(monkeypatch):
     monkeypatch.setattr(near_dedup, "TERMS_AT_ONCE", 7)
     r = np.random.default_rng(5)
