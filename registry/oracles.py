@@ -261,6 +261,44 @@ NORMALIZED = {
         ),
     ),
 }
+# the same with all tags of a record
+NORMALIZED_ALL = {
+    **NORMALIZED,
+    "norm_nested_struct": _normalized(
+        "spotify",
+        _digit("concat('sp', entity_id)", d3="''", d4="NULL"),
+        score=_digit("score", d8="NULL"),
+        reach=_digit("reach", d5="NULL", d7="NULL"),
+        tags=f"concat({_SEGMENT}, ', ', {_STATUS}, ', x, y, z')",
+        skip=(6, 9),
+    ),
+    "norm_stats_tags": _normalized(
+        "lastfm",
+        _digit("concat('mb-', entity_id)", d3=f"replace(lower({_NAME}), ' ', '')"),
+        score=_digit("reach", d5="0"),
+        reach=_digit("reach", d5="0"),
+        volume=_digit("volume", d4="0", d5="0"),
+        tags=_digit(
+            f"concat({_SEGMENT}, ', ', {_STATUS}, ', ', source, ', , e, f')", d7="NULL", d8="NULL"
+        ),
+        skip=(6, 9),
+    ),
+    "norm_rating_tags": _normalized(
+        "musicbrainz",
+        "concat('mb', entity_id)",
+        score=_digit(f"trunc({_STARS} * 20)", d3="score // 100 * 20", d4="0", d5="0"),
+        reach=_digit("reach", d3="0", d5="0"),
+        tags=_digit(f"concat('e, ', {_STATUS}, ', b, d, ', {_SEGMENT}, ', c')", d7="NULL"),
+        skip=(6, 8),
+    ),
+    "norm_claim_labels": _normalized(
+        "wikidata",
+        "concat('Q', entity_id)",
+        tags=_digit(
+            f"concat({_SEGMENT}, ', ', {_STATUS}, ', c, d, e')", d3="NULL", d4="NULL", d5="'plain'"
+        ),
+    ),
+}
 WITH_DIM = f"WITH {OBS_SALES}, {DIM}"
 
 
@@ -472,6 +510,12 @@ ORACLES = {
         FROM orders, range(0, 12) t(i) WHERE i <> 10)
       SELECT o_orderkey, string_agg(p_name, '; ' ORDER BY position) AS labels
       FROM ids JOIN part ON p_partkey = id GROUP BY o_orderkey""",
+    "ordered_label_join_all": """WITH ids AS (
+        SELECT o_orderkey, i AS position,
+               CASE i WHEN 11 THEN o_custkey + 34 ELSE o_custkey + i * 17 END AS id
+        FROM orders, range(0, 12) t(i))
+      SELECT o_orderkey, string_agg(p_name, '; ' ORDER BY position) AS labels
+      FROM ids JOIN part ON p_partkey = id GROUP BY o_orderkey""",
     "rolling_month_window": """WITH monthly AS (
         SELECT CAST(o_custkey AS VARCHAR) AS page_title,
                CAST(date_trunc('month', o_orderdate) AS DATE) AS month, COUNT(*) AS views
@@ -506,7 +550,9 @@ ORACLES = {
              MIN(first_malformed) AS first_malformed
       FROM parts GROUP BY source, reject_reason""",
     **{key: f"{WITH_DIM} {sql}" for key, sql in NORMALIZED.items()},
+    **{f"{key}_all": f"{WITH_DIM} {sql}" for key, sql in NORMALIZED_ALL.items() if sql != NORMALIZED[key]},
     "normalize_union": f"{WITH_DIM} " + " UNION ALL ".join(NORMALIZED.values()),
+    "normalize_union_all": f"{WITH_DIM} " + " UNION ALL ".join(NORMALIZED_ALL.values()),
     "scan_snapshots": f"WITH {OBS_EVENTS}, {LATEST} SELECT {FACTS} FROM latest",
     "snapshot_roundtrip": f"WITH {OBS_SALES} SELECT {FACTS} FROM obs",
     "snapshot_replace": f"""WITH {OBS_SALES}, newest AS (SELECT MAX(snapshot_date) AS d FROM obs)

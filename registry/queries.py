@@ -359,15 +359,19 @@ def _(spark, sf_dir):
     return _flat(found)
 
 
-@query("ordered_label_join")
-def _(spark, sf_dir):
+def _ordered_label_join(spark, sf_dir, max_ids=10):
     records = table(spark, sf_dir, "orders").selectExpr(
         "o_orderkey",
         "transform(sequence(0, 11), i -> CASE i WHEN 11 THEN o_custkey + 34 "
         "ELSE o_custkey + i * 17 END) AS ids",
     )
     labels = table(spark, sf_dir, "part").selectExpr("p_partkey AS id", "p_name AS label")
-    return _flat(ordered_labels(records, labels, "o_orderkey", max_ids=10))
+    return _flat(ordered_labels(records, labels, "o_orderkey", max_ids=max_ids))
+
+
+# the labels of the first ten ids, and of all
+query("ordered_label_join")(_ordered_label_join)
+query("ordered_label_join_all")(partial(_ordered_label_join, max_ids=None))
 
 
 @query("rolling_month_window")
@@ -462,11 +466,11 @@ def _(spark, sf_dir):
     )
 
 
-def _normalized(source):
+def _normalized(source, **options):
     def run(spark, sf_dir):
         raw = parse_raw(_payloads(obs_sales(spark, sf_dir), PAYLOADS[source]), source)
         dim = entity_dim(customer_entities(spark, sf_dir))
-        return _flat(accepted(normalize_source(raw, source, RUN_DATE, dim)))
+        return _flat(accepted(normalize_source(raw, source, RUN_DATE, dim, **options)))
 
     return run
 
@@ -484,14 +488,21 @@ NORMALIZERS = {
 }
 for _key, _source in NORMALIZERS.items():
     query(_key)(_normalized(_source))
+# the sources whose tag lists have a limit, without it
+TAG_LISTS = ("norm_nested_struct", "norm_stats_tags", "norm_rating_tags", "norm_claim_labels")
+for _key in TAG_LISTS:
+    query(f"{_key}_all")(_normalized(NORMALIZERS[_key], max_tags=None))
 
 
-@query("normalize_union")
-def _(spark, sf_dir):
+def _normalize_union(spark, sf_dir, **options):
     raw = _raw_by_source(obs_sales(spark, sf_dir), PAYLOADS)
     raw["unheard_of"] = raw["deezer"]
     dim = entity_dim(customer_entities(spark, sf_dir))
-    return _flat(accepted(normalize_all(raw, RUN_DATE, dim)))
+    return _flat(accepted(normalize_all(raw, RUN_DATE, dim, **options)))
+
+
+query("normalize_union")(_normalize_union)
+query("normalize_union_all")(partial(_normalize_union, max_tags=None))
 
 
 # --- snapshot store --------------------------------------------------------

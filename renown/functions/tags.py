@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from renown.functions.variants import is_object, items, text
 
 SEPARATOR = ", "
+#: Length of a short tag list; where a limit is taken, ``None`` means all tags.
 MAX_TAGS = 5
 
 
@@ -16,13 +17,18 @@ def join_or_null(tags: Column) -> Column:
     return F.when(F.array_size(tags) > 0, F.array_join(tags, SEPARATOR))
 
 
-def first_names(listed: Column) -> Column:
+def first_of(listed: Column, most: int | None) -> Column:
+    """The first items of a list, all of them without a limit."""
+    return listed if most is None else F.slice(listed, 1, most)
+
+
+def first_names(listed: Column, most: int | None = MAX_TAGS) -> Column:
     """Non-blank names among the first tags of a list, blanks dropped after the cut.
 
     Elements are plain text or objects with a ``name``.
     """
     names = F.transform(
-        F.slice(listed, 1, MAX_TAGS),
+        first_of(listed, most),
         lambda item: F.when(is_object(item), text(item, "$.name")).otherwise(text(item)),
     )
     return F.filter(names, lambda name: F.coalesce(name, F.lit("")) != "")

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from renown.functions import variants as v
 from renown.functions.names import non_blank
-from renown.functions.tags import MAX_TAGS, distinct_tags, first_names, join_or_null, tags_or_text
+from renown.functions.tags import MAX_TAGS, distinct_tags, first_names, first_of, join_or_null, tags_or_text
 from renown.model import FACT_COLUMNS, FACT_SCHEMA
 from renown.operators.identity import canonicalize_names
 from renown.sources.raw import CORRUPT
@@ -45,14 +45,14 @@ class SourceMap:
     parts: Sequence[Mapping[str, Column]] = ()
 
 
-def _spotify() -> SourceMap:
+def _spotify(max_tags: int | None) -> SourceMap:
     followers = F.col("followers")
     score, bad_score = v.optional_count(F.col("popularity"))
     reach, bad_reach = v.optional_count(F.col("_total"))
     return SourceMap(
         parts=[
             {"_total": v.member(followers, "$.total"), "_listed": v.items(F.col("genres"))},
-            {"_names": first_names(F.col("_listed"))},
+            {"_names": first_names(F.col("_listed"), max_tags)},
         ],
         entity_id=v.identifier(F.col("id")),
         score=score,
@@ -66,7 +66,7 @@ def _spotify() -> SourceMap:
     )
 
 
-def _lastfm() -> SourceMap:
+def _lastfm(max_tags: int | None) -> SourceMap:
     stats, tags = F.col("stats"), F.col("tags")
     reach, bad_reach = v.counted(F.col("_listeners"))
     volume, bad_volume = v.counted(F.col("_playcount"))
@@ -80,7 +80,7 @@ def _lastfm() -> SourceMap:
                 "_playcount": v.member(stats, "$.playcount"),
                 "_listed": v.records(tags, "name:string", "$.tag"),
             },
-            {"_names": F.slice(listed, 1, MAX_TAGS)["name"]},
+            {"_names": first_of(listed, max_tags)["name"]},
         ],
         entity_id=F.col("_mbid"),
         id_rule=F.when(no_id, F.lit(COMPACT_NAME)),
@@ -99,7 +99,7 @@ def _lastfm() -> SourceMap:
     )
 
 
-def _deezer() -> SourceMap:
+def _deezer(max_tags: int | None) -> SourceMap:
     fans, bad_fans = v.counted(F.col("nb_fan"))
     return SourceMap(
         entity_id=v.identifier(F.col("id")),
@@ -109,7 +109,7 @@ def _deezer() -> SourceMap:
     )
 
 
-def _musicbrainz() -> SourceMap:
+def _musicbrainz(max_tags: int | None) -> SourceMap:
     rating, tags = F.col("rating"), F.col("tags")
     listed, scaled = F.col("_listed"), F.col("_scaled")
     no_stars = v.is_blank(F.col("_stars"))
@@ -121,7 +121,7 @@ def _musicbrainz() -> SourceMap:
         weight = -F.coalesce(v.whole(tag["count"]), F.lit(0))
         return F.struct(weight, position, tag["name"].alias("name"))
 
-    best = F.slice(F.sort_array(F.transform(listed, weighed)), 1, MAX_TAGS)
+    best = first_of(F.sort_array(F.transform(listed, weighed)), max_tags)
     names = F.col("_best.name")
     null_count = F.exists(listed, lambda tag: F.is_variant_null(tag["count"]))
     return SourceMap(
@@ -151,7 +151,7 @@ def _musicbrainz() -> SourceMap:
     )
 
 
-def _listenbrainz() -> SourceMap:
+def _listenbrainz(max_tags: int | None) -> SourceMap:
     listens, bad_listens = v.optional_count(F.col("total_listen_count"))
     return SourceMap(
         entity_id=v.identifier(F.col("artist_mbid")),
@@ -162,7 +162,7 @@ def _listenbrainz() -> SourceMap:
     )
 
 
-def _wikimedia() -> SourceMap:
+def _wikimedia(max_tags: int | None) -> SourceMap:
     month, bad_month = v.optional_count(F.col("latest_month_views"))
     window, bad_window = v.optional_count(F.col("total_window_views"))
     title = F.col("page_title")
@@ -179,23 +179,23 @@ def _wikimedia() -> SourceMap:
     )
 
 
-def _theaudiodb() -> SourceMap:
+def _theaudiodb(max_tags: int | None) -> SourceMap:
     return SourceMap(
         entity_id=v.identifier(F.col("idArtist")),
         tags=distinct_tags(F.col("strGenre"), F.col("strStyle"), F.col("strMood")),
     )
 
 
-def _itunes() -> SourceMap:
+def _itunes(max_tags: int | None) -> SourceMap:
     return SourceMap(entity_id=v.identifier(F.col("artistId")), tags=F.col("primaryGenreName"))
 
 
-def _wikidata() -> SourceMap:
+def _wikidata(max_tags: int | None) -> SourceMap:
     labels = F.col("genre_labels")
     return SourceMap(
         parts=[
             {"_listed": v.items(labels)},
-            {"_names": first_names(F.col("_listed"))},
+            {"_names": first_names(F.col("_listed"), max_tags)},
         ],
         entity_id=v.identifier(F.col("id")),
         tags=tags_or_text(labels, F.col("_listed"), F.col("_names")),
@@ -215,8 +215,8 @@ MAPPERS = {
 }
 
 
-def _map(raw: DataFrame, source: str, snapshot_date) -> DataFrame:
-    mapping = MAPPERS[source]()
+def _map(raw: DataFrame, source: str, snapshot_date, max_tags: int | None) -> DataFrame:
+    mapping = MAPPERS[source](max_tags)
     known = {
         "entity_name": F.coalesce(non_blank(F.col("source_artist_name")), F.col("name")),
         "entity_id": mapping.entity_id,
@@ -251,15 +251,19 @@ def _map(raw: DataFrame, source: str, snapshot_date) -> DataFrame:
 
 
 def normalize_all(
-    raw_by_source: Mapping[str, DataFrame], snapshot_date, dim: DataFrame | None = None
+    raw_by_source: Mapping[str, DataFrame],
+    snapshot_date,
+    dim: DataFrame | None = None,
+    max_tags: int | None = MAX_TAGS,
 ) -> DataFrame:
     """Map every known source, union by name, then settle names and ids once.
 
-    Unknown sources are ignored and duplicates kept. The result has the fact
+    Unknown sources are ignored and duplicates kept. Lists of tags end after ``max_tags``, with
+    ``None`` they are whole. The result has the fact
     columns plus ``reject_reason`` and ``record``, the raw text of a rejected row.
     """
     mapped = [
-        _map(raw, source, snapshot_date)
+        _map(raw, source, snapshot_date, max_tags)
         for source, raw in raw_by_source.items()
         if source in MAPPERS
     ]
@@ -283,10 +287,14 @@ def normalize_all(
 
 
 def normalize_source(
-    raw: DataFrame, source: str, snapshot_date, dim: DataFrame | None = None
+    raw: DataFrame,
+    source: str,
+    snapshot_date,
+    dim: DataFrame | None = None,
+    max_tags: int | None = MAX_TAGS,
 ) -> DataFrame:
     """``normalize_all`` for one source."""
-    return normalize_all({source: raw}, snapshot_date, dim)
+    return normalize_all({source: raw}, snapshot_date, dim, max_tags)
 
 
 def accepted(normalized: DataFrame) -> DataFrame:

@@ -42,6 +42,7 @@ def ingest_snapshot(
     snapshot_date,
     dim: DataFrame,
     specs: Sequence[SourceSpec] = SOURCES,
+    max_tags: int | None = None,
 ) -> None:
     """Normalise one landed date and store it; broken records go to quarantine.
 
@@ -50,7 +51,7 @@ def ingest_snapshot(
     """
     lines = raw_lines(spark, raw_root)
     raw = {s: of_source(lines, s, snapshot_date) for s in enabled_sources(specs)}
-    normalized = normalize_all(raw, snapshot_date, dim)
+    normalized = normalize_all(raw, snapshot_date, dim, max_tags)
     staged_at = f"{work_dir(spark)}/normalized"
     outcome = F.col("reject_reason").isNotNull().alias("is_rejected")
     normalized.select("*", outcome).write.partitionBy("is_rejected").parquet(staged_at)
@@ -85,12 +86,16 @@ def run(
     quarantine_root: str | None = None,
     specs: Sequence[SourceSpec] = SOURCES,
     skip_validation: bool = False,
+    whole: bool = False,
+    max_tags: int | None = None,
 ) -> Outcome:
     """Run the stages a mode asks for.
 
     ``full`` stores the landed date first, today if none is named; ``query`` and ``validate`` work on
     what is stored, ``validate`` without the queries. The gate runs unless
     ``skip_validation`` is set and raises QualityGateError when a check fails.
+    ``whole`` gives the questions' whole answers, unsorted, in place of their top lists. All tags
+    of a record are stored unless ``max_tags`` is set.
     """
     if mode not in MODES:
         raise ValueError(f"mode must be one of {MODES}, not {mode!r}")
@@ -99,11 +104,11 @@ def run(
     if mode == "full":
         if snapshot_date is None:
             snapshot_date = spark.sql("SELECT current_date()").first()[0]
-        ingest_snapshot(spark, raw_root, store_root, quarantine_root, snapshot_date, dim, specs)
+        ingest_snapshot(spark, raw_root, store_root, quarantine_root, snapshot_date, dim, specs, max_tags)
 
     as_of = latest_date(enabled_only(scan_snapshots(spark, store_root), sources))
     facts = load_facts(spark, store_root, dim)
-    queries = {} if mode == "validate" else all_queries(facts, sources, profile_of, as_of)
+    queries = {} if mode == "validate" else all_queries(facts, sources, profile_of, as_of, whole)
     if skip_validation:
         return Outcome(queries, None)
     report = validation_report(facts, entities, specs, as_of)

@@ -71,11 +71,14 @@ def raw_lines(spark: SparkSession, root: str) -> DataFrame:
 
 
 def of_source(lines: DataFrame, source: str, snapshot_date=None) -> DataFrame:
-    """Typed records of one source; a source that was not landed gives no rows."""
+    """Typed records of one source; a source that was not landed gives no rows.
+
+    A blank line is no record and is kept as one in CORRUPT.
+    """
     wanted = lines.where(F.col("source") == source)
     if snapshot_date is not None:
         wanted = wanted.where(F.col("snapshot_date") == F.lit(snapshot_date).cast("date"))
-    return parse_raw(wanted.where(F.trim("payload") != ""), source)
+    return parse_raw(wanted, source)
 
 
 def scan_raw(spark: SparkSession, root: str, source: str, snapshot_date=None) -> DataFrame:

@@ -104,6 +104,23 @@ def test_full_run_then_queries_and_gate(spark, tmp_path):
     assert spark.read.schema("record string").json(where["quarantine_root"]).count() == 0
 
 
+def test_run_keeps_all_tags_whole_lists_and_blank_lines(spark, tmp_path):
+    where = folders(tmp_path)
+    day = datetime.date.fromisoformat(DAY)
+    many = record("wikidata", "Extra", 70) | {"genre_labels": list("abcdefg")}
+    names = [f"Name {i}" for i in range(60)]
+    landed(spark, where["raw_root"], names, [("deezer", day, " "), ("wikidata", day, json.dumps(many))])
+    entities = entity_list(spark, names)
+    done = run(
+        spark, "full", entities=entities, profile_of="x", snapshot_date=DAY, skip_validation=True, whole=True, **where
+    )
+    facts = scan_snapshots(spark, where["store_root"])
+    assert facts.where("entity_name = 'Extra'").first().tags == "a, b, c, d, e, f, g"
+    assert done.queries["composite_reach"].count() == 60
+    quarantined = spark.read.json(where["quarantine_root"]).collect()
+    assert [(r.source, r.reject_reason, r.record.strip()) for r in quarantined] == [("deezer", "malformed JSON", "")]
+
+
 def test_gate_raises_unless_skipped(spark, tmp_path):
     where = folders(tmp_path)
     landed(spark, where["raw_root"])
