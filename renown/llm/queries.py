@@ -11,6 +11,7 @@ from renown.llm import (
     bpe,
     decontaminate,
     exact_dedup,
+    fill_in_middle,
     html_text,
     language_id,
     lm,
@@ -18,6 +19,7 @@ from renown.llm import (
     packing,
     secrets,
     toxicity,
+    vector_codes,
 )
 from renown.llm.frames import ship, table
 
@@ -96,6 +98,23 @@ def op10_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("page_id", "url", text.alias("text"), F.length(text).cast("long").alias("n_chars"))
 
 
+def op11_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Product codes of all embeddings under codebooks fitted to all of them."""
+    coded, books = vector_codes.compress(table(spark, sf_dir, "embeddings"))
+    return vector_codes.with_label_errors(coded).select(
+        "vec_id",
+        vector_codes.hex_code(F.col("code")).alias("code"),
+        "error",
+        "label_error",
+        F.lit(books.digest() if books else None).cast("string").alias("codebooks_sha256"),
+    )
+
+
+def op12_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document cut and rearranged for infilling, and its text rebuilt from that, as digests."""
+    return fill_in_middle.digests(fill_in_middle.transform(table(spark, sf_dir, "documents")))
+
+
 def shipped(query):
     """The query, with this package sent to the workers first."""
 
@@ -120,10 +139,77 @@ LLM_QUERIES = {
         op8_lm_scores,
         op9_decontamination,
         op10_html_text,
+        op11_vector_codes,
+        op12_fill_in_middle,
     )
 }
 
+
+
+def _vector_codes_sql(parts: int = 8, entries: int = 16, rounds: int = 6) -> str:
+    """One common table per assignment and per move of the entries."""
+
+    def assign(k: int) -> str:
+        return f"""
+        a{k} AS MATERIALIZED (
+            SELECT rid, p.part, min({{'d': list_sum(list_transform(range(1, len(p.x) + 1),
+                   lambda i: (p.x[i] - e.x[i]) * (p.x[i] - e.x[i]))), 'e': e.entry}}) AS best
+            FROM p JOIN e{k} AS e ON p.part = e.part GROUP BY rid, p.part)"""
+
+    def move(k: int) -> str:
+        return f"""
+        s{k} AS MATERIALIZED (
+            SELECT part, entry, list((s - ((s % n) + n) % n) // n ORDER BY pos)::BIGINT[] AS x
+            FROM (SELECT a.part, a.best.e AS entry, pos, sum(p.x[pos]) AS s, count(*) AS n
+                  FROM a{k - 1} AS a JOIN p USING (rid, part), range(1, (SELECT max(len(x)) FROM p) + 1) AS r(pos)
+                  GROUP BY ALL) GROUP BY part, entry),
+        e{k} AS MATERIALIZED (
+            SELECT part, entry, coalesce(s.x, e.x) AS x
+            FROM e{k - 1} AS e LEFT JOIN s{k} AS s USING (part, entry))"""
+
+    steps = [f"{assign(k - 1)},{move(k)}" for k in range(1, rounds + 1)] + [assign(rounds)]
+    return f"""
+        WITH k AS MATERIALIZED (
+            SELECT row_number() OVER (ORDER BY vec_id) AS rid, vec_id, label,
+                   list_transform(embedding, lambda x: floor(4096 * x::DOUBLE)::BIGINT) AS v
+            FROM embeddings WHERE embedding IS NOT NULL
+              AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+        p AS MATERIALIZED (
+            SELECT rid, part, v[part * (len(v) // {parts}) + 1 : (part + 1) * (len(v) // {parts})] AS x
+            FROM k, range({parts}) AS r(part)),
+        e0 AS MATERIALIZED (SELECT part, rid - 1 AS entry, x FROM p WHERE rid <= {entries}),
+        {",".join(steps)},
+        c AS (
+            SELECT rid, string_agg(printf('%02x', best.e), '' ORDER BY part) AS code, sum(best.d)::BIGINT AS error
+            FROM a{rounds} GROUP BY rid),
+        b AS (
+            SELECT sha256(string_agg(array_to_string(x, ','), ',' ORDER BY part, entry)) AS codebooks_sha256
+            FROM e{rounds})
+        SELECT vec_id, code, error, sum(error) OVER (PARTITION BY label)::BIGINT AS label_error, codebooks_sha256
+        FROM k JOIN c USING (rid), b
+    """
+
+
 LLM_ORACLES = {
+    "op11_vector_codes": _vector_codes_sql(),
+    "op12_fill_in_middle": r"""
+        WITH t AS (
+            SELECT doc_id, coalesce(text, '') AS x, sha256('1:' || doc_id) AS h FROM documents),
+        u AS (
+            SELECT doc_id, x, length(x)::BIGINT AS n, ('0x' || h[1:8])::BIGINT AS h1, ('0x' || h[9:16])::BIGINT AS h2,
+                   ('0x' || h[17:24])::BIGINT AS h3, ('0x' || h[25:32])::BIGINT AS h4 FROM t),
+        c AS (
+            SELECT *, least(h1 % (n + 1), h2 % (n + 1)) AS a, greatest(h1 % (n + 1), h2 % (n + 1)) AS b,
+                   CASE WHEN n = 0 OR contains(x, '<P>') OR contains(x, '<S>') OR contains(x, '<M>') OR h3 % 100 >= 90
+                        THEN 'plain' WHEN h4 % 100 < 20 THEN 'spm' ELSE 'psm' END AS form FROM u),
+        s AS (
+            SELECT *, '<P>' || substring(x, 1, a) AS p, '<M>' || substring(x, a + 1, b - a) AS m,
+                   '<S>' || substring(x, b + 1) AS q FROM c)
+        SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN a END AS prefix_chars,
+               CASE WHEN form <> 'plain' THEN b - a END AS middle_chars,
+               sha256(CASE form WHEN 'plain' THEN x WHEN 'psm' THEN p || q || m ELSE q || p || m END) AS output_sha256,
+               sha256(x) AS restored_sha256 FROM s
+    """,
     "op6_exact_dedup": r"""
         WITH bare AS (
             SELECT doc_id, length(coalesce(text, '')) AS n,
