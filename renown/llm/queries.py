@@ -17,6 +17,7 @@ from renown.llm import (
     lm,
     near_dedup,
     packing,
+    personal_data,
     secrets,
     toxicity,
     vector_codes,
@@ -115,6 +116,20 @@ def op12_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fill_in_middle.digests(fill_in_middle.transform(table(spark, sf_dir, "documents")))
 
 
+def op13_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data of every document: what the fixed rules find, and what the judges add."""
+    docs = table(spark, sf_dir, "documents")
+    found = personal_data.find(docs, personal_data.fit(docs))
+    base = personal_data.base_only(F.col("findings"))
+    kinds = [personal_data.count_of(F.col("findings"), k).alias(f"n_{k}") for k in personal_data.KINDS]
+    return found.select(
+        "doc_id",
+        *kinds,
+        F.sha2(personal_data.joined(base), 256).alias("base_sha256"),
+        personal_data.joined(F.col("findings")).alias("spans"),
+    )
+
+
 def shipped(query):
     """The query, with this package sent to the workers first."""
 
@@ -141,6 +156,7 @@ LLM_QUERIES = {
         op10_html_text,
         op11_vector_codes,
         op12_fill_in_middle,
+        op13_personal_data,
     )
 }
 
