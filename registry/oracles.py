@@ -29,14 +29,15 @@ SALES_LATEST = f"WITH {OBS_SALES}, {LATEST}"
 
 FAULTY = f"""{OBS_EVENTS}, faulty_once AS (
   SELECT * REPLACE (score - 50 AS score, NULLIF(entity_id, '7') AS entity_id)
-  FROM obs WHERE source <> 'signup' OR entity_id < '5'),
+  FROM obs),
 faulty AS (
   SELECT * FROM faulty_once
   UNION ALL SELECT * FROM faulty_once WHERE entity_id LIKE '%3'),
+thin AS (SELECT * FROM faulty WHERE source <> 'signup' OR entity_id < '5'),
 expected AS (
   SELECT DISTINCT concat('User ', CAST(user_id AS VARCHAR)) AS entity_name FROM events
   WHERE concat('User ', CAST(user_id AS VARCHAR)) NOT LIKE '%9'),
-newest AS (SELECT * FROM faulty WHERE snapshot_date = (SELECT MAX(snapshot_date) FROM faulty))"""
+newest AS (SELECT * FROM thin WHERE snapshot_date = (SELECT MAX(snapshot_date) FROM thin))"""
 WITH_FAULTY = f"WITH {FAULTY}"
 
 FACTS = "* REPLACE (strftime(snapshot_date, '%Y-%m-%d') AS snapshot_date)"
@@ -162,7 +163,7 @@ merged AS (
     FROM candidates) WHERE rn = 1)"""
 
 
-# --- expected rows of the normalisers --------------------------------------
+# --- expected rows of the normalisers, tag lists of five at most ------------
 
 
 def _digit(default: str, **by_digit: str) -> str:
@@ -261,7 +262,7 @@ NORMALIZED = {
         ),
     ),
 }
-# the same with all tags of a record
+# the same with all tags of a record, as the mappers give them by default
 NORMALIZED_ALL = {
     **NORMALIZED,
     "norm_nested_struct": _normalized(
@@ -371,8 +372,8 @@ totals AS (
            WHERE source = 'purchase' AND (score < 0 OR score > 100)) AS unbounded,
          (SELECT n FROM size) AS n),
 checks AS (
-  {_check(1, "required columns", 0, 0, "TRUE")}
-  UNION ALL {_check(2, "non-null keys", "null_keys", 0, "null_keys = 0")}
+  {_check(1, "columns present", 0, 0, "TRUE")}
+  UNION ALL {_check(2, "keys filled", "null_keys", 0, "null_keys = 0")}
   UNION ALL {_check(3, "entity count", "present", "n", "present = n")}
   UNION ALL {_check(4, "names in list", "unexpected", 0, "unexpected = 0")}
   UNION ALL {_check(5, "no duplicates", "duplicates", 0, "duplicates = 0")}
@@ -383,8 +384,8 @@ checks AS (
   UNION ALL {_coverage(10, "purchase", 0.9)}
   UNION ALL {_coverage(11, "signup", 0.75)}
   UNION ALL {_coverage(12, "trial", 0.5)}
-  UNION ALL {_check(13, "non-negative metrics", "negative", 0, "negative = 0")}
-  UNION ALL {_check(14, "required metrics populated", "unscored", 0, "unscored = 0")}
+  UNION ALL {_check(13, "no metric below zero", "negative", 0, "negative = 0")}
+  UNION ALL {_check(14, "required sources scored", "unscored", 0, "unscored = 0")}
   UNION ALL {_metric_rows(15, "click", 0.95)}
   UNION ALL {_metric_rows(16, "purchase", 0.9)}
   UNION ALL {_metric_rows(17, "trial", 0.5)}
@@ -399,6 +400,15 @@ SELECT CAST(row_number() OVER (ORDER BY place) - 1 AS INTEGER) AS position,
        "check", source, passed, observed, threshold FROM verdict"""
 
 
+def _labels(which: str) -> str:
+    return f"""WITH ids AS (
+        SELECT o_orderkey, i AS position,
+               CASE i WHEN 11 THEN o_custkey + 34 ELSE o_custkey + i * 17 END AS id
+        FROM orders, range(0, 12) t(i) WHERE {which})
+      SELECT o_orderkey, string_agg(p_name, '; ' ORDER BY position) AS labels
+      FROM ids JOIN part ON p_partkey = id GROUP BY o_orderkey"""
+
+
 ORACLES = {
     "latest_snapshot": f"{SALES_LATEST} SELECT {FACTS} FROM latest",
     "enabled_source_view": f"""WITH {OBS_SALES}
@@ -504,18 +514,23 @@ ORACLES = {
         CASE WHEN l_returnflag = 'R' THEN concat('Q', l_suppkey)
              ELSE concat('Q', l_partkey, '; Q', l_suppkey) END AS ids
       FROM lineitem""",
-    "ordered_label_join": """WITH ids AS (
-        SELECT o_orderkey, i AS position,
-               CASE i WHEN 11 THEN o_custkey + 34 ELSE o_custkey + i * 17 END AS id
-        FROM orders, range(0, 12) t(i) WHERE i <> 10)
-      SELECT o_orderkey, string_agg(p_name, '; ' ORDER BY position) AS labels
-      FROM ids JOIN part ON p_partkey = id GROUP BY o_orderkey""",
-    "ordered_label_join_all": """WITH ids AS (
-        SELECT o_orderkey, i AS position,
-               CASE i WHEN 11 THEN o_custkey + 34 ELSE o_custkey + i * 17 END AS id
-        FROM orders, range(0, 12) t(i))
-      SELECT o_orderkey, string_agg(p_name, '; ' ORDER BY position) AS labels
-      FROM ids JOIN part ON p_partkey = id GROUP BY o_orderkey""",
+    "ordered_label_join": _labels("TRUE"),
+    "ordered_label_join_all": _labels("TRUE"),
+    # id 11 repeats id 2, so it is looked up although it is not among the first ten places
+    "ordered_label_join_first_ten": _labels("i <> 10"),
+    "nested_labels": """WITH ids AS (
+        SELECT o_orderkey, i, o_custkey * 3 + i * 17 AS id FROM orders, range(12) AS t(i))
+      SELECT o_orderkey, COALESCE(string_agg('genre ' || id % 97, '; ' ORDER BY i)
+               FILTER (id % 7 <> 0 AND id % 5 > 1), '') AS labels
+      FROM ids GROUP BY o_orderkey""",
+    "exploded_labels": """WITH ids AS (
+        SELECT o_orderkey, unnest([0, 1, 2]) AS place,
+               unnest([o_custkey, 1000000000 + o_orderkey % 4, o_custkey + 1]) AS id FROM orders),
+      named AS (
+        SELECT p_partkey AS id, p_name AS label FROM part
+        UNION SELECT 1000000000 + p_partkey % 3, 'shared ' || p_partkey % 3 FROM part)
+      SELECT o_orderkey, string_agg(label, '; ' ORDER BY place) AS labels
+      FROM ids JOIN named USING (id) GROUP BY o_orderkey""",
     "rolling_month_window": """WITH monthly AS (
         SELECT CAST(o_custkey AS VARCHAR) AS page_title,
                CAST(date_trunc('month', o_orderdate) AS DATE) AS month, COUNT(*) AS views
@@ -549,14 +564,53 @@ ORACLES = {
       SELECT source, reject_reason, CAST(SUM(n_rows) AS BIGINT) AS n_rows,
              MIN(first_malformed) AS first_malformed
       FROM parts GROUP BY source, reject_reason""",
-    **{key: f"{WITH_DIM} {sql}" for key, sql in NORMALIZED.items()},
+    **{key: f"{WITH_DIM} {sql}" for key, sql in NORMALIZED_ALL.items()},
     **{f"{key}_all": f"{WITH_DIM} {sql}" for key, sql in NORMALIZED_ALL.items() if sql != NORMALIZED[key]},
-    "normalize_union": f"{WITH_DIM} " + " UNION ALL ".join(NORMALIZED.values()),
-    "normalize_union_all": f"{WITH_DIM} " + " UNION ALL ".join(NORMALIZED_ALL.values()),
+    **{f"{key}_first_five": f"{WITH_DIM} {sql}" for key, sql in NORMALIZED.items() if sql != NORMALIZED_ALL[key]},
+    **{
+        key: f"{WITH_DIM} " + " UNION ALL ".join(NORMALIZED_ALL.values())
+        for key in ("normalize_union", "normalize_union_all", "normalize_landed")
+    },
+    "normalize_union_first_five": f"{WITH_DIM} " + " UNION ALL ".join(NORMALIZED.values()),
     "scan_snapshots": f"WITH {OBS_EVENTS}, {LATEST} SELECT {FACTS} FROM latest",
     "snapshot_roundtrip": f"WITH {OBS_SALES} SELECT {FACTS} FROM obs",
     "snapshot_replace": f"""WITH {OBS_SALES}, newest AS (SELECT MAX(snapshot_date) AS d FROM obs)
       SELECT entity_name, entity_id, source, strftime(snapshot_date, '%Y-%m-%d') AS snapshot_date,
              CASE WHEN snapshot_date = d THEN score + 1 ELSE score END AS score, reach, volume, tags
       FROM obs, newest WHERE snapshot_date < d OR source = '1-URGENT'""",
+    "snapshot_failed_swap": f"WITH {OBS_SALES} SELECT {FACTS} FROM obs",
+    "snapshot_newest": f"""WITH {OBS_EVENTS}, dates AS (
+        SELECT snapshot_date, row_number() OVER (ORDER BY snapshot_date DESC) AS place FROM obs GROUP BY 1),
+      left_over AS (SELECT obs.* FROM obs JOIN dates USING (snapshot_date)
+                    WHERE place > 2 OR (place = 2 AND source NOT IN ('view', 'click')))
+      SELECT {FACTS} FROM left_over WHERE snapshot_date = (
+        SELECT MAX(snapshot_date) FROM left_over WHERE source IN ('view', 'click'))""",
+    "snapshot_dates": f"""WITH {OBS_SALES}, newest AS (SELECT MAX(snapshot_date) AS d FROM obs)
+      SELECT strftime(snapshot_date, '%Y-%m-%d') AS snapshot_date,
+             CASE WHEN snapshot_date = d THEN 2 ELSE 1 END AS replacements
+      FROM obs, newest GROUP BY snapshot_date, d""",
+    "entity_profile_stored": f"""WITH {OBS_SALES}, {VARIANTS}
+      SELECT 'Customer#000000007' AS entity_name, source, strftime(snapshot_date, '%Y-%m-%d') AS snapshot_date,
+             score, reach, volume, tags
+      FROM variants WHERE {_key("entity_name")} = 'customer000000007'""",
+    "missing_columns_report": f"""WITH {OBS_SALES}, wanted AS (
+        SELECT * FROM (VALUES ('entity_name', 'string'), ('entity_id', 'string'), ('source', 'string'),
+          ('score', 'bigint'), ('reach', 'bigint'), ('volume', 'bigint'), ('tags', 'string'))
+          AS t("column", expected_type)),
+      dates AS (SELECT snapshot_date, snapshot_date = MAX(snapshot_date) OVER () AS is_old FROM obs GROUP BY 1),
+      held AS (
+        SELECT snapshot_date, "column", expected_type, CASE WHEN is_old AND "column" = 'tags' THEN NULL
+               WHEN is_old AND "column" = 'score' THEN 'int' ELSE expected_type END AS stored_type
+        FROM dates, wanted)
+      SELECT strftime(snapshot_date, '%Y-%m-%d') AS snapshot_date, "column", expected_type, stored_type,
+             COALESCE(stored_type = expected_type, FALSE) AS passed FROM held""",
+    "cache_roundtrip": """WITH found AS (
+        SELECT c_name AS entity_name, c_nationkey < 10 AS from_cache,
+               (SELECT MAX(o_orderpriority) FROM orders WHERE o_custkey = c_custkey) AS looked_up
+        FROM customer)
+      SELECT entity_name, CASE WHEN from_cache THEN 'first ' ELSE 'second ' END || looked_up AS record,
+             from_cache, CAST(2 AS BIGINT) AS n_rounds
+      FROM found WHERE looked_up IS NOT NULL""",
+    "cache_lost_file": """SELECT c_name AS entity_name, reverse(c_name) AS record, FALSE AS from_cache,
+        CAST(2 AS BIGINT) AS written_in FROM customer""",
 }

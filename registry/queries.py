@@ -25,13 +25,15 @@ from registry.adapters import (
     sales_dates,
     spelling_variants,
     table,
+    thin_events,
 )
 from registry.payloads import BROKEN_DEEZER, PAYLOADS
 from renown.functions import variants as v
 from renown.functions.names import canonical_key
+from renown.functions.tags import SHORT_LIST
 from renown.model import SourceSpec
 from renown.operators import checks, identity
-from renown.operators.claims import claim_ids, ordered_labels
+from renown.operators.claims import claim_ids, exploded_labels, nested_labels, ordered_labels
 from renown.operators.normalize import accepted, normalize_all, normalize_source, rejected
 from renown.operators.ranking import signal_dense_rank, signal_percentile
 from renown.operators.rolling import rolling_months
@@ -40,8 +42,19 @@ from renown.operators.snapshot import latest_snapshot, publish_view
 from renown.plans import queries as q
 from renown.session import work_dir
 from renown.sources.dims import entity_dim
-from renown.sources.raw import CORRUPT, land_raw, parse_raw, scan_raw
-from renown.sources.snapshots import conform, replace_snapshots, scan_snapshots
+from renown.sources import versions
+from renown.sources.cache import ROUND, cache_round, enrich_and_remember, load_cache
+from renown.sources.files import create, delete, names
+from renown.sources.raw import CORRUPT, land_raw, of_source, parse_raw, raw_lines, scan_raw
+from renown.sources.snapshots import (
+    conform,
+    newest_date,
+    replace_snapshots,
+    scan_entity,
+    scan_snapshots,
+    snapshot_dates,
+    stored_columns,
+)
 
 RUN_DATE = "2026-04-26"
 _REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -232,14 +245,14 @@ def _(spark, sf_dir):
 @query("coverage_by_source")
 def _(spark, sf_dir):
     return checks.coverage_by_source(
-        latest_snapshot(faulty_events(spark, sf_dir)), expected_users(spark, sf_dir), EVENT_SPECS
+        latest_snapshot(thin_events(spark, sf_dir)), expected_users(spark, sf_dir), EVENT_SPECS
     )
 
 
 @query("validation_report")
 def _(spark, sf_dir):
     return checks.validation_report(
-        faulty_events(spark, sf_dir), expected_users(spark, sf_dir), EVENT_SPECS
+        thin_events(spark, sf_dir), expected_users(spark, sf_dir), EVENT_SPECS
     )
 
 
@@ -359,7 +372,7 @@ def _(spark, sf_dir):
     return _flat(found)
 
 
-def _ordered_label_join(spark, sf_dir, max_ids=10):
+def _ordered_label_join(spark, sf_dir, max_ids=None):
     records = table(spark, sf_dir, "orders").selectExpr(
         "o_orderkey",
         "transform(sequence(0, 11), i -> CASE i WHEN 11 THEN o_custkey + 34 "
@@ -369,9 +382,48 @@ def _ordered_label_join(spark, sf_dir, max_ids=10):
     return _flat(ordered_labels(records, labels, "o_orderkey", max_ids=max_ids))
 
 
-# the labels of the first ten ids, and of all
+# the labels of all ids (under both names), and of the first ten
 query("ordered_label_join")(_ordered_label_join)
-query("ordered_label_join_all")(partial(_ordered_label_join, max_ids=None))
+query("ordered_label_join_all")(_ordered_label_join)
+query("ordered_label_join_first_ten")(partial(_ordered_label_join, max_ids=10))
+
+
+def _label_ids(spark, sf_dir):
+    return table(spark, sf_dir, "orders").selectExpr(
+        "o_orderkey", "transform(sequence(0, 11), i -> concat('Q', o_custkey * 3 + i * 17)) AS ids"
+    )
+
+
+@query("nested_labels")
+def _(spark, sf_dir):
+    """One response per order; some ids are absent from it, some have no label, some a blank one."""
+    answered = _label_ids(spark, sf_dir).selectExpr(
+        "o_orderkey",
+        "ids",
+        """parse_json(concat('{"entities":{', array_join(
+             transform(filter(ids, id -> int(substr(id, 2)) % 7 <> 0), id -> concat(
+               '"', id, '":{"labels":{', CASE int(substr(id, 2)) % 5 WHEN 0 THEN '' WHEN 1 THEN '"en":{"value":""}'
+               ELSE concat('"en":{"language":"en","value":"genre ', int(substr(id, 2)) % 97, '"}') END, '}}')),
+             ','), '}}')) AS response""",
+    )
+    return _flat(
+        answered.select("o_orderkey", nested_labels(F.col("response"), F.col("ids")).alias("labels"))
+    )
+
+
+@query("exploded_labels")
+def _(spark, sf_dir):
+    """Responses apart from the records: one per part, which answers for itself and for an id that many share."""
+    responses = table(spark, sf_dir, "part").selectExpr(
+        """parse_json(concat('{"entities":{"Q', p_partkey, '":{"labels":{"en":{"value":"', p_name,
+             '"}}},"Q', 1000000000 + p_partkey % 3, '":{"labels":{"en":{"value":"shared ', p_partkey % 3,
+             '"}}}}}')) AS response"""
+    )
+    records = table(spark, sf_dir, "orders").selectExpr(
+        "o_orderkey",
+        "array(concat('Q', o_custkey), concat('Q', 1000000000 + o_orderkey % 4), concat('Q', o_custkey + 1)) AS ids",
+    )
+    return _flat(ordered_labels(records, exploded_labels(responses), "o_orderkey"))
 
 
 @query("rolling_month_window")
@@ -390,14 +442,14 @@ def _(spark, sf_dir):
 # --- raw records -----------------------------------------------------------
 
 
-def _payloads(facts, payload):
+def _payloads(facts, source, payload):
     return facts.select(
-        F.lit("deezer").alias("source"), "snapshot_date", F.expr(payload).alias("payload")
+        F.lit(source).alias("source"), "snapshot_date", F.expr(payload).alias("payload")
     )
 
 
 def _raw_by_source(facts, payloads):
-    return {s: parse_raw(_payloads(facts, payload), s) for s, payload in payloads.items()}
+    return {s: parse_raw(_payloads(facts, s, payload), s) for s, payload in payloads.items()}
 
 
 def _typed(raw):
@@ -414,7 +466,7 @@ def _typed(raw):
 @query("raw_json_scan")
 def _(spark, sf_dir):
     root = f"{work_dir(spark)}/raw"
-    land_raw(_payloads(obs_sales(spark, sf_dir), BROKEN_DEEZER), root)
+    land_raw(_payloads(obs_sales(spark, sf_dir), "deezer", BROKEN_DEEZER), root)
     return _typed(scan_raw(spark, root, "deezer"))
 
 
@@ -468,7 +520,7 @@ def _(spark, sf_dir):
 
 def _normalized(source, **options):
     def run(spark, sf_dir):
-        raw = parse_raw(_payloads(obs_sales(spark, sf_dir), PAYLOADS[source]), source)
+        raw = parse_raw(_payloads(obs_sales(spark, sf_dir), source, PAYLOADS[source]), source)
         dim = entity_dim(customer_entities(spark, sf_dir))
         return _flat(accepted(normalize_source(raw, source, RUN_DATE, dim, **options)))
 
@@ -488,10 +540,11 @@ NORMALIZERS = {
 }
 for _key, _source in NORMALIZERS.items():
     query(_key)(_normalized(_source))
-# the sources whose tag lists have a limit, without it
+# the sources with tag lists: whole under both names, and the short lists
 TAG_LISTS = ("norm_nested_struct", "norm_stats_tags", "norm_rating_tags", "norm_claim_labels")
 for _key in TAG_LISTS:
-    query(f"{_key}_all")(_normalized(NORMALIZERS[_key], max_tags=None))
+    query(f"{_key}_all")(_normalized(NORMALIZERS[_key]))
+    query(f"{_key}_first_five")(_normalized(NORMALIZERS[_key], max_tags=SHORT_LIST))
 
 
 def _normalize_union(spark, sf_dir, **options):
@@ -502,7 +555,23 @@ def _normalize_union(spark, sf_dir, **options):
 
 
 query("normalize_union")(_normalize_union)
-query("normalize_union_all")(partial(_normalize_union, max_tags=None))
+query("normalize_union_all")(_normalize_union)
+query("normalize_union_first_five")(partial(_normalize_union, max_tags=SHORT_LIST))
+
+
+@query("normalize_landed")
+def _(spark, sf_dir):
+    """All nine sources through files: landed as lines, read back, mapped."""
+    root = f"{work_dir(spark)}/raw"
+    facts = obs_sales(spark, sf_dir).withColumn("snapshot_date", F.lit(RUN_DATE).cast("date"))
+    each = [
+        F.struct(F.lit(s).alias("source"), F.expr(payload).alias("payload")) for s, payload in PAYLOADS.items()
+    ]
+    land_raw(facts.select("snapshot_date", F.inline(F.array(*each))), root)
+    lines = raw_lines(spark, root)
+    raw = {s: of_source(lines, s, RUN_DATE) for s in PAYLOADS}
+    dim = entity_dim(customer_entities(spark, sf_dir))
+    return _flat(accepted(normalize_all(raw, RUN_DATE, dim)))
 
 
 # --- snapshot store --------------------------------------------------------
@@ -536,3 +605,123 @@ def _(spark, sf_dir):
     rerun = latest_snapshot(facts).where("source = '1-URGENT'")
     replace_snapshots(rerun.withColumn("score", F.col("score") + 1), root)
     return _flat(scan_snapshots(spark, root))
+
+
+@query("snapshot_failed_swap")
+def _(spark, sf_dir):
+    """A replacement that fails while it is written, with and without adaptive execution, changes nothing."""
+    root = _store(spark)
+    facts = obs_sales(spark, sf_dir)
+    replace_snapshots(facts, root)
+    newest = newest_date(spark, root)
+    lost = F.when(F.col("entity_id").isNotNull(), F.raise_error(F.lit("lost in the write")).cast("string"))
+    poisoned = latest_snapshot(facts, newest).withColumn("tags", lost)
+    adaptive = spark.conf.get("spark.sql.adaptive.enabled")
+    for setting in ("true", "false"):  # without it the write is the stage that fails
+        spark.conf.set("spark.sql.adaptive.enabled", setting)
+        try:
+            replace_snapshots(poisoned, root, newest)
+        except Exception as failure:
+            if "lost in the write" not in str(failure):
+                raise
+        else:
+            raise AssertionError("the poisoned write did not fail")
+        finally:
+            spark.conf.set("spark.sql.adaptive.enabled", adaptive)
+    return _flat(scan_snapshots(spark, root))
+
+
+@query("snapshot_newest")
+def _(spark, sf_dir):
+    """The newest date with rows of two sources, after one day became empty and the next kept others only."""
+    root = _store(spark)
+    facts = obs_events(spark, sf_dir)
+    replace_snapshots(facts, root)
+    last, before = sorted((r.snapshot_date for r in snapshot_dates(spark, root).collect()), reverse=True)[:2]
+    day = F.col("snapshot_date")
+    replace_snapshots(facts.limit(0), root, last)
+    replace_snapshots(facts.where((day == F.lit(before)) & ~F.col("source").isin("view", "click")), root, before)
+    newest = newest_date(spark, root, ["view", "click"])
+    return _flat(scan_snapshots(spark, root, [newest]).where(day == F.lit(newest)))
+
+
+@query("snapshot_dates")
+def _(spark, sf_dir):
+    """Which dates are stored and how often each was replaced, told by a listing."""
+    root = _store(spark)
+    facts = obs_sales(spark, sf_dir)
+    replace_snapshots(facts, root)
+    replace_snapshots(latest_snapshot(facts, newest_date(spark, root)), root)
+    return _flat(snapshot_dates(spark, root).select("snapshot_date", "replacements"))
+
+
+@query("entity_profile_stored")
+def _(spark, sf_dir):
+    """One entity out of a written store, by the stored key of its name, under its configured spelling."""
+    root = _store(spark)
+    replace_snapshots(spelling_variants(obs_sales(spark, sf_dir)), root)
+    dim = entity_dim(table(spark, sf_dir, "customer").selectExpr("c_custkey AS seq", "c_name AS entity_name"))
+    rows = identity.canonicalize_names(scan_entity(spark, root, "CUSTOMER-000000007"), dim, unknown=None)
+    return _flat(q.entity_profile(rows, "customer#000000007", order=("5-LOW", "3-MEDIUM")))
+
+
+@query("missing_columns_report")
+def _(spark, sf_dir):
+    """What files of older writers lack: the newest date is stored without tags and with a short score."""
+    root = _store(spark)
+    facts = obs_sales(spark, sf_dir)
+    replace_snapshots(facts, root)
+    newest, version = newest_date(spark, root), versions.new_version()
+    old_style = latest_snapshot(facts, newest).drop("tags", "snapshot_date").withColumn("score", F.col("score").cast("int"))
+    old_style.write.parquet(f"{versions.folder(root, version)}/snapshot_date={newest}")
+    versions.publish(spark, root, [str(newest)], version)
+    return _flat(checks.missing_columns_report(stored_columns(spark, root)))
+
+
+# --- lookup cache ----------------------------------------------------------
+
+
+@query("cache_roundtrip")
+def _(spark, sf_dir):
+    """Two rounds of lookups through a stored cache, a broken file beside the good ones, and a lost cache."""
+    root = f"{work_dir(spark)}/cache"
+    customers = table(spark, sf_dir, "customer")
+    priorities = (
+        table(spark, sf_dir, "orders").groupBy("o_custkey").agg(F.max("o_orderpriority").alias("record"))
+    )
+    known = priorities.join(customers, F.col("o_custkey") == F.col("c_custkey"))
+    schema = "entity_name string, record string"
+
+    def look_up(prefix):
+        return lambda missing: known.selectExpr(
+            "c_name AS entity_name", f"concat('{prefix}', record) AS record"
+        ).join(missing, "entity_name", "left_semi")
+
+    few = customers.where("c_nationkey < 10").selectExpr("c_name AS entity_name")
+    enrich_and_remember(few, root, look_up("first "), schema)
+    live = versions.folder(root, versions.current(spark, root)["cache"].version)
+    create(spark, f"{live}/part-broken.parquet", b"no parquet at all")
+    everyone = customers.selectExpr("c_name AS entity_name")
+    second = enrich_and_remember(everyone, root, look_up("second "), schema)
+    return second.withColumn("n_rounds", F.lit(cache_round(spark, root)).cast("long"))
+
+
+@query("cache_lost_file")
+def _(spark, sf_dir):
+    """All files of the cache's newest version are broken: everything is looked up again and nothing fails."""
+    root = f"{work_dir(spark)}/cache"
+    names_of = table(spark, sf_dir, "customer").selectExpr("c_name AS entity_name")
+    schema = "entity_name string, record string"
+
+    def look_up(missing):
+        return missing.select("entity_name", F.reverse("entity_name").alias("record"))
+
+    enrich_and_remember(names_of, root, look_up, schema)
+    live = versions.folder(root, versions.current(spark, root)["cache"].version)
+    for name in names(spark, live):
+        if name.endswith(".parquet"):
+            delete(spark, f"{live}/{name}")
+            create(spark, f"{live}/{name}", b"PAR1 torn")
+    again = enrich_and_remember(names_of, root, look_up, schema)
+    rounds = load_cache(spark, root, schema).select("entity_name", F.col(ROUND).alias("written_in"))
+    return again.join(rounds, "entity_name")

@@ -8,8 +8,8 @@ from pyspark.sql import functions as F
 from renown.functions.variants import is_object, items, text
 
 SEPARATOR = ", "
-#: Length of a short tag list; where a limit is taken, ``None`` means all tags.
-MAX_TAGS = 5
+#: Length of a short tag list, for those who ask for one; lists are whole by default.
+SHORT_LIST = 5
 
 
 def join_or_null(tags: Column) -> Column:
@@ -22,7 +22,7 @@ def first_of(listed: Column, most: int | None) -> Column:
     return listed if most is None else F.slice(listed, 1, most)
 
 
-def first_names(listed: Column, most: int | None = MAX_TAGS) -> Column:
+def first_names(listed: Column, most: int | None = None) -> Column:
     """Non-blank names among the first tags of a list, blanks dropped after the cut.
 
     Elements are plain text or objects with a ``name``.

@@ -42,7 +42,8 @@ def is_blank(value: Column) -> Column:
 
 
 def is_object(value: Column) -> Column:
-    return F.coalesce(F.schema_of_variant(value).startswith("OBJECT"), F.lit(False))
+    """Only an object can be read as a map. Its values stay unread, whatever lies below them."""
+    return F.try_variant_get(value, "$", "map<string,variant>").isNotNull()
 
 
 def not_an_object(value: Column) -> Column:

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from renown.model import (
     DEFAULT_METRIC_COVERAGE,
     FACT_COLUMNS,
+    FACT_SCHEMA,
     MIN_SOURCE_COUNT,
     SOURCES,
     SourceSpec,
@@ -117,6 +118,35 @@ def _row(check: str, passed: Column, observed: Column, threshold: Column, source
     )
 
 
+def missing_columns_report(stored: DataFrame) -> DataFrame:
+    """Per date and expected column, whether its files hold it: (snapshot_date, column, expected_type, stored_type, passed).
+
+    ``stored`` has one row per date and column of the files, as ``stored_columns`` gives them. A column
+    of another type does not pass. The date itself is a folder, not a column of the files.
+    """
+    expected = [f for f in FACT_SCHEMA.fields if f.name != "snapshot_date"]
+    wanted = F.explode(
+        F.array(
+            *[
+                F.struct(F.lit(f.name).alias("column"), F.lit(f.dataType.simpleString()).alias("expected_type"))
+                for f in expected
+            ]
+        )
+    )
+    dates = stored.select("snapshot_date").distinct().select("snapshot_date", wanted.alias("w"))
+    return (
+        dates.select("snapshot_date", "w.*")
+        .join(stored.select("snapshot_date", "column", "stored_type"), ["snapshot_date", "column"], "left")
+        .withColumn("passed", F.coalesce(F.col("stored_type") == F.col("expected_type"), F.lit(False)))
+    )
+
+
+def absent_columns(stored: DataFrame) -> list[str]:
+    """Fact columns that the files of some date lack, at most the width of a fact."""
+    lacking = missing_columns_report(stored).where(F.col("stored_type").isNull())
+    return sorted(r["column"] for r in lacking.select("column").distinct().collect())
+
+
 def missing_columns(facts: DataFrame) -> list[str]:
     return sorted(set(FACT_COLUMNS) - set(facts.columns))
 
@@ -141,7 +171,7 @@ def validation_report(
     absent = missing_columns(facts)
     if absent:
         verdict = [
-            _row("required columns", F.lit(False), F.lit(len(absent)), F.lit(0)),
+            _row("columns present", F.lit(False), F.lit(len(absent)), F.lit(0)),
             _row(OVERALL, F.lit(False), F.lit(1), F.lit(0)),
         ]
         return facts.sparkSession.range(1).select(
@@ -212,8 +242,8 @@ def validation_report(
         return sum((flag.cast("int") for flag in flags), F.lit(0))
 
     checks = [
-        _row("required columns", F.lit(True), F.lit(0), F.lit(0)),
-        zero_violations("non-null keys", "null_keys"),
+        _row("columns present", F.lit(True), F.lit(0), F.lit(0)),
+        zero_violations("keys filled", "null_keys"),
         _row(
             "entity count",
             F.col("entities.present") == n_expected,
@@ -232,10 +262,10 @@ def validation_report(
             share = F.when(n_expected > 0, rows_of[name] / n_expected).otherwise(F.lit(0.0))
             covered = _row("coverage", share >= least[name], share, F.lit(least[name]), name)
             checks.append(F.when(rows_of[name].isNotNull(), covered))
-    checks.append(zero_violations("non-negative metrics", "negative"))
+    checks.append(zero_violations("no metric below zero", "negative"))
     checks.append(
         zero_violations(
-            "required metrics populated", missing([scored_of[name] == 0 for name in required])
+            "required sources scored", missing([scored_of[name] == 0 for name in required])
         )
     )
     for name in required:

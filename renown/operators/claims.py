@@ -7,6 +7,9 @@ from pyspark.sql import functions as F
 
 from renown.functions.variants import items, text
 
+#: Where a label lies below its id, and where ids lie in a response.
+LABEL_PATH, ENTITIES = "$.labels.en.value", "$.entities"
+
 GENRE_PROPERTY = "P136"
 
 
@@ -44,3 +47,35 @@ def ordered_labels(
         .agg(F.sort_array(F.collect_list(F.struct("position", "label"))).alias("pairs"))
         .select(key, F.col("pairs.label").alias("labels"))
     )
+
+
+def nested_labels(
+    response: Column, ids: Column, max_ids: int | None = None, path: str = LABEL_PATH
+) -> Column:
+    """Labels of ids out of the response that answers for them, in the order of the ids.
+
+    ``response`` is VARIANT with a map from id to record under ``entities``. The map becomes a column
+    and every id is looked up in its own row, so nothing is joined or shuffled. Ids the map lacks, records
+    without a label and blank labels drop out; a response without such a map gives an empty list.
+    """
+    wanted = ids if max_ids is None else F.slice(ids, 1, max_ids)
+    known = F.try_variant_get(response, ENTITIES, "map<string,variant>")
+    labels = F.transform(wanted, lambda one: text(F.element_at(known, one), path))
+    found = F.filter(labels, lambda label: F.coalesce(label, F.lit("")) != "")
+    return F.coalesce(found, F.array().cast("array<string>"))
+
+
+def exploded_labels(responses: DataFrame, response: str = "response", path: str = LABEL_PATH) -> DataFrame:
+    """(id, label) of every id that any of the responses answers for, one row per id.
+
+    For responses that lie apart from the records; feed it to ``ordered_labels``. Of several labels of
+    one id the first in text order counts. An id in most of the responses collapses before the shuffle.
+    """
+    entities = F.try_variant_get(response, ENTITIES, "map<string,variant>")
+    return (
+        responses.select(F.explode(entities).alias("id", "entity"))
+        .select("id", text(F.col("entity"), path).alias("label"))
+        .where(F.coalesce("label", F.lit("")) != "")
+        .groupBy("id")
+        .agg(F.min("label").alias("label"))
+    )

@@ -1,8 +1,11 @@
 """Raw records of nine sources to one fact table.
 
-Every mapper is a projection: it says where the fact columns come from and
-which records it cannot read. Broken records stay in the output with a reason
-until ``accepted`` and ``rejected`` split them, so nothing fails and nothing is lost.
+Every mapper says where the fact columns come from and which records it cannot read. Mapping
+has two phases: a record is judged first, on the fields that its reasons look at, and facts
+are a projection on top of the judged record. So a reader of the rejects works out no
+fact, a reader of the facts works them out for good records alone, and each reason is
+worked out once. Broken records stay in the output with a reason until ``accepted`` and
+``rejected`` split them, so nothing fails and nothing is lost.
 """
 
 from __future__ import annotations
@@ -16,7 +19,7 @@ from pyspark.sql import functions as F
 
 from renown.functions import variants as v
 from renown.functions.names import non_blank
-from renown.functions.tags import MAX_TAGS, distinct_tags, first_names, first_of, join_or_null, tags_or_text
+from renown.functions.tags import distinct_tags, first_names, first_of, join_or_null, tags_or_text
 from renown.model import FACT_COLUMNS, FACT_SCHEMA
 from renown.operators.identity import canonicalize_names
 from renown.sources.raw import CORRUPT
@@ -30,9 +33,9 @@ SAME_NAME = "same"
 class SourceMap:
     """Fact columns of one source; what is not named is null.
 
-    ``parts`` are intermediate columns, stage by stage, each stage reading the
-    ones before. Values used more than once belong there, so that they are
-    worked out once per record.
+    ``parts`` are intermediate columns, stage by stage, each stage reading the ones before:
+    values that a reason looks at. ``late`` are those that facts alone need. Values used
+    more than once belong there, so that they are worked out once per record.
     """
 
     entity_id: Column
@@ -43,6 +46,7 @@ class SourceMap:
     id_rule: Column = field(default_factory=lambda: F.lit(None).cast("string"))
     broken: Mapping[str, Column] = field(default_factory=dict)
     parts: Sequence[Mapping[str, Column]] = ()
+    late: Sequence[Mapping[str, Column]] = ()
 
 
 def _spotify(max_tags: int | None) -> SourceMap:
@@ -50,8 +54,9 @@ def _spotify(max_tags: int | None) -> SourceMap:
     score, bad_score = v.optional_count(F.col("popularity"))
     reach, bad_reach = v.optional_count(F.col("_total"))
     return SourceMap(
-        parts=[
-            {"_total": v.member(followers, "$.total"), "_listed": v.items(F.col("genres"))},
+        parts=[{"_total": v.member(followers, "$.total")}],
+        late=[
+            {"_listed": v.items(F.col("genres"))},
             {"_names": first_names(F.col("_listed"), max_tags)},
         ],
         entity_id=v.identifier(F.col("id")),
@@ -75,13 +80,13 @@ def _lastfm(max_tags: int | None) -> SourceMap:
     return SourceMap(
         parts=[
             {
-                "_mbid": v.text(F.col("mbid")),
                 "_listeners": v.member(stats, "$.listeners"),
                 "_playcount": v.member(stats, "$.playcount"),
                 "_listed": v.records(tags, "name:string", "$.tag"),
             },
             {"_names": first_of(listed, max_tags)["name"]},
         ],
+        late=[{"_mbid": v.text(F.col("mbid"))}],
         entity_id=F.col("_mbid"),
         id_rule=F.when(no_id, F.lit(COMPACT_NAME)),
         score=reach,
@@ -123,6 +128,9 @@ def _musicbrainz(max_tags: int | None) -> SourceMap:
 
     best = first_of(F.sort_array(F.transform(listed, weighed)), max_tags)
     names = F.col("_best.name")
+    # All tags count unless a limit cuts the sorted list; then only those before the cut are asked.
+    sorting = {"_best": best}
+    judged_names = listed["name"] if max_tags is None else names
     null_count = F.exists(listed, lambda tag: F.is_variant_null(tag["count"]))
     return SourceMap(
         parts=[
@@ -133,9 +141,10 @@ def _musicbrainz(max_tags: int | None) -> SourceMap:
             },
             {
                 "_scaled": (F.try_variant_get("_stars", "$", "double") * 20).try_cast("bigint"),
-                "_best": best,
+                **({} if max_tags is None else sorting),
             },
         ],
+        late=[sorting] if max_tags is None else [],
         entity_id=v.identifier(F.col("id")),
         score=F.when(no_stars, F.lit(0)).otherwise(scaled),
         reach=votes,
@@ -146,7 +155,7 @@ def _musicbrainz(max_tags: int | None) -> SourceMap:
             "rating.votes-count: no count": bad_votes,
             "tags: no list": listed.isNull() & ~v.is_blank(tags),
             "tags: null count": (F.array_size(listed) > 1) & null_count,
-            "tags: tag without name": F.exists(names, lambda name: name.isNull()),
+            "tags: tag without name": F.exists(judged_names, lambda name: name.isNull()),
         },
     )
 
@@ -193,7 +202,7 @@ def _itunes(max_tags: int | None) -> SourceMap:
 def _wikidata(max_tags: int | None) -> SourceMap:
     labels = F.col("genre_labels")
     return SourceMap(
-        parts=[
+        late=[
             {"_listed": v.items(labels)},
             {"_names": first_names(F.col("_listed"), max_tags)},
         ],
@@ -215,8 +224,28 @@ MAPPERS = {
 }
 
 
+def _judged(raw: DataFrame, mapping: SourceMap) -> DataFrame:
+    """The raw columns, the parts and ``reject_reason``.
+
+    ``inline`` holds the row as worked out here. A later filter on the reason would otherwise be
+    pushed below and work out the reason a second time.
+    """
+    reason = F.coalesce(
+        F.when(F.col(CORRUPT).isNotNull(), F.lit("malformed JSON")),
+        *[F.when(bad, F.lit(reason)) for reason, bad in mapping.broken.items()],
+    )
+    staged = raw
+    for part in mapping.parts:
+        staged = staged.withColumns(dict(part))
+    row = F.struct(*staged.columns, reason.alias("reject_reason"))
+    return staged.select(F.inline(F.array(row)))
+
+
 def _map(raw: DataFrame, source: str, snapshot_date, max_tags: int | None) -> DataFrame:
     mapping = MAPPERS[source](max_tags)
+    facts = _judged(raw, mapping)
+    for part in mapping.late:
+        facts = facts.withColumns(dict(part))
     known = {
         "entity_name": F.coalesce(non_blank(F.col("source_artist_name")), F.col("name")),
         "entity_id": mapping.entity_id,
@@ -231,35 +260,23 @@ def _map(raw: DataFrame, source: str, snapshot_date, max_tags: int | None) -> Da
         (F.lit(None) if known[f.name] is None else known[f.name]).cast(f.dataType).alias(f.name)
         for f in FACT_SCHEMA.fields
     ]
-    reason = F.coalesce(
-        F.when(F.col(CORRUPT).isNotNull(), F.lit("malformed JSON")),
-        *[F.when(bad, F.lit(reason)) for reason, bad in mapping.broken.items()],
-    )
     fields = [c for c in raw.columns if c != CORRUPT]
     record = F.when(
         F.col("reject_reason").isNotNull(),
         F.coalesce(F.col(CORRUPT), F.to_json(F.struct(*fields))),
     )
-    staged = raw
-    for part in mapping.parts:
-        staged = staged.withColumns(dict(part))
-    judged = staged.withColumn("reject_reason", reason)
-    # inline keeps the row as worked out here. A later filter on the reason
-    # would otherwise be pushed below and work out everything a second time.
-    row = F.struct(*columns, mapping.id_rule.alias("id_rule"), "reject_reason", record.alias("record"))
-    return judged.select(F.inline(F.array(row)))
+    return facts.select(*columns, mapping.id_rule.alias("id_rule"), "reject_reason", record.alias("record"))
 
 
 def normalize_all(
     raw_by_source: Mapping[str, DataFrame],
     snapshot_date,
     dim: DataFrame | None = None,
-    max_tags: int | None = MAX_TAGS,
+    max_tags: int | None = None,
 ) -> DataFrame:
     """Map every known source, union by name, then settle names and ids once.
 
-    Unknown sources are ignored and duplicates kept. Lists of tags end after ``max_tags``, with
-    ``None`` they are whole. The result has the fact
+    Unknown sources are ignored and duplicates kept. Lists of tags are whole, or end after ``max_tags``. The result has the fact
     columns plus ``reject_reason`` and ``record``, the raw text of a rejected row.
     """
     mapped = [
@@ -291,7 +308,7 @@ def normalize_source(
     source: str,
     snapshot_date,
     dim: DataFrame | None = None,
-    max_tags: int | None = MAX_TAGS,
+    max_tags: int | None = None,
 ) -> DataFrame:
     """``normalize_all`` for one source."""
     return normalize_all({source: raw}, snapshot_date, dim, max_tags)

@@ -9,15 +9,22 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from renown.model import SOURCES, SourceSpec, enabled_sources
-from renown.operators.checks import passes, validation_report
+from renown.operators.checks import absent_columns, passes, validation_report
 from renown.operators.identity import canonicalize_names
 from renown.operators.normalize import accepted, normalize_all, rejected
-from renown.operators.snapshot import enabled_only
 from renown.plans.queries import all_queries
-from renown.session import work_dir
+from renown.sources import versions
 from renown.sources.dims import entity_dim
+from renown.sources.files import work_folder
+from renown.sources.quarantine import write_quarantine
 from renown.sources.raw import of_source, raw_lines
-from renown.sources.snapshots import latest_date, replace_snapshots, scan_snapshots
+from renown.sources.snapshots import (
+    newest_date,
+    scan_entity,
+    scan_snapshots,
+    stored_columns,
+    write_version,
+)
 
 MODES = ("full", "query", "validate")
 
@@ -47,32 +54,33 @@ def ingest_snapshot(
     """Normalise one landed date and store it; broken records go to quarantine.
 
     The raw JSON is parsed once: the mapped rows are written to a work table in
-    the shared folder, split by outcome, and both sinks read their part from there.
+    the shared folder, split by outcome, and both sinks read their part from there. Both sinks
+    are complete before the first of the two pointers moves, the quarantine's, so a failure
+    leaves the old facts and at most shows new reasons beside them.
     """
     lines = raw_lines(spark, raw_root)
     raw = {s: of_source(lines, s, snapshot_date) for s in enabled_sources(specs)}
     normalized = normalize_all(raw, snapshot_date, dim, max_tags)
-    staged_at = f"{work_dir(spark)}/normalized"
     outcome = F.col("reject_reason").isNotNull().alias("is_rejected")
-    normalized.select("*", outcome).write.partitionBy("is_rejected").parquet(staged_at)
-    staged = spark.read.schema(normalized.schema.add("is_rejected", "boolean")).parquet(staged_at)
-    # Quarantine first: a failure in between leaves the old facts, and the reasons at hand.
-    # The date's folder is replaced as a whole, so a clean rerun empties it.
-    (
-        rejected(staged.where("is_rejected"))
-        .drop("snapshot_date")
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "static")
-        .partitionBy("source")
-        .json(f"{quarantine_root.rstrip('/')}/snapshot_date={snapshot_date}")
-    )
-    facts = accepted(staged.where(~F.col("is_rejected")))
-    replace_snapshots(facts, store_root, snapshot_date)
-
-
-def load_facts(spark: SparkSession, store_root: str, dim: DataFrame) -> DataFrame:
-    """All stored snapshots under today's canonical names; null names stay null."""
-    return canonicalize_names(scan_snapshots(spark, store_root), dim, unknown=None)
+    with work_folder(spark) as staged_at:
+        normalized.select("*", outcome).write.partitionBy("is_rejected").parquet(staged_at)
+        schema = normalized.schema.add("is_rejected", "boolean")
+        staged = spark.read.schema(schema).parquet(staged_at)
+        broken = write_quarantine(rejected(staged.where("is_rejected")), quarantine_root, snapshot_date)
+        facts = accepted(staged.where(~F.col("is_rejected")))
+        stored, dates = write_version(facts, store_root, snapshot_date)
+    versions.publish(spark, quarantine_root, [str(snapshot_date)], broken)
+    versions.publish(spark, store_root, dates, stored)
+
+
+def load_facts(spark: SparkSession, store_root: str, dim: DataFrame, dates=None) -> DataFrame:
+    """Stored snapshots, all or some dates, under today's canonical names; null names stay null."""
+    return canonicalize_names(scan_snapshots(spark, store_root, dates), dim, unknown=None)
+
+
+def load_profile(spark: SparkSession, store_root: str, dim: DataFrame, name: str) -> DataFrame:
+    """All stored facts of one name. The stored key cuts first, names are settled on what is left."""
+    return canonicalize_names(scan_entity(spark, store_root, name), dim, unknown=None)
 
 
 def run(
@@ -96,6 +104,9 @@ def run(
     ``skip_validation`` is set and raises QualityGateError when a check fails.
     ``whole`` gives the questions' whole answers, unsorted, in place of their top lists. All tags
     of a record are stored unless ``max_tags`` is set.
+
+    Only the profile looks at more than the newest date, by the stored key; the published view spans all
+    dates and reads nothing until it is asked.
     """
     if mode not in MODES:
         raise ValueError(f"mode must be one of {MODES}, not {mode!r}")
@@ -106,12 +117,19 @@ def run(
             snapshot_date = spark.sql("SELECT current_date()").first()[0]
         ingest_snapshot(spark, raw_root, store_root, quarantine_root, snapshot_date, dim, specs, max_tags)
 
-    as_of = latest_date(enabled_only(scan_snapshots(spark, store_root), sources))
-    facts = load_facts(spark, store_root, dim)
-    queries = {} if mode == "validate" else all_queries(facts, sources, profile_of, as_of, whole)
+    as_of = newest_date(spark, store_root, sources)
+    days = [] if as_of is None else [as_of]
+    latest = load_facts(spark, store_root, dim, days)
+    queries = {}
+    if mode != "validate":
+        history = load_facts(spark, store_root, dim)
+        profile = load_profile(spark, store_root, dim, profile_of)
+        queries = all_queries(history, sources, profile_of, as_of, whole, latest, profile)
     if skip_validation:
         return Outcome(queries, None)
-    report = validation_report(facts, entities, specs, as_of)
+    # What the files lack must not pass as null, so the gate sees the columns that are there.
+    absent = absent_columns(stored_columns(spark, store_root, days))
+    report = validation_report(latest.drop(*absent), entities, specs, as_of)
     if not passes(report):
         raise QualityGateError(f"snapshot {as_of} failed validation")
     return Outcome(queries, report)

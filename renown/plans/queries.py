@@ -24,9 +24,9 @@ from renown.model import (
     TAG_PRIORITY,
     Metric,
 )
-from renown.operators.ranking import rank_signals, value_ranks
+from renown.operators.ranking import rank_signals
 from renown.operators.signals import metric_rows, of_source, pivot_metrics, priority_tags
-from renown.operators.snapshot import latest_snapshot, publish_view
+from renown.operators.snapshot import enabled_only, latest_snapshot, publish_view
 
 
 def _top(df: DataFrame, n: int | None, *order: Column) -> DataFrame:
@@ -90,37 +90,33 @@ def source_gap(
 ) -> DataFrame:
     """Entities whose rank differs most between signals.
 
-    The top list is found on counts and extremes alone. Only its members have
-    their ranks gathered into a list, so no list is built for an entity that
-    is not shown.
+    One pass: an entity's ranks are gathered as numbers beside their extremes, and only the rows
+    of the top list have them sorted and spelled out.
     """
-    metrics = metric_rows(facts, signals)
-    detail = F.concat("signal", F.lit("="), F.col("signal_rank").cast("string"))
-    details = F.sort_array(F.collect_list(detail)).alias("rank_details")
-    summary = [
-        F.count("*").alias("signals_present"),
-        F.min("signal_rank").alias("best_rank"),
-        F.max("signal_rank").alias("worst_rank"),
-        (F.max("signal_rank") - F.min("signal_rank")).alias("rank_spread"),
-    ]
-    several = F.col("signals_present") >= 2
-    per_entity = rank_signals(metrics).groupBy("entity_name")
-    if n is None:
-        return per_entity.agg(*summary, details).where(several)
-
-    order = (F.desc("rank_spread"), F.desc("signals_present"), F.asc("entity_name"))
-    shown = per_entity.agg(*summary).where(several).orderBy(*order).limit(n)
-    names = shown.select(F.col("entity_name").alias("shown_name"))
-    gathered = (
-        metrics.join(names, F.col("entity_name").eqNullSafe(F.col("shown_name")), "left_semi")
-        .join(value_ranks(metrics), ["signal", "value"])
-        .groupBy(F.col("entity_name").alias("shown_name"))
-        .agg(details)
+    place = F.struct("signal", "signal_rank")
+    per_entity = (
+        rank_signals(metric_rows(facts, signals))
+        .groupBy("entity_name")
+        .agg(
+            F.count("*").alias("signals_present"),
+            F.min("signal_rank").alias("best_rank"),
+            F.max("signal_rank").alias("worst_rank"),
+            F.collect_list(place).alias("places"),
+        )
+        .where(F.col("signals_present") >= 2)
+        .withColumn("rank_spread", F.col("worst_rank") - F.col("best_rank"))
     )
-    return (
-        shown.join(gathered, F.col("entity_name").eqNullSafe(F.col("shown_name")))
-        .select(*shown.columns, "rank_details")
-        .orderBy(*order)
+    shown = _top(
+        per_entity, n, F.desc("rank_spread"), F.desc("signals_present"), F.asc("entity_name")
+    )
+    spelled = F.transform("places", lambda p: F.concat(p["signal"], F.lit("="), p["signal_rank"].cast("string")))
+    return shown.select(
+        "entity_name",
+        "signals_present",
+        "best_rank",
+        "worst_rank",
+        "rank_spread",
+        F.sort_array(spelled).alias("rank_details"),
     )
 
 
@@ -232,17 +228,24 @@ def all_queries(
     profile_of: str,
     as_of=None,
     whole: bool = False,
+    latest: DataFrame | None = None,
+    profile: DataFrame | None = None,
 ) -> dict[str, DataFrame]:
-    """Publish the view and return the whole suite by name; ``whole`` lists are not cut to their top."""
+    """Publish the view and return the whole suite by name; ``whole`` lists are not cut to their top.
+
+    ``latest`` and ``profile`` are the parts of ``facts`` that the questions on the newest date and
+    on one name look at, where the caller can read them for less than all.
+    """
     top = {"n": None} if whole else {}
     kept = publish_view(facts, sources)
-    latest = latest_snapshot(kept, as_of)
+    newest = latest_snapshot(kept if latest is None else enabled_only(latest, sources), as_of)
+    of_name = kept if profile is None else enabled_only(profile, sources)
     return {
-        "scorecard": scorecard(latest, **top),
-        "composite_reach": composite_reach(latest, **top),
-        "source_gap": source_gap(latest, **top),
-        "tag_reach": tag_reach(latest, **top),
-        "metadata_coverage": metadata_coverage(latest, **top),
-        "entity_profile": entity_profile(kept, profile_of),
-        "health_summary": health_summary(latest),
+        "scorecard": scorecard(newest, **top),
+        "composite_reach": composite_reach(newest, **top),
+        "source_gap": source_gap(newest, **top),
+        "tag_reach": tag_reach(newest, **top),
+        "metadata_coverage": metadata_coverage(newest, **top),
+        "entity_profile": entity_profile(of_name, profile_of),
+        "health_summary": health_summary(newest),
     }

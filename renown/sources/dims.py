@@ -9,14 +9,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from renown.functions.names import canonical_key
+from renown.model import TITLE_OVERRIDES
 
 
 def entity_list(
-    spark: SparkSession, names: Iterable[str], title_overrides: Mapping[str, str] | None = None
+    spark: SparkSession, names: Iterable[str], title_overrides: Mapping[str, str] = TITLE_OVERRIDES
 ) -> DataFrame:
-    """A configured list of names as a table (seq, entity_name, title_override)."""
+    """A configured list of names as a table (seq, entity_name, title_override), as ``title_lookup`` takes it."""
     names = list(names)
-    overrides = title_overrides or {}
+    overrides = title_overrides
     return spark.createDataFrame(
         pa.table(
             {

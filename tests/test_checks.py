@@ -46,8 +46,8 @@ def test_each_fault_is_seen(spark):
     checks, made = report(spark, rows, 10)
     # A row without a source is outside the enabled ones.
     assert checks == {
-        ("required columns", None): (True, 0, 0),
-        ("non-null keys", None): (False, 2, 0),
+        ("columns present", None): (True, 0, 0),
+        ("keys filled", None): (False, 2, 0),
         ("entity count", None): (True, 10, 10),
         ("names in list", None): (False, 1, 0),
         ("no duplicates", None): (False, 1, 0),
@@ -55,8 +55,8 @@ def test_each_fault_is_seen(spark):
         ("required sources present", None): (True, 0, 0),
         ("coverage", "a"): (True, 1.0, 0.9),
         ("coverage", "c"): (False, 0.2, 0.5),
-        ("non-negative metrics", None): (False, 2, 0),
-        ("required metrics populated", None): (True, 0, 0),
+        ("no metric below zero", None): (False, 2, 0),
+        ("required sources scored", None): (True, 0, 0),
         ("metric rows", "a"): (True, 10, 9),
         ("metric rows", "b"): (False, 1, 9),
         ("bounded scores", None): (False, 1, 0),
@@ -68,7 +68,7 @@ def test_each_fault_is_seen(spark):
 def test_absent_source_and_metrics(spark):
     checks, _ = report(spark, [row("e0", "b", score=None)], 1)
     assert checks[("required sources present", None)] == (False, 1, 0)
-    assert checks[("required metrics populated", None)] == (False, 2, 0)
+    assert checks[("required sources scored", None)] == (False, 2, 0)
     assert checks[("metric rows", "a")] == (True, 0, 0)
     assert ("coverage", "a") not in checks
 
@@ -80,7 +80,7 @@ def test_empty_table_and_missing_columns(spark):
     bare = spark.createDataFrame([("e0",)], "entity_name string")
     short = validation_report(bare, expected(spark, 1), SPECS)
     assert [(r.check, r.passed, r.observed) for r in short.collect()] == [
-        ("required columns", False, 7.0),
+        ("columns present", False, 7.0),
         ("overall", False, 1.0),
     ]
 
@@ -100,12 +100,12 @@ def test_counts_match_brute_force(spark):
     checks, _ = report(spark, rows, 30)
     observed = {key: value[1] for key, value in checks.items()}
     groups = [(r[0], r[2]) for r in rows]
-    assert observed[("non-null keys", None)] == sum(r[0] is None or r[1] is None for r in rows)
+    assert observed[("keys filled", None)] == sum(r[0] is None or r[1] is None for r in rows)
     assert observed[("entity count", None)] == len({r[0] for r in rows})
     assert observed[("no duplicates", None)] == sum(
         groups.count(group) > 1 for group in set(groups)
     )
-    assert observed[("non-negative metrics", None)] == sum(
+    assert observed[("no metric below zero", None)] == sum(
         (r[4] or 0) < 0 or (r[5] or 0) < 0 for r in rows
     )
     assert observed[("bounded scores", None)] == sum(

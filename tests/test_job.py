@@ -1,5 +1,6 @@
 import datetime
 import json
+import re
 
 import pytest
 
@@ -8,7 +9,9 @@ from renown.operators.signals import metric_rows, metric_signals
 from renown.plans import queries as q
 from renown.plans.job import QualityGateError, run
 from renown.model import FACT_SCHEMA, SIGNALS, SOURCES
+from renown.sources import versions
 from renown.sources.dims import entity_list
+from renown.sources.quarantine import scan_quarantine
 from renown.sources.raw import land_raw
 from renown.sources.snapshots import replace_snapshots, scan_snapshots
 
@@ -74,7 +77,7 @@ def test_full_run_then_queries_and_gate(spark, tmp_path):
     # Eight enabled sources, spotify stays out, every spelling is settled.
     assert facts.count() == 24
     assert {r.entity_name for r in facts.select("entity_name").collect()} == set(NAMES)
-    quarantined = spark.read.json(where["quarantine_root"]).collect()
+    quarantined = scan_quarantine(spark, where["quarantine_root"]).collect()
     assert [(r.source, r.record) for r in quarantined] == [("deezer", '{"name": "cut')]
 
     assert done.report.where("NOT passed").count() == 0
@@ -101,7 +104,7 @@ def test_full_run_then_queries_and_gate(spark, tmp_path):
     landed(spark, where["raw_root"])
     run(spark, "full", entities=entities, profile_of="x", snapshot_date=DAY, **where)
     assert scan_snapshots(spark, where["store_root"]).count() == 24
-    assert spark.read.schema("record string").json(where["quarantine_root"]).count() == 0
+    assert scan_quarantine(spark, where["quarantine_root"]).count() == 0
 
 
 def test_run_keeps_all_tags_whole_lists_and_blank_lines(spark, tmp_path):
@@ -117,7 +120,7 @@ def test_run_keeps_all_tags_whole_lists_and_blank_lines(spark, tmp_path):
     facts = scan_snapshots(spark, where["store_root"])
     assert facts.where("entity_name = 'Extra'").first().tags == "a, b, c, d, e, f, g"
     assert done.queries["composite_reach"].count() == 60
-    quarantined = spark.read.json(where["quarantine_root"]).collect()
+    quarantined = scan_quarantine(spark, where["quarantine_root"]).collect()
     assert [(r.source, r.reject_reason, r.record.strip()) for r in quarantined] == [("deezer", "malformed JSON", "")]
 
 
@@ -181,3 +184,56 @@ def test_plans_prune_and_combine_early(spark, tmp_path):
     reach = plan(q.composite_reach(latest))
     assert "Window.partitionBy" not in reach and "WindowGroupLimit" not in reach
     assert "ReadSchema: struct<entity_name:string,source:string,score:bigint,reach:bigint,volume:bigint>" in reach
+
+
+def test_no_mode_scans_history(spark, tmp_path):
+    """Every scan is cut to the newest date; only the profile looks back, by the stored key."""
+    where = folders(tmp_path)
+    landed(spark, where["raw_root"])
+    entities = entity_list(spark, NAMES)
+    older = datetime.date(2025, 1, 1)
+    replace_snapshots(
+        spark.createDataFrame([("Tool", "1", "lastfm", older, 1, 1, 1, "x")], FACT_SCHEMA), where["store_root"]
+    )
+    options = {"entities": entities, "profile_of": "tool", "store_root": where["store_root"]}
+    modes = {
+        "full": run(spark, "full", snapshot_date=DAY, **{**where, **options}),
+        "query": run(spark, "query", **options),
+        "validate": run(spark, "validate", **options),
+    }
+
+    def scans(df):
+        plan = df._jdf.queryExecution().toString().partition("== Physical Plan ==")[2]
+        return re.findall(r"FileScan parquet .*", plan)
+
+    for outcome in modes.values():
+        frames = {**outcome.queries, "report": outcome.report}
+        profile = frames.pop("entity_profile", None)
+        for df in frames.values():
+            assert scans(df)
+            for scan in scans(df):
+                assert "PartitionFilters: [isnotnull(snapshot_date" in scan
+                assert "InMemoryFileIndex(1 paths)" in scan
+        if profile is not None:
+            assert all("EqualTo(entity_key,tool)" in scan for scan in scans(profile))
+            assert {r.snapshot_date for r in profile.collect()} == {older, datetime.date.fromisoformat(DAY)}
+
+
+def test_the_gate_sees_columns_the_files_lack(spark, tmp_path):
+    root = str(tmp_path / "store")
+    version = versions.new_version()
+    spark.range(1).selectExpr("'Tool' AS entity_name", "'lastfm' AS source").write.parquet(
+        f"{versions.folder(root, version)}/snapshot_date={DAY}"
+    )
+    versions.publish(spark, root, [DAY], version)
+    with pytest.raises(QualityGateError):
+        run(spark, "validate", entities=entity_list(spark, ["Tool"]), profile_of="x", store_root=root)
+
+
+def test_ingest_leaves_no_work_folder(spark, tmp_path, monkeypatch):
+    where = folders(tmp_path)
+    landed(spark, where["raw_root"])
+    made = tmp_path / "work"
+    monkeypatch.setattr("renown.sources.files.work_dir", lambda spark: str(made))
+    run(spark, "full", entities=entity_list(spark, NAMES), profile_of="x", snapshot_date=DAY, **where)
+    assert not made.exists()

@@ -3,6 +3,7 @@
 import datetime
 import json
 
+from renown.functions.tags import SHORT_LIST
 from renown.operators.normalize import accepted, normalize_all, normalize_source, rejected
 from renown.sources.dims import entity_dim, entity_list
 from renown.sources.raw import parse_raw, raw_schema, RAW_SOURCES
@@ -15,10 +16,11 @@ def raw(spark, source, *records):
     return parse_raw(spark.createDataFrame([(line,) for line in lines], "payload string"), source)
 
 
-def outcomes(spark, source, records, *columns):
-    """Per record, in order, the named fact columns or the reject reason."""
+def outcomes(spark, source, records, *columns, **options):
+    """Per record, in order, the named fact columns or the reject reason; tag lists of five at most."""
     named = [{"name": "A B", **record} for record in records]
-    rows = normalize_source(raw(spark, source, *named).coalesce(1), source, DAY).collect()
+    options = {"max_tags": SHORT_LIST, **options}
+    rows = normalize_source(raw(spark, source, *named).coalesce(1), source, DAY, **options).collect()
     return [r.reject_reason or tuple(r[c] for c in columns) for r in rows]
 
 
@@ -202,3 +204,29 @@ def test_text_that_is_no_record_is_rejected(spark):
 def test_schemas_are_declared_for_all_sources():
     assert len(RAW_SOURCES) == 9
     assert all("source_artist_name" in raw_schema(s).fieldNames() for s in RAW_SOURCES)
+
+
+def test_tag_lists_are_whole_by_default(spark):
+    letters = list("abcdefgh")
+    records = {
+        "spotify": {"genres": letters},
+        "wikidata": {"genre_labels": letters},
+        "lastfm": {"tags": {"tag": [{"name": n} for n in letters]}},
+        "musicbrainz": {"tags": [{"name": n, "count": 9 - k} for k, n in enumerate(letters)]},
+    }
+    for source, record in records.items():
+        (row,) = normalize_source(raw(spark, source, {"name": "A", **record}), source, DAY).collect()
+        assert row.tags == ", ".join(letters), source
+
+
+def test_rejects_work_out_no_fact_and_facts_judge_once(spark):
+    """The plan of the rejects has neither ids nor tags; that of the facts asks each reason once."""
+
+    def plan(df):
+        return df._jdf.queryExecution().optimizedPlan().toString()
+
+    mapped = normalize_all({s: raw(spark, s, "{}") for s in ("spotify", "wikidata", "lastfm")}, DAY)
+    shown = plan(rejected(mapped))
+    assert "AS tags" not in shown and "AS entity_id" not in shown and "_mbid" not in shown
+    assert "array_join" not in shown
+    assert plan(accepted(mapped)).count("followers: no object") == 1
