@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from renown.llm import bpe
+from renown.llm.frames import text_of
 from renown.llm.hashing import parts
 
 LENGTH = 2048
@@ -79,29 +80,60 @@ def best_fit_decreasing(sizes: list[int], length: int) -> list[list[int]]:
 
 
 def _window(pieces: list[tuple[int | None, int, np.ndarray]], length: int, pad: int) -> pa.RecordBatch:
+    """All sequences of one window, written into one matrix of ids and one of positions."""
     bins = best_fit_decreasing([len(p[2]) for p in pieces], length)
-    rows = []
-    for items in bins:
-        sizes = [len(pieces[i][2]) for i in items]
-        ends = np.cumsum(sizes)
-        ids = np.full(length, pad, np.uint32)
-        positions = np.zeros(length, np.uint32)
-        ids[: ends[-1]] = np.concatenate([pieces[i][2] for i in items])
-        positions[: ends[-1]] = np.concatenate([np.arange(s) for s in sizes])
-        rows.append(
-            (
-                int(ends[-1]),
-                [pieces[i][0] for i in items],
-                [pieces[i][1] for i in items],
-                [0, *ends.tolist()],
-                ids.tobytes(),
-                positions.tobytes(),
-            )
-        )
-    columns = list(zip(*rows)) if rows else [()] * 6
-    kinds = (pa.int32(), pa.list_(pa.int64()), pa.list_(pa.int64()), pa.list_(pa.int32()), pa.binary(), pa.binary())
+    order = [i for items in bins for i in items]
+    sizes = np.array([len(pieces[i][2]) for i in order], np.int64)
+    per_bin = np.array([len(items) for items in bins], np.int64)
+    cuts = np.append(0, np.cumsum(per_bin))
+    ends = np.cumsum(sizes)
+    used = np.append(0, ends)[cuts]  # tokens before each sequence
+    # place of every token: its segment's place in the matrix, and how far it is into the segment
+    within = np.arange(ends[-1]) - np.repeat(ends - sizes, sizes)
+    at = np.repeat(ends - sizes - np.repeat(used[:-1] - np.arange(len(bins)) * length, per_bin), sizes) + within
+    ids = np.full(len(bins) * length, pad, np.uint32)
+    positions = np.zeros(len(bins) * length, np.uint32)
+    ids[at] = np.concatenate([pieces[i][2] for i in order])
+    positions[at] = within
+    lists = pa.array(cuts, pa.int32())
+    # cumulative lengths from 0: one number more than segments in each list
+    cumulative = np.zeros(len(order) + len(bins), np.int64)
+    cumulative[np.arange(len(order)) + np.repeat(np.arange(1, len(bins) + 1), per_bin)] = ends - np.repeat(used[:-1], per_bin)
+    width = 4 * length
+    rows = np.arange(len(bins) + 1, dtype=np.int64) * width
+
+    def matrix(values: np.ndarray) -> pa.Array:
+        offsets = pa.array(rows, pa.int64()).buffers()[1]
+        whole = pa.Array.from_buffers(pa.large_binary(), len(bins), [None, offsets, pa.py_buffer(values)])
+        return whole.cast(pa.binary())
+
     names = [c.split(" ")[0] for c in PACKED.split(", ")]
-    return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names)
+    return pa.RecordBatch.from_arrays(
+        [
+            pa.array(np.diff(used), pa.int32()),
+            pa.ListArray.from_arrays(lists, pa.array([pieces[i][0] for i in order], pa.int64())),
+            pa.ListArray.from_arrays(lists, pa.array([pieces[i][1] for i in order], pa.int64())),
+            pa.ListArray.from_arrays(pa.array(cuts + np.arange(len(bins) + 1), pa.int32()), pa.array(cumulative, pa.int32())),
+            matrix(ids),
+            matrix(positions),
+        ],
+        names,
+    )
+
+
+def _packed(documents, length: int, pad: int, window_tokens: int):
+    """Record batches of the sequences of ``(id, ids)``, a window of tokens at a time."""
+    pieces, tokens = [], 0
+    for key, raw in documents:
+        ids = np.frombuffer(raw or b"", np.uint32)
+        for at in range(0, len(ids), length):
+            pieces.append((key, at, ids[at : at + length]))
+            tokens += len(pieces[-1][2])
+            if tokens >= window_tokens:
+                yield from _slices(_window(pieces, length, pad))
+                pieces, tokens = [], 0
+    if pieces:
+        yield from _slices(_window(pieces, length, pad))
 
 
 def pack(coded: DataFrame, id_col: str = "doc_id", ids_col: str = "ids", length: int = LENGTH, pad: int = 0, window_tokens: int = WINDOW_TOKENS) -> DataFrame:
@@ -116,23 +148,29 @@ def pack(coded: DataFrame, id_col: str = "doc_id", ids_col: str = "ids", length:
     """
 
     def run(batches):
-        pieces, tokens = [], 0
-        for keys, coded_ids in parts(batches, ("key", "ids"), 64):
-            for key, raw in zip(keys, coded_ids):
-                ids = np.frombuffer(raw or b"", np.uint32)
-                for at in range(0, len(ids), length):
-                    pieces.append((key, at, ids[at : at + length]))
-                    tokens += len(pieces[-1][2])
-                    if tokens >= window_tokens:
-                        yield from _slices(_window(pieces, length, pad))
-                        pieces, tokens = [], 0
-        if pieces:
-            yield from _slices(_window(pieces, length, pad))
+        documents = (pair for keys, coded_ids in parts(batches, ("key", "ids"), 64) for pair in zip(keys, coded_ids))
+        yield from _packed(documents, length, pad, window_tokens)
 
     rows = coded.select(F.col(id_col).cast("long").alias("key"), F.col(ids_col).alias("ids"))
     return rows.mapInArrow(run, PACKED)
 
 
+def pack_documents(docs: DataFrame, vocabulary_path: str, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH, pad: int = 0, window_tokens: int = WINDOW_TOKENS) -> DataFrame:
+    """``pack`` of the ids of whole texts, encoded and packed by the same task; null and empty texts have no segment."""
+
+    def run(batches):
+        encode = bpe.vocabulary(vocabulary_path).encode
+        documents = (
+            (key, encode(text))
+            for keys, texts in parts(batches, ("key", "text"), 64)
+            for key, text in zip(keys, texts)
+        )
+        yield from _packed(documents, length, pad, window_tokens)
+
+    rows = docs.select(F.col(id_col).cast("long").alias("key"), text_of(text_col).alias("text"))
+    return rows.mapInArrow(run, PACKED)
+
+
 def _slices(batch: pa.RecordBatch, rows: int = 256):
     for at in range(0, batch.num_rows, rows):
         yield batch.slice(at, rows)
@@ -143,7 +181,7 @@ def write_packed(docs: DataFrame, path: str, vocabulary_path: str, rows: int = 6
 
     ``ids`` and ``positions`` are row-major matrices, the other columns lists per row.
     """
-    packed = pack(bpe.encode(docs, vocabulary_path), **options)
+    packed = pack_documents(docs, vocabulary_path, **options)
 
     names = tuple(packed.columns)
 

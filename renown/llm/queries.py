@@ -61,8 +61,7 @@ def op4_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents as packed sequences of token ids."""
-    coded = bpe.encode(table(spark, sf_dir, "documents"), vocabulary_path())
-    return packing.pack(coded)
+    return packing.pack_documents(table(spark, sf_dir, "documents"), vocabulary_path())
 
 
 def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
