@@ -39,10 +39,10 @@ class Stage:
     def __init__(self, spark: SparkSession):
         self.spark, self.root, self.n = spark, work_dir(spark), 0
 
-    def keep(self, df: DataFrame, schema=None) -> DataFrame:
+    def keep(self, df: DataFrame, schema=None, partition_by: str | None = None) -> DataFrame:
         path = f"{self.root}/{self.n}"
         self.n += 1
-        df.write.parquet(path)
+        df.write.parquet(path, partitionBy=partition_by)
         return self.spark.read.schema(schema or df.schema).parquet(path)
 
 

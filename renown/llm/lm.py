@@ -1,20 +1,25 @@
 """Log-bilinear language model with noise-contrastive estimation, and smoothed unigram scores.
 
-Tokens are words between blanks, A-Z in lower case, and one end per text. The
-model predicts a class from the two classes before: the most frequent words
-and the end are classes of their own, all other words share one, within which a word has its
-smoothed share of the counts. Context vectors, weighted per place, times word vectors plus
-a bias give the logits; the normalisers of all contexts come from batched matrix products.
-
-Counts cover all training rows. Every task trains on all its training rows from the same
-start, and Spark averages the parameters by tokens (parameter mixing).
+Tokens are words between blanks, A-Z in lower case, and one end per text. Every word has a
+class: the most frequent words one of their own, all others one they share with words of the same ending,
+within which a word has its smoothed share of the counts. The number of classes grows with the
+square root of the number of distinct words. The model predicts a class from the two classes
+before, in two log-bilinear steps: its group (classes of like mass), then the class within
+the group. Context vectors, weighted per place, times output vectors plus a bias give the logits of each
+step; batched matrix products normalise both exactly at a cost that grows with the
+square root of the classes.
+
+Words become classes once, in a table. Training goes over all training rows in rounds: rows
+are dealt into shards by a hash, each round trains on its share of the shards, every shard from the same
+start, and every parameter row moves to the mean over the shards weighted by how often each used
+it. Nothing hangs on how the table is cut into files or partitions.
 """
 
 from __future__ import annotations
 
 from collections import Counter
-from dataclasses import dataclass
-from functools import cached_property
+from dataclasses import dataclass, replace
+from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
@@ -25,16 +30,26 @@ from pyspark.sql import functions as F
 from renown.llm.frames import Stage, fold, text_of
 from renown.llm.hashing import parts
 
-#: Classes besides the shared one, and numbers per vector.
-CLASSES, WIDTH, CONTEXT = 1023, 24, 2
+#: Numbers per vector.
+WIDTH = 24
+#: Classes of one word: at least so many, and so many times the square root of the distinct words.
+LEAST_CLASSES, CLASSES_PER_ROOT = 1023, 8
+#: One shared class for so many of them; words share one if their last bytes have the same hash.
+OWN_PER_SHARED, ENDING = 4, 3
 #: Words whose counts every task holds; the counts of all others are joined.
 TABLE_WORDS = 300_000
 #: Distinct words a task counts before it hands them on.
 HELD_WORDS = 400_000
+#: Tokens of a shard, and rounds that share the shards out.
+SHARD_TOKENS, ROUNDS = 2_000_000, 4
 #: No word is empty, so this can stand for the end of a text.
 END = b""
-RARE = 0
-BATCH, NOISE = 8192, 64
+#: Tokens of a training step; noise groups of a step, noise classes per token.
+BATCH, NOISE_GROUPS, NOISE_CLASSES = 8192, 16, 2
+#: Tokens that are scored at once.
+SCORED = 1 << 16
+#: Parameters in a row of the sums.
+CHUNK = 4096
 
 
 def tokens(text: str | None) -> list[bytes]:
@@ -84,218 +99,386 @@ def frequent(counts: DataFrame, most: int) -> list[tuple[bytes, int]]:
     return sorted(pairs, key=lambda x: (-x[1], x[0]))
 
 
-@dataclass
-class Model:
-    """``words``: class by frequent word; ``counts``: counts of the words that all tasks hold."""
+def ending(word: bytes, shared: int) -> int:
+    """Which of the shared classes a word without one of its own belongs to."""
+    return crc32(word[-ENDING:]) % shared
 
-    words: dict[bytes, int]
-    counts: dict[bytes, int]
-    total: int
-    distinct: int
-    noise: np.ndarray
-    vectors: np.ndarray  # of context classes; the last row stands before the text
+
+@dataclass(frozen=True)
+class Classes:
+    """The class of every word, known or not.
+
+    Classes are numbered by falling mass; ``own`` is the class of words that have one of their own,
+    ``shared`` that of each ending, ``mass`` the smoothed count of a class. Groups are ``size`` classes that follow
+    each other; ``mass`` is filled up to whole groups with zeros.
+    """
+
+    own: dict[bytes, int]
+    shared: np.ndarray
+    mass: np.ndarray
+    size: int
+
+    @property
+    def n(self) -> int:
+        return int(np.count_nonzero(self.mass))
+
+    @property
+    def groups(self) -> int:
+        return len(self.mass) // self.size
+
+    @property
+    def log_share(self) -> np.ndarray:
+        """log10 of the mass of each shared class, 0 where a class is one word."""
+        logs = np.zeros(len(self.mass))
+        logs[self.shared] = np.log10(self.mass[self.shared])
+        return logs
+
+    def of(self, word: bytes) -> int:
+        found = self.own.get(word)
+        return int(self.shared[ending(word, len(self.shared))]) if found is None else found
+
+
+def classes(counts: DataFrame, vocabulary: list[tuple[bytes, int]], most: int) -> Classes:
+    """Classes for a table of ``word, n``; the first ``most`` of ``vocabulary``, its most frequent words, have their own.
+
+    A shared class has half a count more, for all words that were never seen.
+    """
+    ends = counts.where(F.octet_length("word") == 0).agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+    own = [*((w, n) for w, n in vocabulary[:most] if w != END), (END, ends)]
+    shared = max(1, len(own) // OWN_PER_SHARED)
+    last = F.substring("word", -ENDING, ENDING)
+    bucket = F.crc32(F.when(F.octet_length("word") < ENDING, F.col("word")).otherwise(last)) % shared
+    sums = counts.groupBy(bucket.cast("int").alias("bucket")).agg(F.sum("n").alias("n"), F.count("*").alias("words"))
+    mass_of = np.full(shared, 0.5)
+    for row in sums.collect():  # one row per shared class
+        mass_of[row.bucket] += row.n + 0.5 * row.words
+    for word, n in own:
+        if word != END or n:
+            mass_of[ending(word, shared)] -= n + 0.5
+    mass = np.concatenate([[n + 0.5 for _, n in own], np.maximum(mass_of, 0.5)])
+    order = np.argsort(-mass, kind="stable")
+    place = np.empty(len(order), np.int64)
+    place[order] = np.arange(len(order))
+    size = int(np.ceil(len(mass) ** 0.5))
+    filled = np.zeros(-(-len(mass) // size) * size)
+    filled[: len(mass)] = mass[order]
+    return Classes({w: int(place[k]) for k, (w, _) in enumerate(own)}, place[len(own) :], filled, size)
+
+
+@dataclass(frozen=True)
+class Parameters:
+    """Context vectors of all classes (the last row stands before the text), weights per place, and both output layers."""
+
+    vectors: np.ndarray
     places: np.ndarray
+    groups: np.ndarray
+    group_bias: np.ndarray
     outputs: np.ndarray
     bias: np.ndarray
 
     @property
-    def sizes(self) -> list[tuple[int, ...]]:
-        return [a.shape for a in (self.vectors, self.places, self.outputs, self.bias)]
+    def all(self) -> list[np.ndarray]:
+        return [self.vectors, self.places, self.groups, self.group_bias, self.outputs, self.bias]
 
-    @property
-    def rare_share(self) -> float:
-        """What (count + 0.5) of a word of the shared class is divided by."""
-        own = sum(self.counts[w] for w in self.words)
-        return self.total - own + 0.5 * (self.distinct - len(self.words) + 1)
-
-    @cached_property
-    def ids(self) -> dict[bytes, tuple[int, float]]:
-        """Class and log10(count + 0.5) of each word that all tasks hold."""
-        return {w: (self.words.get(w, RARE), float(np.log10(n + 0.5))) for w, n in self.counts.items()}
-
-    @cached_property
-    def tables(self) -> tuple[list[np.ndarray], np.ndarray]:
-        """Logits by context class and class for each place; log normalisers by both context classes."""
-        near, far = ((self.vectors * c) @ self.outputs.T for c in self.places)
-        near, far = (near + self.bias).astype(np.float32), far.astype(np.float32)
-        norm = np.empty((len(near), len(far)), np.float32)
-        for i, row in enumerate(near):
-            z = far + row
-            top = z.max(1)
-            norm[i] = top + np.log(np.exp(z - top[:, None]).sum(1))
-        return [near, far], norm
-
-    def log10(self, ids: np.ndarray, before: np.ndarray, before_that: np.ndarray) -> np.ndarray:
-        """Normalised log10 probability of each class after its two classes."""
-        (near, far), norm = self.tables
-        return (near[before, ids] + far[before_that, ids] - norm[before, before_that]) / np.log(10)
-
-
-def start(vocabulary: list[tuple[bytes, int]], total: int, distinct: int) -> Model:
+
+def start(c: Classes) -> Parameters:
+    """Small random vectors, and biases that give every class its share of the mass."""
     rng = np.random.default_rng(11)
-    words = {w: k + 1 for k, (w, _) in enumerate(vocabulary[:CLASSES])}
-    n = len(words) + 1
-    share = np.full(n, 0.5)
-    for w, c in vocabulary[:CLASSES]:
-        share[words[w]] += c
-    share[RARE] += max(0, total - sum(c for _, c in vocabulary[:CLASSES]))
-    noise = share / share.sum()
-    return Model(
-        words,
-        dict(vocabulary),
-        total,
-        distinct,
-        noise,
-        rng.normal(0, 0.1, (n + 1, WIDTH)),
-        np.ones((CONTEXT, WIDTH)),
-        rng.normal(0, 0.1, (n, WIDTH)),
-        np.log(noise),
+    n, shares = len(c.mass), c.mass / c.mass.sum()
+    of_group = shares.reshape(c.groups, c.size).sum(axis=1)
+    with np.errstate(divide="ignore"):
+        bias = np.log(shares) - np.repeat(np.log(of_group), c.size)
+    return Parameters(
+        rng.normal(0, 0.1, (n + 1, WIDTH)).astype(np.float32),
+        np.ones((2, WIDTH), np.float32),
+        rng.normal(0, 0.1, (c.groups, WIDTH)).astype(np.float32),
+        np.log(of_group).astype(np.float32),
+        rng.normal(0, 0.1, (n, WIDTH)).astype(np.float32),
+        np.where(shares > 0, bias, -1e4).astype(np.float32),
     )
 
 
+def _log_softmax_of(z: np.ndarray, chosen: np.ndarray) -> np.ndarray:
+    top = z.max(axis=1)
+    return z[np.arange(len(z)), chosen] - top - np.log(np.exp(z - top[:, None]).sum(axis=1))
+
+
+def log10_probability(p: Parameters, size: int, target: np.ndarray, near: np.ndarray, far: np.ndarray) -> np.ndarray:
+    """Normalised log10 probability of each class after its two classes."""
+    out = np.empty(len(target))
+    for at in range(0, len(target), SCORED):
+        t = target[at : at + SCORED]
+        context = p.vectors[near[at : at + SCORED]] * p.places[0] + p.vectors[far[at : at + SCORED]] * p.places[1]
+        group = t // size
+        logs = _log_softmax_of(context @ p.groups.T + p.group_bias, group).astype(np.float64)
+        order = np.argsort(group, kind="stable")
+        cuts = np.flatnonzero(np.diff(group[order], prepend=-1))
+        for rows in np.split(order, cuts[1:]) if len(order) else ():
+            first = group[rows[0]] * size
+            z = context[rows] @ p.outputs[first : first + size].T + p.bias[first : first + size]
+            logs[rows] += _log_softmax_of(z, t[rows] - first)
+        out[at : at + SCORED] = logs
+    return out / np.log(10)
+
+
 def contexts(ids: list[np.ndarray], begin: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Classes of some texts, and those one and two places before."""
     sizes = np.array([len(i) for i in ids])
-    flat = np.concatenate(ids)
+    shifted = np.concatenate([[begin, begin], *ids]).astype(np.int64)
     first = np.repeat(np.cumsum(sizes) - sizes, sizes)
-    at = np.arange(len(flat))
-    near = np.where(at - 1 >= first, flat[at - 1], begin)
-    far = np.where(at - 2 >= first, flat[at - 2], begin)
-    return flat, near, far
+    at = np.arange(len(shifted) - 2)
+    near = np.where(at - 1 >= first, shifted[1:-1], begin)
+    far = np.where(at - 2 >= first, shifted[:-2], begin)
+    return shifted[2:], near, far
 
 
 class Trainer:
-    """AdaGrad on the noise-contrastive loss; one set of noise classes serves a batch."""
-
-    def __init__(self, model: Model, rate: float = 0.05):
-        self.m, self.rate = model, rate
-        self.values = [np.array(a, np.float64) for a in (model.vectors, model.places, model.outputs, model.bias)]
-        self.squares = [np.full(a.shape, 1e-3) for a in self.values]
-        self.rng, self.seen = np.random.default_rng(13), 0
-
-    def _step(self, k: int, rows, grad: np.ndarray) -> None:
+    """AdaGrad on the noise-contrastive loss of both steps, from given parameters; counts which rows it uses."""
+
+    def __init__(self, c: Classes, p: Parameters, seed: int, rate: float = 0.05):
+        self.c, self.rate = c, rate
+        self.values = [a.copy() for a in p.all]
+        self.squares = [np.full(a.shape, 1e-3, np.float32) for a in self.values]
+        self.used = [np.zeros(len(a)) for a in self.values]
+        self.rng = np.random.default_rng(seed)
+        shares = c.mass / c.mass.sum()
+        self.of_group = shares.reshape(c.groups, c.size).sum(axis=1)
+        self.up_to = np.cumsum(shares)
+        with np.errstate(divide="ignore"):
+            self.log_in_group = np.log(shares / np.repeat(self.of_group, c.size))
+
+    def _step(self, k: int, rows: np.ndarray, grads: np.ndarray, n: int) -> None:
+        """One step on the rows that a batch touches, by the sums of their gradients."""
+        small = rows.astype(np.uint16) if len(self.values[k]) < 1 << 16 else rows
+        order = np.argsort(small, kind="stable")
+        at = np.flatnonzero(np.diff(rows[order], prepend=-1))
+        rows, grad = rows[order[at]], np.add.reduceat(grads[order], at, axis=0) / np.float32(np.sqrt(n))
+        self.used[k][rows] += np.diff(np.append(at, len(order)))
         self.squares[k][rows] += grad**2
         self.values[k][rows] -= self.rate * grad / np.sqrt(self.squares[k][rows])
 
     def learn(self, target: np.ndarray, near: np.ndarray, far: np.ndarray) -> None:
-        vectors, places, outputs, bias = self.values
-        n, noise = len(target), self.rng.choice(len(bias), NOISE, p=self.m.noise)
+        vectors, places, groups, group_bias, outputs, bias = self.values
+        n, size = len(target), self.c.size
         a, b = vectors[near], vectors[far]
         context = a * places[0] + b * places[1]
-        own = (context * outputs[target]).sum(1) + bias[target]
-        other = context @ outputs[noise].T + bias[noise]
-        weight = NOISE / 8  # each token is told from eight noise classes
-        log_noise = np.log(8 * self.m.noise)
-        d_own = 1 / (1 + np.exp(-np.clip(own - log_noise[target], -30, 30))) - 1
-        d_other = 1 / (1 + np.exp(-np.clip(other - log_noise[noise], -30, 30))) / weight
-        d_context = d_own[:, None] * outputs[target] + d_other @ outputs[noise]
-        self._rows(2, np.concatenate([target, noise]), np.concatenate([d_own[:, None] * context, d_other.T @ context]), n)
-        self._rows(3, np.concatenate([target, noise]), np.concatenate([d_own, d_other.sum(0)]), n)
-        self._rows(0, np.concatenate([near, far]), np.concatenate([d_context * places[0], d_context * places[1]]), n)
-        self._step(1, slice(None), np.stack([(d_context * a).sum(0), (d_context * b).sum(0)]) / n)
-        self.seen += n
-
-    def _rows(self, k: int, rows: np.ndarray, grads: np.ndarray, n: int) -> None:
-        """One step on the rows that a batch touches, by the sums of their gradients."""
-        order = np.argsort(rows, kind="stable")
-        at = np.flatnonzero(np.diff(rows[order], prepend=-1))
-        self._step(k, rows[order[at]], np.add.reduceat(grads[order], at, axis=0) / np.sqrt(n))
-
 
-def train(rows: DataFrame, model: Model, store: Stage) -> Model:
-    """One pass of all tasks over ``text``, parameters averaged by tokens."""
-    shared = rows.sparkSession.sparkContext.broadcast(model)
-
-    def run(batches):
-        m = shared.value
-        trainer, get, held, size = Trainer(m), m.ids.get, [], 0
-        unknown = (RARE, 0.0)
-        for (texts,) in parts(batches, ("text",)):
-            for text in texts:
-                held.append(np.array([get(w, unknown)[0] for w in tokens(text)]))
-                size += len(held[-1])
-            if size >= BATCH:
-                flat = contexts(held, len(m.noise))
+        def error(logits, log_noise, true: bool):
+            return (1 / (1 + np.exp(-np.clip(logits - log_noise, -30, 30))) - true).astype(np.float32)
+
+        # the group against noise groups that serve the whole batch
+        group = target // size
+        noise = self.rng.choice(len(self.of_group), NOISE_GROUPS, p=self.of_group)
+        log_noise = np.log(NOISE_GROUPS * self.of_group)
+        d_own = error((context * groups[group]).sum(1) + group_bias[group], log_noise[group], True)
+        d_other = error(context @ groups[noise].T + group_bias[noise], log_noise[noise], False)
+        d_context = d_own[:, None] * groups[group] + d_other @ groups[noise]
+        rows = np.concatenate([group, noise])
+        self._step(2, rows, np.concatenate([d_own[:, None] * context, d_other.T @ context]), n)
+        self._step(3, rows, np.concatenate([d_own, d_other.sum(0)]), n)
+
+        # the class against noise classes of its own group, drawn per token by their mass
+        low = np.append(0, self.up_to)[group * size]
+        draw = low[:, None] + self.rng.random((n, NOISE_CLASSES)) * self.of_group[group][:, None]
+        drawn = np.minimum(np.searchsorted(self.up_to, draw, "right"), self.c.n - 1)
+        drawn = np.clip(drawn, group[:, None] * size, group[:, None] * size + size - 1)
+        log_noise = np.log(NOISE_CLASSES) + self.log_in_group
+        d_own = error((context * outputs[target]).sum(1) + bias[target], log_noise[target], True)
+        held = outputs[drawn]
+        d_other = error(np.einsum("nw,njw->nj", context, held) + bias[drawn], log_noise[drawn], False)
+        d_context += d_own[:, None] * outputs[target] + np.einsum("nj,njw->nw", d_other, held)
+        rows = np.concatenate([target, drawn.ravel()])
+        grads = np.concatenate([d_own[:, None] * context, (d_other[:, :, None] * context[:, None, :]).reshape(-1, WIDTH)])
+        self._step(4, rows, grads, n)
+        self._step(5, rows, np.concatenate([d_own, d_other.ravel()]), n)
+
+        self._step(0, np.concatenate([near, far]), np.concatenate([d_context * places[0], d_context * places[1]]), n)
+        both = np.stack([(d_context * a).sum(0), (d_context * b).sum(0)])
+        self._step(1, np.arange(2), both / np.float32(np.sqrt(n)), n)
+
+    def weighted(self) -> np.ndarray:
+        """All parameters times how often their row was used, then these numbers."""
+        scaled = [v * (u if v.ndim == 1 else u[:, None]) for v, u in zip(self.values, self.used)]
+        return np.concatenate([x.ravel() for x in scaled] + self.used)
+
+
+def _mean(p: Parameters, sums: np.ndarray) -> Parameters:
+    """Rows that were used move to their mean, all others stay."""
+    cuts = np.cumsum([a.size for a in p.all] + [len(a) for a in p.all])[:-1]
+    pieces = np.split(sums, cuts)
+    new = []
+    for old, total, used in zip(p.all, pieces[: len(p.all)], pieces[len(p.all) :]):
+        by = used if old.ndim == 1 else used[:, None]
+        mean = total.reshape(old.shape) / np.maximum(by, 1)
+        new.append(np.where(by > 0, mean, old).astype(np.float32))
+    return Parameters(*new)
+
+
+def train(coded: DataFrame, c: Classes, total: int, store: Stage, rounds: int = ROUNDS) -> Parameters:
+    """One pass over the ``classes`` of all rows, in ``rounds`` averaged rounds.
+
+    Shards are a hash of a row's id and classes, and rows come in the order of another, so equal tables
+    give equal shards whatever their partitions. The sums of a round have one row per ``CHUNK``
+    parameters and task, and the driver gets as many numbers as the model has.
+    """
+    p = start(c)
+    if not total:
+        return p
+    spark = coded.sparkSession
+    shards = rounds * -(-total // (rounds * SHARD_TOKENS))
+    draw = F.xxhash64("doc_id", "classes")
+    dealt = coded.select(F.pmod(draw, F.lit(shards)).cast("int").alias("shard"), F.xxhash64(draw).alias("draw"), "classes")
+    dealt = dealt.withColumn("round", F.col("shard") % rounds).repartition("shard")
+    dealt = store.keep(dealt.sortWithinPartitions("round", "shard", "draw", "classes"), partition_by="round")
+    c = replace(c, own={})  # tasks get classes, not words
+    for turn in range(rounds):
+        shared = spark.sparkContext.broadcast(p)
+
+        def run(batches):
+            begin, sums, trainer, shard, held, size = len(c.mass), None, None, None, [], 0
+
+            def learn():
+                flat = contexts(held, begin)
                 order = trainer.rng.permutation(size)
                 for at in range(0, size, BATCH):
                     trainer.learn(*(x[order[at : at + BATCH]] for x in flat))
-                held, size = [], 0
-        if size:
-            trainer.learn(*contexts(held, len(m.noise)))
-        if trainer.seen:
-            flat = np.concatenate([v.ravel() for v in trainer.values])
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([trainer.seen], pa.int64()), pa.array([flat.tolist()], pa.list_(pa.float64()))],
-                ["seen", "flat"],
-            )
 
-    each = store.keep(rows.mapInArrow(run, "seen long, flat array<double>"))
-    sums = each.select("seen", F.posexplode("flat").alias("at", "x")).groupBy("at")
-    mean = sums.agg((F.sum(F.col("x") * F.col("seen")) / F.sum("seen")).alias("x")).toPandas()
-    if not len(mean):
-        return model
-    flat = mean.sort_values("at")["x"].to_numpy()
-    cuts = np.cumsum([int(np.prod(s)) for s in model.sizes])[:-1]
-    new = [v.reshape(s) for v, s in zip(np.split(flat, cuts), model.sizes)]
-    return Model(model.words, model.counts, model.total, model.distinct, model.noise, *new)
-
-
-def _known_part(docs: DataFrame, model: Model) -> DataFrame:
-    """What the words that all tasks hold give to each row, and its other words with their number."""
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+            for numbers, packed in parts(batches, ("shard", "classes")):
+                for number, ids in zip(numbers, packed):
+                    if number != shard or size >= 8 * BATCH:
+                        if size:
+                            learn()
+                            held, size = [], 0
+                        if number != shard:
+                            if trainer is not None:
+                                sums = trainer.weighted() if sums is None else sums + trainer.weighted()
+                            shard, trainer = number, Trainer(c, shared.value, number)
+                    held.append(np.frombuffer(ids, np.uint32))
+                    size += len(held[-1])
+            if trainer is None:
+                return
+            if size:
+                learn()
+            sums = trainer.weighted() if sums is None else sums + trainer.weighted()
+            for at in range(0, len(sums), CHUNK):
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([at], pa.int64()), pa.array([sums[at : at + CHUNK].tobytes()], pa.binary())], ["at", "sums"]
+                )
+
+        def add(table: pa.Table) -> pa.Table:
+            added = sum(np.frombuffer(x.as_py()) for x in table.column("sums"))
+            return pa.table({"at": table.column("at")[:1], "sums": pa.array([added.tobytes()], pa.binary())})
+
+        each = dealt.where(F.col("round") == turn).select("shard", "classes").mapInArrow(run, "at long, sums binary")
+        rows = each.groupBy("at").applyInArrow(add, "at long, sums binary").collect()
+        if rows:
+            p = _mean(p, np.concatenate([np.frombuffer(r.sums) for r in sorted(rows, key=lambda r: r.at)]))
+        shared.unpersist()
+    return p
+
+
+@dataclass(frozen=True)
+class Words:
+    """What every task knows of the words: their classes, and log10(count + 0.5) of the frequent ones."""
+
+    classes: Classes
+    logs: dict[bytes, tuple[int, float]]
+
+
+def _coded(rows: DataFrame, words: Words) -> DataFrame:
+    """Every row with the classes of its tokens, what the words all tasks hold give to it, and its other words."""
+    spark = rows.sparkSession
+    shared = spark.sparkContext.broadcast(words)
 
     def run(batches):
-        m = shared.value
-        get, unknown, begin = m.ids.get, (RARE, 0.0), len(m.noise)
+        w = shared.value
+        get, class_of = w.logs.get, w.classes.of
+        alone = np.ones(len(w.classes.mass), bool)
+        alone[w.classes.shared] = False
         n = TaskContext.get().partitionId() << 33
         for keys, held_out, texts in parts(batches, ("doc_id", "held_out", "text"), 256):
-            every = [tokens(t) for t in texts]
-            found = [[get(w, unknown) for w in ws] for ws in every]
-            ids = [np.array([f[0] for f in fs]) for fs in found]
-            sizes = np.array([len(i) for i in ids])
-            flat, near, far = contexts(ids, begin)
-            own = np.repeat(np.arange(len(ids)), sizes)
-            logs = np.fromiter((f[1] for fs in found for f in fs), float, len(flat))
-            model_log = np.bincount(own, m.log10(flat, near, far), len(ids))
-            rare = flat == RARE
-            base = np.bincount(own, logs, len(ids))
-            rare_log = np.bincount(own, np.where(rare, logs, 0), len(ids))
-            n_rare = np.bincount(own, rare, len(ids)).astype(np.int64)
-            others = [Counter(w for w in ws if w not in m.counts) for ws in every]
-            known = sizes - [sum(o.values()) for o in others]
+            out = [[] for _ in range(6)]
+            for text in texts:
+                found, others = [], []
+                for word in tokens(text):
+                    known = get(word)
+                    if known is None:
+                        others.append(word)
+                        known = class_of(word), 0.0
+                    found.append(known)
+                ids = np.fromiter((f[0] for f in found), np.uint32, len(found))
+                logs = np.fromiter((f[1] for f in found), float, len(found))
+                times = Counter(others)
+                row = (
+                    len(found),
+                    len(found) - len(others),
+                    logs.sum(),
+                    logs[~alone[ids]].sum(),
+                    ids.tobytes(),
+                    [{"word": x, "times": k} for x, k in times.items()],
+                )
+                for column, value in zip(out, row):
+                    column.append(value)
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.array(range(n, n + len(keys)), pa.int64()),
                     pa.array(keys, pa.int64()),
                     pa.array(held_out, pa.bool_()),
-                    pa.array(sizes, pa.int64()),
-                    pa.array(known, pa.int64()),
-                    pa.array(base),
-                    pa.array(model_log + rare_log),
-                    pa.array(n_rare, pa.int64()),
-                    pa.array([[{"word": w, "times": c} for w, c in o.items()] for o in others], words_type),
+                    *(pa.array(column, kind) for column, kind in zip(out, kinds)),
                 ],
                 names,
             )
             n += len(keys)
 
-    words_type = pa.list_(pa.struct([("word", pa.binary()), ("times", pa.int64())]))
+    kinds = [pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.binary()]
+    kinds.append(pa.list_(pa.struct([("word", pa.binary()), ("times", pa.int64())])))
     schema = (
         "row long, doc_id long, held_out boolean, n_tokens long, n_known long, base double, "
-        "model double, n_rare long, others array<struct<word: binary, times: bigint>>"
+        "shared double, classes binary, others array<struct<word: binary, times: bigint>>"
     )
     names = [c.split(" ")[0] for c in schema.split(", ")][:9]
-    return docs.mapInArrow(run, schema)
+    return rows.mapInArrow(run, schema)
 
 
-def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", table_words: int = TABLE_WORDS) -> DataFrame:
+def _modelled(coded: DataFrame, c: Classes, p: Parameters) -> DataFrame:
+    """The rows with ``model``: the log10 probability of their classes less the mass of shared ones."""
+    shared = coded.sparkSession.sparkContext.broadcast((p, c.size, c.log_share))
+    kept = [x for x in coded.columns if x not in ("classes", "others")]
+    begin = len(c.mass)
+
+    def run(batches):
+        params, size, log_share = shared.value
+        for batch in batches:
+            for at in range(0, batch.num_rows, 256):
+                some = batch.slice(at, 256)
+                ids = [np.frombuffer(x, np.uint32) for x in some.column(len(kept)).to_pylist()]
+                sizes = [len(i) for i in ids]
+                flat, near, far = contexts(ids, begin)
+                logs = log10_probability(params, size, flat, near, far) - log_share[flat]
+                model = np.bincount(np.repeat(np.arange(len(ids)), sizes), logs, len(ids))
+                yield pa.RecordBatch.from_arrays(
+                    [some.column(k) for k in range(len(kept))] + [pa.array(model)], [*kept, "model"]
+                )
+
+    kinds = ", ".join(f"{x} {coded.schema[x].dataType.simpleString()}" for x in kept)
+    return coded.select(*kept, "classes").mapInArrow(run, f"{kinds}, model double")
+
+
+def score(
+    docs: DataFrame,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    table_words: int = TABLE_WORDS,
+    least_classes: int = LEAST_CLASSES,
+    classes_per_root: float = CLASSES_PER_ROOT,
+) -> DataFrame:
     """``doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score`` for every row.
 
     Training rows are those whose crc32(id) mod 5 is not 1. ``base_score`` sums
     log10((c + 0.5) / (N + 0.5 (V + 1))) over the tokens, ``score`` is the model's log10
     probability of the whole text with its end. Null and empty texts are
     one end token. Rows stay as they are, repeated or with null ids; without training rows
-    N and V are 0 and every class is as likely. An empty table gives no rows.
+    N and V are 0 and only the end and one class for all words are there. An empty table gives no rows.
     """
     store = Stage(docs.sparkSession)
     rows = docs.select(
@@ -304,24 +487,28 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", table
     learned = rows.where(~F.col("held_out")).select("text")
     counts = store.keep(count_tokens(learned))
     total, distinct = counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
-    model = start(frequent(counts, table_words), total, distinct)
-    model = train(learned, model, store)
-    known = store.keep(_known_part(rows, model))
-    other = known.select("row", F.inline("others"))
+    most = max(least_classes, int(classes_per_root * distinct**0.5))
+    vocabulary = frequent(counts, max(table_words, most))
+    c = classes(counts, vocabulary, most)
+    # all words with a class of their own are among these
+    logs = {w: (c.of(w), float(np.log10(n + 0.5))) for w, n in [*vocabulary, (END, c.mass[c.own[END]] - 0.5)]}
+    coded = store.keep(_coded(rows, Words(c, logs)))
+    p = train(coded.where(~F.col("held_out")), c, total, store)
+    known = _modelled(coded, c, p)
+    other = coded.select("row", F.inline("others"))
     told = other.join(counts, "word", "left").groupBy("row").agg(
         F.sum(F.col("times") * F.log10(F.coalesce("n", F.lit(0)) + F.lit(0.5))).alias("other"),
         F.sum(F.when(F.col("n").isNotNull(), F.col("times"))).alias("found"),
     )
-    every = known.drop("others").join(told, "row", "left")
+    every = known.join(told, "row", "left")
     other = F.coalesce("other", F.lit(0.0))
     unit = float(np.log10(total + 0.5 * (distinct + 1)))
-    rare_unit = float(np.log10(model.rare_share))
     return every.select(
         "doc_id",
         "held_out",
         "n_tokens",
-        (F.col("n_known") + F.coalesce("found", F.lit(0))).alias("n_known"),
+        (F.col("n_known") + F.coalesce("found", F.lit(0)) if total else F.lit(0).cast("long")).alias("n_known"),
         F.lit(total).cast("long").alias("train_tokens"),
         (F.col("base") + other - F.col("n_tokens") * F.lit(unit)).alias("base_score"),
-        (F.col("model") + other - F.col("n_rare") * F.lit(rare_unit)).alias("score"),
+        (F.col("model") + F.col("shared") + other).alias("score"),
     )

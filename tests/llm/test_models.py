@@ -11,6 +11,7 @@ from collections import Counter, defaultdict
 import numpy as np
 import public_tokenizers
 import pytest
+from pyspark.sql import functions as F
 from helpers import SCHEMA, prose, rows_of
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -277,9 +278,40 @@ def words_of(text):
     return [w for w in re.split(r"[\x20\x09-\x0D]+", lower) if w] + [None]
 
 
-@pytest.mark.parametrize("table_words", [lm.TABLE_WORDS, 20])
-def test_scores(spark, edge_docs, edge_pairs, table_words):
-    got = lm.score(edge_docs, table_words=table_words).collect()
+def plain_score(text, counts, c, p):
+    """The probability of a text by loops over its tokens: group, class in the group, word in the class."""
+
+    def softmax(z):
+        e = [math.exp(x - max(z)) for x in z]
+        return [x / sum(e) for x in e]
+
+    total, near, far = 0.0, len(c.mass), len(c.mass)
+    for word in words_of(text):
+        raw = lm.END if word is None else word.encode()
+        ctx = [float(a * x + b * y) for a, x, b, y in zip(p.vectors[near], p.places[0], p.vectors[far], p.places[1])]
+        target = c.of(raw)
+        group, place = divmod(target, c.size)
+        z = [sum(x * y for x, y in zip(ctx, map(float, g))) + float(b) for g, b in zip(p.groups, p.group_bias)]
+        total += math.log10(softmax(z)[group])
+        first = group * c.size
+        z = [
+            sum(x * y for x, y in zip(ctx, map(float, p.outputs[k]))) + float(p.bias[k])
+            for k in range(first, first + c.size)
+        ]
+        total += math.log10(softmax(z)[place])
+        if raw not in c.own:
+            total += math.log10((counts[word] + 0.5) / c.mass[target])
+        near, far = target, near
+    return total
+
+
+@pytest.mark.parametrize("table_words, classes", [(lm.TABLE_WORDS, lm.LEAST_CLASSES), (20, 10)])
+def test_scores(spark, edge_docs, edge_pairs, table_words, classes, monkeypatch):
+    """Counts and both scores against plain Python, with all words in every task and with most of them joined."""
+    seen, modelled = {}, lm._modelled
+    monkeypatch.setattr(lm, "_modelled", lambda coded, c, p: seen.update(c=c, p=p) or modelled(coded, c, p))
+    options = {"table_words": table_words, "least_classes": classes, "classes_per_root": 0}
+    got = lm.score(edge_docs, **options).collect()
     counts = Counter(w for i, t in edge_pairs if not held("" if i is None else i, 5, 1) for w in words_of(t))
     total, distinct = sum(counts.values()), len(counts)
     wanted = []
@@ -291,20 +323,63 @@ def test_scores(spark, edge_docs, edge_pairs, table_words):
         (str(r.doc_id), r.held_out, r.n_tokens, r.n_known, r.train_tokens, round(r.base_score, 6)) for r in got
     ]
     assert sorted(rows) == sorted(wanted)
-    assert all(r.score < 0 for r in got)
+    short = [(i, t) for i, t in edge_pairs if len(t or "") < 5000]
+    plain = {(i, len(words_of(t))): plain_score(t, counts, **seen) for i, t in short}
+    for r in got:
+        if (r.doc_id, r.n_tokens) in plain and r.n_tokens < 5000:
+            assert r.score == pytest.approx(plain[r.doc_id, r.n_tokens], rel=1e-4, abs=1e-4)
+
+
+def test_model_is_normalised(spark):
+    """Over all known words and the unseen ones of every shared class, after any two classes."""
+    rows = [(w.encode(), n) for w, n in [("a", 50), ("b", 20), ("running", 5), ("going", 3), ("x", 1), ("ö", 2)]]
+    counts = spark.createDataFrame([*rows, (lm.END, 9)], "word binary, n long")
+    vocabulary = lm.frequent(counts, 3)
+    c = lm.classes(counts, vocabulary, 3)
+    assert set(c.own) == {b"a", b"b", lm.END} and c.n == 3 + len(c.shared)
+    p = lm.start(c)
+    p = lm.Parameters(*(x + np.random.default_rng(1).normal(0, 0.5, x.shape).astype(np.float32) * (x > -100) for x in p.all))
+    for near, far in [(0, 1), (c.n - 1, 0), (len(c.mass), len(c.mass))]:
+        mass = 0.0
+        for word, n in [*rows, (lm.END, 9)]:
+            k = c.of(word)
+            share = 1 if word in c.own else (n + 0.5) / c.mass[k]
+            mass += share * 10 ** lm.log10_probability(p, c.size, *(np.array([x]) for x in (k, near, far)))[0]
+        for k in c.shared:
+            mass += 0.5 / c.mass[k] * 10 ** lm.log10_probability(p, c.size, *(np.array([x]) for x in (k, near, far)))[0]
+        assert mass == pytest.approx(1, abs=1e-5)
+
+
+def test_classes_grow_with_the_words(spark):
+    def made(distinct):
+        counts = spark.range(distinct).selectExpr("CAST(concat('w', id) AS binary) AS word", "1000000 DIV (id + 1) + 1 AS n")
+        most = int(lm.CLASSES_PER_ROOT * distinct**0.5)
+        return lm.classes(counts, lm.frequent(counts, lm.TABLE_WORDS), most).n
+
+    assert made(40_000) > 1.5 * made(10_000) > 900
+
+
+@pytest.fixture(scope="module")
+def sums_by_partitions(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    out = {}
+    for n in (1, 16, 256):
+        held_out = lm.score(docs.repartition(n)).where("held_out")
+        out[n] = held_out.agg(F.sum("score"), F.sum("base_score")).first()
+    return out
 
 
-def test_model_is_normalised_and_better_than_counts(spark, no_docs):
-    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
-    got = [r for r in lm.score(docs).collect() if r.held_out]
-    assert sum(r.score for r in got) > sum(r.base_score for r in got)
-    m = lm.start([(b"a", 5), (lm.END, 3), (b"b", 2)], 12, 5)
-    ids = np.arange(len(m.noise))
-    for near in range(len(m.noise) + 1):
-        for far in range(len(m.noise) + 1):
-            p = 10 ** m.log10(ids, np.full(len(ids), near), np.full(len(ids), far))
-            assert abs(p.sum() - 1) < 1e-5
+def test_model_gains_the_same_whatever_the_partitions(sums_by_partitions):
+    gains = {n: score - base for n, (score, base) in sums_by_partitions.items()}
+    assert gains[1] > 10_000
+    assert all(abs(g - gains[1]) < 0.01 * gains[1] for g in gains.values())
+
+
+def test_scores_of_nothing_and_without_training_rows(spark, no_docs):
     assert lm.score(no_docs).count() == 0
+    held_out = next(i for i in range(100) if held(i, 5, 1))
+    (row,) = lm.score(spark.createDataFrame([(held_out, "a b")], "doc_id long, text string")).collect()
+    assert (row.n_tokens, row.n_known, row.train_tokens) == (3, 0, 0) and row.score < 0
 
 
 def test_stages_in_order(spark):
