@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import shutil
 import tempfile
+from contextlib import contextmanager
 from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -29,6 +30,23 @@ def fold(name: str, modulus: int) -> Column:
     return F.crc32(F.coalesce(F.col(name).cast("string"), F.lit("")).cast("binary")) % modulus
 
 
+#: Rows per batch handed to Python workers while a stage is written. Texts may be long and a batch is held as a
+#: whole on both sides, so few rows bound the memory of a task.
+BATCH_ROWS, BATCH_SETTING = 512, "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
+@contextmanager
+def small_batches(spark: SparkSession):
+    """Fewer rows per batch for the jobs inside; the session's setting comes back afterwards."""
+    before = spark.conf.get(BATCH_SETTING)
+    if not 0 < int(before) <= BATCH_ROWS:
+        spark.conf.set(BATCH_SETTING, str(BATCH_ROWS))
+    try:
+        yield
+    finally:
+        spark.conf.set(BATCH_SETTING, before)
+
+
 class Stage:
     """Intermediate tables in one fresh folder that all executors share.
 
@@ -42,7 +60,8 @@ class Stage:
     def keep(self, df: DataFrame, schema=None, partition_by: str | None = None) -> DataFrame:
         path = f"{self.root}/{self.n}"
         self.n += 1
-        df.write.parquet(path, partitionBy=partition_by)
+        with small_batches(self.spark):
+            df.write.parquet(path, partitionBy=partition_by)
         return self.spark.read.schema(schema or df.schema).parquet(path)
 
 
