@@ -152,13 +152,16 @@ def encode(docs: DataFrame, vocabulary_path: str, id_col: str = "doc_id", text_c
             yield pa.RecordBatch.from_arrays([pa.array(keys, key_type), packed], ["key", "ids"])
 
     rows = docs.select(F.col(id_col).alias("key"), text_of(text_col).alias("text"))
-    key_type = _arrow_type(rows, "key")
+    key_type = arrow_type(rows, "key")
     made = rows.mapInArrow(run, f"key {rows.schema['key'].dataType.simpleString()}, ids binary")
     return made.withColumnRenamed("key", id_col)
 
 
 def decode(coded: DataFrame, vocabulary_path: str, id_col: str = "doc_id", ids_col: str = "ids") -> DataFrame:
-    """``id_col, ids, text``: the text of each row's ids, which :func:`encode` made; null ids are empty text."""
+    """``id_col, ids, text``: the text of each row's ids, which :func:`encode` made.
+
+    Null ids are empty text, repeated rows stay rows of their own, an empty table gives no rows.
+    """
 
     def run(batches):
         v = vocabulary(vocabulary_path)
@@ -173,14 +176,15 @@ def decode(coded: DataFrame, vocabulary_path: str, id_col: str = "doc_id", ids_c
             )
 
     rows = coded.select(F.col(id_col).alias("key"), F.col(ids_col).alias("ids"))
-    key_type = _arrow_type(rows, "key")
+    key_type = arrow_type(rows, "key")
     made = rows.mapInArrow(
         run, f"key {rows.schema['key'].dataType.simpleString()}, ids binary, text string"
     )
     return made.withColumnRenamed("key", id_col)
 
 
-def _arrow_type(df: DataFrame, name: str) -> pa.DataType:
+def arrow_type(df: DataFrame, name: str) -> pa.DataType:
+    """The Arrow type of a column."""
     from pyspark.sql.pandas.types import to_arrow_type
 
     return to_arrow_type(df.schema[name].dataType)

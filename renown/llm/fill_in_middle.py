@@ -18,6 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from renown.llm.frames import text_of
+from renown.llm.hashing import sliced
 
 #: Units per frame of a stored text.
 FRAME_UNITS = 1 << 14
@@ -173,20 +174,18 @@ def store(
     kind = rows.schema[id_col].dataType.simpleString()
 
     def run(batches):
-        for batch in batches:
-            for at in range(0, batch.num_rows, 512):
-                some = batch.slice(at, 512)
-                texts = some.column(1).to_pylist()
-                marked = [any(m in t for m in (PREFIX, SUFFIX, MIDDLE)) for t in texts]
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        some.column(0),
-                        pa.array([len(t) for t in texts], pa.int64()),
-                        pa.array(marked, pa.bool_()),
-                        *_arrays([pack(t, frame_units) for t in texts]),
-                    ],
-                    [id_col, "n", "marked", "ends", "frames"],
-                )
+        for some in sliced(batches, 512):
+            texts = some.column(1).to_pylist()
+            marked = [any(m in t for m in (PREFIX, SUFFIX, MIDDLE)) for t in texts]
+            yield pa.RecordBatch.from_arrays(
+                [
+                    some.column(0),
+                    pa.array([len(t) for t in texts], pa.int64()),
+                    pa.array(marked, pa.bool_()),
+                    *_arrays([pack(t, frame_units) for t in texts]),
+                ],
+                [id_col, "n", "marked", "ends", "frames"],
+            )
 
     return rows.mapInArrow(
         run, f"`{id_col}` {kind}, n long, marked boolean, ends array<long>, frames array<binary>"
@@ -235,17 +234,15 @@ def transform(
     planned = planned.select(*carried, "ends", "frames")
 
     def run(batches):
-        for batch in batches:
-            for at in range(0, batch.num_rows, 512):
-                some = batch.slice(at, 512)
-                form, prefix, middle, ends, data = (some.column(c).to_pylist() for c in range(2, 7))
-                out = [
-                    rearrange(Frames(e, d), f, a or 0, (a or 0) + (m or 0), frame_units)
-                    for f, a, m, e, d in zip(form, prefix, middle, ends, data)
-                ]
-                yield pa.RecordBatch.from_arrays(
-                    [some.column(c) for c in range(5)] + _arrays(out), some.schema.names
-                )
+        for some in sliced(batches, 512):
+            form, prefix, middle, ends, data = (some.column(c).to_pylist() for c in range(2, 7))
+            out = [
+                rearrange(Frames(e, d), f, a or 0, (a or 0) + (m or 0), frame_units)
+                for f, a, m, e, d in zip(form, prefix, middle, ends, data)
+            ]
+            yield pa.RecordBatch.from_arrays(
+                [some.column(c) for c in range(5)] + _arrays(out), some.schema.names
+            )
 
     return planned.mapInArrow(run, planned.schema)
 
@@ -256,18 +253,16 @@ def texts(transformed: DataFrame, restored: bool = False, name: str = "text") ->
     rows = transformed.select("form", "ends", "frames", *[F.col(c).alias(f"_{c}") for c in keep])
 
     def run(batches):
-        for batch in batches:
-            for at in range(0, batch.num_rows, 64):
-                some = batch.slice(at, 64)
-                out = []
-                for form, ends, data in zip(*(some.column(c).to_pylist() for c in range(3))):
-                    held = Frames(ends, data)
-                    ranges = original_ranges(held, form) if restored else [(0, held.units)]
-                    out.append("".join(t for a, b in ranges for t in held.stream(a, b)))
-                yield pa.RecordBatch.from_arrays(
-                    [some.column(c) for c in range(3, len(keep) + 3)] + [pa.array(out, pa.string())],
-                    [*keep, name],
-                )
+        for some in sliced(batches, 64):
+            out = []
+            for form, ends, data in zip(*(some.column(c).to_pylist() for c in range(3))):
+                held = Frames(ends, data)
+                ranges = original_ranges(held, form) if restored else [(0, held.units)]
+                out.append("".join(t for a, b in ranges for t in held.stream(a, b)))
+            yield pa.RecordBatch.from_arrays(
+                [some.column(c) for c in range(3, len(keep) + 3)] + [pa.array(out, pa.string())],
+                [*keep, name],
+            )
 
     fields = [f"`{c}` {transformed.schema[c].dataType.simpleString()}" for c in keep]
     return rows.mapInArrow(run, ", ".join([*fields, f"`{name}` string"]))
@@ -279,18 +274,16 @@ def digests(transformed: DataFrame, id_col: str = "doc_id") -> DataFrame:
     rows = transformed.select(*carried, "ends", "frames")
 
     def run(batches):
-        for batch in batches:
-            for at in range(0, batch.num_rows, 512):
-                some = batch.slice(at, 512)
-                out, back = [], []
-                for form, ends, data in zip(*(some.column(c).to_pylist() for c in (2, 5, 6))):
-                    held = Frames(ends, data)
-                    out.append(held.digest())
-                    back.append(held.digest(*original_ranges(held, form)))
-                yield pa.RecordBatch.from_arrays(
-                    [some.column(c) for c in range(5)] + [pa.array(out), pa.array(back)],
-                    [*carried, "output_sha256", "restored_sha256"],
-                )
+        for some in sliced(batches, 512):
+            out, back = [], []
+            for form, ends, data in zip(*(some.column(c).to_pylist() for c in (2, 5, 6))):
+                held = Frames(ends, data)
+                out.append(held.digest())
+                back.append(held.digest(*original_ranges(held, form)))
+            yield pa.RecordBatch.from_arrays(
+                [some.column(c) for c in range(5)] + [pa.array(out), pa.array(back)],
+                [*carried, "output_sha256", "restored_sha256"],
+            )
 
     fields = [f"`{c}` {rows.schema[c].dataType.simpleString()}" for c in carried]
     return rows.mapInArrow(run, ", ".join([*fields, "output_sha256 string", "restored_sha256 string"]))

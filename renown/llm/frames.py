@@ -75,6 +75,17 @@ def only_ids(docs: DataFrame, ids: DataFrame, name: str, how: str = "left_semi")
     return docs.join(other, docs[name].eqNullSafe(other["_wanted_id"]), how)
 
 
+def bounded_rows(rows: DataFrame, most: int) -> DataFrame:
+    """At most ``most`` rows, those with the smallest hash of all their columns; equal rows count once.
+
+    A first pass finds the greatest hash that is in, a second takes the rows, so no row is
+    moved but those that are taken.
+    """
+    drawn = rows.withColumn("_draw", F.xxhash64(*rows.columns))
+    last = drawn.select("_draw").distinct().orderBy("_draw").limit(most).agg(F.max("_draw")).first()[0]
+    return drawn.where(F.col("_draw") <= F.lit(last).cast("long")).dropDuplicates(["_draw"]).drop("_draw")
+
+
 #: Rows of a (bigint) id table that may be broadcast: 2 million are some 32 MB.
 BROADCAST_ROWS = 2_000_000
 

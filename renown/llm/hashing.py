@@ -118,6 +118,13 @@ def shingle_hashes(owner: np.ndarray, words: np.ndarray, n: int) -> tuple[np.nda
     return of, h
 
 
+def sliced(batches, rows: int):
+    """Arrow batches cut to a bounded number of rows."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, rows):
+            yield batch.slice(at, rows)
+
+
 def parts(batches, columns: tuple[str, ...], rows: int = 512):
     """Python lists of the columns of Arrow batches, a bounded number of rows at a time."""
     for batch in batches:

@@ -1,9 +1,11 @@
 """Language identification by unigram pieces, summed over all segmentations.
 
-The pieces are those of a public vocabulary; each language has its own
+The pieces are those of a public vocabulary, in lower case; each language has its own
 probability for each. The probability of a word is the sum over all ways to cut it into
-pieces, by the forward algorithm; that of a text is the product over its words. The piece
-probabilities come from expectation maximisation over the same sums.
+pieces, by the forward algorithm; that of a text is the product over its words. A word is a run of
+letters, however long: scripts without blanks have whole sentences as words. The piece
+probabilities come from expectation maximisation over the same sums; there alone, long runs are cut into
+stretches between characters.
 """
 
 from __future__ import annotations
@@ -17,29 +19,40 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from renown.llm.frames import Stage, fold, text_of
+from renown.llm.frames import Stage, bounded_rows, fold, text_of
 from renown.llm.hashing import LETTERS, Sums, U, blocks, parts
 
-#: Bytes of a piece at most, and of a word; a longer word is cut into such stretches.
-PIECE, WORD = 16, 32
+#: Bytes up to which words of one length are worked out together; longer ones go one by one.
+WORD = 32
+#: Sums below this are scaled up on the way through a long word.
+TINY = 1e-150
 REMEMBERED = 400_000
 UNKNOWN = "und"
 
 
 def read_pieces(path: str) -> list[bytes]:
-    """Lower-case pieces of letters, with or without a leading space, in the order of the file."""
+    """Pieces of letters in lower case, with or without a leading space, in the order of the file."""
     with open(path, "rb") as f:
-        pieces = [base64.b64decode(line.split()[0]) for line in f if line.strip()]
-    plain = [p for p in pieces if len(p) <= PIECE and all(LETTERS[b] for b in p.removeprefix(b" "))]
+        pieces = [lowered(base64.b64decode(line.split()[0])) for line in f if line.strip()]
+    plain = [p for p in pieces if p and all(LETTERS[b] for b in p.removeprefix(b" "))]
     single = [b" ", *(bytes([b]) for b in np.flatnonzero(LETTERS))]
     return list(dict.fromkeys(plain + single))
 
 
+def lowered(piece: bytes) -> bytes:
+    """In lower case; a piece that cuts a character has its ASCII letters lowered."""
+    try:
+        return piece.decode("utf-8").lower().encode("utf-8")
+    except UnicodeDecodeError:
+        return piece.lower()
+
+
 class Lattice:
     """Looks up which stretches of words are pieces."""
 
     def __init__(self, pieces: list[bytes]):
         self.n = len(pieces)
+        self.lengths = sorted({len(p) for p in pieces})
         ends = np.cumsum([len(p) for p in pieces])
         h = Sums(np.frombuffer(b"".join(pieces), np.uint8)).hash(ends - [len(p) for p in pieces], ends)
         self.order = np.argsort(h)
@@ -52,14 +65,29 @@ class Lattice:
         base = np.arange(n) * length
         found = {}
         for i in range(length):
-            for j in range(i + 1, min(length, i + PIECE) + 1):
-                h = sums.hash(base + i, base + j)
-                at = np.minimum(np.searchsorted(self.sorted, h), self.n - 1)
-                piece = np.where(self.sorted[at] == h, self.order[at], self.n)
+            for size in self.lengths:
+                j = i + size
+                if j > length:
+                    break
+                piece = self._piece(sums.hash(base + i, base + j))
                 if (piece < self.n).any():
                     found[i, j] = piece
         return found
 
+    def _piece(self, h: np.ndarray) -> np.ndarray:
+        at = np.minimum(np.searchsorted(self.sorted, h), self.n - 1)
+        return np.where(self.sorted[at] == h, self.order[at], self.n)
+
+    def ending_at(self, word: np.ndarray) -> np.ndarray:
+        """For one word: per piece length and place, the piece of that length that ends there, or ``n``."""
+        sums, n = Sums(word), len(word)
+        ending = np.full((len(self.lengths), n + 1), self.n)
+        for k, size in enumerate(self.lengths):
+            if size <= n:
+                first = np.arange(n - size + 1)
+                ending[k, size:] = self._piece(sums.hash(first, first + size))
+        return ending
+
 
 def forward(grid, p: np.ndarray, n: int, length: int) -> np.ndarray:
     """Sums over the segmentations of each prefix; ``p`` has a row per piece and a last row of zeros."""
@@ -70,6 +98,29 @@ def forward(grid, p: np.ndarray, n: int, length: int) -> np.ndarray:
     return alpha
 
 
+def forward_long(lattice: Lattice, word: bytes, p: np.ndarray) -> np.ndarray:
+    """Log of the sum over all segmentations of one word of any length, per language.
+
+    Only the sums that a piece can still begin at are kept, scaled up when they get small.
+    """
+    ending = lattice.ending_at(np.frombuffer(word, np.uint8))
+    lengths = np.array(lattice.lengths)
+    reach = int(lengths[-1])
+    alpha, scale = np.zeros((reach, p.shape[1])), np.zeros(p.shape[1])  # place i is row i modulo reach
+    alpha[0] = 1
+    for j in range(1, len(word) + 1):
+        hit = np.flatnonzero(ending[:, j] < lattice.n)
+        row = (alpha[(j - lengths[hit]) % reach] * p[ending[hit, j]]).sum(axis=0)
+        alpha[j % reach] = row
+        if j % 16 == 0:
+            top = alpha.max(axis=0)
+            small = (top < TINY) & (top > 0)
+            if small.any():
+                alpha[:, small] /= top[small]
+                scale[small] += np.log(top[small])
+    return np.log(np.maximum(alpha[len(word) % reach], 1e-300)) + scale
+
+
 def expected(grid, p: np.ndarray, weight: np.ndarray, length: int, total: np.ndarray) -> None:
     """Add the expected counts of the pieces; ``weight`` has a row per word, a column per language."""
     n = len(weight)
@@ -92,20 +143,24 @@ def by_length(words: list[bytes]):
 
 
 def words_in(texts: list[str | None]):
-    """Per block: text number, hash and a getter of the bytes of each word stretch."""
+    """Per block: text number, hash and a getter of the bytes of each word."""
     for raw, owner, start, end in blocks(texts, LETTERS):
-        long = np.flatnonzero(end - start > WORD)
-        if len(long):
-            extra = [(o, a, min(a + WORD, e)) for o, s, e in zip(owner[long], start[long], end[long]) for a in range(s, e, WORD)]
-            extra = np.array(extra)
-            keep = end - start <= WORD
-            owner = np.concatenate([owner[keep], extra[:, 0]])
-            start = np.concatenate([start[keep], extra[:, 1]])
-            end = np.concatenate([end[keep], extra[:, 2]])
         data = raw.tobytes()
         yield owner, Sums(raw).hash(start, end), lambda k, s=start, e=end, d=data: d[s[k] : e[k]]
 
 
+def stretches(word: bytes) -> list[bytes]:
+    """A word in parts of ``WORD`` bytes at most, cut between characters."""
+    found = []
+    while len(word) > WORD:
+        cut = WORD
+        while cut > 1 and word[cut] & 0xC0 == 0x80:
+            cut -= 1
+        found.append(word[:cut])
+        word = word[cut:]
+    return [*found, word]
+
+
 @dataclass
 class LanguageModel:
     languages: list[str]
@@ -126,10 +181,14 @@ class LanguageModel:
 
     def _learn(self, hashes: list[int], words: list[bytes]) -> None:
         base = len(self._known)
-        for at, rows in by_length(words):
+        long = [i for i, w in enumerate(words) if len(w) > WORD]
+        for i in long:
+            self._logs[base + i] = forward_long(self._lattice, b" " + words[i], self.p)
+        short = np.setdiff1d(np.arange(len(words)), long)
+        for at, rows in by_length([words[i] for i in short]):
             grid = self._lattice.grid(rows)
             sums = forward(grid, self.p, len(at), rows.shape[1])[-1]
-            self._logs[base + at] = np.log(np.maximum(sums, 1e-300))
+            self._logs[base + short[at]] = np.log(np.maximum(sums, 1e-300))
         self._known.update(zip(hashes, range(base, base + len(words))))
 
     def scores(self, texts: list[str | None]) -> np.ndarray:
@@ -175,27 +234,23 @@ def fit(
 ) -> LanguageModel:
     """Learn from rows with a language and an id whose crc32(id) mod 5 is not 0.
 
-    Documented bound: at most ``max_docs`` rows, those with the smallest hash of
-    the id. Each round is one distributed pass over the distinct words of each language.
+    Documented bound: at most ``max_docs`` rows, those with the smallest hash of id, language and text; equal
+    rows count once. An empty language is a language. Each round is one distributed pass over the distinct words of each language.
     """
     store = Stage(docs.sparkSession)
     pieces = read_pieces(pieces_path)
-    able = docs.where(
-        F.col(id_col).isNotNull() & F.col(lang_col).isNotNull() & (F.col(lang_col) != "") & (fold(id_col, 5) != 0)
-    )
-    chosen = able.select(F.col(id_col).alias("_id")).distinct()
-    chosen = chosen.orderBy(F.xxhash64("_id"), "_id").limit(max_docs)
-    chosen = F.broadcast(store.keep(chosen))  # at most max_docs rows
+    able = docs.where(F.col(id_col).isNotNull() & F.col(lang_col).isNotNull() & (fold(id_col, 5) != 0))
     rows = able.select(F.col(id_col).alias("_id"), F.col(lang_col).cast("string").alias("lang"), text_of(text_col).alias("text"))
-    rows = rows.join(chosen, "_id").select("lang", "text")
+    rows = bounded_rows(rows, max_docs).select("lang", "text")
 
     def count(batches):
         for langs, texts in parts(batches, ("lang", "text")):
             counts: dict[tuple[str, bytes], int] = {}
             for owner, _, get in words_in(texts):
                 for k, o in enumerate(owner.tolist()):
-                    key = langs[o], get(k)
-                    counts[key] = counts.get(key, 0) + 1
+                    for word in stretches(get(k)):
+                        key = langs[o], word
+                        counts[key] = counts.get(key, 0) + 1
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.array([k[0] for k in counts], pa.string()),

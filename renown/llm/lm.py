@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from renown.llm.frames import Stage, fold, text_of
-from renown.llm.hashing import parts
+from renown.llm.hashing import parts, sliced
 
 #: Numbers per vector.
 WIDTH = 24
@@ -396,9 +396,9 @@ def _coded(rows: DataFrame, words: Words) -> DataFrame:
         alone = np.ones(len(w.classes.mass), bool)
         alone[w.classes.shared] = False
         n = TaskContext.get().partitionId() << 33
-        for keys, held_out, texts in parts(batches, ("doc_id", "held_out", "text"), 256):
+        for some in sliced(batches, 256):
             out = [[] for _ in range(6)]
-            for text in texts:
+            for text in some.column("text").to_pylist():
                 found, others = [], []
                 for word in tokens(text):
                     known = get(word)
@@ -421,20 +421,20 @@ def _coded(rows: DataFrame, words: Words) -> DataFrame:
                     column.append(value)
             yield pa.RecordBatch.from_arrays(
                 [
-                    pa.array(range(n, n + len(keys)), pa.int64()),
-                    pa.array(keys, pa.int64()),
-                    pa.array(held_out, pa.bool_()),
+                    pa.array(range(n, n + some.num_rows), pa.int64()),
+                    some.column("doc_id"),
+                    some.column("held_out"),
                     *(pa.array(column, kind) for column, kind in zip(out, kinds)),
                 ],
                 names,
             )
-            n += len(keys)
+            n += some.num_rows
 
     kinds = [pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.binary()]
     kinds.append(pa.list_(pa.struct([("word", pa.binary()), ("times", pa.int64())])))
     schema = (
-        "row long, doc_id long, held_out boolean, n_tokens long, n_known long, base double, "
-        "shared double, classes binary, others array<struct<word: binary, times: bigint>>"
+        f"row long, doc_id {rows.schema['doc_id'].dataType.simpleString()}, held_out boolean, n_tokens long, n_known long, "
+        "base double, shared double, classes binary, others array<struct<word: binary, times: bigint>>"
     )
     names = [c.split(" ")[0] for c in schema.split(", ")][:9]
     return rows.mapInArrow(run, schema)
@@ -448,17 +448,13 @@ def _modelled(coded: DataFrame, c: Classes, p: Parameters) -> DataFrame:
 
     def run(batches):
         params, size, log_share = shared.value
-        for batch in batches:
-            for at in range(0, batch.num_rows, 256):
-                some = batch.slice(at, 256)
-                ids = [np.frombuffer(x, np.uint32) for x in some.column(len(kept)).to_pylist()]
-                sizes = [len(i) for i in ids]
-                flat, near, far = contexts(ids, begin)
-                logs = log10_probability(params, size, flat, near, far) - log_share[flat]
-                model = np.bincount(np.repeat(np.arange(len(ids)), sizes), logs, len(ids))
-                yield pa.RecordBatch.from_arrays(
-                    [some.column(k) for k in range(len(kept))] + [pa.array(model)], [*kept, "model"]
-                )
+        for some in sliced(batches, 256):
+            ids = [np.frombuffer(x, np.uint32) for x in some.column("classes").to_pylist()]
+            sizes = [len(i) for i in ids]
+            flat, near, far = contexts(ids, begin)
+            logs = log10_probability(params, size, flat, near, far) - log_share[flat]
+            model = np.bincount(np.repeat(np.arange(len(ids)), sizes), logs, len(ids))
+            yield pa.RecordBatch.from_arrays([some.column(k) for k in kept] + [pa.array(model)], [*kept, "model"])
 
     kinds = ", ".join(f"{x} {coded.schema[x].dataType.simpleString()}" for x in kept)
     return coded.select(*kept, "classes").mapInArrow(run, f"{kinds}, model double")
@@ -477,12 +473,12 @@ def score(
     Training rows are those whose crc32(id) mod 5 is not 1. ``base_score`` sums
     log10((c + 0.5) / (N + 0.5 (V + 1))) over the tokens, ``score`` is the model's log10
     probability of the whole text with its end. Null and empty texts are
-    one end token. Rows stay as they are, repeated or with null ids; without training rows
+    one end token. Ids keep their type. Rows stay as they are, repeated or with null ids; without training rows
     N and V are 0 and only the end and one class for all words are there. An empty table gives no rows.
     """
     store = Stage(docs.sparkSession)
     rows = docs.select(
-        F.col(id_col).cast("long").alias("doc_id"), (fold(id_col, 5) == 1).alias("held_out"), text_of(text_col).alias("text")
+        F.col(id_col).alias("doc_id"), (fold(id_col, 5) == 1).alias("held_out"), text_of(text_col).alias("text")
     )
     learned = rows.where(~F.col("held_out")).select("text")
     counts = store.keep(count_tokens(learned))

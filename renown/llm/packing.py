@@ -19,10 +19,16 @@ from renown.llm.hashing import parts
 LENGTH = 2048
 WINDOW_TOKENS = 4_000_000
 
-PACKED = (
-    "n_tokens int, doc_ids array<bigint>, starts array<bigint>, cu_seqlens array<int>, "
-    "ids binary, positions binary"
-)
+COLUMNS = ("n_tokens", "doc_ids", "starts", "cu_seqlens", "ids", "positions")
+
+
+def _schema(rows: DataFrame) -> str:
+    """Document ids keep the type of ``key``."""
+    kind = rows.schema["key"].dataType.simpleString()
+    return (
+        f"n_tokens int, doc_ids array<{kind}>, starts array<bigint>, cu_seqlens array<int>, "
+        "ids binary, positions binary"
+    )
 
 
 class Capacities:
@@ -79,7 +85,7 @@ def best_fit_decreasing(sizes: list[int], length: int) -> list[list[int]]:
     return bins
 
 
-def _window(pieces: list[tuple[int | None, int, np.ndarray]], length: int, pad: int) -> pa.RecordBatch:
+def _window(pieces: list[tuple], length: int, pad: int, key_type: pa.DataType) -> pa.RecordBatch:
     """All sequences of one window, written into one matrix of ids and one of positions."""
     bins = best_fit_decreasing([len(p[2]) for p in pieces], length)
     order = [i for items in bins for i in items]
@@ -107,21 +113,20 @@ def _window(pieces: list[tuple[int | None, int, np.ndarray]], length: int, pad:
         whole = pa.Array.from_buffers(pa.large_binary(), len(bins), [None, offsets, pa.py_buffer(values)])
         return whole.cast(pa.binary())
 
-    names = [c.split(" ")[0] for c in PACKED.split(", ")]
     return pa.RecordBatch.from_arrays(
         [
             pa.array(np.diff(used), pa.int32()),
-            pa.ListArray.from_arrays(lists, pa.array([pieces[i][0] for i in order], pa.int64())),
+            pa.ListArray.from_arrays(lists, pa.array([pieces[i][0] for i in order], key_type)),
             pa.ListArray.from_arrays(lists, pa.array([pieces[i][1] for i in order], pa.int64())),
             pa.ListArray.from_arrays(pa.array(cuts + np.arange(len(bins) + 1), pa.int32()), pa.array(cumulative, pa.int32())),
             matrix(ids),
             matrix(positions),
         ],
-        names,
+        COLUMNS,
     )
 
 
-def _packed(documents, length: int, pad: int, window_tokens: int):
+def _packed(documents, length: int, pad: int, window_tokens: int, key_type: pa.DataType):
     """Record batches of the sequences of ``(id, ids)``, a window of tokens at a time."""
     pieces, tokens = [], 0
     for key, raw in documents:
@@ -130,10 +135,10 @@ def _packed(documents, length: int, pad: int, window_tokens: int):
             pieces.append((key, at, ids[at : at + length]))
             tokens += len(pieces[-1][2])
             if tokens >= window_tokens:
-                yield from _slices(_window(pieces, length, pad))
+                yield from _slices(_window(pieces, length, pad, key_type))
                 pieces, tokens = [], 0
     if pieces:
-        yield from _slices(_window(pieces, length, pad))
+        yield from _slices(_window(pieces, length, pad, key_type))
 
 
 def pack(coded: DataFrame, id_col: str = "doc_id", ids_col: str = "ids", length: int = LENGTH, pad: int = 0, window_tokens: int = WINDOW_TOKENS) -> DataFrame:
@@ -149,10 +154,11 @@ def pack(coded: DataFrame, id_col: str = "doc_id", ids_col: str = "ids", length:
 
     def run(batches):
         documents = (pair for keys, coded_ids in parts(batches, ("key", "ids"), 64) for pair in zip(keys, coded_ids))
-        yield from _packed(documents, length, pad, window_tokens)
+        yield from _packed(documents, length, pad, window_tokens, key_type)
 
-    rows = coded.select(F.col(id_col).cast("long").alias("key"), F.col(ids_col).alias("ids"))
-    return rows.mapInArrow(run, PACKED)
+    rows = coded.select(F.col(id_col).alias("key"), F.col(ids_col).alias("ids"))
+    key_type = bpe.arrow_type(rows, "key")
+    return rows.mapInArrow(run, _schema(rows))
 
 
 def pack_documents(docs: DataFrame, vocabulary_path: str, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH, pad: int = 0, window_tokens: int = WINDOW_TOKENS) -> DataFrame:
@@ -165,10 +171,11 @@ def pack_documents(docs: DataFrame, vocabulary_path: str, id_col: str = "doc_id"
             for keys, texts in parts(batches, ("key", "text"), 64)
             for key, text in zip(keys, texts)
         )
-        yield from _packed(documents, length, pad, window_tokens)
+        yield from _packed(documents, length, pad, window_tokens, key_type)
 
-    rows = docs.select(F.col(id_col).cast("long").alias("key"), text_of(text_col).alias("text"))
-    return rows.mapInArrow(run, PACKED)
+    rows = docs.select(F.col(id_col).alias("key"), text_of(text_col).alias("text"))
+    key_type = bpe.arrow_type(rows, "key")
+    return rows.mapInArrow(run, _schema(rows))
 
 
 def _slices(batch: pa.RecordBatch, rows: int = 256):
@@ -179,7 +186,8 @@ def _slices(batch: pa.RecordBatch, rows: int = 256):
 def write_packed(docs: DataFrame, path: str, vocabulary_path: str, rows: int = 64, **options) -> DataFrame:
     """Write matrices of up to ``rows`` sequences as Parquet files below ``path`` and read them back.
 
-    ``ids`` and ``positions`` are row-major matrices, the other columns lists per row.
+    ``ids`` and ``positions`` are row-major matrices, the other columns lists per row. Repeated rows and
+    null ids are packed like any other; documents without tokens are in no matrix, an empty table writes none.
     """
     packed = pack_documents(docs, vocabulary_path, **options)
 
@@ -196,15 +204,16 @@ def write_packed(docs: DataFrame, path: str, vocabulary_path: str, rows: int = 6
                 ["n_rows", *names],
             )
 
+    key_type = bpe.arrow_type(docs.select(F.col(options.get("id_col", "doc_id")).alias("key")), "key")
     kinds = (
         pa.list_(pa.int32()),
-        pa.list_(pa.list_(pa.int64())),
+        pa.list_(pa.list_(key_type)),
         pa.list_(pa.list_(pa.int64())),
         pa.list_(pa.list_(pa.int32())),
     )
     schema = (
-        "n_rows int, n_tokens array<int>, doc_ids array<array<bigint>>, starts array<array<bigint>>, "
-        "cu_seqlens array<array<int>>, ids binary, positions binary"
+        f"n_rows int, n_tokens array<int>, doc_ids array<{packed.schema['doc_ids'].dataType.simpleString()}>, "
+        "starts array<array<bigint>>, cu_seqlens array<array<int>>, ids binary, positions binary"
     )
     packed.mapInArrow(run, schema).write.parquet(path)
     return docs.sparkSession.read.parquet(path)

@@ -235,6 +235,29 @@ LLM_ORACLES = {
                doc_id = first_value(doc_id) OVER w AS kept, text_sha256
         FROM bare WINDOW w AS (PARTITION BY text_sha256 ORDER BY n DESC, doc_id)
     """,
+    "op7_secret_scan": r"""
+        WITH t AS (SELECT doc_id, row_number() OVER () AS r, coalesce(text, '') AS x FROM documents),
+        m AS (
+            SELECT r, 0 AS rank, 'assign' AS kind, 12 AS least, regexp_extract_all(x, '(?i)(?:password|passwd|secret|token|api_?key)["'']?\x20*[:=]\x20*["'']?([A-Za-z0-9+/_.=-]+)', 0) AS whole,
+                   regexp_extract_all(x, '(?i)(?:password|passwd|secret|token|api_?key)["'']?\x20*[:=]\x20*["'']?([A-Za-z0-9+/_.=-]+)', 1) AS part, regexp_split_to_array(x, '(?i)(?:password|passwd|secret|token|api_?key)["'']?\x20*[:=]\x20*["'']?([A-Za-z0-9+/_.=-]+)') AS gaps FROM t
+            UNION ALL
+            SELECT r, 1, 'access', 18, regexp_extract_all(x, 'AKIA[A-Z0-9]+'), regexp_extract_all(x, 'AKIA[A-Z0-9]+'), regexp_split_to_array(x, 'AKIA[A-Z0-9]+') FROM t
+            UNION ALL
+            SELECT r, 2, 'hex', 16, regexp_extract_all(x, '[0-9a-f]{16,}'), regexp_extract_all(x, '[0-9a-f]{16,}'), regexp_split_to_array(x, '[0-9a-f]{16,}') FROM t),
+        h AS (
+            SELECT r, rank, kind, least, unnest(range(1, len(whole) + 1)) AS k, unnest(list_transform(whole, lambda s: length(s))) AS size,
+                   unnest(list_transform(part, lambda s: length(s))) AS judged,
+                   unnest(list_transform(gaps[:len(whole)], lambda s: length(s))) AS gap FROM m WHERE len(whole) > 0),
+        s AS (
+            SELECT *, sum(gap + size) OVER (PARTITION BY r, rank ORDER BY k) AS stop FROM h),
+        f AS (
+            SELECT r, count(*) FILTER (rank = 0) AS n_assign, count(*) FILTER (rank = 1) AS n_access, count(*) FILTER (rank = 2) AS n_hex,
+                   string_agg(kind || ':' || (stop - size) || ':' || stop, ',' ORDER BY stop - size, rank) AS spans
+            FROM s WHERE judged >= least GROUP BY r)
+        SELECT doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access, coalesce(n_hex, 0) AS n_hex,
+               sha256(coalesce(spans, '')) AS base_sha256, coalesce(spans, '') AS spans
+        FROM t LEFT JOIN f USING (r)
+    """,
     "op9_decontamination": r"""
         WITH w AS (
             SELECT 'd' AS side, doc_id AS id, list_filter(regexp_split_to_array(lower(coalesce(text, '')),

@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from renown.llm.frames import Stage, fold, text_of
+from renown.llm.frames import Stage, bounded_rows, fold, text_of
 from renown.llm.hashing import Sums, U, blocks, parts
 
 BITS = 20
@@ -114,8 +114,8 @@ def fit(
 ) -> FactorizationMachine:
     """Learn ``label_col`` from the rows whose crc32(id) mod 3 is not 1.
 
-    Documented bounds: at most ``max_rows`` labelled rows, those with the
-    smallest hash of the id, and the ``max_terms`` terms that part the classes
+    Documented bounds: at most ``max_rows`` rows of as many labelled ids, those with the
+    smallest hashes, equal rows counted once, and the ``max_terms`` terms that part the classes
     best. Rows without label or id teach nothing. Labels given twice for an id count
     as the larger. Without labels the model gives every text 0.5.
     """
@@ -128,6 +128,7 @@ def fit(
     told = told.orderBy(F.xxhash64("_id"), "_id").limit(max_rows)
     told = F.broadcast(store.keep(told))  # at most max_rows rows
     rows = docs.select(F.col(id_col).alias("_id"), text_of(text_col).alias("text")).join(told, "_id")
+    rows = bounded_rows(rows, max_rows)
 
     def found_terms(batches):
         for ids, texts, ys in parts(batches, ("_id", "text", "y"), 128):

@@ -273,6 +273,73 @@ def test_language(spark, edge_docs, edge_pairs, no_docs):
     assert {r.lang_pred for r in language_id.identify(edge_docs, empty).collect()} == {"und"}
 
 
+def log_forward(word, pieces, p):
+    """The sum over all segmentations by its definition, in logarithms."""
+    index = {x: k for k, x in enumerate(pieces)}
+    longest = max(map(len, pieces))
+    alpha = [0.0] + [-math.inf] * len(word)
+    for j in range(1, len(word) + 1):
+        terms = [
+            alpha[i] + math.log(p[index[word[i:j]]])
+            for i in range(max(0, j - longest), j)
+            if word[i:j] in index and alpha[i] > -math.inf
+        ]
+        if terms:
+            top = max(terms)
+            alpha[j] = top + math.log(sum(math.exp(t - top) for t in terms))
+    return alpha[-1]
+
+
+def test_long_words_are_summed_over_all_segmentations():
+    """A sentence without blanks, a run of 5,000 letters, and the same sums as for short words."""
+    pieces = language_id.read_pieces(MULTI_FILE)
+    assert len(set(pieces)) == len(pieces) and not any(p != p.lower() for p in pieces)
+    rng = np.random.default_rng(3)
+    p = rng.random((len(pieces) + 1, 2))
+    p[-1] = 0
+    p /= p.sum(0)
+    lattice = language_id.Lattice(pieces)
+    for text in ("机器学习正在改变我们的世界和生活方式", "донаудампфшифффартсгезелльшафт" * 3, "ab" * 2500, "x"):
+        word = b" " + text.encode()
+        got = language_id.forward_long(lattice, word, p)
+        assert got == pytest.approx([log_forward(word, pieces, p[:, k]) for k in range(2)], rel=1e-9)
+    rows = np.frombuffer(b" abcdef", np.uint8).reshape(1, 7)
+    short = language_id.forward(lattice.grid(rows), p, 1, 7)[-1][0]
+    assert np.log(short) == pytest.approx(language_id.forward_long(lattice, b" abcdef", p))
+
+
+def test_scores_of_texts_without_blanks():
+    """Through the model, beside short words: the text's score is that of its words, whatever their length."""
+    pieces = language_id.read_pieces(MULTI_FILE)
+    p = np.random.default_rng(4).random((len(pieces) + 1, 2))
+    p[-1] = 0
+    model = language_id.LanguageModel(["a", "b"], pieces, p / p.sum(0))
+    long, short = "机器学习正在改变我们的世界和生活方式", "kurz"
+    together = model.scores([f"{long} {short}, {long}", long, short, ""])
+    assert together[0] == pytest.approx(2 * together[1] + together[2])
+    assert together[3].tolist() == [0, 0]
+    whole = [log_forward(b" " + long.encode(), pieces, model.p[:, k]) for k in range(2)]
+    assert together[1] == pytest.approx(whole)
+
+
+@given(st.text(max_size=60))
+def test_stretches_lie_between_characters(text):
+    raw = text.encode("utf-8", "replace")
+    cut = language_id.stretches(raw)
+    assert b"".join(cut) == raw and all(len(x) <= language_id.WORD for x in cut)
+    assert all(x.decode("utf-8") is not None for x in cut)
+
+
+def test_bounded_rows(spark):
+    from renown.llm.frames import bounded_rows
+
+    rows = spark.createDataFrame([(i % 50, "same") for i in range(500)] + [(None, None)] * 9, "a long, b string")
+    assert bounded_rows(rows, 20).count() == 20 and bounded_rows(rows, 1000).count() == 51
+    assert bounded_rows(rows.limit(0), 5).count() == 0
+    once, again = (sorted(map(str, bounded_rows(rows.repartition(n), 20).collect())) for n in (1, 7))
+    assert once == again
+
+
 def words_of(text):
     lower = "".join(c.lower() if "A" <= c <= "Z" else c for c in text or "")
     return [w for w in re.split(r"[\x20\x09-\x0D]+", lower) if w] + [None]
