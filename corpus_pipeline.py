@@ -3,6 +3,12 @@
 Toxic documents, later copies, near copies and documents that hold benchmark
 items go; what is left is tokenised. The plan is one table per stage, each
 written where all executors read it.
+
+Every filter returns the rows it keeps with all their columns as they were, whatever these are
+called. Null texts count as empty: they are never toxic, copies of each other, in no near copy and hold
+no item. Rows without an id cannot be told apart and are kept, but by toxicity, which judges every
+row by its text. Rows that are repeated with their id count as one document: all of them stay or all
+go, and the exact copies of a text under other ids go. An empty table gives an empty one in every stage.
 """
 
 from __future__ import annotations

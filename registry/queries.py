@@ -34,7 +34,7 @@ from renown.functions.tags import SHORT_LIST
 from renown.model import SourceSpec
 from renown.operators import checks, identity
 from renown.operators.claims import claim_ids, exploded_labels, nested_labels, ordered_labels
-from renown.operators.normalize import accepted, normalize_all, normalize_source, rejected
+from renown.operators.normalize import accepted, normalize_all, normalize_lines, normalize_source, rejected
 from renown.operators.ranking import signal_dense_rank, signal_percentile
 from renown.operators.rolling import rolling_months
 from renown.operators.signals import metric_rows, metric_signals, pivot_metrics, priority_tags
@@ -45,7 +45,7 @@ from renown.sources.dims import entity_dim
 from renown.sources import versions
 from renown.sources.cache import ROUND, cache_round, enrich_and_remember, load_cache
 from renown.sources.files import create, delete, names
-from renown.sources.raw import CORRUPT, land_raw, of_source, parse_raw, raw_lines, scan_raw
+from renown.sources.raw import CORRUPT, land_raw, parse_raw, raw_lines, scan_raw
 from renown.sources.snapshots import (
     conform,
     newest_date,
@@ -561,17 +561,15 @@ query("normalize_union_first_five")(partial(_normalize_union, max_tags=SHORT_LIS
 
 @query("normalize_landed")
 def _(spark, sf_dir):
-    """All nine sources through files: landed as lines, read back, mapped."""
+    """All nine sources through files: landed as lines, read back and mapped in one scan."""
     root = f"{work_dir(spark)}/raw"
     facts = obs_sales(spark, sf_dir).withColumn("snapshot_date", F.lit(RUN_DATE).cast("date"))
     each = [
         F.struct(F.lit(s).alias("source"), F.expr(payload).alias("payload")) for s, payload in PAYLOADS.items()
     ]
     land_raw(facts.select("snapshot_date", F.inline(F.array(*each))), root)
-    lines = raw_lines(spark, root)
-    raw = {s: of_source(lines, s, RUN_DATE) for s in PAYLOADS}
     dim = entity_dim(customer_entities(spark, sf_dir))
-    return _flat(accepted(normalize_all(raw, RUN_DATE, dim)))
+    return _flat(accepted(normalize_lines(raw_lines(spark, root), RUN_DATE, dim)))
 
 
 # --- snapshot store --------------------------------------------------------

@@ -22,7 +22,7 @@ from renown.functions.names import non_blank
 from renown.functions.tags import distinct_tags, first_names, first_of, join_or_null, tags_or_text
 from renown.model import FACT_COLUMNS, FACT_SCHEMA
 from renown.operators.identity import canonicalize_names
-from renown.sources.raw import CORRUPT
+from renown.sources.raw import CORRUPT, parse_lines, raw_schema
 
 # How an id left empty follows from the canonical name.
 COMPACT_NAME = "compact"
@@ -35,7 +35,8 @@ class SourceMap:
 
     ``parts`` are intermediate columns, stage by stage, each stage reading the ones before:
     values that a reason looks at. ``late`` are those that facts alone need. Values used
-    more than once belong there, so that they are worked out once per record.
+    more than once belong there, so that they are worked out once per record. No two sources
+    share a part's name, as all sources may be mapped in one pass.
     """
 
     entity_id: Column
@@ -52,17 +53,17 @@ class SourceMap:
 def _spotify(max_tags: int | None) -> SourceMap:
     followers = F.col("followers")
     score, bad_score = v.optional_count(F.col("popularity"))
-    reach, bad_reach = v.optional_count(F.col("_total"))
+    reach, bad_reach = v.optional_count(F.col("_spotify_total"))
     return SourceMap(
-        parts=[{"_total": v.member(followers, "$.total")}],
+        parts=[{"_spotify_total": v.member(followers, "$.total")}],
         late=[
-            {"_listed": v.items(F.col("genres"))},
-            {"_names": first_names(F.col("_listed"), max_tags)},
+            {"_spotify_listed": v.items(F.col("genres"))},
+            {"_spotify_names": first_names(F.col("_spotify_listed"), max_tags)},
         ],
         entity_id=v.identifier(F.col("id")),
         score=score,
         reach=reach,
-        tags=tags_or_text(F.col("genres"), F.col("_listed"), F.col("_names")),
+        tags=tags_or_text(F.col("genres"), F.col("_spotify_listed"), F.col("_spotify_names")),
         broken={
             "followers: no object": v.not_an_object(followers),
             "followers.total: no count": bad_reach,
@@ -73,21 +74,21 @@ def _spotify(max_tags: int | None) -> SourceMap:
 
 def _lastfm(max_tags: int | None) -> SourceMap:
     stats, tags = F.col("stats"), F.col("tags")
-    reach, bad_reach = v.counted(F.col("_listeners"))
-    volume, bad_volume = v.counted(F.col("_playcount"))
-    listed, names = F.col("_listed"), F.col("_names")
-    no_id = F.coalesce(F.col("_mbid"), F.lit("")) == ""
+    reach, bad_reach = v.counted(F.col("_lastfm_listeners"))
+    volume, bad_volume = v.counted(F.col("_lastfm_playcount"))
+    listed, names = F.col("_lastfm_listed"), F.col("_lastfm_names")
+    no_id = F.coalesce(F.col("_lastfm_mbid"), F.lit("")) == ""
     return SourceMap(
         parts=[
             {
-                "_listeners": v.member(stats, "$.listeners"),
-                "_playcount": v.member(stats, "$.playcount"),
-                "_listed": v.records(tags, "name:string", "$.tag"),
+                "_lastfm_listeners": v.member(stats, "$.listeners"),
+                "_lastfm_playcount": v.member(stats, "$.playcount"),
+                "_lastfm_listed": v.records(tags, "name:string", "$.tag"),
             },
-            {"_names": first_of(listed, max_tags)["name"]},
+            {"_lastfm_names": first_of(listed, max_tags)["name"]},
         ],
-        late=[{"_mbid": v.text(F.col("mbid"))}],
-        entity_id=F.col("_mbid"),
+        late=[{"_lastfm_mbid": v.text(F.col("mbid"))}],
+        entity_id=F.col("_lastfm_mbid"),
         id_rule=F.when(no_id, F.lit(COMPACT_NAME)),
         score=reach,
         reach=reach,
@@ -116,9 +117,9 @@ def _deezer(max_tags: int | None) -> SourceMap:
 
 def _musicbrainz(max_tags: int | None) -> SourceMap:
     rating, tags = F.col("rating"), F.col("tags")
-    listed, scaled = F.col("_listed"), F.col("_scaled")
-    no_stars = v.is_blank(F.col("_stars"))
-    votes, bad_votes = v.count_or_zero(F.col("_votes"))
+    listed, scaled = F.col("_musicbrainz_listed"), F.col("_musicbrainz_scaled")
+    no_stars = v.is_blank(F.col("_musicbrainz_stars"))
+    votes, bad_votes = v.count_or_zero(F.col("_musicbrainz_votes"))
 
     # Largest count first; the position breaks ties, so equal counts keep the
     # order of the source.
@@ -127,20 +128,20 @@ def _musicbrainz(max_tags: int | None) -> SourceMap:
         return F.struct(weight, position, tag["name"].alias("name"))
 
     best = first_of(F.sort_array(F.transform(listed, weighed)), max_tags)
-    names = F.col("_best.name")
+    names = F.col("_musicbrainz_best.name")
     # All tags count unless a limit cuts the sorted list; then only those before the cut are asked.
-    sorting = {"_best": best}
+    sorting = {"_musicbrainz_best": best}
     judged_names = listed["name"] if max_tags is None else names
     null_count = F.exists(listed, lambda tag: F.is_variant_null(tag["count"]))
     return SourceMap(
         parts=[
             {
-                "_stars": v.member(rating, "$.value"),
-                "_votes": v.member(rating, "$['votes-count']"),
-                "_listed": v.records(tags, "name:string,count:variant"),
+                "_musicbrainz_stars": v.member(rating, "$.value"),
+                "_musicbrainz_votes": v.member(rating, "$['votes-count']"),
+                "_musicbrainz_listed": v.records(tags, "name:string,count:variant"),
             },
             {
-                "_scaled": (F.try_variant_get("_stars", "$", "double") * 20).try_cast("bigint"),
+                "_musicbrainz_scaled": (F.try_variant_get("_musicbrainz_stars", "$", "double") * 20).try_cast("bigint"),
                 **({} if max_tags is None else sorting),
             },
         ],
@@ -203,11 +204,11 @@ def _wikidata(max_tags: int | None) -> SourceMap:
     labels = F.col("genre_labels")
     return SourceMap(
         late=[
-            {"_listed": v.items(labels)},
-            {"_names": first_names(F.col("_listed"), max_tags)},
+            {"_wikidata_listed": v.items(labels)},
+            {"_wikidata_names": first_names(F.col("_wikidata_listed"), max_tags)},
         ],
         entity_id=v.identifier(F.col("id")),
-        tags=tags_or_text(labels, F.col("_listed"), F.col("_names")),
+        tags=tags_or_text(labels, F.col("_wikidata_listed"), F.col("_wikidata_names")),
     )
 
 
@@ -224,48 +225,87 @@ MAPPERS = {
 }
 
 
-def _judged(raw: DataFrame, mapping: SourceMap) -> DataFrame:
-    """The raw columns, the parts and ``reject_reason``.
+def _judged(staged: DataFrame, reason: Column) -> DataFrame:
+    """The columns so far and ``reject_reason``.
 
     ``inline`` holds the row as worked out here. A later filter on the reason would otherwise be
     pushed below and work out the reason a second time.
     """
-    reason = F.coalesce(
+    return staged.select(F.inline(F.array(F.struct(*staged.columns, reason.alias("reject_reason")))))
+
+
+def _reason(mapping: SourceMap) -> Column:
+    return F.coalesce(
         F.when(F.col(CORRUPT).isNotNull(), F.lit("malformed JSON")),
         *[F.when(bad, F.lit(reason)) for reason, bad in mapping.broken.items()],
     )
-    staged = raw
-    for part in mapping.parts:
-        staged = staged.withColumns(dict(part))
-    row = F.struct(*staged.columns, reason.alias("reject_reason"))
-    return staged.select(F.inline(F.array(row)))
 
 
-def _map(raw: DataFrame, source: str, snapshot_date, max_tags: int | None) -> DataFrame:
-    mapping = MAPPERS[source](max_tags)
-    facts = _judged(raw, mapping)
-    for part in mapping.late:
-        facts = facts.withColumns(dict(part))
-    known = {
-        "entity_name": F.coalesce(non_blank(F.col("source_artist_name")), F.col("name")),
+def _known(mapping: SourceMap, record_fields: Sequence[str]) -> dict[str, Column]:
+    """Fact columns of one source that are not the same for all, the rule of its ids, and the text of a rejected record."""
+    none = F.lit(None)
+    return {
         "entity_id": mapping.entity_id,
-        "source": F.lit(source),
+        "score": none if mapping.score is None else mapping.score,
+        "reach": none if mapping.reach is None else mapping.reach,
+        "volume": none if mapping.volume is None else mapping.volume,
+        "tags": none if mapping.tags is None else mapping.tags,
+        "id_rule": mapping.id_rule,
+        "record": F.coalesce(F.col(CORRUPT), F.to_json(F.struct(*record_fields))),
+    }
+
+
+def _facts(judged: DataFrame, source: Column, snapshot_date, known: Mapping[str, Column]) -> DataFrame:
+    """Fact columns, ``id_rule``, ``reject_reason`` and ``record``."""
+    common = {
+        "entity_name": F.coalesce(non_blank(F.col("source_artist_name")), F.col("name")),
+        "source": source,
         "snapshot_date": F.lit(snapshot_date),
-        "score": mapping.score,
-        "reach": mapping.reach,
-        "volume": mapping.volume,
-        "tags": mapping.tags,
     }
-    columns = [
-        (F.lit(None) if known[f.name] is None else known[f.name]).cast(f.dataType).alias(f.name)
-        for f in FACT_SCHEMA.fields
-    ]
+    columns = [{**known, **common}[f.name].cast(f.dataType).alias(f.name) for f in FACT_SCHEMA.fields]
+    record = F.when(F.col("reject_reason").isNotNull(), known["record"])
+    return judged.select(*columns, known["id_rule"].alias("id_rule"), "reject_reason", record.alias("record"))
+
+
+def _map(raw: DataFrame, source: str, snapshot_date, max_tags: int | None) -> DataFrame:
+    """The records of one source."""
+    mapping = MAPPERS[source](max_tags)
+    staged = raw
+    for part in mapping.parts:
+        staged = staged.withColumns(dict(part))
+    judged = _judged(staged, _reason(mapping))
+    for part in mapping.late:
+        judged = judged.withColumns(dict(part))
     fields = [c for c in raw.columns if c != CORRUPT]
-    record = F.when(
-        F.col("reject_reason").isNotNull(),
-        F.coalesce(F.col(CORRUPT), F.to_json(F.struct(*fields))),
-    )
-    return facts.select(*columns, mapping.id_rule.alias("id_rule"), "reject_reason", record.alias("record"))
+    return _facts(judged, F.lit(source), snapshot_date, _known(mapping, fields))
+
+
+def _map_lines(parsed: DataFrame, sources: Sequence[str], snapshot_date, max_tags: int | None) -> DataFrame:
+    """The records of many sources, told apart by ``source``, in one pass."""
+    mappings = {s: MAPPERS[s](max_tags) for s in sources}
+
+    def chosen(columns: Mapping[str, Column]) -> Column:
+        cases = F
+        for source, column in columns.items():
+            cases = cases.when(F.col("source") == source, column)
+        return cases
+
+    def staged(df: DataFrame, stages: str) -> DataFrame:
+        """Part by part; what belongs to another source is null and costs nothing."""
+        for depth in range(max(len(getattr(m, stages)) for m in mappings.values())):
+            columns = {
+                name: F.when(F.col("source") == s, column)
+                for s, m in mappings.items()
+                for name, column in (getattr(m, stages)[depth].items() if depth < len(getattr(m, stages)) else ())
+            }
+            df = df.withColumns(columns)
+        return df
+
+    judged = _judged(staged(parsed, "parts"), chosen({s: _reason(m) for s, m in mappings.items()}))
+    judged = staged(judged, "late")
+    known = {s: _known(m, raw_schema(s).fieldNames()[:-1]) for s, m in mappings.items()}
+    columns = {name: chosen({s: k[name] for s, k in known.items()}) for name in next(iter(known.values()))}
+    return _facts(judged, F.col("source"), snapshot_date, columns)
 
 
 def normalize_all(
@@ -291,7 +331,12 @@ def normalize_all(
         none = known.sparkSession.createDataFrame([], FACT_SCHEMA)
         text = F.lit(None).cast("string")
         return none.select(*FACT_COLUMNS, text.alias("reject_reason"), text.alias("record"))
-    named = canonicalize_names(reduce(DataFrame.unionByName, mapped), dim)
+    return _settled(reduce(DataFrame.unionByName, mapped), dim)
+
+
+def _settled(mapped: DataFrame, dim: DataFrame | None) -> DataFrame:
+    """Canonical names, and the ids that follow from them."""
+    named = canonicalize_names(mapped, dim)
     compact = F.replace(F.lower("entity_name"), F.lit(" "), F.lit(""))
     settled_id = (
         F.when(F.col("id_rule") == COMPACT_NAME, compact)
@@ -303,6 +348,29 @@ def normalize_all(
     )
 
 
+def normalize_lines(
+    lines: DataFrame,
+    snapshot_date,
+    dim: DataFrame | None = None,
+    max_tags: int | None = None,
+    sources: Sequence[str] | None = None,
+) -> DataFrame:
+    """``normalize_all`` for landed lines (source, snapshot_date, payload) of one date, in a single scan.
+
+    A line is parsed once, under the fields of all sources, and every fact column is a choice by source,
+    so the plan holds one scan and one projection however many sources there are. Lines of sources
+    that are unknown, or not among ``sources``, are left out; the filter prunes their folders.
+    """
+    wanted = [s for s in MAPPERS if sources is None or s in sources]
+    day = F.col("snapshot_date") == F.lit(snapshot_date).cast("date")
+    parsed = parse_lines(lines.where(F.col("source").isin(wanted) & day))
+    if not wanted:
+        none = F.lit(None).cast("string")
+        empty = parsed.sparkSession.createDataFrame([], FACT_SCHEMA)
+        return empty.select(*FACT_COLUMNS, none.alias("reject_reason"), none.alias("record"))
+    return _settled(_map_lines(parsed, wanted, snapshot_date, max_tags), dim)
+
+
 def normalize_source(
     raw: DataFrame,
     source: str,

@@ -11,13 +11,13 @@ from pyspark.sql import functions as F
 from renown.model import SOURCES, SourceSpec, enabled_sources
 from renown.operators.checks import absent_columns, passes, validation_report
 from renown.operators.identity import canonicalize_names
-from renown.operators.normalize import accepted, normalize_all, rejected
+from renown.operators.normalize import accepted, normalize_lines, rejected
 from renown.plans.queries import all_queries
 from renown.sources import versions
 from renown.sources.dims import entity_dim
 from renown.sources.files import work_folder
 from renown.sources.quarantine import write_quarantine
-from renown.sources.raw import of_source, raw_lines
+from renown.sources.raw import raw_lines
 from renown.sources.snapshots import (
     newest_date,
     scan_entity,
@@ -59,8 +59,7 @@ def ingest_snapshot(
     leaves the old facts and at most shows new reasons beside them.
     """
     lines = raw_lines(spark, raw_root)
-    raw = {s: of_source(lines, s, snapshot_date) for s in enabled_sources(specs)}
-    normalized = normalize_all(raw, snapshot_date, dim, max_tags)
+    normalized = normalize_lines(lines, snapshot_date, dim, max_tags, enabled_sources(specs))
     outcome = F.col("reject_reason").isNotNull().alias("is_rejected")
     with work_folder(spark) as staged_at:
         normalized.select("*", outcome).write.partitionBy("is_rejected").parquet(staged_at)

@@ -6,7 +6,7 @@ and a line that is no record keeps its text in a column of its own.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -92,7 +92,17 @@ def parse_raw(payloads: DataFrame, source: str, column: str = "payload") -> Data
     ``inline`` keeps the parse in an operator of its own. As a plain projection
     it would be merged into the mappers and repeated for every field they read.
     """
-    schema = raw_schema(source)
+    return payloads.select(_record(raw_schema(source), column))
+
+
+def parse_lines(lines: DataFrame) -> DataFrame:
+    """``source`` and the typed columns of all sources; those another source delivers are mostly null."""
+    fields = {f.name: f for source in RAW_SOURCES for f in raw_schema(source).fields}
+    corrupt = fields.pop(CORRUPT)
+    return lines.select("source", _record(T.StructType([*fields.values(), corrupt]), "payload"))
+
+
+def _record(schema: T.StructType, column: str) -> Column:
     parsed = F.from_json(
         column, schema, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
     )
@@ -105,5 +115,4 @@ def parse_raw(payloads: DataFrame, source: str, column: str = "payload") -> Data
             for f in schema.fields
         ]
     )
-    record = F.coalesce(F.when(F.trim(column) != "null", parsed), unreadable)
-    return payloads.select(F.inline(F.array(record)))
+    return F.inline(F.array(F.coalesce(F.when(F.trim(column) != "null", parsed), unreadable)))

@@ -4,9 +4,9 @@ import datetime
 import json
 
 from renown.functions.tags import SHORT_LIST
-from renown.operators.normalize import accepted, normalize_all, normalize_source, rejected
+from renown.operators.normalize import accepted, normalize_all, normalize_lines, normalize_source, rejected
 from renown.sources.dims import entity_dim, entity_list
-from renown.sources.raw import parse_raw, raw_schema, RAW_SOURCES
+from renown.sources.raw import RAW_SOURCES, land_raw, of_source, parse_raw, raw_lines, raw_schema
 
 DAY = "2026-04-26"
 
@@ -230,3 +230,60 @@ def test_rejects_work_out_no_fact_and_facts_judge_once(spark):
     assert "AS tags" not in shown and "AS entity_id" not in shown and "_mbid" not in shown
     assert "array_join" not in shown
     assert plan(accepted(mapped)).count("followers: no object") == 1
+
+
+ODD_LINES = [
+    ("spotify", '{"name": "A", "id": "x", "followers": {"total": 3}, "genres": ["p", {"name": "q"}]}'),
+    ("spotify", '{"name": "A", "followers": 5, "nb_fan": 7}'),
+    ("lastfm", '{"name": "A", "stats": {"listeners": "9"}, "tags": {"tag": [{"name": "t"}, {"name": ""}]}}'),
+    ("lastfm", '{"name": "A", "mbid": "m", "tags": [1]}'),
+    ("deezer", '{"source_artist_name": "b", "name": "A", "id": 5, "nb_fan": "12"}'),
+    ("deezer", '{"name": "A", "nb_fan": null}'),
+    ("musicbrainz", '{"name": "A", "id": "i", "rating": {"value": 4.55}, "tags": [{"name": "x", "count": 1}, {"name": "y", "count": 3}]}'),
+    ("musicbrainz", '{"name": "A", "rating": 1, "genres": ["not", "mine"]}'),
+    ("listenbrainz", '{"name": "A", "artist_mbid": "m", "total_listen_count": 4, "listeners": [1, 2]}'),
+    ("wikimedia", '{"name": "A", "latest_month_views": 2, "total_window_views": "x"}'),
+    ("wikimedia", '{"name": "A", "latest_month_views": 2, "total_window_views": 5}'),
+    ("theaudiodb", '{"name": "A", "idArtist": 3, "strGenre": "Rock", "strStyle": ["a", "Rock"]}'),
+    ("itunes", '{"name": "A", "artistId": 3, "primaryGenreName": "Pop", "tags": "foreign"}'),
+    ("wikidata", '{"name": "A", "id": "Q1", "genre_labels": ["u", "", "v"]}'),
+    ("wikidata", '{"torn'),
+    ("deezer", " "),
+    ("deezer", "null"),
+    ("itunes", "[1]"),
+    ("itunes", None),
+    ("unheard_of", '{"name": "A"}'),
+]
+
+
+def test_one_pass_over_lines_equals_source_by_source(spark):
+    """Every source, good and bad records, fields of other sources among them; one scan of the lines."""
+    lines = spark.createDataFrame(
+        [(s, datetime.date.fromisoformat(DAY), p) for s, p in ODD_LINES] + [("itunes", datetime.date(2020, 1, 1), "{}")],
+        "source string, snapshot_date date, payload string",
+    )
+    dim = entity_dim(entity_list(spark, ["A!", "B!"]))
+    for options in ({}, {"max_tags": 1}):
+        apart = normalize_all({s: of_source(lines, s, DAY) for s in RAW_SOURCES}, DAY, dim, **options)
+        whole = normalize_lines(lines, DAY, dim, **options)
+        assert whole.columns == apart.columns
+        assert sorted(map(str, whole.collect())) == sorted(map(str, apart.collect()))
+        assert whole.count() == len(ODD_LINES) - 1
+        plan = whole._jdf.queryExecution().optimizedPlan().toString()
+        assert plan.count("payload") and plan.count("Union") == 0
+    some = normalize_lines(lines, DAY, dim, sources=["itunes", "deezer", "nobody"])
+    assert {r.source for r in some.collect()} == {"itunes", "deezer"}
+    assert normalize_lines(lines, DAY, dim, sources=[]).count() == 0
+
+
+def test_landed_lines_are_scanned_once(spark, tmp_path):
+    root = str(tmp_path / "raw")
+    land_raw(
+        spark.createDataFrame(
+            [(s, datetime.date.fromisoformat(DAY), "{}") for s in RAW_SOURCES],
+            "source string, snapshot_date date, payload string",
+        ),
+        root,
+    )
+    plan = normalize_lines(raw_lines(spark, root), DAY)._jdf.queryExecution().toString().partition("== Physical Plan ==")[2]
+    assert plan.count("FileScan text") == 1 and "snapshot_date" in plan.partition("PartitionFilters: [")[2].partition("]")[0]
