@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from renown.session import work_dir
+from renown.sources.files import delete
 
 #: What a blank is for word and chunk rules: space and \\x09 to \\x0D.
 BLANKS = r"[\x20\x09-\x0D]"
@@ -56,13 +57,23 @@ class Stage:
 
     def __init__(self, spark: SparkSession):
         self.spark, self.root, self.n = spark, work_dir(spark), 0
+        self.tables: list[tuple[str, DataFrame]] = []
 
     def keep(self, df: DataFrame, schema=None, partition_by: str | None = None) -> DataFrame:
         path = f"{self.root}/{self.n}"
         self.n += 1
         with small_batches(self.spark):
             df.write.parquet(path, partitionBy=partition_by)
-        return self.spark.read.schema(schema or df.schema).parquet(path)
+        kept = self.spark.read.schema(schema or df.schema).parquet(path)
+        self.tables.append((path, kept))
+        return kept
+
+    def clear(self, *needed: DataFrame) -> None:
+        """Delete all tables but the ``needed`` ones, which lazy results still read."""
+        for path, kept in self.tables:
+            if not any(kept is n for n in needed):
+                delete(self.spark, path)
+        self.tables = [t for t in self.tables if any(t[1] is n for n in needed)]
 
 
 def only_ids(docs: DataFrame, ids: DataFrame, name: str, how: str = "left_semi") -> DataFrame:

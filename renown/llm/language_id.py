@@ -267,6 +267,7 @@ def fit(
     p[-1] = 0
     for _ in range(rounds if languages else 0):
         p = _round(words, languages, pieces, p)
+    store.clear()
     return LanguageModel(languages, pieces, p)
 
 

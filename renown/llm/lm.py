@@ -490,6 +490,7 @@ def score(
     logs = {w: (c.of(w), float(np.log10(n + 0.5))) for w, n in [*vocabulary, (END, c.mass[c.own[END]] - 0.5)]}
     coded = store.keep(_coded(rows, Words(c, logs)))
     p = train(coded.where(~F.col("held_out")), c, total, store)
+    store.clear(counts, coded)
     known = _modelled(coded, c, p)
     other = coded.select("row", F.inline("others"))
     told = other.join(counts, "word", "left").groupBy("row").agg(

@@ -257,6 +257,7 @@ def near_classes(
     found = worded.select("doc_id", "k1", "k2").join(by_key, ["k1", "k2"])
     every = store.keep(found.select("doc_id", F.col("class").alias("class_id")).union(lone))
     sizes = store.keep(every.groupBy("class_id").agg(F.count("*").alias("class_size")))
+    store.clear(every, sizes)
     return every.join(sizes, "class_id").select("doc_id", "class_id", "class_size")
 
 

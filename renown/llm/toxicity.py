@@ -152,6 +152,7 @@ def fit(
     terms = sorted(r.term for r in chosen.orderBy(F.desc("z"), "term").limit(max_terms).collect())
     wanted = F.array(*map(F.lit, terms)).cast("array<int>")
     sample = seen.select("y", F.array_intersect("terms", wanted).alias("terms")).toPandas()
+    store.clear()
     x = np.zeros((len(sample), len(terms)), np.uint8)
     for i, terms_of in enumerate(sample["terms"]):
         x[i, np.searchsorted(terms, terms_of)] = 1

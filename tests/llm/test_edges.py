@@ -133,3 +133,18 @@ def test_small_batches_come_and_go(spark):
         assert int(spark.conf.get(frames.BATCH_SETTING)) <= frames.BATCH_ROWS
     assert spark.conf.get(frames.BATCH_SETTING) == before
     assert re.fullmatch(r"\d+", before)
+
+
+def test_stage_tables_go_when_nobody_needs_them(spark):
+    import os
+
+    from renown.llm.frames import Stage
+
+    store = Stage(spark)
+    first, second = store.keep(spark.range(3)), store.keep(spark.range(4))
+    store.clear(second)
+    assert second.count() == 4 and not os.path.exists(f"{store.root}/0") and os.path.exists(f"{store.root}/1")
+    with pytest.raises(Exception):
+        first.collect()
+    store.clear()
+    assert not os.path.exists(f"{store.root}/1")
