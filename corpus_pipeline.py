@@ -61,4 +61,5 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, store = table(spark, sf_dir, "documents"), Stage(spark)
     for _, stage in STAGES[:-1]:
         docs = store.keep(stage(spark, docs, sf_dir))
+        store.clear(docs)
     return STAGES[-1][1](spark, docs, sf_dir)
