@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from renown.llm.frames import text_of
-from renown.llm.hashing import parts
+from renown.llm.hashing import parts, remembers
 
 #: Fixed value: the word pattern of the vocabulary file's pre-tokenizer, with the
 #: commonest branch first (no text fits two of them at one place).
@@ -134,6 +134,7 @@ class Vocabulary(dict):
 @lru_cache(maxsize=2)
 def vocabulary(path: str) -> Vocabulary:
     """One per worker process."""
+    remembers("bpe", vocabulary.cache_clear)
     return Vocabulary(path)
 
 

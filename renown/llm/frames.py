@@ -36,12 +36,18 @@ def fold(name: str, modulus: int) -> Column:
 BATCH_ROWS, BATCH_SETTING = 512, "spark.sql.execution.arrow.maxRecordsPerBatch"
 
 
-@contextmanager
-def small_batches(spark: SparkSession):
-    """Fewer rows per batch for the jobs inside; the session's setting comes back afterwards."""
+def bound_batches(spark: SparkSession) -> str:
+    """Few rows per batch from now on, for jobs over whole texts that the caller starts; the setting before."""
     before = spark.conf.get(BATCH_SETTING)
     if not 0 < int(before) <= BATCH_ROWS:
         spark.conf.set(BATCH_SETTING, str(BATCH_ROWS))
+    return before
+
+
+@contextmanager
+def small_batches(spark: SparkSession):
+    """Fewer rows per batch for the jobs inside; the session's setting comes back afterwards."""
+    before = bound_batches(spark)
     try:
         yield
     finally:

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import ctypes
+import gc
+from collections.abc import Callable, Iterator
 from functools import lru_cache
 
 import numpy as np
@@ -118,6 +120,27 @@ def shingle_hashes(owner: np.ndarray, words: np.ndarray, n: int) -> tuple[np.nda
     return of, h
 
 
+_REMEMBERED: dict[str, Callable[[], None]] = {}
+
+
+def remembers(owner: str, forget: Callable[[], None]) -> None:
+    """Tell that this worker process holds something of ``owner`` between tasks, and how to drop it."""
+    _REMEMBERED[owner] = forget
+
+
+def forget_others(owner: str | None = None) -> None:
+    """Drop what tasks of other operators left in this worker process, which Spark uses for all of them."""
+    others = [name for name in _REMEMBERED if name != owner]
+    for name in others:
+        _REMEMBERED.pop(name)()
+    if others:
+        gc.collect()
+        # the memory goes back to the machine, not only to this process
+        trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+        if trim is not None:
+            trim(0)
+
+
 def sliced(batches, rows: int):
     """Arrow batches cut to a bounded number of rows."""
     for batch in batches:

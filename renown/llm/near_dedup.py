@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from renown.llm.frames import Stage, only_ids, small, text_of
-from renown.llm.hashing import BASE, U, mix, parts, shingle_hashes, word_hashes
+from renown.llm.hashing import BASE, U, forget_others, mix, parts, shingle_hashes, word_hashes
 
 WORDS = 5
 SIMILARITY = 0.8
@@ -81,6 +81,7 @@ def _sketch(docs: DataFrame, id_col: str, text_col: str, bands: int, rows: int)
     chosen = chosen.select(F.col(id_col).cast("long").alias("doc_id"), text_of(text_col).alias("text"))
 
     def run(batches):
+        forget_others()
         for ids, texts in parts(batches, ("doc_id", "text"), 256):
             n = len(texts)
             words_of, words = word_hashes(texts)
@@ -124,6 +125,7 @@ def _verified(pairs: DataFrame, texts: DataFrame, threshold: float) -> DataFrame
     with_b = with_a.join(texts.toDF("b", "text_b"), "b").select("a", "b", "text_a", "text_b")
 
     def run(batches):
+        forget_others()
         last, last_b = None, None
         for a, b, text_a, text_b in parts(batches, ("a", "b", "text_a", "text_b"), 64):
             owner, shingle, _ = weighted_shingles(text_a)

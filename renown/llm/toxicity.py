@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from renown.llm.frames import Stage, bounded_rows, fold, text_of
-from renown.llm.hashing import Sums, U, blocks, parts
+from renown.llm.hashing import Sums, U, blocks, forget_others, parts
 
 BITS = 20
 #: Bytes of a word that count as its beginning.
@@ -131,6 +131,7 @@ def fit(
     rows = bounded_rows(rows, max_rows)
 
     def found_terms(batches):
+        forget_others()
         for ids, texts, ys in parts(batches, ("_id", "text", "y"), 128):
             owner, feature = features(texts)
             found = np.split(feature, np.searchsorted(owner, np.arange(1, len(texts))))
@@ -163,13 +164,11 @@ def fit(
 def score_column(model: FactorizationMachine, text_col: str = "text"):
     """The score of each row's whole text as a column."""
 
-    @F.pandas_udf("double")
-    def score(texts):
-        import pandas as pd
-
-        every = texts.tolist()
-        some = [model.scores(every[i : i + 512]) for i in range(0, len(every), 512)]
-        return pd.Series(np.concatenate(some) if some else [], dtype="float64")
+    @F.arrow_udf("double")
+    def score(texts: pa.Array) -> pa.Array:
+        forget_others()
+        some = [model.scores(texts.slice(at, 256).to_pylist()) for at in range(0, len(texts), 256)]
+        return pa.array(np.concatenate(some) if some else np.zeros(0), pa.float64())
 
     return score(text_of(text_col))
 
