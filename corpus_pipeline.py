@@ -7,7 +7,7 @@ written where all executors read it.
 Every filter returns the rows it keeps with all their columns as they were, whatever these are
 called. Null texts count as empty: they are never toxic, copies of each other, in no near copy and hold
 no item. Rows without an id cannot be told apart and are kept, but by toxicity, which judges every
-row by its text. Rows that are repeated with their id count as one document: all of them stay or all
+row by its text. Whole texts go to Python workers in small batches, a setting of the session. Rows that are repeated with their id count as one document: all of them stay or all
 go, and the exact copies of a text under other ids go. An empty table gives an empty one in every stage.
 """
 
@@ -17,11 +17,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from renown.llm import bpe, decontaminate, exact_dedup, near_dedup, toxicity
-from renown.llm.frames import Stage, ship, table
+from renown.llm.frames import Stage, bound_batches, ship, table
 from renown.llm.queries import vocabulary_path
 
 
 def without_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    bound_batches(spark)
     return toxicity.without_toxic(docs, table(spark, sf_dir, "labels"))
 
 
@@ -39,6 +40,7 @@ def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def token_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """``doc_id, n_tokens, ids`` of every document that is left."""
+    bound_batches(spark)
     coded = bpe.encode(docs, vocabulary_path())
     return coded.select("doc_id", F.floor(F.octet_length("ids") / 4).cast("long").alias("n_tokens"), "ids")
 
