@@ -29,7 +29,7 @@ PATTERN = r" ?\p{L}+|'s|'t|'re|'ve|'m|'ll|'d| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\
 #: The same for texts of ASCII, where the standard library's matcher is twice as fast.
 ASCII_PATTERN = PATTERN.replace(r"[^\s\p{L}\p{N}]", "[^\\sA-Za-z0-9]").replace(r"\p{L}", "[A-Za-z]").replace(r"\p{N}", "[0-9]")
 SHORT = 128
-#: Words a worker remembers with their ids; beyond it starts afresh.
+#: Words a worker remembers with their ids by default, some 150 bytes each; beyond it starts afresh.
 REMEMBERED = 800_000
 NONE = 1 << 30
 
@@ -44,8 +44,9 @@ def byte_letters() -> dict[int, str]:
 class Vocabulary(dict):
     """Ids (little-endian, 32 bits each) by word; what is missing is encoded on demand."""
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, remembered: int = REMEMBERED):
         super().__init__()
+        self.remembered = remembered
         with open(path, encoding="utf-8") as f:
             file = json.load(f)
         ids, letters = file["model"]["vocab"], byte_letters()
@@ -72,7 +73,7 @@ class Vocabulary(dict):
         ids = self._short(raw) if len(raw) <= SHORT else self._long(raw)
         packed = struct.pack(f"<{len(ids)}I", *ids)
         if len(raw) <= SHORT:
-            if len(self) >= REMEMBERED:
+            if len(self) >= self.remembered:
                 self.clear()
             self[word] = packed
         return packed
@@ -132,22 +133,25 @@ class Vocabulary(dict):
 
 
 @lru_cache(maxsize=2)
-def vocabulary(path: str) -> Vocabulary:
+def vocabulary(path: str, remembered: int = REMEMBERED) -> Vocabulary:
     """One per worker process."""
     remembers("bpe", vocabulary.cache_clear)
-    return Vocabulary(path)
+    return Vocabulary(path, remembered)
 
 
-def encode(docs: DataFrame, vocabulary_path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def encode(
+    docs: DataFrame, vocabulary_path: str, id_col: str = "doc_id", text_col: str = "text", remembered: int = REMEMBERED
+) -> DataFrame:
     """``id_col, ids`` for every row: the token ids as little-endian unsigned 32-bit integers.
 
     Null and empty texts have empty ids, added tokens in a text become their
     ids, rows with a repeated or null id stay separate rows, other columns are
     not read, an empty table gives no rows. ``vocabulary_path`` must be readable on every executor.
+    A worker remembers the ids of ``remembered`` words, which costs memory and saves time alone.
     """
 
     def run(batches):
-        v = vocabulary(vocabulary_path)
+        v = vocabulary(vocabulary_path, remembered)
         for keys, texts in parts(batches, ("key", "text")):
             packed = pa.array([v.encode(t) for t in texts], pa.binary())
             yield pa.RecordBatch.from_arrays([pa.array(keys, key_type), packed], ["key", "ids"])

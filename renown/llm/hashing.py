@@ -12,7 +12,7 @@ import numpy as np
 U = np.uint64
 BASE = U(0x9E3779B97F4A7C15)
 #: Bytes of text that are looked at together; bounds the memory of a pass.
-BLOCK = 1 << 20
+BLOCK = 1 << 18
 
 LETTERS = np.zeros(256, bool)
 LETTERS[[*range(97, 123), *range(128, 256)]] = True
