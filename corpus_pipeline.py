@@ -20,6 +20,9 @@ from renown.llm import bpe, decontaminate, exact_dedup, near_dedup, toxicity
 from renown.llm.frames import Stage, bound_batches, ship, table
 from renown.llm.queries import vocabulary_path
 
+#: Words whose ids a worker keeps: less than by default, as workers of all stages share an executor.
+REMEMBERED = 150_000
+
 
 def without_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     bound_batches(spark)
@@ -41,7 +44,7 @@ def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 def token_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """``doc_id, n_tokens, ids`` of every document that is left."""
     bound_batches(spark)
-    coded = bpe.encode(docs, vocabulary_path())
+    coded = bpe.encode(docs, vocabulary_path(), remembered=REMEMBERED)
     return coded.select("doc_id", F.floor(F.octet_length("ids") / 4).cast("long").alias("n_tokens"), "ids")
 
 
