@@ -199,8 +199,9 @@ def start(c: Classes) -> Parameters:
 
 
 def _log_softmax_of(z: np.ndarray, chosen: np.ndarray) -> np.ndarray:
-    top = z.max(axis=1)
-    return z[np.arange(len(z)), chosen] - top - np.log(np.exp(z - top[:, None]).sum(axis=1))
+    z -= z.max(axis=1, keepdims=True)
+    own = z[np.arange(len(z)), chosen]
+    return own - np.log(np.exp(z, out=z).sum(axis=1))
 
 
 def log10_probability(p: Parameters, size: int, target: np.ndarray, near: np.ndarray, far: np.ndarray) -> np.ndarray:
@@ -236,8 +237,8 @@ class Trainer:
     """AdaGrad on the noise-contrastive loss of both steps, from given parameters; counts which rows it uses."""
 
     def __init__(self, c: Classes, p: Parameters, seed: int, rate: float = 0.05):
-        self.c, self.rate = c, rate
-        self.values = [a.copy() for a in p.all]
+        self.c, self.rate = c, np.float32(rate)
+        self.values = _joined(p)
         self.squares = [np.full(a.shape, 1e-3, np.float32) for a in self.values]
         self.used = [np.zeros(len(a)) for a in self.values]
         self.rng = np.random.default_rng(seed)
@@ -245,73 +246,105 @@ class Trainer:
         self.of_group = shares.reshape(c.groups, c.size).sum(axis=1)
         self.up_to = np.cumsum(shares)
         with np.errstate(divide="ignore"):
-            self.log_in_group = np.log(shares / np.repeat(self.of_group, c.size))
+            in_group = np.log(NOISE_CLASSES * shares / np.repeat(self.of_group, c.size))
+        self.log_class, self.log_group = in_group.astype(np.float32), np.log(NOISE_GROUPS * self.of_group).astype(np.float32)
 
-    def _step(self, k: int, rows: np.ndarray, grads: np.ndarray, n: int) -> None:
-        """One step on the rows that a batch touches, by the sums of their gradients."""
+    def _step(self, k: int, rows: np.ndarray, of: np.ndarray, source: np.ndarray, factor: np.ndarray | None, n: int) -> None:
+        """One step on the rows that a batch touches: the gradient of ``rows[i]`` is ``source[of[i]]`` times ``factor[i]``."""
         small = rows.astype(np.uint16) if len(self.values[k]) < 1 << 16 else rows
         order = np.argsort(small, kind="stable")
-        at = np.flatnonzero(np.diff(rows[order], prepend=-1))
-        rows, grad = rows[order[at]], np.add.reduceat(grads[order], at, axis=0) / np.float32(np.sqrt(n))
+        rows = rows[order]
+        at = np.flatnonzero(np.diff(rows, prepend=-1))
+        grads = source[of[order]]
+        if factor is not None:
+            grads *= factor[order][:, None]
+        grad = np.add.reduceat(grads, at, axis=0)
+        grad *= np.float32(1 / np.sqrt(n))
+        rows = rows[at]
         self.used[k][rows] += np.diff(np.append(at, len(order)))
-        self.squares[k][rows] += grad**2
-        self.values[k][rows] -= self.rate * grad / np.sqrt(self.squares[k][rows])
+        squares = self.squares[k][rows]
+        squares += grad * grad
+        self.squares[k][rows] = squares
+        self.values[k][rows] -= self.rate * grad / np.sqrt(squares)
 
     def learn(self, target: np.ndarray, near: np.ndarray, far: np.ndarray) -> None:
-        vectors, places, groups, group_bias, outputs, bias = self.values
+        vectors, places, groups, outputs = self.values
         n, size = len(target), self.c.size
+        each = np.arange(n)
         a, b = vectors[near], vectors[far]
-        context = a * places[0] + b * places[1]
+        context = np.empty((n, WIDTH + 1), np.float32)  # and a one for the bias
+        context[:, :WIDTH] = a * places[0] + b * places[1]
+        context[:, WIDTH] = 1
 
-        def error(logits, log_noise, true: bool):
-            return (1 / (1 + np.exp(-np.clip(logits - log_noise, -30, 30))) - true).astype(np.float32)
+        def error(logits, log_noise, true: int):
+            z = log_noise - logits
+            np.clip(z, -30, 30, out=z)
+            np.exp(z, out=z)
+            return 1 / (1 + z) - np.float32(true)
 
         # the group against noise groups that serve the whole batch
         group = target // size
         noise = self.rng.choice(len(self.of_group), NOISE_GROUPS, p=self.of_group)
-        log_noise = np.log(NOISE_GROUPS * self.of_group)
-        d_own = error((context * groups[group]).sum(1) + group_bias[group], log_noise[group], True)
-        d_other = error(context @ groups[noise].T + group_bias[noise], log_noise[noise], False)
-        d_context = d_own[:, None] * groups[group] + d_other @ groups[noise]
-        rows = np.concatenate([group, noise])
-        self._step(2, rows, np.concatenate([d_own[:, None] * context, d_other.T @ context]), n)
-        self._step(3, rows, np.concatenate([d_own, d_other.sum(0)]), n)
+        own = groups[group]
+        d_own = error(np.einsum("nw,nw->n", context, own), self.log_group[group], 1)
+        d_other = error(context @ groups[noise].T, self.log_group[noise], 0)
+        own *= d_own[:, None]
+        d_context = own + d_other @ groups[noise]
+        sources = np.concatenate([context, d_other.T @ context])
+        factor = np.concatenate([d_own, np.ones(NOISE_GROUPS, np.float32)])
+        self._step(2, np.concatenate([group, noise]), np.arange(n + NOISE_GROUPS), sources, factor, n)
 
         # the class against noise classes of its own group, drawn per token by their mass
         low = np.append(0, self.up_to)[group * size]
         draw = low[:, None] + self.rng.random((n, NOISE_CLASSES)) * self.of_group[group][:, None]
         drawn = np.minimum(np.searchsorted(self.up_to, draw, "right"), self.c.n - 1)
         drawn = np.clip(drawn, group[:, None] * size, group[:, None] * size + size - 1)
-        log_noise = np.log(NOISE_CLASSES) + self.log_in_group
-        d_own = error((context * outputs[target]).sum(1) + bias[target], log_noise[target], True)
-        held = outputs[drawn]
-        d_other = error(np.einsum("nw,njw->nj", context, held) + bias[drawn], log_noise[drawn], False)
-        d_context += d_own[:, None] * outputs[target] + np.einsum("nj,njw->nw", d_other, held)
-        rows = np.concatenate([target, drawn.ravel()])
-        grads = np.concatenate([d_own[:, None] * context, (d_other[:, :, None] * context[:, None, :]).reshape(-1, WIDTH)])
-        self._step(4, rows, grads, n)
-        self._step(5, rows, np.concatenate([d_own, d_other.ravel()]), n)
-
-        self._step(0, np.concatenate([near, far]), np.concatenate([d_context * places[0], d_context * places[1]]), n)
-        both = np.stack([(d_context * a).sum(0), (d_context * b).sum(0)])
-        self._step(1, np.arange(2), both / np.float32(np.sqrt(n)), n)
+        own = outputs[target]
+        d_own = error(np.einsum("nw,nw->n", context, own), self.log_class[target], 1)
+        own *= d_own[:, None]
+        d_context += own
+        factors = [d_own]
+        for j in range(NOISE_CLASSES):
+            other = outputs[drawn[:, j]]
+            d_other = error(np.einsum("nw,nw->n", context, other), self.log_class[drawn[:, j]], 0)
+            other *= d_other[:, None]
+            d_context += other
+            factors.append(d_other)
+        rows = np.concatenate([target, *drawn.T])
+        self._step(3, rows, np.tile(each, NOISE_CLASSES + 1), context, np.concatenate(factors), n)
+
+        d_context = d_context[:, :WIDTH]
+        sources = np.concatenate([d_context * places[0], d_context * places[1]])
+        both = np.stack([np.einsum("nw,nw->w", d_context, a), np.einsum("nw,nw->w", d_context, b)]) / np.float32(np.sqrt(n))
+        self._step(0, np.concatenate([near, far]), np.arange(2 * n), sources, None, n)
+        self._step(1, np.arange(2), np.arange(2), both, None, n)
 
     def weighted(self) -> np.ndarray:
         """All parameters times how often their row was used, then these numbers."""
-        scaled = [v * (u if v.ndim == 1 else u[:, None]) for v, u in zip(self.values, self.used)]
-        return np.concatenate([x.ravel() for x in scaled] + self.used)
+        return np.concatenate([(v * u[:, None]).ravel() for v, u in zip(self.values, self.used)] + self.used)
+
+
+def _joined(p: Parameters) -> list[np.ndarray]:
+    """Copies of the parameters, each output layer with its bias as a last column."""
+    return [
+        p.vectors.copy(),
+        p.places.copy(),
+        np.column_stack([p.groups, p.group_bias]),
+        np.column_stack([p.outputs, p.bias]),
+    ]
 
 
 def _mean(p: Parameters, sums: np.ndarray) -> Parameters:
     """Rows that were used move to their mean, all others stay."""
-    cuts = np.cumsum([a.size for a in p.all] + [len(a) for a in p.all])[:-1]
+    old = _joined(p)
+    cuts = np.cumsum([a.size for a in old] + [len(a) for a in old])[:-1]
     pieces = np.split(sums, cuts)
     new = []
-    for old, total, used in zip(p.all, pieces[: len(p.all)], pieces[len(p.all) :]):
-        by = used if old.ndim == 1 else used[:, None]
-        mean = total.reshape(old.shape) / np.maximum(by, 1)
-        new.append(np.where(by > 0, mean, old).astype(np.float32))
-    return Parameters(*new)
+    for values, total, used in zip(old, pieces[: len(old)], pieces[len(old) :]):
+        mean = total.reshape(values.shape) / np.maximum(used, 1)[:, None]
+        new.append(np.where(used[:, None] > 0, mean, values).astype(np.float32))
+    vectors, places, groups, outputs = new
+    return Parameters(vectors, places, groups[:, :WIDTH], groups[:, WIDTH], outputs[:, :WIDTH], outputs[:, WIDTH])
 
 
 def train(coded: DataFrame, c: Classes, total: int, store: Stage, rounds: int = ROUNDS) -> Parameters:
