@@ -19,6 +19,7 @@ from __future__ import annotations
 
 from collections import Counter
 from dataclasses import dataclass, replace
+from itertools import repeat
 from zlib import crc32
 
 import numpy as np
@@ -412,10 +413,24 @@ def train(coded: DataFrame, c: Classes, total: int, store: Stage, rounds: int =
 
 @dataclass(frozen=True)
 class Words:
-    """What every task knows of the words: their classes, and log10(count + 0.5) of the frequent ones."""
+    """What every task knows of the words: the classes of all, and of the frequent ones a number each, under which
+    their class and log10(count + 0.5) are found."""
 
     classes: Classes
-    logs: dict[bytes, tuple[int, float]]
+    numbers: dict[bytes, int]
+    class_of: np.ndarray
+    logs: np.ndarray
+
+    @staticmethod
+    def of(c: Classes, vocabulary: list[tuple[bytes, int]]) -> Words:
+        counts = dict(vocabulary)
+        counts.setdefault(END, c.mass[c.own[END]] - 0.5)
+        return Words(
+            c,
+            {w: k for k, w in enumerate(counts)},
+            np.array([c.of(w) for w in counts], np.uint32),
+            np.log10(np.array(list(counts.values()), float) + 0.5),
+        )
 
 
 def _coded(rows: DataFrame, words: Words) -> DataFrame:
@@ -425,26 +440,24 @@ def _coded(rows: DataFrame, words: Words) -> DataFrame:
 
     def run(batches):
         w = shared.value
-        get, class_of = w.logs.get, w.classes.of
+        get, unknown = w.numbers.get, repeat(-1)
         alone = np.ones(len(w.classes.mass), bool)
         alone[w.classes.shared] = False
         n = TaskContext.get().partitionId() << 33
         for some in sliced(batches, 256):
             out = [[] for _ in range(6)]
             for text in some.column("text").to_pylist():
-                found, others = [], []
-                for word in tokens(text):
-                    known = get(word)
-                    if known is None:
-                        others.append(word)
-                        known = class_of(word), 0.0
-                    found.append(known)
-                ids = np.fromiter((f[0] for f in found), np.uint32, len(found))
-                logs = np.fromiter((f[1] for f in found), float, len(found))
+                words = tokens(text)
+                numbers = np.fromiter(map(get, words, unknown), np.int64, len(words))
+                ids, logs = w.class_of[numbers], w.logs[numbers]
+                missing = np.flatnonzero(numbers < 0)
+                others = [words[k] for k in missing.tolist()]
+                ids[missing] = [w.classes.of(word) for word in others]
+                logs[missing] = 0
                 times = Counter(others)
                 row = (
-                    len(found),
-                    len(found) - len(others),
+                    len(words),
+                    len(words) - len(others),
                     logs.sum(),
                     logs[~alone[ids]].sum(),
                     ids.tobytes(),
@@ -519,9 +532,8 @@ def score(
     most = max(least_classes, int(classes_per_root * distinct**0.5))
     vocabulary = frequent(counts, max(table_words, most))
     c = classes(counts, vocabulary, most)
-    # all words with a class of their own are among these
-    logs = {w: (c.of(w), float(np.log10(n + 0.5))) for w, n in [*vocabulary, (END, c.mass[c.own[END]] - 0.5)]}
-    coded = store.keep(_coded(rows, Words(c, logs)))
+    # all words with a class of their own are among those that every task knows
+    coded = store.keep(_coded(rows, Words.of(c, vocabulary)))
     p = train(coded.where(~F.col("held_out")), c, total, store)
     store.clear(counts, coded)
     known = _modelled(coded, c, p)
