@@ -57,10 +57,15 @@ def nested_labels(
     ``response`` is VARIANT with a map from id to record under ``entities``. The map becomes a column
     and every id is looked up in its own row, so nothing is joined or shuffled. Ids the map lacks, records
     without a label and blank labels drop out; a response without such a map gives an empty list.
+
+    The map is the one item of a list that is transformed: a lambda's variable is worked out once per row,
+    whatever it refers to outside itself once per id, down to the parse of the response.
     """
     wanted = ids if max_ids is None else F.slice(ids, 1, max_ids)
-    known = F.try_variant_get(response, ENTITIES, "map<string,variant>")
-    labels = F.transform(wanted, lambda one: text(F.element_at(known, one), path))
+    entities = F.array(F.try_variant_get(response, ENTITIES, "map<string,variant>"))
+    labels = F.transform(
+        entities, lambda known: F.transform(wanted, lambda one: text(F.element_at(known, one), path))
+    )[0]
     found = F.filter(labels, lambda label: F.coalesce(label, F.lit("")) != "")
     return F.coalesce(found, F.array().cast("array<string>"))
 
