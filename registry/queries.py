@@ -568,7 +568,7 @@ query("normalize_union_first_five")(partial(_normalize_union, max_tags=SHORT_LIS
 def _(spark, sf_dir):
     """All nine sources through files: landed as lines, read back and mapped in one scan."""
     root = f"{work_dir(spark)}/raw"
-    facts = obs_sales(spark, sf_dir).withColumn("snapshot_date", F.lit(RUN_DATE).cast("date"))
+    facts = _spread(spark, obs_sales(spark, sf_dir)).withColumn("snapshot_date", F.lit(RUN_DATE).cast("date"))
     each = [
         F.struct(F.lit(s).alias("source"), F.expr(payload).alias("payload")) for s, payload in PAYLOADS.items()
     ]

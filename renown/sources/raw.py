@@ -11,6 +11,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 CORRUPT = "_corrupt_record"
+#: Folders a task writes side by side; only a task with more of them sorts the rest of its rows by folder.
+OPEN_FOLDERS, OPEN_SETTING = 64, "spark.sql.maxConcurrentOutputFileWriters"
 
 # The fields each source delivers. Fields whose type or presence
 # varies are VARIANT.
@@ -48,17 +50,24 @@ def land_raw(payloads: DataFrame, root: str) -> None:
     """Write (source, snapshot_date, payload) as JSON Lines below ``root``.
 
     A rerun replaces the (source, date) folders it brings and no others. The
-    rebalance splits a source that holds most of the rows over many files.
+    rebalance splits a source that holds most of the rows over many files. Lines go straight to the
+    files of their folders, so a task holds none of them however many it gets.
     """
     one_line = F.regexp_replace("payload", r"[\r\n]+", " ").alias("value")
-    (
-        payloads.hint("rebalance", "source", "snapshot_date")
-        .select("source", "snapshot_date", one_line)
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("source", "snapshot_date")
-        .text(root)
-    )
+    spark = payloads.sparkSession
+    before = spark.conf.get(OPEN_SETTING)
+    spark.conf.set(OPEN_SETTING, str(max(int(before), OPEN_FOLDERS)))
+    try:
+        (
+            payloads.hint("rebalance", "source", "snapshot_date")
+            .select("source", "snapshot_date", one_line)
+            .write.mode("overwrite")
+            .option("partitionOverwriteMode", "dynamic")
+            .partitionBy("source", "snapshot_date")
+            .text(root)
+        )
+    finally:
+        spark.conf.set(OPEN_SETTING, before)
 
 
 def raw_lines(spark: SparkSession, root: str) -> DataFrame:

@@ -139,3 +139,20 @@ def test_an_undated_fact_fails(spark, tmp_path):
     undated = conform(spark.createDataFrame([("a",)], "entity_name string"))
     with pytest.raises(Exception, match="without snapshot_date"):
         replace_snapshots(undated, str(tmp_path / "store"))
+
+
+def test_lines_are_landed_without_a_sort(spark, tmp_path, monkeypatch):
+    """A task writes the folders it gets side by side, also more than it may hold open; the setting comes back."""
+    from pyspark.sql.conf import RuntimeConfig
+
+    name, seen, put = "spark.sql.maxConcurrentOutputFileWriters", [], RuntimeConfig.set
+    monkeypatch.setattr(RuntimeConfig, "set", lambda self, key, value: (seen.append((key, str(value))), put(self, key, value))[1])
+    rows = spark.range(300).selectExpr(
+        "'deezer' AS source", "date_add(DATE'2026-01-01', int(id % 100)) AS snapshot_date", "concat('{\"id\":', id, '}') AS payload"
+    )
+    before = spark.conf.get(name)
+    land_raw(rows.coalesce(1), str(tmp_path / "raw"))
+    opened = [int(v) for k, v in seen if k == name]
+    assert len(opened) == 2 and opened[0] > 1 and spark.conf.get(name) == before
+    found = scan_raw(spark, str(tmp_path / "raw"), "deezer")
+    assert sorted(int(r[0]) for r in found.selectExpr("try_variant_get(id, '$', 'string')").collect()) == list(range(300))
