@@ -552,8 +552,15 @@ for _key in TAG_LISTS:
     query(f"{_key}_first_five")(_normalized(NORMALIZERS[_key], max_tags=SHORT_LIST))
 
 
+def _stored(spark, df):
+    """The rows through files, so that many readers do not work them out once each, nor wait for one long task."""
+    path = f"{work_dir(spark)}/stored"
+    _spread(spark, df).write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 def _normalize_union(spark, sf_dir, **options):
-    raw = _raw_by_source(obs_sales(spark, sf_dir), PAYLOADS)
+    raw = _raw_by_source(_stored(spark, obs_sales(spark, sf_dir)), PAYLOADS)
     raw["unheard_of"] = raw["deezer"]
     dim = entity_dim(customer_entities(spark, sf_dir))
     return _flat(accepted(normalize_all(raw, RUN_DATE, dim, **options)))
