@@ -6,18 +6,19 @@ addresses, and all windows of neighbouring groups of digits, as numbers that tou
 the rules. Boosted trees per kind, calibrated on rows they have not seen, judge them, and
 spans above the kind's threshold are added, best first, where they overlap no other.
 
-The examples to learn from come from the documents: base spans and their fragments, spans
+The examples to learn from come from all documents: base spans and their fragments, spans
 that fail a check, and variations of base spans in their own context (two in a row,
-other separators, spelled out, one digit changed).
+other separators, spelled out, one digit changed). They stay in a table; the driver gets counts of a fixed size.
 """
 
 from __future__ import annotations
 
 import re
 from bisect import bisect_left
-from collections import deque
+from collections import Counter, deque
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
+from functools import reduce
 from zlib import crc32
 
 import numpy as np
@@ -25,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from renown.llm.boosting import BINS, Calibration, Trees, calibrate, fit_trees, threshold_for
+from renown.llm.boosting import BINS, Calibration, Trees, calibrate, grow_trees, threshold_for
 from renown.llm.frames import Stage, text_of
 from renown.llm.hashing import sliced
 
@@ -41,8 +42,8 @@ _PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
 #: Characters before and after a span that count as its context.
 CONTEXT = 40
 WORD_BUCKETS = 1024
-#: Rows the examples come from, about, and examples per kind, at most. Both bound what is learned from.
-MAX_ROWS, MAX_EXAMPLES = 40_000, 60_000
+#: Margins are counted in steps of its inverse, up to so much on either side.
+MARGIN_STEPS, MARGIN_END = 1024, 32
 #: Share of right spans that a threshold must hold on unseen examples, and how many must be above it.
 PRECISION, LEAST_RIGHT = 0.99, 20
 #: Spans judged at once.
@@ -315,80 +316,154 @@ class Judge:
         return self.calibration.probability(self.trees.margin(self.features(shapes, words)))
 
 
-def _word_weights(words: list[list[int]], y: np.ndarray) -> np.ndarray:
-    """Smoothed log odds of a right span, per bucket of context words."""
-    sums = np.zeros((2, WORD_BUCKETS))
-    for ws, right in zip(words, y):
-        sums[int(right), ws] += 1
-    yes, no = max(y.sum(), 1), max(len(y) - y.sum(), 1)
+def _word_weights(sums: np.ndarray, yes: int, no: int) -> np.ndarray:
+    """Smoothed log odds of a right span, per bucket of context words, from the examples with each bucket, wrong and right ones."""
+    yes, no = max(yes, 1), max(no, 1)
     return np.log((sums[1] + 5) / (yes + 5) * (no + 5) / (sums[0] + 5)) * (sums.sum(axis=0) > 0)
 
 
-def fit_judge(fold: np.ndarray, y: np.ndarray, shapes: list, words: list) -> Judge | None:
-    """Word weights from fold 0, trees from fold 1, calibration and threshold from fold 2; None without enough examples."""
-    part = [np.flatnonzero(fold == k) for k in range(3)]
-    if any(len(p) == 0 or not 0 < y[p].sum() < len(p) for p in part):
-        return None
-    weights = _word_weights([words[i] for i in part[0]], y[part[0]])
-    judge = Judge(weights, None, None, 2.0)
-    x = [judge.features([shapes[i] for i in p], [words[i] for i in p]) for p in part]
-    trees = fit_trees(x[1], y[part[1]].astype(float))
-    margin, held_out = trees.margin(x[2]), y[part[2]].astype(float)
-    calibration = calibrate(margin, held_out)
-    threshold = threshold_for(calibration.probability(margin), held_out, PRECISION, LEAST_RIGHT)
-    return Judge(weights, trees, calibration, threshold)
+Model = tuple[Judge | None, ...]
 
 
-Model = tuple[Judge | None, ...]
+_EXAMPLE = "kind int, right int, fold int, draw long, shape binary, words binary"
+
+
+def _examples(chosen: DataFrame) -> DataFrame:
+    """The examples of all rows of ``text``, each with the part it serves and a draw; equal ones once."""
+
+    def run(batches):
+        for batch in batches:
+            for at in range(0, batch.num_rows, 64):
+                rows = set()
+                for one in batch.slice(at, 64).column(0).to_pylist():
+                    for kind, right, shape, words in examples(one):
+                        rows.add((kind, right, bytes(shape), b"".join(w.to_bytes(2, "big") for w in words)))
+                out = [
+                    (kind, right, crc32(shape + words) // 7 % 3, crc32(bytes([kind, right]) + shape + words), shape, words)
+                    for kind, right, shape, words in rows
+                ]
+                columns = list(zip(*out)) or [()] * 6
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds)], names)
+
+    kinds = [pa.int32(), pa.int32(), pa.int32(), pa.int64(), pa.binary(), pa.binary()]
+    names = [c.split(" ")[0] for c in _EXAMPLE.split(", ")]
+    return chosen.mapInArrow(run, _EXAMPLE).distinct()
+
+
+def _unpacked(words: bytes) -> list[int]:
+    return [int.from_bytes(words[i : i + 2], "big") for i in range(0, len(words), 2)]
+
+
+def _word_sums(found: DataFrame) -> np.ndarray:
+    """Per kind, whether it is right, and bucket: examples with such a context word."""
+
+    def run(batches):
+        sums: Counter[int] = Counter()
+        for batch in batches:
+            for kind, right, words in zip(*(c.to_pylist() for c in batch.columns)):
+                first = (2 * kind + right) * WORD_BUCKETS
+                sums.update(first + w for w in set(_unpacked(words)))
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(list(sums), pa.int64()), pa.array(list(sums.values()), pa.int64())], ["cell", "n"]
+        )
+
+    added = found.select("kind", "right", "words").mapInArrow(run, "cell long, n long")
+    total = added.groupBy("cell").agg(F.sum("n")).toArrow()
+    sums = np.zeros(len(KINDS) * 2 * WORD_BUCKETS)
+    sums[total.column(0).to_numpy()] = total.column(1).to_numpy()
+    return sums.reshape(len(KINDS), 2, WORD_BUCKETS)
+
+
+def _features(found: DataFrame, weights: dict[int, np.ndarray]) -> DataFrame:
+    """``kind, fold, x, yes, n``: how many examples of each fold have these features, and how many of them are right."""
+    shared = found.sparkSession.sparkContext.broadcast({k: Judge(w, None, None, 2.0) for k, w in weights.items()})
+
+    def run(batches):
+        for batch in batches:
+            kinds = batch.column(0).to_numpy()
+            for kind, judge in shared.value.items():
+                some = batch.filter(pa.array(kinds == kind))
+                if not some.num_rows:
+                    continue
+                shapes = np.frombuffer(b"".join(some.column(3).to_pylist()), np.uint8).reshape(-1, FORMAT_FEATURES)
+                x = judge.features(shapes, [_unpacked(w) for w in some.column(4).to_pylist()]).astype(np.uint8)
+                packed = pa.array([row.tobytes() for row in x], pa.binary())
+                yield pa.RecordBatch.from_arrays([some.column(0), some.column(1), some.column(2), packed], names)
+
+    names = ["kind", "fold", "right", "x"]
+    rows = found.select("kind", "fold", "right", "shape", "words").mapInArrow(run, "kind int, fold int, right int, x binary")
+    return rows.groupBy("kind", "fold", "x").agg(F.sum("right").alias("yes"), F.count("*").alias("n"))
+
+
+def _margins(rows: DataFrame, trees: dict[int, Trees]) -> dict[int, tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """Per kind the margins of all rows, in steps, whether they are right, and how many there are of each."""
+    shared = rows.sparkSession.sparkContext.broadcast(trees)
+
+    def run(batches):
+        for batch in batches:
+            kinds, yes, n = (batch.column(k).to_numpy() for k in (0, 2, 3))
+            every = np.frombuffer(b"".join(batch.column(1).to_pylist()), np.uint8).reshape(-1, FORMAT_FEATURES + 1)
+            step = np.zeros(len(kinds), np.int64)
+            for kind, of in shared.value.items():
+                pick = np.flatnonzero(kinds == kind)
+                margin = np.clip(of.margin(every[pick].astype(np.int64)), -MARGIN_END, MARGIN_END)
+                step[pick] = np.floor(margin * MARGIN_STEPS)
+            columns = [batch.column(0), pa.array(step), pa.array(yes), pa.array(n - yes)]
+            yield pa.RecordBatch.from_arrays(columns, ["kind", "step", "yes", "no"])
+
+    each = rows.select("kind", "x", "yes", "n").mapInArrow(run, "kind int, step long, yes long, no long")
+    found = each.groupBy("kind", "step").agg(F.sum("yes"), F.sum("no")).orderBy("kind", "step").toArrow()
+    kinds, steps, yes, no = (found.column(k).to_numpy() for k in range(4))
+    out = {}
+    for kind in trees:
+        own = kinds == kind
+        # the least margin of a step, so that a threshold takes the whole step
+        margin, times = np.tile(steps[own] / MARGIN_STEPS, 2), np.concatenate([yes[own], no[own]]).astype(float)
+        right, some = np.repeat([1.0, 0.0], own.sum()), times > 0
+        out[kind] = margin[some], right[some], times[some]
+    return out
 
 
 def fit(
     docs: DataFrame,
     id_col: str = "doc_id",
     text_col: str = "text",
-    max_rows: int = MAX_ROWS,
-    max_examples: int = MAX_EXAMPLES,
+    max_rows: int | None = None,
+    max_examples: int | None = None,
 ) -> Model:
-    """One judge per kind, from about ``max_rows`` rows and at most ``max_examples`` examples a kind.
+    """One judge per kind, from the examples of all rows; equal examples, as of copies, count once.
 
-    Rows are chosen by a hash of id and text, so neither their order nor their spread over files
-    matters; equal examples, as of copies, count once. A kind without enough examples has no judge.
+    Word weights come from fold 0, trees from fold 1, calibration and threshold from fold 2. A kind without enough examples
+    has no judge. Whoever wants to learn from less may ask for about ``max_rows`` rows, chosen by a hash of id and text, and at most
+    ``max_examples`` examples a kind. Examples stay in a table; the driver gets sums per bucket, node and step.
     """
     text = text_of(text_col)
-    n = docs.count()
-    draw = F.pmod(F.xxhash64(F.col(id_col).cast("string"), text), F.lit(1 << 20))
-    chosen = docs.where(draw < int((1 << 20) * min(1.0, max_rows / max(n, 1)))) if n > max_rows else docs
-    chosen = chosen.select(text.alias("text")).where(F.col("text").rlike("[0-9@]| at "))
-
-    def run(batches):
-        for batch in batches:
-            for at in range(0, batch.num_rows, 64):
-                rows = {}
-                for one in batch.slice(at, 64).column(0).to_pylist():
-                    for kind, right, shape, words in examples(one):
-                        key = bytes([kind, right, *shape, *(b for w in words for b in w.to_bytes(2, "big"))])
-                        rows[key] = (kind, crc32(key))
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array([k for k, _ in rows.values()], pa.int32()),
-                        pa.array([h for _, h in rows.values()], pa.int64()),
-                        pa.array(list(rows), pa.binary()),
-                    ],
-                    ["kind", "draw", "example"],
-                )
-
-    found = chosen.mapInArrow(run, "kind int, draw long, example binary").distinct()
+    chosen = docs
+    if max_rows is not None and (n := docs.count()) > max_rows:
+        draw = F.pmod(F.xxhash64(F.col(id_col).cast("string"), text), F.lit(1 << 20))
+        chosen = docs.where(draw < int((1 << 20) * max_rows / n))
     store = Stage(docs.sparkSession)
-    found = store.keep(found)
-    judges = []
-    for kind in range(len(KINDS)):
-        sample = found.where(F.col("kind") == kind).orderBy("draw", "example").limit(max_examples).collect()
-        rows = [bytes(r["example"]) for r in sample]
-        shapes = [list(r[2 : 2 + FORMAT_FEATURES]) for r in rows]
-        tails = [r[2 + FORMAT_FEATURES :] for r in rows]
-        words = [[int.from_bytes(t[i : i + 2], "big") for i in range(0, len(t), 2)] for t in tails]
-        fold = np.array([crc32(bytes(r[2:])) // 7 % 3 for r in rows], np.int64)
-        judges.append(fit_judge(fold, np.array([r[1] for r in rows]), shapes, words))
+    found = store.keep(_examples(chosen.select(text.alias("text")).where(F.col("text").rlike("[0-9@]| at "))))
+    if max_examples is not None:
+        some = [found.where(F.col("kind") == k).orderBy("draw", "shape", "words").limit(max_examples) for k in range(len(KINDS))]
+        found = store.keep(reduce(DataFrame.unionByName, some))
+    n = np.zeros((len(KINDS), 3, 2), np.int64)
+    for row in found.groupBy("kind", "fold", "right").count().collect():
+        n[row.kind, row.fold, row.right] = row["count"]
+    learnt = [kind for kind in range(len(KINDS)) if n[kind].all()]
+    if not learnt:
+        store.clear()
+        return (None,) * len(KINDS)
+    sums = _word_sums(found.where("fold = 0"))
+    weights = {kind: _word_weights(sums[kind], n[kind, 0, 1], n[kind, 0, 0]) for kind in learnt}
+    rows = store.keep(_features(found.where("fold > 0"), weights))
+    shares = {kind: n[kind, 1, 1] / n[kind, 1].sum() for kind in learnt}
+    trees = grow_trees(rows.where("fold = 1"), shares, FORMAT_FEATURES + 1)
+    judges: list[Judge | None] = [None] * len(KINDS)
+    for kind, (margin, right, times) in _margins(rows.where("fold = 2"), trees).items():
+        calibration = calibrate(margin, right, times=times)
+        threshold = threshold_for(calibration.probability(margin), right, PRECISION, LEAST_RIGHT, times)
+        judges[kind] = Judge(weights[kind], trees[kind], calibration, threshold)
     store.clear()
     return tuple(judges)
 

@@ -207,3 +207,39 @@ def test_calibration_and_threshold():
     separate = calibrate(np.array([-5.0] * 50 + [5.0] * 50), np.array([0.0] * 50 + [1.0] * 50))
     assert 0 < separate.slope < 5
     assert threshold_for(np.array([0.9, 0.1]), np.array([1.0, 0.0]), 0.99, 20) > 1
+
+
+def test_every_row_gives_examples(spark, monkeypatch):
+    """No row is left out, however many there are."""
+    from renown.llm import personal_data
+
+    seen = []
+
+    def counted(chosen):
+        seen.append(chosen.count())
+        return spark.createDataFrame([], personal_data._EXAMPLE)
+
+    monkeypatch.setattr(personal_data, "_examples", counted)
+    docs = spark.range(70_000).selectExpr("id AS doc_id", "concat('n ', id) AS text")
+    assert fit(docs) == (None,) * 4 and seen == [70_000]
+
+
+def test_trees_of_a_table_are_those_of_its_rows(spark):
+    """Whatever its partitions, and with equal rows as one."""
+    from renown.llm.boosting import grow_trees
+
+    r = np.random.default_rng(3)
+    kinds, x = r.integers(0, 2, 3000), r.integers(0, 32, (3000, 3))
+    x[2000:] = x[:1000]
+    y = ((x[:, 0] > 15) ^ (x[:, 2] > 9) ^ (r.random(3000) < 0.1)).astype(int)
+    rows = spark.createDataFrame(
+        [(int(k), bytes(a.astype(np.uint8)), int(b)) for k, a, b in zip(kinds, x, y)], "kind int, x binary, y int"
+    )
+    rows = rows.groupBy("kind", "x").agg(F.sum("y").alias("yes"), F.count("*").alias("n")).cache()
+    shares = {k: float(y[kinds == k].mean()) for k in (0, 1)}
+    grown = [grow_trees(t, shares, 3, trees=2, depth=3) for t in (rows.coalesce(1), rows.repartition(5))]
+    for k in (0, 1):
+        local = fit_trees(x[kinds == k], y[kinds == k].astype(float), trees=2, depth=3)
+        for found in grown:
+            assert np.allclose(found[k].margin(x), local.margin(x), atol=1e-6)
+        assert all(np.array_equal(getattr(grown[0][k], a), getattr(grown[1][k], a)) for a in ("feature", "cut", "value"))
