@@ -19,6 +19,7 @@ from __future__ import annotations
 
 from collections import Counter
 from dataclasses import dataclass, replace
+from functools import cached_property
 from itertools import repeat
 from zlib import crc32
 
@@ -31,7 +32,7 @@ from pyspark.sql import functions as F
 from renown.llm.frames import Stage, fold, text_of
 from renown.llm.hashing import parts, sliced
 
-#: Numbers per vector.
+#: Numbers per vector, an even count.
 WIDTH = 24
 #: Classes of one word: at least so many, and so many times the square root of the distinct words.
 LEAST_CLASSES, CLASSES_PER_ROOT = 1023, 8
@@ -47,8 +48,8 @@ SHARD_TOKENS, ROUNDS = 2_000_000, 4
 END = b""
 #: Tokens of a training step; noise groups of a step, noise classes per token.
 BATCH, NOISE_GROUPS, NOISE_CLASSES = 8192, 16, 2
-#: Tokens that are scored at once.
-SCORED = 1 << 16
+#: Tokens that are scored at once, and that one softmax takes, so that its logits stay near the processor.
+SCORED, SOFTMAX = 1 << 16, 1024
 #: Parameters in a row of the sums.
 CHUNK = 4096
 
@@ -181,6 +182,11 @@ class Parameters:
     def all(self) -> list[np.ndarray]:
         return [self.vectors, self.places, self.groups, self.group_bias, self.outputs, self.bias]
 
+    @cached_property
+    def layers(self) -> tuple[np.ndarray, np.ndarray]:
+        """Both output layers, each with its bias as a last column."""
+        return np.column_stack([self.groups, self.group_bias]), np.column_stack([self.outputs, self.bias])
+
 
 def start(c: Classes) -> Parameters:
     """Small random vectors, and biases that give every class its share of the mass."""
@@ -199,27 +205,48 @@ def start(c: Classes) -> Parameters:
     )
 
 
-def _log_softmax_of(z: np.ndarray, chosen: np.ndarray) -> np.ndarray:
-    z -= z.max(axis=1, keepdims=True)
-    own = z[np.arange(len(z)), chosen]
-    return own - np.log(np.exp(z, out=z).sum(axis=1))
+def _log_softmax_of(context: np.ndarray, layer: np.ndarray, chosen: np.ndarray) -> np.ndarray:
+    """Log probability of one row of ``layer`` for each row of ``context``.
+
+    Logits lie outputs by tokens, so that every pass runs along the tokens.
+    """
+    logs = np.empty(len(chosen), np.float32)
+    for at in range(0, len(chosen), SOFTMAX):
+        own = chosen[at : at + SOFTMAX]
+        z = layer @ context[at : at + SOFTMAX].T
+        z -= z.max(axis=0)
+        own = z[own, np.arange(len(own))]
+        logs[at : at + SOFTMAX] = own - np.log(np.exp(z, out=z).sum(axis=0))
+    return logs
+
+
+def _context(p: Parameters, near: np.ndarray, far: np.ndarray) -> np.ndarray:
+    """Context vectors, and a one for the bias."""
+    context = np.empty((len(near), WIDTH + 1), np.float32)
+    context[:, WIDTH] = 1
+    vectors = context[:, :WIDTH]
+    np.multiply(p.vectors.take(near, axis=0), p.places[0], out=vectors)
+    vectors += p.vectors.take(far, axis=0) * p.places[1]
+    return context
 
 
 def log10_probability(p: Parameters, size: int, target: np.ndarray, near: np.ndarray, far: np.ndarray) -> np.ndarray:
     """Normalised log10 probability of each class after its two classes."""
+    groups, outputs = p.layers
     out = np.empty(len(target))
     for at in range(0, len(target), SCORED):
         t = target[at : at + SCORED]
-        context = p.vectors[near[at : at + SCORED]] * p.places[0] + p.vectors[far[at : at + SCORED]] * p.places[1]
         group = t // size
-        logs = _log_softmax_of(context @ p.groups.T + p.group_bias, group).astype(np.float64)
-        order = np.argsort(group, kind="stable")
-        cuts = np.flatnonzero(np.diff(group[order], prepend=-1))
-        for rows in np.split(order, cuts[1:]) if len(order) else ():
-            first = group[rows[0]] * size
-            z = context[rows] @ p.outputs[first : first + size].T + p.bias[first : first + size]
-            logs[rows] += _log_softmax_of(z, t[rows] - first)
-        out[at : at + SCORED] = logs
+        # tokens of a group lie together, for the step within it
+        order = np.argsort(group.astype(np.uint16) if len(groups) < 1 << 16 else group, kind="stable")
+        t, group = t[order], group[order]
+        context = _context(p, near[at : at + SCORED][order], far[at : at + SCORED][order])
+        logs = _log_softmax_of(context, groups, group).astype(np.float64)
+        cuts = [*np.flatnonzero(np.diff(group, prepend=-1)).tolist(), len(t)]
+        for low, high in zip(cuts, cuts[1:]):
+            first = int(group[low]) * size
+            logs[low:high] += _log_softmax_of(context[low:high], outputs[first : first + size], t[low:high] - first)
+        out[at + order] = logs
     return out / np.log(10)
 
 
@@ -256,41 +283,49 @@ class Trainer:
         order = np.argsort(small, kind="stable")
         rows = rows[order]
         at = np.flatnonzero(np.diff(rows, prepend=-1))
-        grads = source[of[order]]
+        grads = source.take(of[order], axis=0)
         if factor is not None:
             grads *= factor[order][:, None]
-        grad = np.add.reduceat(grads, at, axis=0)
+        # two numbers are added as one complex number, in half the passes
+        grad = np.add.reduceat(grads.view(np.complex64), at, axis=0).view(np.float32)
         grad *= np.float32(1 / np.sqrt(n))
         rows = rows[at]
         self.used[k][rows] += np.diff(np.append(at, len(order)))
-        squares = self.squares[k][rows]
+        squares = self.squares[k].take(rows, axis=0)
         squares += grad * grad
         self.squares[k][rows] = squares
-        self.values[k][rows] -= self.rate * grad / np.sqrt(squares)
+        grad *= self.rate
+        grad /= np.sqrt(squares, out=squares)
+        self.values[k][rows] = self.values[k].take(rows, axis=0) - grad
 
     def learn(self, target: np.ndarray, near: np.ndarray, far: np.ndarray) -> None:
         vectors, places, groups, outputs = self.values
         n, size = len(target), self.c.size
         each = np.arange(n)
-        a, b = vectors[near], vectors[far]
-        context = np.empty((n, WIDTH + 1), np.float32)  # and a one for the bias
-        context[:, :WIDTH] = a * places[0] + b * places[1]
+        a, b = vectors.take(near, axis=0), vectors.take(far, axis=0)
+        context = np.zeros((n, WIDTH + 2), np.float32)  # and a one for the bias
+        np.multiply(a, places[0], out=context[:, :WIDTH])
+        context[:, :WIDTH] += b * places[1]
         context[:, WIDTH] = 1
 
         def error(logits, log_noise, true: int):
-            z = log_noise - logits
-            np.clip(z, -30, 30, out=z)
+            z = np.subtract(log_noise, logits, out=logits)
+            np.maximum(z, -30, out=z)
+            np.minimum(z, 30, out=z)
             np.exp(z, out=z)
-            return 1 / (1 + z) - np.float32(true)
+            z += 1
+            np.divide(1, z, out=z)
+            return np.subtract(z, true, out=z) if true else z
 
         # the group against noise groups that serve the whole batch
         group = target // size
         noise = self.rng.choice(len(self.of_group), NOISE_GROUPS, p=self.of_group)
-        own = groups[group]
+        own, others = groups.take(group, axis=0), groups[noise]
         d_own = error(np.einsum("nw,nw->n", context, own), self.log_group[group], 1)
-        d_other = error(context @ groups[noise].T, self.log_group[noise], 0)
+        d_other = error(context @ others.T, self.log_group[noise], 0)
         own *= d_own[:, None]
-        d_context = own + d_other @ groups[noise]
+        d_context = d_other @ others
+        d_context += own
         sources = np.concatenate([context, d_other.T @ context])
         factor = np.concatenate([d_own, np.ones(NOISE_GROUPS, np.float32)])
         self._step(2, np.concatenate([group, noise]), np.arange(n + NOISE_GROUPS), sources, factor, n)
@@ -300,13 +335,13 @@ class Trainer:
         draw = low[:, None] + self.rng.random((n, NOISE_CLASSES)) * self.of_group[group][:, None]
         drawn = np.minimum(np.searchsorted(self.up_to, draw, "right"), self.c.n - 1)
         drawn = np.clip(drawn, group[:, None] * size, group[:, None] * size + size - 1)
-        own = outputs[target]
+        own = outputs.take(target, axis=0)
         d_own = error(np.einsum("nw,nw->n", context, own), self.log_class[target], 1)
         own *= d_own[:, None]
         d_context += own
         factors = [d_own]
         for j in range(NOISE_CLASSES):
-            other = outputs[drawn[:, j]]
+            other = outputs.take(drawn[:, j], axis=0)
             d_other = error(np.einsum("nw,nw->n", context, other), self.log_class[drawn[:, j]], 0)
             other *= d_other[:, None]
             d_context += other
@@ -326,13 +361,9 @@ class Trainer:
 
 
 def _joined(p: Parameters) -> list[np.ndarray]:
-    """Copies of the parameters, each output layer with its bias as a last column."""
-    return [
-        p.vectors.copy(),
-        p.places.copy(),
-        np.column_stack([p.groups, p.group_bias]),
-        np.column_stack([p.outputs, p.bias]),
-    ]
+    """Copies of the parameters, each output layer with its bias and a zero, which stays one, as last columns."""
+    layers = [np.pad(layer, ((0, 0), (0, 1))) for layer in p.layers]
+    return [p.vectors.copy(), p.places.copy(), *layers]
 
 
 def _mean(p: Parameters, sums: np.ndarray) -> Parameters:

@@ -5,6 +5,7 @@ import html
 import json
 import math
 import re
+import tracemalloc
 import zlib
 from collections import Counter, defaultdict
 
@@ -417,6 +418,61 @@ def test_model_is_normalised(spark):
         assert mass == pytest.approx(1, abs=1e-5)
 
 
+def _made(n_classes, size, seed=3):
+    """Classes of falling mass, not all groups full, and parameters that are not those of the start."""
+    groups = -(-n_classes // size)
+    mass = np.zeros(groups * size)
+    mass[:n_classes] = 1000 / (np.arange(n_classes) + 1)
+    c = lm.Classes({lm.END: 0}, np.array([n_classes - 1]), mass, size)
+    p = lm.start(c)
+    rng = np.random.default_rng(seed)
+    return c, lm.Parameters(*((x + rng.normal(0, 0.3, x.shape) * (x > -100)).astype(np.float32) for x in p.all))
+
+
+def test_scoring_holds_few_logits_at_once():
+    """Logits of many tokens times all groups took 52 MB and more, and each pass over them went to memory."""
+    c, p = _made(40_000, 200)
+    rng = np.random.default_rng(5)
+    target = np.minimum(rng.geometric(0.001, lm.SCORED) - 1, c.n - 1)
+    near, far = rng.integers(0, len(c.mass) + 1, (2, lm.SCORED))
+    tracemalloc.start()
+    logs = lm.log10_probability(p, c.size, target, near, far)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 45_000_000
+
+    def softmax(layer, bias, context, chosen):
+        z = layer.astype(float) @ context + bias
+        return z[chosen] - z.max() - math.log(np.exp(z - z.max()).sum())
+
+    for k in [*range(0, lm.SCORED, 997), lm.SCORED - 1]:
+        context = (p.vectors[near[k]] * p.places[0] + p.vectors[far[k]] * p.places[1]).astype(float)
+        group, place = divmod(target[k], c.size)
+        of = slice(group * c.size, (group + 1) * c.size)
+        wanted = softmax(p.groups, p.group_bias, context, group) + softmax(p.outputs[of], p.bias[of], context, place)
+        assert logs[k] == pytest.approx(wanted / math.log(10), abs=1e-4)
+    assert len(lm.log10_probability(p, c.size, target[:0], near[:0], far[:0])) == 0
+
+
+def test_a_step_sums_the_gradients_of_each_row():
+    """Every row moves by the sum over its uses, those of the padding column stay zero."""
+    c, p = _made(300, 20)
+    trainer = lm.Trainer(c, p, 1)
+    rng = np.random.default_rng(6)
+    rows, of = np.minimum(rng.geometric(0.05, 3000) - 1, 299), rng.integers(0, 500, 3000)
+    source, factor = rng.normal(size=(500, lm.WIDTH + 2)).astype(np.float32), rng.normal(size=3000).astype(np.float32)
+    source[:, -1] = 0
+    before = trainer.values[3].astype(float)
+    assert np.array_equal(before[:, : lm.WIDTH + 1], np.column_stack([p.outputs, p.bias]).astype(float))
+    trainer._step(3, rows, of, source, factor, 500)
+    grad = np.zeros(before.shape)
+    np.add.at(grad, rows, source[of].astype(float) * factor[:, None])
+    grad /= math.sqrt(500)
+    wanted = before - 0.05 * grad / np.sqrt(1e-3 + grad**2)
+    assert np.allclose(trainer.values[3], wanted, atol=1e-4) and not trainer.values[3][:, -1].any()
+    assert np.array_equal(trainer.used[3], np.bincount(rows, minlength=len(c.mass)))
+
+
 def test_classes_grow_with_the_words(spark):
     def made(distinct):
         counts = spark.range(distinct).selectExpr("CAST(concat('w', id) AS binary) AS word", "1000000 DIV (id + 1) + 1 AS n")
