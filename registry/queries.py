@@ -388,9 +388,9 @@ query("ordered_label_join_all")(_ordered_label_join)
 query("ordered_label_join_first_ten")(partial(_ordered_label_join, max_ids=10))
 
 
-def _spread(spark, df):
-    """Rows dealt to all cores. Few small rows that become long texts would otherwise be worked off by few tasks."""
-    return df.repartition(spark.sparkContext.defaultParallelism)
+def _spread(spark, df, *keys):
+    """Rows dealt to all cores, by keys if there are any. Few small rows that become long texts would otherwise be worked off by few tasks."""
+    return df.repartition(spark.sparkContext.defaultParallelism, *keys)
 
 
 def _label_ids(spark, sf_dir):
@@ -573,13 +573,17 @@ query("normalize_union_first_five")(partial(_normalize_union, max_tags=SHORT_LIS
 
 @query("normalize_landed")
 def _(spark, sf_dir):
-    """All nine sources through files: landed as lines, read back and mapped in one scan."""
+    """All nine sources through files: landed as lines, read back and mapped in one scan.
+
+    Facts are dealt before they become lines. An entity has a fact per source and year at most, and dealt by entity they
+    stay side by side as the join left them, so that files and the shuffle by name pack what their lines share.
+    """
     root = f"{work_dir(spark)}/raw"
-    facts = _spread(spark, obs_sales(spark, sf_dir)).withColumn("snapshot_date", F.lit(RUN_DATE).cast("date"))
+    facts = _spread(spark, obs_sales(spark, sf_dir), "entity_id").withColumn("snapshot_date", F.lit(RUN_DATE).cast("date"))
     each = [
         F.struct(F.lit(s).alias("source"), F.expr(payload).alias("payload")) for s, payload in PAYLOADS.items()
     ]
-    land_raw(facts.select("snapshot_date", F.inline(F.array(*each))), root)
+    land_raw(facts.select("snapshot_date", F.inline(F.array(*each))), root, dealt=True)
     dim = entity_dim(customer_entities(spark, sf_dir))
     return _flat(accepted(normalize_lines(raw_lines(spark, root), RUN_DATE, dim)))
 

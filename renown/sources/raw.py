@@ -13,6 +13,10 @@ from pyspark.sql import types as T
 CORRUPT = "_corrupt_record"
 #: Folders a task writes side by side; only a task with more of them sorts the rest of its rows by folder.
 OPEN_FOLDERS, OPEN_SETTING = 64, "spark.sql.maxConcurrentOutputFileWriters"
+#: Landed files are packed, so each is read by one task; a task begins another file after so many lines.
+FILE_LINES = 250_000
+#: With it Spark removes the shuffle files of a write as soon as that has ended.
+CLEANUP_SETTING = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 # The fields each source delivers. Fields whose type or presence
 # varies are VARIANT.
@@ -46,28 +50,34 @@ def to_payload(records: DataFrame, source: str, snapshot_date) -> DataFrame:
     )
 
 
-def land_raw(payloads: DataFrame, root: str) -> None:
-    """Write (source, snapshot_date, payload) as JSON Lines below ``root``.
+def land_raw(payloads: DataFrame, root: str, dealt: bool = False) -> None:
+    """Write (source, snapshot_date, payload) as JSON Lines below ``root``, packed with gzip.
 
     A rerun replaces the (source, date) folders it brings and no others. The
     rebalance splits a source that holds most of the rows over many files. Lines go straight to the
-    files of their folders, so a task holds none of them however many it gets.
+    files of their folders, so a task holds none of them however many it gets. Rows that are ``dealt``
+    evenly already are written where they are: lines are the longest form of the data, and a
+    shuffle would write them to disk once more. Shuffle files go with the end of the write.
     """
     one_line = F.regexp_replace("payload", r"[\r\n]+", " ").alias("value")
     spark = payloads.sparkSession
-    before = spark.conf.get(OPEN_SETTING)
-    spark.conf.set(OPEN_SETTING, str(max(int(before), OPEN_FOLDERS)))
+    before = {OPEN_SETTING: spark.conf.get(OPEN_SETTING), CLEANUP_SETTING: spark.conf.get(CLEANUP_SETTING, "false")}
+    spark.conf.set(OPEN_SETTING, str(max(int(before[OPEN_SETTING]), OPEN_FOLDERS)))
+    spark.conf.set(CLEANUP_SETTING, "true")
     try:
         (
-            payloads.hint("rebalance", "source", "snapshot_date")
+            (payloads if dealt else payloads.hint("rebalance", "source", "snapshot_date"))
             .select("source", "snapshot_date", one_line)
             .write.mode("overwrite")
             .option("partitionOverwriteMode", "dynamic")
+            .option("maxRecordsPerFile", FILE_LINES)
+            .option("compression", "gzip")
             .partitionBy("source", "snapshot_date")
             .text(root)
         )
     finally:
-        spark.conf.set(OPEN_SETTING, before)
+        for name, value in before.items():
+            spark.conf.set(name, value)
 
 
 def raw_lines(spark: SparkSession, root: str) -> DataFrame:

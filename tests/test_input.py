@@ -1,10 +1,14 @@
 """How the registered queries read their tables."""
 
 import datetime
+import gzip
+import json
+from pathlib import Path
 
 import pytest
 
 from registry.queries import registered
+from renown.sources.raw import RAW_SOURCES, land_raw
 
 
 @pytest.fixture(scope="module")
@@ -38,3 +42,20 @@ def test_one_file_of_orders_is_dealt_to_all_cores(spark, tables):
     labels = registered()["nested_labels"](spark, tables)
     assert labels.rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
     assert labels.count() == 80
+
+
+def test_facts_of_an_entity_land_side_by_side(spark, tables, monkeypatch):
+    """Its lines are in one file of a source, all nine sources packed, with no shuffle of lines."""
+    landed = []
+
+    def land(payloads, root, **options):
+        assert payloads.rdd.getNumPartitions() == spark.sparkContext.defaultParallelism and options == {"dealt": True}
+        land_raw(payloads, root, **options)
+        landed.append(root)
+
+    monkeypatch.setattr("registry.queries.land_raw", land)
+    registered()["normalize_landed"](spark, tables)
+    files = sorted(Path(landed[0]).rglob("part-*.gz"))
+    assert {p.parent.parent.name for p in files} == {f"source={s}" for s in RAW_SOURCES}
+    ids = [{json.loads(line).get("id") for line in gzip.open(p, "rt")} for p in files if "source=deezer" in str(p)]
+    assert len(set.union(*ids)) == sum(map(len, ids)) == 12

@@ -1,4 +1,5 @@
 import datetime
+import time
 
 import pytest
 
@@ -156,3 +157,48 @@ def test_lines_are_landed_without_a_sort(spark, tmp_path, monkeypatch):
     assert len(opened) == 2 and opened[0] > 1 and spark.conf.get(name) == before
     found = scan_raw(spark, str(tmp_path / "raw"), "deezer")
     assert sorted(int(r[0]) for r in found.selectExpr("try_variant_get(id, '$', 'string')").collect()) == list(range(300))
+
+
+def _landed_files(root):
+    return sorted(p for p in root.rglob("part-*") if p.stat().st_size)
+
+
+def test_landed_lines_are_packed_in_files_of_bounded_length(spark, tmp_path, monkeypatch):
+    """Plain files of an earlier landing are read like packed ones, and replaced by a rerun."""
+    monkeypatch.setattr("renown.sources.raw.FILE_LINES", 10)
+    root = tmp_path / "raw"
+    plain = root / "source=deezer" / "snapshot_date=2026-04-20"
+    plain.mkdir(parents=True)
+    (plain / "part-old.txt").write_text('{"name":"old"}\n')
+    assert [r.name for r in scan_raw(spark, str(root), "deezer").collect()] == ["old"]
+    rows = spark.range(35).selectExpr("'deezer' AS source", f"DATE'{TUESDAY}' AS snapshot_date", "concat('{\"name\":\"', id, '\"}') AS payload")
+    land_raw(rows.coalesce(1), str(root))
+    assert sorted(r.name for r in scan_raw(spark, str(root), "deezer").collect()) == sorted(["old", *map(str, range(35))])
+    land_raw(rows.coalesce(1).selectExpr("source", f"DATE'{MONDAY}' AS snapshot_date", "payload"), str(root))
+    assert scan_raw(spark, str(root), "deezer").count() == 70
+    files = _landed_files(root)
+    assert len(files) == 8 and all(p.read_bytes()[:2] == b"\x1f\x8b" for p in files)
+
+
+def test_dealt_lines_land_where_they_are(spark, tmp_path):
+    """No shuffle: each task keeps its rows and their order."""
+    rows = spark.range(0, 90, 1, 3).selectExpr("'deezer' AS source", f"DATE'{MONDAY}' AS snapshot_date", "concat('{\"id\":', id, '}') AS payload")
+    land_raw(rows, str(tmp_path / "raw"), dealt=True)
+    texts = sorted([r.value for r in spark.read.text(str(p)).collect()] for p in _landed_files(tmp_path / "raw"))
+    assert texts == sorted([f'{{"id":{i}}}' for i in range(k, k + 30)] for k in (0, 30, 60))
+
+
+def test_no_shuffle_files_stay_after_landing(spark, tmp_path):
+    def on_disk():
+        files = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+        return {f for f in files.mkString("\n").split("\n") if "shuffle_" in f}
+
+    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before, setting = on_disk(), spark.conf.get(name, "false")
+    rows = spark.range(0, 3000, 1, 6).selectExpr("'deezer' AS source", f"DATE'{MONDAY}' AS snapshot_date", "concat('{\"id\":', id, '}') AS payload")
+    land_raw(rows, str(tmp_path / "raw"))
+    until = time.time() + 20  # they are removed in the background
+    while (left := on_disk() - before) and time.time() < until:
+        time.sleep(0.2)
+    assert not left and spark.conf.get(name, "false") == setting
+    assert scan_raw(spark, str(tmp_path / "raw"), "deezer").count() == 3000
